@@ -70,6 +70,16 @@ def reason(t: str) -> str:
             f" WHEN {' OR '.join(bad)} THEN 'bad_number' END")
 
 
+def checked(t: str) -> str:
+    """Lines of type t with their field list and reject reason."""
+    return f"SELECT *, {reason(t)} AS reason FROM ({parsed(t)})"
+
+
+def label(ms: str) -> str:
+    return (f"strftime(make_timestamp(({ms}) * 1000), '%Y%m%d%H') || "
+            f"CAST(CAST(floor(minute(make_timestamp(({ms}) * 1000)) / {N}) AS INTEGER) AS VARCHAR)")
+
+
 def keyed(t: str, extra_cols: str = "") -> str:
     """Valid records of type t with the eight key parts and slot."""
     if t in ("expose", "click"):
@@ -100,10 +110,12 @@ def keyed(t: str, extra_cols: str = "") -> str:
 
 
 def arrive_kept(scope: str = "all") -> str:
-    part_by = "cookie, oid" + (", file_no" if scope == "file" else "")
+    part_by = "cookie, oid" + {"all": "", "file": ", file_no",
+                               "file_early": ", file_no, early",
+                               "early": ", early"}[scope]
     order = "log_ms, check_id, " + ", ".join(KEY_PARTS) + ", slot_ms"
     return (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {part_by} ORDER BY {order})"
-            f" AS rn FROM ({keyed('arrive', ', file_no')}) WHERE log_ms - 300000 <= id_ms) WHERE rn = 1")
+            f" AS rn FROM ({keyed('arrive', ', file_no, early')}) WHERE log_ms - 300000 <= id_ms) WHERE rn = 1")
 
 
 def contributions(t: str, scope: str = "all") -> str:

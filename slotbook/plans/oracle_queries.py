@@ -3,9 +3,132 @@
 from __future__ import annotations
 
 from slotbook.plans import oracle as O
+from slotbook.specs import EXPOSE, KEY_PARTS, LOG_TYPES, MEASURES, REPORT_ITEMS, SPECS
 
 ORACLES: dict[str, str] = {}
+W = O.with_lines
+FILE_NAME = "CAST(file_no AS VARCHAR) || '.log'"
+REPORT = O.report_sql()
+REPORT_FILE = O.report_sql("file")
 
-ORACLES["report_batch"] = O.with_lines(O.report_sql())
-for _t in ("bid", "expose", "click", "arrive"):
-    ORACLES[f"agg_{_t}"] = O.with_lines(O.type_delta_sql(_t))
+# ---- parse
+ORACLES["scan_log_lines"] = W(f"SELECT log_type, {FILE_NAME} AS file_name, value FROM lines")
+ORACLES["kafka_lines"] = W("SELECT log_type, value FROM lines")
+ORACLES["parse_expose"] = W(
+    "SELECT CAST(n AS INTEGER) AS n_fields, "
+    + ", ".join(f'f[{i + 1}] AS "{c}"' for i, c in enumerate(EXPOSE.columns))
+    + f" FROM ({O.parsed('expose')})")
+ORACLES["valid_logs"] = W(" UNION ALL ".join(
+    f"SELECT '{t}' AS log_type, value FROM ({O.checked(t)}) WHERE reason IS NULL" for t in LOG_TYPES))
+ORACLES["rejected_logs"] = W(" UNION ALL ".join(
+    f"SELECT '{t}' AS log_type, reason, CAST(n AS INTEGER) AS n_fields, value"
+    f" FROM ({O.checked(t)}) WHERE reason IS NOT NULL" for t in LOG_TYPES))
+ORACLES["split_fixed"] = W(
+    f"SELECT {O.fld('arrive', 'check_id')} AS check_id, "
+    + ", ".join(f"{O.part(O.fld('arrive', 'id'), 3, i)} AS p{i}" for i in range(8))
+    + f" FROM ({O.parsed('arrive')})")
+ORACLES["spec_catalog"] = W(" UNION ALL ".join(
+    f"SELECT '{t}' AS log_type, {SPECS[t].width} AS n_columns, '{','.join(SPECS[t].key)}' AS key_columns,"
+    f" count(*) AS n_lines, count(*) FILTER (WHERE n = {SPECS[t].width}) AS n_full_width"
+    f" FROM ({O.parsed(t)})" for t in LOG_TYPES))
+
+# ---- scalars
+ORACLES["url_domain"] = "SELECT page_id, regexp_extract(url, '://([^/]*)', 1) AS domain FROM pages"
+_ms = O.log_ms(O.fld("expose", "log_time"))
+_sec = O.log_ms(f"substr({O.fld('expose', 'log_time')}, 1, 10)")
+_slot = f"({_ms} - ({_ms} % {O.SLOT_MS}))"
+_slot_sec = f"({_sec} - ({_sec} % {O.SLOT_MS}))"
+ORACLES["time_slot"] = W(
+    f"SELECT {O.fld('expose', 'expose_id')} AS expose_id,"
+    f" strftime(make_timestamp({_slot} * 1000), '%Y%m%d%H') AS hour_label,"
+    f" CAST(floor(minute(make_timestamp({_slot} * 1000)) / {O.N}) AS INTEGER) AS slot_index,"
+    f" {O.label(_slot)} AS slot_label, {O.label(_slot_sec)} AS slot_label_sec"
+    f" FROM ({O.checked('expose')}) WHERE reason IS NULL")
+_all = " UNION ALL ".join(O.contributions(t) for t in LOG_TYPES)
+ORACLES["slot_bounds"] = W(
+    f"SELECT {O.label('slot_ms')} AS slot_label, {O.fmt('slot_ms')} AS start_time,"
+    f" {O.fmt(f'slot_ms + {O.SLOT_MS - 1000}')} AS end_time, count(*) AS n_records"
+    f" FROM ({_all}) GROUP BY slot_ms")
+ORACLES["blank_keys"] = W(
+    "SELECT area_raw, " + O.nz("area_raw") + " AS area_id, count(*) AS n FROM ("
+    + " UNION ALL ".join(f"SELECT {O.fld(t, 'area_id')} AS area_raw FROM ({O.checked(t)})"
+                         f" WHERE reason IS NULL" for t in ("expose", "click"))
+    + ") GROUP BY area_raw")
+
+# ---- keys
+_parts = ", ".join(KEY_PARTS)
+_times = f"{O.fmt('slot_ms')} AS start_time, {O.fmt(f'slot_ms + {O.SLOT_MS - 1000}')} AS end_time"
+for _t, _id in (("expose", "expose_id"), ("click", "expose_id"), ("bid", "bit_id")):
+    ORACLES[f"keys_{_t}"] = W(
+        f"SELECT {_id}, {_parts}, {_times} FROM ({O.keyed(_t, f', {O.fld(_t, _id)} AS {_id}')})")
+ORACLES["keys_arrive"] = W(
+    f"SELECT check_id, {_parts}, {_times}, log_ms, id_ms FROM ({O.keyed('arrive')})")
+ORACLES["arrive_in_window"] = W(
+    f"SELECT check_id, log_ms, id_ms FROM ({O.keyed('arrive')}) WHERE log_ms - 300000 <= id_ms")
+ORACLES["arrive_first"] = W(
+    f"SELECT cookie, oid AS order_key, check_id, log_ms, {_parts}, {O.fmt('slot_ms')} AS start_time"
+    f" FROM ({O.arrive_kept('all')})")
+ORACLES["arrive_first_per_file"] = W(
+    f"SELECT {FILE_NAME} AS file_name, cookie, oid AS order_key, check_id, log_ms, {_parts},"
+    f" {O.fmt('slot_ms')} AS start_time FROM ({O.arrive_kept('file')})")
+
+# ---- aggregates
+for _name in ("report_batch", "merge_deltas", "message_roundtrip"):
+    ORACLES[_name] = W(REPORT)
+# old and new halves are de-duplicated each on its own (dedup scope is the batch)
+ORACLES["report_upsert"] = W(O.report_sql("early"))
+for _t in LOG_TYPES:
+    ORACLES[f"agg_{_t}"] = W(O.type_delta_sql(_t))
+
+
+# ---- messages
+def _message_sql(t: str) -> str:
+    own = O.OWN[t]
+    sums = ", ".join(f"CAST(SUM({m}) AS {'DECIMAL(38,4)' if m == 'cost' else 'BIGINT'}) AS {m}"
+                     for m in own)
+    fields = [f"concat_ws(chr(31), {_parts}, {O.label('slot_ms')})"]
+    for item in REPORT_ITEMS:
+        fields.append(f"CAST({item} AS VARCHAR)" if item in MEASURES and item in own else "''")
+    fields.append("'21'")
+    return (f"SELECT '{t}' AS log_type, concat_ws(chr(30), {', '.join(fields)}) AS value FROM ("
+            f"SELECT {_parts}, slot_ms, {sums} FROM ({O.contributions(t)}) GROUP BY {_parts}, slot_ms)")
+
+
+ORACLES["delta_message"] = W(" UNION ALL ".join(_message_sql(t) for t in LOG_TYPES))
+
+# ---- files
+ORACLES["pending_files"] = W(f"SELECT DISTINCT log_type, {FILE_NAME} AS name FROM lines WHERE file_no >= 2")
+ORACLES["ledger_prune"] = W(f"SELECT DISTINCT log_type, {FILE_NAME} AS name FROM lines WHERE file_no < 2")
+ORACLES["ledger_latest"] = W("SELECT 'history_' || CAST(max(file_no) AS VARCHAR) || '.log' AS name FROM lines")
+ORACLES["source_file_audit"] = W(
+    f"SELECT log_type, {FILE_NAME} AS file_name, count(*) AS n_lines FROM lines GROUP BY log_type, file_no")
+
+# ---- streaming
+ORACLES["stream_file_ingest"] = ORACLES["scan_log_lines"]
+ORACLES["stream_report"] = W(REPORT_FILE)
+ORACLES["updated_keys"] = W(
+    f"SELECT DISTINCT concat_ws(chr(31), {_parts}, start_time) AS row_key FROM ({REPORT_FILE})")
+ORACLES["stream_late_data"] = W(O.report_sql("file_early"))
+
+
+# ---- metrics
+def _stage_sql(t: str) -> str:
+    w = SPECS[t].width
+    length = f"coalesce({O.jtrim('f[1]')} = CAST(least(n, {w}) AS VARCHAR), false)"
+    return (f"SELECT '{t}' AS log_type, stage, n_rows FROM (SELECT"
+            f" CAST(count(*) AS BIGINT) AS s1, CAST(count(*) FILTER (WHERE {length}) AS BIGINT) AS s2,"
+            f" CAST(count(*) FILTER (WHERE reason IS NULL) AS BIGINT) AS s3,"
+            f" (SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT {_parts}, slot_ms"
+            f" FROM ({O.contributions(t)}))) AS s4 FROM ({O.checked(t)}))"
+            " UNPIVOT (n_rows FOR stage IN (s1 AS '1-createStream', s2 AS '2-log_length_filter_after',"
+            " s3 AS '3-map_after', s4 AS '4-groupByKey_map_after'))")
+
+
+_stages = " UNION ALL ".join(_stage_sql(t) for t in LOG_TYPES)
+ORACLES["stage_counts"] = W(_stages)
+_msg = (f"SELECT concat_ws('%', log_type, CAST(n_rows AS VARCHAR), stage, 'batch-0',"
+        f" '2024-01-01 00:00:00') AS value FROM ({_stages})")
+ORACLES["metrics_message"] = W(_msg)
+ORACLES["metrics_archive"] = W(_msg)
+ORACLES["metrics_parse"] = W(
+    f"SELECT log_type, n_rows, stage, 'batch-0' AS host, '2024-01-01 00:00:00' AS time FROM ({_stages})")

@@ -1,9 +1,11 @@
 """Named queries: one per operator group of the survey's inventory.
 
-Every query takes ``(spark, sf_dir)``, reads the driver's tables (through
-the line fixture rendered from ``events``, or ``pages``) and returns a
-DataFrame; none collects.  Column names equal those of the oracle SQL in
-``slotbook.plans.oracle_queries``.
+Every query takes ``(spark, sf_dir)``, reads the driver's tables (the line
+fixture rendered from ``events``, or ``pages``) and returns a DataFrame; none
+collects data.  Column names equal those of the oracle SQL in
+``slotbook.plans.oracle_queries``.  File and streaming queries write the
+fixture lines as files in a fresh folder under the shared checkpoint folder
+and return what Spark read or wrote back.
 """
 
 from __future__ import annotations
@@ -11,12 +13,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotbook import session as S
+from slotbook.functions import (blank_to_zero, bounds_from_label, hour_label, pad_ms,
+                                slot_end_text, slot_index, slot_label, slot_start_ms,
+                                slot_start_text, split_fixed, url_domain)
+from slotbook.operators import aggregate as A
+from slotbook.operators import dedup, keys, messages, metrics
+from slotbook.operators.parse import N_FIELDS, parse_lines
+from slotbook.operators.upsert import ReportStore, upsert
 from slotbook.plans import report as R
-from slotbook.sources.fixture import fixture_lines
-from slotbook.specs import ReportConfig
+from slotbook.sources import files as FS
+from slotbook.sources import kafka
+from slotbook.sources.fixture import fixture_lines, write_fixture_files
+from slotbook.specs import (ARRIVE, EXPOSE, KEY_PARTS, LEVEL1_SEPARATOR, LOG_TYPES, SPECS,
+                            ReportConfig)
+from slotbook.streaming import report_stream as RS
 
 CFG = ReportConfig()
 FILE_CFG = ReportConfig(dedup_scope="file")
+N = CFG.slot_minutes
 
 QUERIES: dict = {}
 
@@ -32,13 +47,196 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture_lines(spark, sf_dir)
 
 
+def _key_out(df: DataFrame, id_col: str) -> DataFrame:
+    """Keyed records in report-key form (times as text)."""
+    return df.select(
+        F.col(id_col), *KEY_PARTS,
+        slot_start_text(F.col("slot_ms")).alias("start_time"),
+        slot_end_text(F.col("slot_ms"), N).alias("end_time"))
+
+
+# ---------------------------------------------------------------- parse
+
+
+@query("scan_log_lines")
+def q_scan_log_lines(spark, sf_dir):
+    """S1 + S3: text files of each log folder, in-progress files skipped."""
+    root = write_fixture_files(spark, sf_dir)
+    df = FS.scan_lines(spark, [f"{root}/{t}" for t in LOG_TYPES])
+    return df.select("log_type", "file_name", "value")
+
+
+@query("kafka_lines")
+def q_kafka_lines(spark, sf_dir):
+    """Lines decoded from Kafka-shaped records (topic = log type)."""
+    src = lines(spark, sf_dir).select(
+        F.lit(None).cast("binary").alias("key"), F.encode("value", "UTF-8").alias("value"),
+        F.col("log_type").alias("topic"), F.col("file_no").cast("int").alias("partition"),
+        F.col("event_id").alias("offset"))
+    return kafka.decode(src).select("log_type", "value")
+
+
+@query("parse_expose")
+def q_parse_expose(spark, sf_dir):
+    """P1 + P2: expose lines split (trailing empties kept) and bound to names."""
+    p = parse_lines(R.typed_lines(lines(spark, sf_dir), "expose"), EXPOSE)
+    return p.select(F.col(N_FIELDS).alias("n_fields"), *EXPOSE.columns)
+
+
+@query("valid_logs")
+def q_valid_logs(spark, sf_dir):
+    """Lines that pass the length, key and number checks."""
+    ls = lines(spark, sf_dir)
+    return A.union_all([R.valid_of(ls, t, CFG).select(F.lit(t).alias("log_type"), "value")
+                        for t in LOG_TYPES])
+
+
+@query("rejected_logs")
+def q_rejected_logs(spark, sf_dir):
+    """P4 + F6 + Q11: rejected lines with reason and field count."""
+    ls = lines(spark, sf_dir)
+    return A.union_all([R.rejects_of(ls, t, CFG) for t in LOG_TYPES])
+
+
+@query("split_fixed")
+def q_split_fixed(spark, sf_dir):
+    """P10: the arrive composite id as eight parts, missing ones ''."""
+    p = parse_lines(R.typed_lines(lines(spark, sf_dir), "arrive"), ARRIVE)
+    parts = split_fixed(p["id"], LEVEL1_SEPARATOR, 8)
+    return p.select(F.col("check_id"), *[c.alias(f"p{i}") for i, c in enumerate(parts)])
+
+
+@query("spec_catalog")
+def q_spec_catalog(spark, sf_dir):
+    """The declarations with the lines of each type that match their width."""
+    specs = spark.createDataFrame(
+        [(s.log_type, s.width, ",".join(s.key)) for s in SPECS.values()],
+        "log_type string, n_columns int, key_columns string")
+    stats = A.union_all([
+        parse_lines(R.typed_lines(lines(spark, sf_dir), t), SPECS[t]).agg(
+            F.lit(t).alias("log_type"), F.count(F.lit(1)).alias("n_lines"),
+            F.count(F.when(F.col(N_FIELDS) == SPECS[t].width, 1)).alias("n_full_width"))
+        for t in LOG_TYPES])
+    # five declaration rows: a bounded, tiny side
+    return stats.join(F.broadcast(specs), "log_type").select(
+        "log_type", "n_columns", "key_columns", "n_lines", "n_full_width")
+
+
+# ---------------------------------------------------------------- scalars
+
+
+@query("url_domain")
+def q_url_domain(spark, sf_dir):
+    """F1 over every page URL."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return pages.select("page_id", url_domain(F.col("url")).alias("domain"))
+
+
+@query("time_slot")
+def q_time_slot(spark, sf_dir):
+    """F2-F4 over expose log times, also read as 10-digit seconds (padding)."""
+    p = R.valid_of(lines(spark, sf_dir), "expose", CFG)
+    ms = keys.log_ms(p["log_time"])
+    sec_ms = pad_ms(F.substring(p["log_time"], 1, 10)).try_cast("bigint")
+    s1, s2 = slot_start_ms(ms, N), slot_start_ms(sec_ms, N)
+    return p.select(p["expose_id"], hour_label(s1).alias("hour_label"),
+                    slot_index(s1, N).alias("slot_index"), slot_label(s1, N).alias("slot_label"),
+                    slot_label(s2, N).alias("slot_label_sec"))
+
+
+@query("slot_bounds")
+def q_slot_bounds(spark, sf_dir):
+    """start and end of every slot label seen, read from the label text."""
+    c = R.all_contributions(lines(spark, sf_dir), CFG)
+    labels = c.groupBy("slot_ms").agg(F.count(F.lit(1)).alias("n_records"))
+    lab = slot_label(F.col("slot_ms"), N)
+    start, end = bounds_from_label(lab, N)
+    return labels.select(lab.alias("slot_label"), start.alias("start_time"),
+                         end.alias("end_time"), "n_records")
+
+
+@query("blank_keys")
+def q_blank_keys(spark, sf_dir):
+    """P17 + Q5: raw area text → key part ('' and '0' meet in one group)."""
+    ls = lines(spark, sf_dir)
+    frames = []
+    for t in ("expose", "click"):
+        v = R.valid_of(ls, t, CFG)
+        frames.append(v.select(F.col("area_id").alias("area_raw"),
+                               blank_to_zero(F.col("area_id")).alias("area_id")))
+    return A.union_all(frames).groupBy("area_raw", "area_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- keys
+
+
+@query("keys_expose")
+def q_keys_expose(spark, sf_dir):
+    v = R.valid_of(lines(spark, sf_dir), "expose", CFG)
+    return _key_out(keys.expose_keys(v, CFG, keep=[v["expose_id"]]), "expose_id")
+
+
+@query("keys_click")
+def q_keys_click(spark, sf_dir):
+    v = R.valid_of(lines(spark, sf_dir), "click", CFG)
+    return _key_out(keys.click_keys(v, CFG, keep=[v["expose_id"]]), "expose_id")
+
+
+@query("keys_bid")
+def q_keys_bid(spark, sf_dir):
+    v = R.valid_of(lines(spark, sf_dir), "bid", CFG)
+    return _key_out(keys.bid_keys(v, CFG, SPECS["bid"], keep=[v["bit_id"]]), "bit_id")
+
+
+@query("keys_arrive")
+def q_keys_arrive(spark, sf_dir):
+    v = R.valid_of(lines(spark, sf_dir), "arrive", CFG)
+    k = keys.arrive_keys(v, CFG)
+    return k.select("check_id", *KEY_PARTS,
+                    slot_start_text(F.col("slot_ms")).alias("start_time"),
+                    slot_end_text(F.col("slot_ms"), N).alias("end_time"), "log_ms", "id_ms")
+
+
+@query("arrive_in_window")
+def q_arrive_in_window(spark, sf_dir):
+    """Arrivals within five minutes of their id time (no lower bound)."""
+    v = R.valid_of(lines(spark, sf_dir), "arrive", CFG)
+    return keys.in_arrival_window(keys.arrive_keys(v, CFG)).select("check_id", "log_ms", "id_ms")
+
+
+def _first(keyed: DataFrame, scope=()) -> DataFrame:
+    kept = dedup.first_arrivals(keys.in_arrival_window(keyed), scope)
+    return kept.select(*scope, "cookie", F.col("dedup_order_id").alias("order_key"), "check_id",
+                       "log_ms", *KEY_PARTS,
+                       slot_start_text(F.col("slot_ms")).alias("start_time"))
+
+
+@query("arrive_first")
+def q_arrive_first(spark, sf_dir):
+    """Earliest arrival per (cookie, order id)."""
+    v = R.valid_of(lines(spark, sf_dir), "arrive", CFG)
+    return _first(keys.arrive_keys(v, CFG))
+
+
+@query("arrive_first_per_file")
+def q_arrive_first_per_file(spark, sf_dir):
+    """T5: the same, de-duplicated within each source file."""
+    root = write_fixture_files(spark, sf_dir)
+    src = {"arrive": FS.scan_lines(spark, f"{root}/arrive").select("value", "file_name")}
+    v = R.valid_of(src, "arrive", FILE_CFG, keep=("file_name",))
+    return _first(keys.arrive_keys(v, FILE_CFG, keep=("file_name",)), ("file_name",))
+
+
+# ---------------------------------------------------------------- aggregates
+
+
 @query("report_batch")
 def q_report_batch(spark, sf_dir):
     """Flagship: the four log types → one report."""
     return R.report(lines(spark, sf_dir), CFG)
 
 
-for _t in ("bid", "expose", "click", "arrive"):
+for _t in LOG_TYPES:
     def _mk(t):
         def q(spark, sf_dir):
             return R.type_delta(lines(spark, sf_dir), t, CFG)
@@ -46,3 +244,195 @@ for _t in ("bid", "expose", "click", "arrive"):
         q.__doc__ = f"A1-A4: the {t} delta per report key."
         return q
     query(f"agg_{_t}")(_mk(_t))
+
+
+@query("merge_deltas")
+def q_merge_deltas(spark, sf_dir):
+    """A5: per-type deltas first (as the reference sends them), then summed."""
+    ls = lines(spark, sf_dir)
+    deltas = [A.own_measures(R.contributions_of(ls, t, CFG), t) for t in LOG_TYPES]
+    wide = [A.with_measures(d, {m: F.col(m) for m in A.OWN_MEASURES[t]})
+            for d, t in zip(deltas, LOG_TYPES)]
+    return A.finish(A.sum_measures(A.union_all(wide)), CFG)
+
+
+@query("report_upsert")
+def q_report_upsert(spark, sf_dir):
+    """Report of the first half-month, then the second added to it."""
+    ls = lines(spark, sf_dir)
+    old = R.report(ls.where(F.col("early")), CFG)
+    new = R.report(ls.where(~F.col("early")), CFG)
+    return upsert(old, new)
+
+
+# ---------------------------------------------------------------- messages
+
+
+def _delta_messages(ls: DataFrame) -> DataFrame:
+    return A.union_all([
+        messages.encode(A.own_measures(R.contributions_of(ls, t, CFG), t), CFG,
+                        keep=[F.lit(t).alias("log_type")])
+        for t in LOG_TYPES])
+
+
+@query("delta_message")
+def q_delta_message(spark, sf_dir):
+    """P12 + P13: one 21-field text message per key and log type."""
+    return _delta_messages(lines(spark, sf_dir))
+
+
+@query("message_roundtrip")
+def q_message_roundtrip(spark, sf_dir):
+    """P14-P16 + T6: messages decoded and merged give the report."""
+    msgs = _delta_messages(lines(spark, sf_dir)).select("value")
+    return A.finish(messages.merge(messages.decode(msgs, CFG)), CFG)
+
+
+# ---------------------------------------------------------------- files
+
+
+def _ledger(spark, sf_dir):
+    """A ledger holding files 0 and 1 of each type and one vanished file."""
+    root = write_fixture_files(spark, sf_dir)
+    listing = FS.listing(spark, root)
+    ledger_dir = S.scratch_path(spark, "ledger")
+    taken = listing.where(F.col("name").isin("0.log", "1.log")).select("path")
+    FS.append_ledger(taken, ledger_dir)
+    FS.append_ledger(listing.where(F.col("name") == "0.log")
+                     .select(F.regexp_replace("path", r"0\.log$", "9.log").alias("path")), ledger_dir)
+    return root, listing, FS.read_ledger(spark, ledger_dir)
+
+
+@query("pending_files")
+def q_pending_files(spark, sf_dir):
+    """Files not yet in the ledger."""
+    _, listing, ledger = _ledger(spark, sf_dir)
+    return FS.pending(listing, ledger).select("log_type", "name")
+
+
+@query("ledger_prune")
+def q_ledger_prune(spark, sf_dir):
+    """Ledger entries whose file still exists."""
+    _, listing, ledger = _ledger(spark, sf_dir)
+    kept = FS.prune(ledger, listing)
+    return kept.select(FS.parent_name(F.col("path")).alias("log_type"),
+                       FS.base_name(F.col("path")).alias("name"))
+
+
+@query("ledger_latest")
+def q_ledger_latest(spark, sf_dir):
+    """L2: one ledger version ``history_<n>.log`` per file number n, plus a
+    newer version that is still empty; the latest non-empty one is taken."""
+    root = write_fixture_files(spark, sf_dir)
+    listing = FS.listing(spark, root)
+    hist = S.scratch_path(spark, "history")
+    staging = S.scratch_path(spark, "history-staging")
+    (listing.where(F.col("name").rlike(r"^[0-9]+[.]log$"))
+     .select(F.regexp_extract("name", r"^([0-9]+)", 1).alias("v"), "path")
+     .repartition("v").write.partitionBy("v").text(staging))
+    for d in S.list_dirs(spark, staging):
+        v = d.rstrip("/").rsplit("=", 1)[-1]
+        for j, p in enumerate(sorted(S.list_files(spark, d))):
+            S.rename(spark, p, f"{hist}/history_{v}{'' if j == 0 else f'-{j}'}.log")
+    S.touch(spark, f"{hist}/history_9.log")
+    return FS.latest_version(FS.listing(spark, hist, recursive=False))
+
+
+@query("source_file_audit")
+def q_source_file_audit(spark, sf_dir):
+    """K5: each source file taken, with its line count."""
+    root = write_fixture_files(spark, sf_dir)
+    audit = FS.audit(FS.scan_lines(spark, [f"{root}/{t}" for t in LOG_TYPES]))
+    return audit.select("log_type", "file_name", "n_lines")
+
+
+# ---------------------------------------------------------------- streaming
+
+
+@query("stream_file_ingest")
+def q_stream_file_ingest(spark, sf_dir):
+    """Every new file taken once, at most 10 per micro-batch."""
+    root = write_fixture_files(spark, sf_dir)
+    sink, ckpt = S.scratch_path(spark, "ingest"), S.scratch_path(spark, "ingest-ckpt")
+    RS.run_ingest_stream(spark, root, sink, ckpt, max_files=10)
+    return spark.read.parquet(sink).select("log_type", "file_name", "value")
+
+
+def _stream_store(spark, sf_dir, audit: bool = False):
+    root = write_fixture_files(spark, sf_dir)
+    store = ReportStore(spark, S.scratch_path(spark, "report"))
+    audit_dir = S.scratch_path(spark, "updated") if audit else None
+    q = RS.run_report_stream(spark, root, store, S.scratch_path(spark, "report-ckpt"),
+                             FILE_CFG, max_files=10, audit_dir=audit_dir)
+    return store, audit_dir, q
+
+
+@query("stream_report")
+def q_stream_report(spark, sf_dir):
+    """The report built micro-batch by micro-batch (4 files each)."""
+    store, _, _ = _stream_store(spark, sf_dir)
+    return store.current()
+
+
+@query("updated_keys")
+def q_updated_keys(spark, sf_dir):
+    """K3: the keys each micro-batch updated (distinct over batches)."""
+    _, audit_dir, _ = _stream_store(spark, sf_dir, audit=True)
+    return spark.read.text(audit_dir).select(F.col("value").alias("row_key")).distinct()
+
+
+@query("stream_late_data")
+def q_stream_late_data(spark, sf_dir):
+    """T4: second-half-month files first, then first-half files arriving
+    late for the same slots; the late records add to the old rows."""
+    root = S.scratch_path(spark, "late")
+    store = ReportStore(spark, S.scratch_path(spark, "late-report"))
+    ckpt = S.scratch_path(spark, "late-ckpt")
+    write_fixture_files(spark, sf_dir, where="NOT early", root=root, with_tmp=False)
+    RS.run_report_stream(spark, root, store, ckpt, FILE_CFG, max_files=None)
+    write_fixture_files(spark, sf_dir, where="early", root=root, suffix="-late", with_tmp=False)
+    RS.run_report_stream(spark, root, store, ckpt, FILE_CFG, max_files=None)
+    return store.current()
+
+
+@query("batch_timing")
+def q_batch_timing(spark, sf_dir):
+    """Per micro-batch duration per row (rows only: times vary)."""
+    _, _, q = _stream_store(spark, sf_dir)
+    return metrics.batch_timing(spark, [p for p in q.recentProgress])
+
+
+# ---------------------------------------------------------------- metrics
+
+
+def _metric_ts():
+    """A fixed report time so the messages are comparable (default: now)."""
+    return F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+
+
+@query("stage_counts")
+def q_stage_counts(spark, sf_dir):
+    """M1: rows at each named stage per log type."""
+    return metrics.stage_counts(lines(spark, sf_dir), CFG)
+
+
+@query("metrics_message")
+def q_metrics_message(spark, sf_dir):
+    """M2: stage counts as '%'-joined messages."""
+    return metrics.messages(metrics.stage_counts(lines(spark, sf_dir), CFG), 0, _metric_ts())
+
+
+@query("metrics_parse")
+def q_metrics_parse(spark, sf_dir):
+    """M3: metric messages parsed back to typed columns."""
+    msgs = metrics.messages(metrics.stage_counts(lines(spark, sf_dir), CFG), 0, _metric_ts())
+    return metrics.parse_messages(msgs)
+
+
+@query("metrics_archive")
+def q_metrics_archive(spark, sf_dir):
+    """K4: messages archived four lines per file, read back."""
+    folder = S.scratch_path(spark, "metrics")
+    msgs = metrics.messages(metrics.stage_counts(lines(spark, sf_dir), CFG), 0, _metric_ts())
+    metrics.archive(msgs, folder, 4)
+    return spark.read.text(folder).select("value")

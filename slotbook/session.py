@@ -92,3 +92,15 @@ def delete(spark: SparkSession, path: str) -> None:
     """Remove a path on the cluster filesystem (used to model a vanished file)."""
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def list_dirs(spark: SparkSession, folder: str) -> list[str]:
+    """Sub-folders directly inside ``folder`` (a handful of version folders)."""
+    fs, p = _fs(spark, folder)
+    return [s.getPath().toString() for s in fs.listStatus(p) if s.isDirectory()]
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file (an in-progress or not yet filled output)."""
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()

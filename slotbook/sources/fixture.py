@@ -159,34 +159,43 @@ def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FILE_CACHE: dict[tuple[str, str], str] = {}
 
 
-def write_fixture_files(spark: SparkSession, sf_dir: str, reuse: bool = True) -> str:
-    """Write the lines as files ``{root}/{log_type}/{file_no}.log`` plus an
-    in-progress ``_part.tmp`` in each folder (must be skipped by readers).
+def write_fixture_files(spark: SparkSession, sf_dir: str, reuse: bool = True,
+                        where: str | None = None, root: str | None = None,
+                        suffix: str = "", with_tmp: bool = True) -> str:
+    """Write the lines as files ``{root}/{log_type}/{file_no}{suffix}.log`` plus
+    an in-progress ``_part.tmp`` in each folder (must be skipped by readers).
 
     Spark writes the data (one task per type and file number, so one file
-    each); the driver only renames the finished part files.
+    each); the driver only renames the finished part files.  ``where``
+    restricts the events (SQL over the fixture columns), ``root`` adds the
+    files to an existing folder.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if reuse and key in _FILE_CACHE and S.exists(spark, _FILE_CACHE[key]):
+    cacheable = reuse and where is None and root is None and not suffix and with_tmp
+    if cacheable and key in _FILE_CACHE and S.exists(spark, _FILE_CACHE[key]):
         return _FILE_CACHE[key]
-    root = S.scratch_path(spark, "logs")
-    staging = root + "/_staging"
+    root = root or S.scratch_path(spark, "logs")
+    staging = S.scratch_path(spark, "staging")
     lines = fixture_lines(spark, sf_dir)
+    if where:
+        lines = lines.where(where)
     (lines.select("log_type", "file_no", "value")
      .repartition("log_type", "file_no")
      .write.partitionBy("log_type", "file_no").text(staging + "/files"))
-    (lines.where(F.col("file_no") == 0).select("log_type", "value")
-     .repartition("log_type")
-     .write.partitionBy("log_type").text(staging + "/tmp"))
+    if with_tmp:
+        (lines.where(F.col("file_no") == 0).select("log_type", "value")
+         .repartition("log_type")
+         .write.partitionBy("log_type").text(staging + "/tmp"))
     for t in ("bid", "expose", "click", "arrive"):
         for n in range(4):
-            parts = sorted(S.list_files(spark, f"{staging}/files/log_type={t}/file_no={n}")) \
-                if S.exists(spark, f"{staging}/files/log_type={t}/file_no={n}") else []
+            folder = f"{staging}/files/log_type={t}/file_no={n}"
+            parts = sorted(S.list_files(spark, folder)) if S.exists(spark, folder) else []
             for j, p in enumerate(parts):
-                S.rename(spark, p, f"{root}/{t}/{n}{'' if j == 0 else f'-{j}'}.log")
+                S.rename(spark, p, f"{root}/{t}/{n}{suffix}{'' if j == 0 else f'-{j}'}.log")
         tmp_dir = f"{staging}/tmp/log_type={t}"
-        if S.exists(spark, tmp_dir):
+        if with_tmp and S.exists(spark, tmp_dir):
             for j, p in enumerate(sorted(S.list_files(spark, tmp_dir))):
                 S.rename(spark, p, f"{root}/{t}/_part{j or ''}.tmp")
-    _FILE_CACHE[key] = root
+    if cacheable:
+        _FILE_CACHE[key] = root
     return root
