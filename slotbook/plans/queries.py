@@ -436,3 +436,14 @@ def q_metrics_archive(spark, sf_dir):
     msgs = metrics.messages(metrics.stage_counts(lines(spark, sf_dir), CFG), 0, _metric_ts())
     metrics.archive(msgs, folder, 4)
     return spark.read.text(folder).select("value")
+
+
+@query("report_files_job")
+def q_report_files_job(spark, sf_dir):
+    """§3.2: batch jobs over the watched folders, ten files per job, ledger
+    first, delta by batch id; the accumulated report."""
+    from slotbook.plans.batch_job import BatchJob
+    root = write_fixture_files(spark, sf_dir)
+    store = ReportStore(spark, S.scratch_path(spark, "job-report"))
+    BatchJob(spark, root, store, S.scratch_path(spark, "job-ledger"), FILE_CFG, 10).run_all()
+    return store.current()
