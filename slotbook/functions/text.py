@@ -6,17 +6,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Java's String.trim strips every character up to U+0020, not only spaces.
-_JTRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
+_JTRIM_CHARS = "".join(chr(i) for i in range(0x21))
+# Characters that are special in a Java regex outside a character class.
+_REGEX_META = ".$|()[{^?*+\\"
 
 
 def quote_regex(sep: str) -> str:
-    """A Java regex matching ``sep`` literally (Spark's split takes a regex)."""
+    """A Java regex matching ``sep`` literally (Spark's split takes a regex).
+
+    A one-character separator is given as itself (or backslash-escaped when
+    it is a regex metacharacter): Java's ``String.split`` then splits on the
+    character directly instead of compiling a pattern for every row."""
+    if len(sep) == 1 and not ("\ud800" <= sep <= "\udfff"):
+        return "\\" + sep if sep in _REGEX_META else sep
     return r"\Q" + sep.replace(r"\E", r"\E\\E\Q") + r"\E"
 
 
 def jtrim(c: Column) -> Column:
-    """Trim as Java's String.trim does (Q25)."""
-    return F.regexp_replace(c, _JTRIM, "")
+    """Trim as Java's String.trim does (Q25): every character up to U+0020
+    at either end; a plain character-set trim, no regular expression."""
+    return F.btrim(c, F.lit(_JTRIM_CHARS))
 
 
 def split_keep(c: Column, sep: str) -> Column:
@@ -50,7 +59,9 @@ def url_domain(c: Column) -> Column:
     Keeps a port and a '?query' that has no slash; unlike parse_url it does
     not need a well-formed URL.
     """
-    return F.regexp_extract(c, "://([^/]*)", 1)
+    pos = F.instr(c, "://")
+    rest = F.substring_index(F.substr(c, pos + F.lit(3)), "/", 1)
+    return F.when(pos > 0, rest).when(pos == 0, F.lit(""))
 
 
 def blank_to_zero(c: Column) -> Column:

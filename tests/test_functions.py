@@ -79,3 +79,25 @@ def test_java_long(spark):
     assert one(spark, java_long, " 12") is None
     assert one(spark, java_long, "1.5") is None
     assert one(spark, java_long, "99999999999999999999") is None
+
+
+def test_domain_of_null_is_null(spark):
+    assert one(spark, url_domain, None) is None
+    assert one(spark, url_domain, "") == ""
+
+
+def test_split_on_any_separator_is_literal(spark):
+    # one regex metacharacter, one plain character, several characters, and a
+    # separator that holds the quoting sequence itself
+    for sep in ("|", ".", "\\", "*", "%", "\x02", "::", "a\\Eb", "$^"):
+        text = sep.join(["x", "", "y-z", ""])
+        df = spark.createDataFrame([(text,)], "x string")
+        got = df.select(split_keep(F.col("x"), sep)).first()[0]
+        assert got == ["x", "", "y-z", ""], sep
+
+
+def test_jtrim_matches_java_trim(spark):
+    # Java's String.trim strips U+0000..U+0020 at both ends and nothing else
+    for text in ("\x00a\x1f", "\x7fz\x7f", "a b", "", " ", " x ", "\x21!\x21"):
+        want = text.strip("".join(chr(i) for i in range(0x21)))
+        assert one(spark, jtrim, text) == want, repr(text)
