@@ -17,6 +17,10 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # PySpark otherwise records the Python call site of every Column function
+    # with several JVM round trips each; that is a debugging aid and makes
+    # building a plan (once per micro-batch in streaming) cost seconds.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -136,6 +136,16 @@ def duckdb_lines_sql() -> str:
     )
 
 
+def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """``df`` as is when its scan already yields a split per core; otherwise
+    (a small file with one row group is read by one task) spread round-robin
+    over the cores.  On large inputs this is a no-op: no extra shuffle."""
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(event_id, file_no, early, log_type, value)``: one line per event.
 
@@ -143,7 +153,7 @@ def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``log_type`` prunes whole branches and each branch's projection stays
     small enough for whole-stage codegen."""
     b = BASE["spark"]
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+    ev = spread(spark, spark.read.parquet(f"{sf_dir}/events.parquet")).selectExpr(
         "event_id", "user_id", "event_type", "value",
         f"{b['k']} AS k", f"{b['ms']} AS ms", f"{b['early']} AS early")
     ev = ev.selectExpr("*", *[f"{v} AS {k}" for k, v in DERIVED.items()])
