@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotbook.functions import slot_end_text, slot_start_text
@@ -44,34 +44,37 @@ def register(log_type: str):
     return deco
 
 
-def _zero(m: str) -> Column:
-    return F.lit(0).cast(COST_TYPE) if m == "cost" else F.lit(0).cast("bigint")
+ONE = "CAST(1 AS BIGINT)"
 
 
-def with_measures(keyed: DataFrame, values: dict[str, Column], keep=()) -> DataFrame:
-    """P12 in typed form: every measure present, 0 where this type has none."""
-    return keyed.select(*keep, *GROUP,
-                        *[values.get(m, _zero(m)).alias(m) for m in MEASURES])
+def _zero(m: str) -> str:
+    return f"CAST(0 AS {COST_TYPE})" if m == "cost" else "CAST(0 AS BIGINT)"
+
+
+def with_measures(keyed: DataFrame, values: dict[str, str], keep=()) -> DataFrame:
+    """P12 in typed form: every measure present, 0 where this type has none.
+    ``values`` maps a measure to its SQL expression over ``keyed``."""
+    return keyed.selectExpr(*keep, *GROUP,
+                            *[f"{values.get(m, _zero(m))} AS {m}" for m in MEASURES])
 
 
 @register("expose")
 def expose_contributions(valid, cfg, spec, scope=()):
     k = keys.expose_keys(valid, cfg, keep=scope,
                          extra=[decimal_or_null(valid["cost"]).alias("_cost")])
-    one = F.lit(1).cast("bigint")
-    return with_measures(k, {"bid_success_cnt": one, "expose_cnt": one, "cost": F.col("_cost")})
+    return with_measures(k, {"bid_success_cnt": ONE, "expose_cnt": ONE, "cost": "_cost"})
 
 
 @register("click")
 def click_contributions(valid, cfg, spec, scope=()):
     k = keys.click_keys(valid, cfg, keep=scope)
-    return with_measures(k, {"click_cnt": F.lit(1).cast("bigint")})
+    return with_measures(k, {"click_cnt": ONE})
 
 
 @register("bid")
 def bid_contributions(valid, cfg, spec, scope=()):
     k = keys.bid_keys(valid, cfg, spec, keep=scope)
-    return with_measures(k, {"bid_cnt": F.lit(1).cast("bigint")})
+    return with_measures(k, {"bid_cnt": ONE})
 
 
 @register("arrive")
@@ -80,7 +83,7 @@ def arrive_contributions(valid, cfg, spec, scope=()):
     (per file with ``scope``), then count."""
     k = keys.in_arrival_window(keys.arrive_keys(valid, cfg, keep=scope))
     kept = dedup.first_arrivals(k, scope if cfg.dedup_scope == "file" else ())
-    return with_measures(kept, {"arrive_cnt": F.lit(1).cast("bigint")})
+    return with_measures(kept, {"arrive_cnt": ONE})
 
 
 def contributions(valid: DataFrame, log_type: str, cfg: ReportConfig,
@@ -112,7 +115,7 @@ def finish(agg: DataFrame, cfg: ReportConfig, measures=MEASURES) -> DataFrame:
             out.append(F.col(c))
         elif c in measures:
             t = "double" if c == "cost" else "bigint"
-            out.append(F.coalesce(F.col(c), _zero(c)).cast(t).alias(c))
+            out.append(F.coalesce(F.col(c), F.expr(_zero(c))).cast(t).alias(c))
     return agg.select(*out)
 
 

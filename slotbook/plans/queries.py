@@ -251,7 +251,7 @@ def q_merge_deltas(spark, sf_dir):
     """A5: per-type deltas first (as the reference sends them), then summed."""
     ls = lines(spark, sf_dir)
     deltas = [A.own_measures(R.contributions_of(ls, t, CFG), t) for t in LOG_TYPES]
-    wide = [A.with_measures(d, {m: F.col(m) for m in A.OWN_MEASURES[t]})
+    wide = [A.with_measures(d, {m: m for m in A.OWN_MEASURES[t]})
             for d, t in zip(deltas, LOG_TYPES)]
     return A.finish(A.sum_measures(A.union_all(wide)), CFG)
 
