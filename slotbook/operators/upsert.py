@@ -23,7 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotbook import session as S
-from slotbook.specs import KEY_COLUMNS, MEASURES, REPORT_OUTPUT
+from slotbook.specs import COUNT_MEASURES, KEY_COLUMNS, MEASURES, REPORT_OUTPUT
+
+# Stored report rows, read with this schema (no inference over many files;
+# partition values keep their text form).
+REPORT_DDL = ", ".join(
+    f"`{c}` {'bigint' if c in COUNT_MEASURES else 'double' if c == 'cost' else 'string'}"
+    for c in REPORT_OUTPUT)
 
 
 def _sum(m: str):
@@ -46,11 +52,27 @@ def with_slot_date(report: DataFrame) -> DataFrame:
 
 
 class ReportStore:
-    """Replay-safe accumulated report on a shared filesystem."""
+    """Replay-safe accumulated report on a shared filesystem.
+
+    Layout under ``path``::
+
+        deltas/batch_id=N/slot_date=D/   one batch's delta (overwritten on replay)
+        base/upto=N/slot_date=D/         report rows of the days touched by the
+                                         deltas folded in compaction N
+        manifest/upto=N/                 (slot_date, version): where each day's
+                                         current base rows live; written last
+
+    Compaction N folds the deltas after the previous compaction C into the
+    days they touch only, so its cost follows the new data, not the history.
+    A day no delta touched keeps pointing at its older version.  Readers use
+    the latest manifest with a ``_SUCCESS`` marker plus the deltas after it,
+    so a compaction that dies half way is invisible and can be re-run.
+    """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, compact_every: int | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.compact_every = compact_every
 
     @property
     def deltas(self) -> str:
@@ -61,48 +83,127 @@ class ReportStore:
         (with_slot_date(delta.select(*REPORT_OUTPUT)).write.mode("overwrite")
          .partitionBy("slot_date").parquet(f"{self.deltas}/batch_id={int(batch_id)}"))
 
-    def _base_version(self) -> int | None:
-        fs_base = f"{self.path}/base"
-        if not S.exists(self.spark, fs_base):
-            return None
-        versions = []
-        for p in S.list_dirs(self.spark, fs_base):
+    # -- compaction bookkeeping (metadata only) ---------------------------
+    def _versions(self, folder: str) -> list[int]:
+        """Complete ``upto=N`` folders (with ``_SUCCESS``), ascending."""
+        root = f"{self.path}/{folder}"
+        if not S.exists(self.spark, root):
+            return []
+        out = []
+        for p in S.list_dirs(self.spark, root):
             name = p.rstrip("/").rsplit("/", 1)[-1]
             if name.startswith("upto=") and S.exists(self.spark, f"{p}/_SUCCESS"):
-                versions.append(int(name[5:]))
-        return max(versions) if versions else None
+                out.append(int(name[5:]))
+        return sorted(out)
+
+    def last_compaction(self) -> int | None:
+        v = self._versions("manifest")
+        return v[-1] if v else None
 
+    def _manifest(self, c: int | None) -> DataFrame | None:
+        if c is None:
+            return None
+        return (self.spark.read.schema("slot_date string, version bigint")
+                .parquet(f"{self.path}/manifest/upto={c}"))
+
+    def _base(self, c: int | None, dates: list[str] | None = None) -> DataFrame | None:
+        """Base rows as of compaction ``c`` (only ``dates`` when given).  The
+        manifest has one row per day, so its paths are listed on the driver."""
+        m = self._manifest(c)
+        if m is None:
+            return None
+        if dates is not None:
+            m = m.where(F.col("slot_date").isin(dates))
+        paths = [f"{self.path}/base/upto={r.version}/slot_date={r.slot_date}"
+                 for r in m.select("slot_date", "version").collect()]
+        if not paths:
+            return None
+        return (self.spark.read.schema(f"{REPORT_DDL}, upto bigint, slot_date string")
+                .option("basePath", f"{self.path}/base").parquet(*paths))
+
+    def _deltas_after(self, c: int | None, upto: int | None = None) -> DataFrame | None:
+        if not S.exists(self.spark, self.deltas):
+            return None
+        d = (self.spark.read.schema(f"{REPORT_DDL}, batch_id bigint, slot_date string")
+             .option("basePath", self.deltas).parquet(self.deltas))
+        if c is not None:
+            d = d.where(F.col("batch_id") > c)
+        if upto is not None:
+            d = d.where(F.col("batch_id") <= int(upto))
+        return d
+
+    # -- reading ------------------------------------------------------------
     def current(self, upto: int | None = None) -> DataFrame:
-        """Base (latest complete version) + the deltas written after it
+        """The report: base as of the latest compaction + the deltas after it
         (only those up to batch ``upto`` when given)."""
-        v = self._base_version()
-        parts = []
-        if v is not None:
-            parts.append(self.spark.read.parquet(f"{self.path}/base/upto={v}").select(*REPORT_OUTPUT))
-        if S.exists(self.spark, self.deltas):
-            d = self.spark.read.option("basePath", self.deltas).parquet(self.deltas)
-            if v is not None:
-                d = d.where(F.col("batch_id") > v)
-            if upto is not None:
-                d = d.where(F.col("batch_id") <= int(upto))
-            parts.append(d.select(*REPORT_OUTPUT))
+        c = self.last_compaction()
+        if upto is not None and c is not None and upto < c:
+            raise ValueError(f"batches up to {c} are already compacted")
+        parts = [p.select(*REPORT_OUTPUT) for p in (self._base(c), self._deltas_after(c, upto))
+                 if p is not None]
         if not parts:
             raise FileNotFoundError(f"empty report store {self.path}")
-        out = parts[0]
-        for p in parts[1:]:
-            out = upsert(out, p)
-        if len(parts) == 1:
-            out = out.groupBy(*KEY_COLUMNS).agg(*[_sum(m) for m in MEASURES]).select(*REPORT_OUTPUT)
-        return out
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return rows.groupBy(*KEY_COLUMNS).agg(*[_sum(m) for m in MEASURES]).select(*REPORT_OUTPUT)
 
+    # -- compaction ---------------------------------------------------------
     def compact(self, upto: int) -> str:
-        """Fold every delta up to ``upto`` into a new base version.  Readers
-        switch to it only once its ``_SUCCESS`` marker exists."""
-        target = f"{self.path}/base/upto={int(upto)}"
-        cur = self.current(upto)
-        with_slot_date(cur).write.mode("overwrite").partitionBy("slot_date").parquet(target)
+        """Fold the deltas after the last compaction, up to ``upto``, into the
+        days they touch; then publish the new manifest."""
+        upto = int(upto)
+        c = self.last_compaction()
+        if c is not None and upto <= c:
+            return f"{self.path}/manifest/upto={c}"
+        new = self._deltas_after(c, upto)
+        # the days touched: one row per day, read from the partition column
+        dates = ([str(r.slot_date) for r in new.select("slot_date").distinct().collect()]
+                 if new is not None else [])
+        if dates:
+            old = self._base(c, dates)
+            rows = new.select(*REPORT_OUTPUT)
+            if old is not None:
+                rows = rows.unionByName(old.select(*REPORT_OUTPUT))
+            merged = rows.groupBy(*KEY_COLUMNS).agg(*[_sum(m) for m in MEASURES])
+            (with_slot_date(merged.select(*REPORT_OUTPUT)).write.mode("overwrite")
+             .partitionBy("slot_date").parquet(f"{self.path}/base/upto={upto}"))
+        entries = self.spark.createDataFrame([(d, upto) for d in dates],
+                                             "slot_date string, version bigint")
+        prev = self._manifest(c)
+        if prev is not None:
+            entries = entries.unionByName(
+                prev.where(~F.col("slot_date").isin(dates)) if dates else prev)
+        target = f"{self.path}/manifest/upto={upto}"
+        entries.coalesce(1).write.mode("overwrite").parquet(target)
         return target
 
+    def prune(self) -> list[int]:
+        """Delete the delta folders already folded into the latest compaction
+        (readers skip them anyway); keeps listings short on long streams."""
+        c = self.last_compaction()
+        if c is None or not S.exists(self.spark, self.deltas):
+            return []
+        gone = []
+        for p in S.list_dirs(self.spark, self.deltas):
+            name = p.rstrip("/").rsplit("/", 1)[-1]
+            if name.startswith("batch_id=") and int(name[9:]) <= c:
+                S.delete(self.spark, p)
+                gone.append(int(name[9:]))
+        return sorted(gone)
+
+    def committed(self, batch_id: int) -> bool:
+        """Batch ``batch_id``'s delta is in the report (folded or pending)."""
+        c = self.last_compaction()
+        return ((c is not None and int(batch_id) <= c)
+                or S.exists(self.spark, f"{self.deltas}/batch_id={int(batch_id)}/_SUCCESS"))
+
+    def maintain(self, batch_id: int) -> None:
+        """After batch ``batch_id``: compact and prune on every
+        ``compact_every``-th batch (never when it is None)."""
+        every = self.compact_every
+        if every and (int(batch_id) + 1) % int(every) == 0:
+            self.compact(batch_id)
+            self.prune()
+
 
 def publish_jdbc(report: DataFrame, url: str, table: str, properties: dict | None = None) -> None:
     """Publish the report by value: the table is replaced, not incremented,

@@ -46,7 +46,7 @@ class BatchJob:
         return self.spark.read.option("basePath", self.ledger_dir).parquet(self.ledger_dir)
 
     def _committed(self, batch_id: int) -> bool:
-        return S.exists(self.spark, f"{self.store.deltas}/batch_id={batch_id}/_SUCCESS")
+        return self.store.committed(batch_id)
 
     def _ledger_batches(self) -> list[int]:
         if not S.exists(self.spark, self.ledger_dir):
@@ -62,6 +62,7 @@ class BatchJob:
 
     def _run_batch(self, batch_id: int, paths: list[str]) -> None:
         self.store.write_delta(self._report_of(paths), batch_id)
+        self.store.maintain(batch_id)
 
     def recover(self) -> list[int]:
         """Redo ledger batches whose delta never committed."""

@@ -360,7 +360,8 @@ def q_stream_file_ingest(spark, sf_dir):
 
 def _stream_store(spark, sf_dir, audit: bool = False):
     root = write_fixture_files(spark, sf_dir)
-    store = ReportStore(spark, S.scratch_path(spark, "report"))
+    # compacted every two micro-batches, as a long-running stream would be
+    store = ReportStore(spark, S.scratch_path(spark, "report"), compact_every=2)
     audit_dir = S.scratch_path(spark, "updated") if audit else None
     q = RS.run_report_stream(spark, root, store, S.scratch_path(spark, "report-ckpt"),
                              FILE_CFG, max_files=10, audit_dir=audit_dir)
@@ -386,7 +387,7 @@ def q_stream_late_data(spark, sf_dir):
     """T4: second-half-month files first, then first-half files arriving
     late for the same slots; the late records add to the old rows."""
     root = S.scratch_path(spark, "late")
-    store = ReportStore(spark, S.scratch_path(spark, "late-report"))
+    store = ReportStore(spark, S.scratch_path(spark, "late-report"), compact_every=2)
     ckpt = S.scratch_path(spark, "late-ckpt")
     write_fixture_files(spark, sf_dir, where="NOT early", root=root, with_tmp=False)
     RS.run_report_stream(spark, root, store, ckpt, FILE_CFG, max_files=None)
@@ -444,6 +445,6 @@ def q_report_files_job(spark, sf_dir):
     first, delta by batch id; the accumulated report."""
     from slotbook.plans.batch_job import BatchJob
     root = write_fixture_files(spark, sf_dir)
-    store = ReportStore(spark, S.scratch_path(spark, "job-report"))
+    store = ReportStore(spark, S.scratch_path(spark, "job-report"), compact_every=2)
     BatchJob(spark, root, store, S.scratch_path(spark, "job-ledger"), FILE_CFG, 10).run_all()
     return store.current()

@@ -54,6 +54,8 @@ def report_batch_writer(store: ReportStore, cfg: ReportConfig, audit_dir: str |
                                                   "size_id", "area_id", "media", "ad_pos_id",
                                                   "start_time")]).alias("value"))
             keys.write.mode("overwrite").text(f"{audit_dir}/batch_id={int(batch_id)}")
+        # fold the deltas into the days they touch every few batches
+        store.maintain(batch_id)
     return run
 
 

@@ -67,3 +67,31 @@ def test_store_replay_is_idempotent(spark, sf_dir):
     store.compact(0)
     got2 = store.current()
     assert got2.exceptAll(want).count() == 0 and want.exceptAll(got2).count() == 0
+
+
+def test_compaction_rewrites_only_touched_days(spark, sf_dir):
+    ls = fixture_lines(spark, sf_dir)
+    early = R.report(ls.where("early"), CFG)
+    late = R.report(ls.where("NOT early"), CFG)
+    store = ReportStore(spark, S.scratch_path(spark, "test-compact"), compact_every=1)
+    store.write_delta(early, 0)
+    store.maintain(0)                      # compaction 0: every day of the first half
+    assert store.last_compaction() == 0 and store.prune() == []
+    # a delta touching one day only
+    day = late.select(F.substring("start_time", 1, 8).alias("d")).first()["d"]
+    one_day = late.where(F.substring("start_time", 1, 8) == day)
+    store.write_delta(one_day, 1)
+    store.write_delta(one_day, 1)          # replayed
+    store.maintain(1)
+    assert store.last_compaction() == 1
+    written = spark.read.parquet(f"{store.path}/base/upto=1")
+    assert [str(r[0]) for r in written.select("slot_date").distinct().collect()] == [day]
+    want = upsert(early, one_day)
+    got = store.current()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert store.committed(0) and store.committed(1) and not store.committed(2)
+    # folded deltas are gone; compacting again is a no-op
+    assert not S.exists(spark, f"{store.deltas}/batch_id=1")
+    store.compact(1)
+    got = store.current()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
