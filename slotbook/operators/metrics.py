@@ -53,6 +53,51 @@ def stage_counts(lines, cfg: ReportConfig = ReportConfig(), types=LOG_TYPES) ->
     return A.union_all(frames)
 
 
+# the measure that counts each log type's own records
+COUNT_OF = {"bid": "bid_cnt", "expose": "expose_cnt", "click": "click_cnt", "arrive": "arrive_cnt"}
+
+
+def observed_report_rows(lines, cfg: ReportConfig = ReportConfig(), scope=(), types=LOG_TYPES):
+    """M1 inside the job: the report rows of ``lines`` (as
+    ``report.report_rows``) with the stage counts observed while the rows
+    are computed, so counting costs no extra pass over the data.
+
+    Returns ``(rows, counts)``; after an action on ``rows`` (or a DataFrame
+    built from it), ``counts()`` gives ``(log_type, stage, n_rows)`` tuples:
+    lines read, lines passing the length check, valid records, and report
+    keys the type contributed to."""
+    present = [t for t in types if not isinstance(lines, dict) or t in lines]
+    observed, contribs = {}, []
+    for t in present:
+        spec = cfg.specs[t]
+        p = parse_lines(R.typed_lines(lines, t), spec, keep=scope)
+        obs = Observation(f"stages_{t}")
+        p = p.observe(obs, F.count(F.lit(1)).alias("s1"),
+                      F.count_if(length_ok(p, spec)).alias("s2"),
+                      F.count_if(reject_reason(p, spec).isNull()).alias("s3"))
+        valid = p.where(reject_reason(p, spec).isNull())
+        contribs.append(A.contributions(valid, t, cfg, scope))
+        observed[t] = obs
+    keys_obs = Observation("stages_keys")
+    rows = A.sum_measures(A.union_all(contribs)).observe(
+        keys_obs, *[F.count_if(F.col(COUNT_OF[t]) > 0).alias(t) for t in present])
+
+    def counts() -> list[tuple[str, str, int]]:
+        k = keys_obs.get
+        out = []
+        for t, obs in observed.items():
+            g = obs.get
+            out += [(t, STAGES[0], int(g["s1"])), (t, STAGES[1], int(g["s2"])),
+                    (t, STAGES[2], int(g["s3"])), (t, STAGES[3], int(k[t]))]
+        return out
+    return rows, counts
+
+
+def counts_frame(spark: SparkSession, counts: list[tuple[str, str, int]]) -> DataFrame:
+    """Observed counts (one row per log type and stage) as a DataFrame."""
+    return spark.createDataFrame(counts, "log_type string, stage string, n_rows bigint")
+
+
 def messages(counts: DataFrame, batch_id: int | Column = 0, ts: Column | None = None) -> DataFrame:
     """M2: ``topic % count % stage % host % time``.  The host field carries
     the batch id (Q23); ``ts`` defaults to the current time (F8, Q16)."""

@@ -133,3 +133,5 @@ ORACLES["metrics_archive"] = W(_msg)
 ORACLES["metrics_parse"] = W(
     f"SELECT log_type, n_rows, stage, 'batch-0' AS host, '2024-01-01 00:00:00' AS time FROM ({_stages})")
 ORACLES["report_files_job"] = W(REPORT_FILE)
+ORACLES["stream_stage_metrics"] = W(
+    f"SELECT log_type, stage, n_rows FROM ({_stages}) WHERE stage <> '4-groupByKey_map_after'")

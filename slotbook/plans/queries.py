@@ -396,6 +396,21 @@ def q_stream_late_data(spark, sf_dir):
     return store.current()
 
 
+@query("stream_stage_metrics")
+def q_stream_stage_metrics(spark, sf_dir):
+    """M1-M3 in the stream: stage counts observed in each micro-batch,
+    archived as metric messages, parsed back and summed over the batches
+    (lines read, length check passed, valid records)."""
+    root = write_fixture_files(spark, sf_dir)
+    store = ReportStore(spark, S.scratch_path(spark, "metrics-report"))
+    metrics_dir = S.scratch_path(spark, "stream-metrics")
+    RS.run_report_stream(spark, root, store, S.scratch_path(spark, "metrics-ckpt"), FILE_CFG,
+                         max_files=10, metrics_dir=metrics_dir)
+    parsed = metrics.parse_messages(spark.read.text(metrics_dir))
+    return (parsed.where(F.col("stage") != metrics.STAGES[3])
+            .groupBy("log_type", "stage").agg(F.sum("n_rows").cast("bigint").alias("n_rows")))
+
+
 @query("batch_timing")
 def q_batch_timing(spark, sf_dir):
     """Per micro-batch duration per row (rows only: times vary)."""

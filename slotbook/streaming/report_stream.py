@@ -15,6 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotbook.operators import metrics as M
 from slotbook.operators.upsert import ReportStore
 from slotbook.plans import report as R
 from slotbook.sources.files import parent_name
@@ -34,18 +35,29 @@ def file_lines_stream(spark: SparkSession, root: str, max_files: int | None = 10
         parent_name(F.col("_metadata.file_path")).alias("log_type"))
 
 
-def report_batch_writer(store: ReportStore, cfg: ReportConfig, audit_dir: str | None = None):
-    """The ``foreachBatch`` function: batch lines → delta → store (+ key audit)."""
+def report_batch_writer(store: ReportStore, cfg: ReportConfig, audit_dir: str | None = None,
+                        metrics_dir: str | None = None, lines_per_file: int = 1000):
+    """The ``foreachBatch`` function: batch lines → delta → store (+ key
+    audit, + stage metrics of the batch as metric messages)."""
     scope = ("file_path",) if cfg.dedup_scope == "file" else ()
 
     def run(batch: DataFrame, batch_id: int) -> None:
         # the four log types each read the batch once; keep it for them
         lines = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows = R.report_rows(lines, cfg, scope)
+            if metrics_dir:
+                rows, counts = M.observed_report_rows(lines, cfg, scope)
+            else:
+                rows, counts = R.report_rows(lines, cfg, scope), None
             store.write_delta(R.A.finish(rows, cfg), batch_id)
         finally:
             lines.unpersist()
+        if counts is not None:
+            # M1-M3/K4: this batch's stage counts (types x stages rows), by
+            # batch id, so a replayed batch replaces its own messages
+            msgs = M.messages(M.counts_frame(store.spark, counts()), batch_id)
+            (msgs.write.mode("overwrite").option("maxRecordsPerFile", int(lines_per_file))
+             .text(f"{metrics_dir}/batch_id={int(batch_id)}"))
         if audit_dir:
             # K3: the keys this batch updated, read back from the committed delta
             d = store.spark.read.parquet(f"{store.deltas}/batch_id={int(batch_id)}")
@@ -61,11 +73,12 @@ def report_batch_writer(store: ReportStore, cfg: ReportConfig, audit_dir: str |
 
 def run_report_stream(spark: SparkSession, root: str, store: ReportStore, checkpoint: str,
                       cfg: ReportConfig = ReportConfig(), max_files: int | None = 10,
-                      audit_dir: str | None = None, trigger: dict | None = None):
+                      audit_dir: str | None = None, trigger: dict | None = None,
+                      metrics_dir: str | None = None):
     """Start the report query; with the default ``availableNow`` trigger it
     processes every pending file and stops (production: ``processingTime``)."""
     q = (file_lines_stream(spark, root, max_files).writeStream
-         .foreachBatch(report_batch_writer(store, cfg, audit_dir))
+         .foreachBatch(report_batch_writer(store, cfg, audit_dir, metrics_dir))
          .option("checkpointLocation", checkpoint)
          .trigger(**(trigger or {"availableNow": True}))
          .start())

@@ -70,3 +70,17 @@ def test_stream_dedup_across_batches(spark, sf_dir):
     want = batch.select("cookie", "dedup_order_id").distinct().count()
     assert out.count() == want
     assert out.distinct().count() == want
+
+
+def test_observed_stage_counts_equal_aggregated_ones(spark, sf_dir):
+    ls = fixture_lines(spark, sf_dir)
+    cfg = ReportConfig()
+    rows, counts = metrics.observed_report_rows(ls, cfg)
+    rows.write.format("noop").mode("overwrite").save()
+    want = {(r.log_type, r.stage): r.n_rows for r in metrics.stage_counts(ls, cfg).collect()}
+    assert {(t, s): n for t, s, n in counts()} == want
+    # counting inside the job adds no exchange to the report's plan
+    from tests.test_plans import plan
+    parts = [ln for ln in plan(rows).splitlines()
+             if ln.strip().startswith("Arguments: hashpartitioning(")]
+    assert len(parts) == 2
