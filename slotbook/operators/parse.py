@@ -8,23 +8,16 @@ projection: no shuffle, whole-stage codegen.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotbook.functions import java_long, jtrim, split_keep
-from slotbook.functions.text import decimal_or_null
+from slotbook.functions import split_keep
+from slotbook.functions import sql as Q
 from slotbook.specs import LogSpec
 
 N_FIELDS = "_n_fields"
 
 
-def col(df: DataFrame, name: str) -> Column:
-    """A column by declared name (names may hold spaces)."""
-    return df[name]
-
-
 def parse_lines(lines: DataFrame, spec: LogSpec, keep: tuple[str, ...] | list[str] = (),
                 value: str = "value") -> DataFrame:
     """P1 + P2: split each line on the spec's separator keeping trailing empty
@@ -47,51 +40,51 @@ def parse_lines(lines: DataFrame, spec: LogSpec, keep: tuple[str, ...] | list[st
     )
 
 
-def quote_name(name: str) -> str:
-    """A column name as a SQL identifier (declared names may hold spaces)."""
-    return "`" + name.replace("`", "``") + "`"
+quote_name = Q.name
 
 
-def length_ok(df: DataFrame, spec: LogSpec) -> Column:
-    """``trim(log_length)`` as text equals min(declared, actual) count.
-
-    Compared as text, so '023' fails (Q10); a line with extra fields passes
-    when it declares the declared count (Q9)."""
+def _length_sql(spec: LogSpec) -> str:
     if not spec.check_length:
-        return F.lit(True)
-    n = F.least(F.col(N_FIELDS), F.lit(spec.width)).cast("string")
-    return F.coalesce(jtrim(col(df, "log_length")) == n, F.lit(False))
+        return "true"
+    return (f"coalesce({Q.jtrim(Q.name('log_length'))}"
+            f" = CAST(least({N_FIELDS}, {spec.width}) AS STRING), false)")
 
 
-def _missing(df: DataFrame, spec: LogSpec) -> Column:
+def _missing_sql(spec: LogSpec) -> str:
     need = [c for c in dict.fromkeys(spec.key + spec.required) if c in spec.columns]
-    if not need:
-        return F.lit(False)
-    return reduce(lambda a, b: a | b, [col(df, c).isNull() for c in need])
+    return " OR ".join(f"{Q.name(c)} IS NULL" for c in need) or "false"
 
 
-def _bad_number(df: DataFrame, spec: LogSpec) -> Column:
-    checks = []
-    for c in spec.long_columns:
-        if c in spec.columns:
-            checks.append(java_long(col(df, c)).isNull())
-    for c in spec.decimal_columns:
-        if c in spec.columns:
-            checks.append(decimal_or_null(col(df, c)).isNull())
+def _bad_number_sql(spec: LogSpec) -> str:
+    checks = [f"{Q.java_long(Q.name(c))} IS NULL" for c in spec.long_columns if c in spec.columns]
+    checks += [f"{Q.decimal_or_null(Q.name(c))} IS NULL"
+               for c in spec.decimal_columns if c in spec.columns]
     for c, sep, i in spec.long_parts:
         if c in spec.columns:
-            p = F.coalesce(F.get(split_keep(col(df, c), sep), i), F.lit(""))
-            checks.append((jtrim(p) != "") & java_long(p).isNull())
-    if not checks:
-        return F.lit(False)
-    return reduce(lambda a, b: a | b, checks)
+            p = Q.part(Q.split_keep(Q.name(c), sep), i)
+            checks.append(f"({Q.jtrim(p)} <> '' AND {Q.java_long(p)} IS NULL)")
+    return " OR ".join(checks) or "false"
+
+
+def reject_reason_sql(spec: LogSpec) -> str:
+    """'length', 'missing_key', 'bad_number' or null for a good record (Q11),
+    as one SQL expression over the parsed columns."""
+    return (f"CASE WHEN NOT ({_length_sql(spec)}) THEN 'length'"
+            f" WHEN {_missing_sql(spec)} THEN 'missing_key'"
+            f" WHEN {_bad_number_sql(spec)} THEN 'bad_number' END")
+
+
+def length_ok(df: DataFrame, spec: LogSpec) -> Column:
+    """``trim(log_length)`` as text equals min(declared, actual) count.
+
+    Compared as text, so '023' fails (Q10); a line with extra fields passes
+    when it declares the declared count (Q9)."""
+    return F.expr(_length_sql(spec))
 
 
 def reject_reason(df: DataFrame, spec: LogSpec) -> Column:
     """'length', 'missing_key', 'bad_number' or null for a good record (Q11)."""
-    return (F.when(~length_ok(df, spec), F.lit("length"))
-            .when(_missing(df, spec), F.lit("missing_key"))
-            .when(_bad_number(df, spec), F.lit("bad_number")))
+    return F.expr(reject_reason_sql(spec))
 
 
 def with_reason(parsed: DataFrame, spec: LogSpec) -> DataFrame:

@@ -101,3 +101,35 @@ def test_jtrim_matches_java_trim(spark):
     for text in ("\x00a\x1f", "\x7fz\x7f", "a b", "", " ", " x ", "\x21!\x21"):
         want = text.strip("".join(chr(i) for i in range(0x21)))
         assert one(spark, jtrim, text) == want, repr(text)
+
+
+def test_sql_forms_equal_column_forms(spark):
+    """Each SQL-text function gives what its Column twin gives."""
+    from slotbook.functions import sql as Q
+    from slotbook.functions import first_element, slot_start_ms
+    from slotbook.functions.text import decimal_or_null
+    texts = [None, "", " ", "\x00a\x1f", " 12 ", "+12", "1.5", "abc", "0", "http://a.b:80/x?y",
+             "a.b/x", "https://h?q=1/z", "s:///p", "x://u://v/w", "1406196299",
+             "1406196299123", "14061962991234", "a\x03b\x04c\x03d", "\x03\x03", "x\x04y\x04z"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    x = F.col("x")
+    pairs = {
+        "jtrim": (jtrim(x), Q.jtrim("x")),
+        "blank": (blank_to_zero(x), Q.blank_to_zero("x")),
+        "domain": (url_domain(x), Q.url_domain("x")),
+        "long": (java_long(x), Q.java_long("x")),
+        "dec": (decimal_or_null(x), Q.decimal_or_null("x")),
+        "pad": (pad_ms(x), Q.pad_ms("x")),
+        "first": (first_element(x, "\x03"), Q.first_element("x", "\x03")),
+    }
+    for i, (a, b) in enumerate(zip(split_fixed(x, "\x04", 4), Q.split_fixed("x", "\x04", 4))):
+        pairs[f"part{i}"] = (a, b)
+    ms = java_long(x)
+    for tz in ("UTC", "Asia/Kathmandu"):
+        pairs["slot_" + tz] = (slot_start_ms(ms, 15, tz), F.expr(Q.slot_start_ms(Q.java_long("x"), 15, tz)))
+    cols = []
+    for k, (a, b) in pairs.items():
+        cols += [a.alias(k + "_c"), (F.expr(b) if isinstance(b, str) else b).alias(k + "_s")]
+    for r in df.select(*cols).collect():
+        for k in pairs:
+            assert r[k + "_c"] == r[k + "_s"], (k, r)
