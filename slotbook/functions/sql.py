@@ -87,10 +87,22 @@ def log_ms(x: str) -> str:
 def local_ms(ms: str, tz: str = "UTC") -> str:
     if tz.upper() in ("UTC", "Z", "GMT", "+00:00"):
         return ms
-    ntz = f"timestampadd(MILLISECOND, {ms}, {EPOCH_NTZ})"
+    ntz = ms_to_ntz(ms)
     return f"timestampdiff(MILLISECOND, {EPOCH_NTZ}, convert_timezone('UTC', {literal(tz)}, {ntz}))"
 
 
 def slot_start_ms(ms: str, n: int, tz: str = "UTC") -> str:
     loc = local_ms(ms, tz)
     return f"({loc} - pmod({loc}, {int(n) * 60_000}))"
+
+
+def ms_to_ntz(ms: str) -> str:
+    return f"timestampadd(MILLISECOND, {ms}, {EPOCH_NTZ})"
+
+
+def slot_start_text(slot_ms: str) -> str:
+    return f"date_format({ms_to_ntz(slot_ms)}, 'yyyyMMddHHmmss')"
+
+
+def slot_end_text(slot_ms: str, n: int) -> str:
+    return f"date_format({ms_to_ntz(f'({slot_ms} + {int(n) * 60_000 - 1000})')}, 'yyyyMMddHHmmss')"

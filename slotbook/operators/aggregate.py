@@ -16,7 +16,7 @@ from typing import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotbook.functions import slot_end_text, slot_start_text
+from slotbook.functions import sql as Q
 from slotbook.functions.text import decimal_or_null
 from slotbook.operators import dedup, keys
 from slotbook.specs import (COUNT_MEASURES, KEY_PARTS, MEASURES, REPORT_OUTPUT, LogSpec,
@@ -93,13 +93,13 @@ def contributions(valid: DataFrame, log_type: str, cfg: ReportConfig,
 
 def sum_measures(contrib: DataFrame, group=GROUP) -> DataFrame:
     """One row per key with every measure summed."""
-    return contrib.groupBy(*group).agg(*[F.sum(m).alias(m) for m in MEASURES])
+    return contrib.groupBy(*group).agg(*[F.expr(f"sum({m}) AS {m}") for m in MEASURES])
 
 
 def own_measures(contrib: DataFrame, log_type: str) -> DataFrame:
     """A1-A4: per-type delta, only the measures this type produces."""
     own = OWN_MEASURES[log_type]
-    return contrib.groupBy(*GROUP).agg(*[F.sum(m).alias(m) for m in own])
+    return contrib.groupBy(*GROUP).agg(*[F.expr(f"sum({m}) AS {m}") for m in own])
 
 
 def finish(agg: DataFrame, cfg: ReportConfig, measures=MEASURES) -> DataFrame:
@@ -108,15 +108,15 @@ def finish(agg: DataFrame, cfg: ReportConfig, measures=MEASURES) -> DataFrame:
     out = []
     for c in REPORT_OUTPUT:
         if c == "start_time":
-            out.append(slot_start_text(F.col("slot_ms")).alias(c))
+            out.append(f"{Q.slot_start_text('slot_ms')} AS {c}")
         elif c == "end_time":
-            out.append(slot_end_text(F.col("slot_ms"), n).alias(c))
+            out.append(f"{Q.slot_end_text('slot_ms', n)} AS {c}")
         elif c in KEY_PARTS:
-            out.append(F.col(c))
+            out.append(c)
         elif c in measures:
             t = "double" if c == "cost" else "bigint"
-            out.append(F.coalesce(F.col(c), F.expr(_zero(c))).cast(t).alias(c))
-    return agg.select(*out)
+            out.append(f"CAST(coalesce({c}, {_zero(c)}) AS {t}) AS {c}")
+    return agg.selectExpr(*out)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
