@@ -56,9 +56,16 @@ class BatchJob:
 
     # -- one job --------------------------------------------------------
     def _report_of(self, paths: list[str]) -> DataFrame:
-        lines = FS.scan_lines(self.spark, paths, recursive=False)
+        """One scan per log type over that type's files only: the type is the
+        parent folder, which a filter on one scan of every file could not
+        prune (each type's branch would read all the files)."""
+        by_type: dict[str, list[str]] = {}
+        for p in paths:
+            by_type.setdefault(p.rstrip("/").rsplit("/", 2)[-2], []).append(p)
+        sources = {t: FS.scan_lines(self.spark, ps, recursive=False).select("value", "file_path")
+                   for t, ps in by_type.items() if t in LOG_TYPES}
         scope = ("file_path",) if self.cfg.dedup_scope == "file" else ()
-        return R.report(lines.select("value", "file_path", "log_type"), self.cfg, scope)
+        return R.report(sources, self.cfg, scope)
 
     def _run_batch(self, batch_id: int, paths: list[str]) -> None:
         self.store.write_delta(self._report_of(paths), batch_id)

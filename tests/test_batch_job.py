@@ -41,3 +41,24 @@ def test_crash_between_ledger_and_delta(spark, sf_dir):
     job.run_all()                      # redoes batch 1 first, then the rest
     want = R.report(FS.typed_sources(spark, root), CFG, scope=("file_path",))
     assert same(store.current(), want)
+
+
+def test_each_type_scans_only_its_files(spark, sf_dir):
+    """Every file of a job is read once: one text scan per log type, over
+    that type's folder only."""
+    import contextlib
+    import io
+    root = write_fixture_files(spark, sf_dir)
+    job = BatchJob(spark, root, ReportStore(spark, S.scratch_path(spark, "t-scan")),
+                   S.scratch_path(spark, "t-scan-ledger"), CFG, 10)
+    paths = [f"{root}/{t}/{n}.log" for t in ("bid", "expose", "click", "arrive") for n in (0, 1)]
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        job._report_of(paths).explain("formatted")
+    scans = [ln for ln in out.getvalue().splitlines()
+             if ln.strip().startswith("Location:") and "InMemoryFileIndex" in ln]
+    assert len(scans) == 4, scans
+    # each scan holds two files ("first path, ... 1 entries") of one type
+    assert all(ln.rstrip().endswith("... 1 entries]") for ln in scans), scans
+    firsts = {t for ln in scans for t in ("bid", "expose", "click", "arrive") if f"/{t}/" in ln}
+    assert firsts == {"bid", "expose", "click", "arrive"}
