@@ -99,7 +99,8 @@ ORACLES["delta_message"] = W(" UNION ALL ".join(_message_sql(t) for t in LOG_TYP
 # ---- files
 ORACLES["pending_files"] = W(f"SELECT DISTINCT log_type, {FILE_NAME} AS name FROM lines WHERE file_no >= 2")
 ORACLES["ledger_prune"] = W(f"SELECT DISTINCT log_type, {FILE_NAME} AS name FROM lines WHERE file_no < 2")
-ORACLES["ledger_latest"] = W("SELECT 'history_' || CAST(max(file_no) AS VARCHAR) || '.log' AS name FROM lines")
+ORACLES["ledger_latest"] = W(
+    "SELECT 'history_' || lpad(CAST(max(file_no) AS VARCHAR), 9, '0') || '.log' AS name FROM lines")
 ORACLES["source_file_audit"] = W(
     f"SELECT log_type, {FILE_NAME} AS file_name, count(*) AS n_lines FROM lines GROUP BY log_type, file_no")
 

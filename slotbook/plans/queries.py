@@ -34,6 +34,7 @@ FILE_CFG = ReportConfig(dedup_scope="file")
 N = CFG.slot_minutes
 
 QUERIES: dict = {}
+VERSION_WIDTH = 9   # digits of a ledger version name
 
 
 def query(name: str):
@@ -292,14 +293,16 @@ def q_message_roundtrip(spark, sf_dir):
 
 
 def _ledger(spark, sf_dir):
-    """A ledger holding files 0 and 1 of each type and one vanished file."""
+    """A ledger holding files 0 and 1 of each type and one vanished file
+    (a name no log file has)."""
     root = write_fixture_files(spark, sf_dir)
     listing = FS.listing(spark, root)
     ledger_dir = S.scratch_path(spark, "ledger")
     taken = listing.where(F.col("name").isin("0.log", "1.log")).select("path")
     FS.append_ledger(taken, ledger_dir)
     FS.append_ledger(listing.where(F.col("name") == "0.log")
-                     .select(F.regexp_replace("path", r"0\.log$", "9.log").alias("path")), ledger_dir)
+                     .select(F.regexp_replace("path", r"0\.log$", "vanished.log").alias("path")),
+                     ledger_dir)
     return root, listing, FS.read_ledger(spark, ledger_dir)
 
 
@@ -322,7 +325,9 @@ def q_ledger_prune(spark, sf_dir):
 @query("ledger_latest")
 def q_ledger_latest(spark, sf_dir):
     """L2: one ledger version ``history_<n>.log`` per file number n, plus a
-    newer version that is still empty; the latest non-empty one is taken."""
+    newer version that is still empty; the latest non-empty one is taken.
+    Version names have a fixed width (as time-stamped names do), so the
+    greatest name is the latest version however many there are."""
     root = write_fixture_files(spark, sf_dir)
     listing = FS.listing(spark, root)
     hist = S.scratch_path(spark, "history")
@@ -333,8 +338,8 @@ def q_ledger_latest(spark, sf_dir):
     for d in S.list_dirs(spark, staging):
         v = d.rstrip("/").rsplit("=", 1)[-1]
         for j, p in enumerate(sorted(S.list_files(spark, d))):
-            S.rename(spark, p, f"{hist}/history_{v}{'' if j == 0 else f'-{j}'}.log")
-    S.touch(spark, f"{hist}/history_9.log")
+            S.rename(spark, p, f"{hist}/history_{int(v):0{VERSION_WIDTH}d}{'' if j == 0 else f'-{j}'}.log")
+    S.touch(spark, f"{hist}/history_{'9' * VERSION_WIDTH}.log")
     return FS.latest_version(FS.listing(spark, hist, recursive=False))
 
 

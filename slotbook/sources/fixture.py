@@ -34,6 +34,22 @@ BASE = {
 }
 
 
+# Fixed values of the fixture: events rendered into one log file, and the
+# least number of files per log type (the per-file oracles count on it).
+ROWS_PER_FILE = 1_000_000
+MIN_FILES = 4
+FILES_SQL = (f"(SELECT greatest({MIN_FILES}, CAST(ceil(count(*) / {ROWS_PER_FILE}.0) AS BIGINT))"
+             " FROM events)")
+
+
+def files_per_type(spark: SparkSession, sf_dir: str) -> int:
+    """Log files per type: four, or more as the events table grows, so that
+    no file (written by one task) holds more than ``ROWS_PER_FILE`` lines.
+    The same rule as ``FILES_SQL`` for DuckDB."""
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    return max(MIN_FILES, -(-rows // ROWS_PER_FILE))
+
+
 def _s(x: str) -> str:
     return f"CAST({x} AS STRING)"
 
@@ -128,7 +144,7 @@ def duckdb_lines_sql() -> str:
     b = BASE["duckdb"]
     derived = ", ".join(f"{v} AS {k}" for k, v in DERIVED.items())
     return (
-        "SELECT event_id, event_id % 4 AS file_no, early, log_type, value FROM ("
+        f"SELECT event_id, event_id % {FILES_SQL} AS file_no, early, log_type, value FROM ("
         f" SELECT event_id, early, {LOG_TYPE_SQL} AS log_type, {value_sql()} AS value FROM ("
         f"  SELECT *, {derived} FROM ("
         f"   SELECT event_id, user_id, event_type, value, {b['k']} AS k, {b['ms']} AS ms,"
@@ -146,8 +162,9 @@ def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df.repartition(cores)
 
 
-def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(event_id, file_no, early, log_type, value)``: one line per event.
+def fixture_lines(spark: SparkSession, sf_dir: str, n_files: int = MIN_FILES) -> DataFrame:
+    """``(event_id, file_no, early, log_type, value)``: one line per event,
+    ``file_no`` = ``event_id % n_files``.
 
     One union branch per event type with a literal log type, so a filter on
     ``log_type`` prunes whole branches and each branch's projection stays
@@ -160,7 +177,7 @@ def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
     for etype, (ltype, sql) in renderings().items():
         part = ev.where(F.col("event_type") == etype).selectExpr(
-            "event_id", "event_id % 4 AS file_no", "early", f"'{ltype}' AS log_type",
+            "event_id", f"event_id % {int(n_files)} AS file_no", "early", f"'{ltype}' AS log_type",
             f"{sql} AS value")
         out = part if out is None else out.unionByName(part)
     return out
@@ -186,9 +203,10 @@ def write_fixture_files(spark: SparkSession, sf_dir: str, reuse: bool = True,
         return _FILE_CACHE[key]
     root = root or S.scratch_path(spark, "logs")
     staging = S.scratch_path(spark, "staging")
-    lines = fixture_lines(spark, sf_dir)
+    lines = fixture_lines(spark, sf_dir, files_per_type(spark, sf_dir))
     if where:
         lines = lines.where(where)
+    # one task per (type, file): each writes at most ROWS_PER_FILE lines
     (lines.select("log_type", "file_no", "value")
      .repartition("log_type", "file_no")
      .write.partitionBy("log_type", "file_no").text(staging + "/files"))
@@ -197,10 +215,11 @@ def write_fixture_files(spark: SparkSession, sf_dir: str, reuse: bool = True,
          .repartition("log_type")
          .write.partitionBy("log_type").text(staging + "/tmp"))
     for t in ("bid", "expose", "click", "arrive"):
-        for n in range(4):
-            folder = f"{staging}/files/log_type={t}/file_no={n}"
-            parts = sorted(S.list_files(spark, folder)) if S.exists(spark, folder) else []
-            for j, p in enumerate(parts):
+        type_dir = f"{staging}/files/log_type={t}"
+        folders = S.list_dirs(spark, type_dir) if S.exists(spark, type_dir) else []
+        for folder in folders:
+            n = folder.rstrip("/").rsplit("=", 1)[-1]
+            for j, p in enumerate(sorted(S.list_files(spark, folder))):
                 S.rename(spark, p, f"{root}/{t}/{n}{suffix}{'' if j == 0 else f'-{j}'}.log")
         tmp_dir = f"{staging}/tmp/log_type={t}"
         if with_tmp and S.exists(spark, tmp_dir):
