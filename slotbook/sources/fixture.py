@@ -152,14 +152,20 @@ def duckdb_lines_sql() -> str:
     )
 
 
-def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """``df`` as is when its scan already yields a split per core; otherwise
-    (a small file with one row group is read by one task) spread round-robin
-    over the cores.  On large inputs this is a no-op: no extra shuffle."""
+_SPLITS: dict[tuple[str, str], int] = {}
+
+
+def spread(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """``df`` (a scan of ``path``) as is when the scan already yields a split
+    per core; otherwise (a small file with one row group is read by one
+    task) spread round-robin over the cores.  On large inputs this is a
+    no-op: no extra shuffle.  The split count of a read-only input is
+    planned once per application."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SPLITS:
+        _SPLITS[key] = df.rdd.getNumPartitions()
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    return df if _SPLITS[key] >= cores else df.repartition(cores)
 
 
 def fixture_lines(spark: SparkSession, sf_dir: str, n_files: int = MIN_FILES) -> DataFrame:
@@ -170,7 +176,8 @@ def fixture_lines(spark: SparkSession, sf_dir: str, n_files: int = MIN_FILES) ->
     ``log_type`` prunes whole branches and each branch's projection stays
     small enough for whole-stage codegen."""
     b = BASE["spark"]
-    ev = spread(spark, spark.read.parquet(f"{sf_dir}/events.parquet")).selectExpr(
+    path = f"{sf_dir}/events.parquet"
+    ev = spread(spark, spark.read.parquet(path), path).selectExpr(
         "event_id", "user_id", "event_type", "value",
         f"{b['k']} AS k", f"{b['ms']} AS ms", f"{b['early']} AS early")
     ev = ev.selectExpr("*", *[f"{v} AS {k}" for k, v in DERIVED.items()])
