@@ -110,6 +110,8 @@ ORACLES["stream_report"] = W(REPORT_FILE)
 ORACLES["updated_keys"] = W(
     f"SELECT DISTINCT concat_ws(chr(31), {_parts}, start_time) AS row_key FROM ({REPORT_FILE})")
 ORACLES["stream_late_data"] = W(O.report_sql("file_early"))
+ORACLES["stream_arrive_dedup"] = W(
+    f"SELECT DISTINCT cookie, oid AS order_key FROM ({O.keyed('arrive')}) WHERE log_ms - 300000 <= id_ms")
 
 
 # ---- metrics

@@ -416,6 +416,19 @@ def q_stream_stage_metrics(spark, sf_dir):
             .groupBy("log_type", "stage").agg(F.sum("n_rows").cast("bigint").alias("n_rows")))
 
 
+@query("stream_arrive_dedup")
+def q_stream_arrive_dedup(spark, sf_dir):
+    """T5 across micro-batches: one arrive file per batch (the same cookie and
+    order recur in several files), each (cookie, order id) kept once over
+    the stream.  The watermark delay exceeds the fixture's one-day span of
+    event times, so no arrival is dropped as late."""
+    root = write_fixture_files(spark, sf_dir)
+    sink = S.scratch_path(spark, "arrive-dedup")
+    RS.run_arrive_dedup_stream(spark, root, sink, S.scratch_path(spark, "arrive-dedup-ckpt"),
+                               CFG, delay="25 hours", max_files=1)
+    return spark.read.parquet(sink).select("cookie", F.col("dedup_order_id").alias("order_key"))
+
+
 @query("batch_timing")
 def q_batch_timing(spark, sf_dir):
     """Per micro-batch duration per row (rows only: times vary)."""

@@ -15,7 +15,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotbook.operators import keys
 from slotbook.operators import metrics as M
+from slotbook.operators.parse import parse_lines, valid_records
 from slotbook.operators.upsert import ReportStore
 from slotbook.plans import report as R
 from slotbook.sources.files import parent_name
@@ -114,3 +116,21 @@ def dedup_across_batches(keyed: DataFrame, delay: str = "1 hour") -> DataFrame:
             .dropDuplicatesWithinWatermark(["cookie", "dedup_order_id"])
             .drop("_event_ts"))
 
+
+def run_arrive_dedup_stream(spark: SparkSession, root: str, sink_dir: str, checkpoint: str,
+                            cfg: ReportConfig = ReportConfig(), delay: str = "1 hour",
+                            max_files: int | None = 1):
+    """T5 across micro-batches: arrivals of ``{root}/arrive`` in the window,
+    each (cookie, order id) kept once over the whole stream (state bounded
+    by the watermark ``delay``), appended to a parquet sink."""
+    r = spark.readStream.format("text")
+    if max_files:
+        r = r.option("maxFilesPerTrigger", int(max_files))
+    spec = cfg.specs["arrive"]
+    valid = valid_records(parse_lines(r.load(f"{root.rstrip('/')}/arrive"), spec), spec)
+    kept = dedup_across_batches(keys.in_arrival_window(keys.arrive_keys(valid, cfg)), delay)
+    q = (kept.select("cookie", "dedup_order_id", "check_id", "log_ms", "slot_ms")
+         .writeStream.format("parquet").option("path", sink_dir)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
