@@ -176,18 +176,36 @@ class ReportStore:
         entries.coalesce(1).write.mode("overwrite").parquet(target)
         return target
 
-    def prune(self) -> list[int]:
-        """Delete the delta folders already folded into the latest compaction
-        (readers skip them anyway); keeps listings short on long streams."""
+    def prune(self, keep_manifests: int = 2) -> list[int]:
+        """Drop what readers no longer use: delta folders already folded into
+        the latest compaction, manifests older than the last
+        ``keep_manifests``, and base versions none of those references (also
+        the leftovers of a compaction that died).  Keeps listings and reads
+        short on a long stream.  Returns the deleted delta batch ids."""
         c = self.last_compaction()
-        if c is None or not S.exists(self.spark, self.deltas):
+        if c is None:
             return []
         gone = []
-        for p in S.list_dirs(self.spark, self.deltas):
-            name = p.rstrip("/").rsplit("/", 1)[-1]
-            if name.startswith("batch_id=") and int(name[9:]) <= c:
-                S.delete(self.spark, p)
-                gone.append(int(name[9:]))
+        if S.exists(self.spark, self.deltas):
+            for p in S.list_dirs(self.spark, self.deltas):
+                name = p.rstrip("/").rsplit("/", 1)[-1]
+                if name.startswith("batch_id=") and int(name[9:]) <= c:
+                    S.delete(self.spark, p)
+                    gone.append(int(name[9:]))
+        kept = self._versions("manifest")[-keep_manifests:]
+        # one row per day and manifest: the versions still referenced
+        used = set(kept)
+        for v in kept:
+            used |= {int(r.version) for r in self._manifest(v).select("version").distinct().collect()}
+        for folder, drop in (("manifest", lambda v: v < kept[0]),
+                             ("base", lambda v: v not in used and v <= c)):
+            root = f"{self.path}/{folder}"
+            if not S.exists(self.spark, root):
+                continue
+            for p in S.list_dirs(self.spark, root):
+                name = p.rstrip("/").rsplit("/", 1)[-1]
+                if name.startswith("upto=") and drop(int(name[5:])):
+                    S.delete(self.spark, p)
         return sorted(gone)
 
     def committed(self, batch_id: int) -> bool:

@@ -49,10 +49,20 @@ class BatchJob:
         return self.store.committed(batch_id)
 
     def _ledger_batches(self) -> list[int]:
+        """Complete ledger batches.  Those up to the store's last compaction
+        are complete by construction (their deltas were folded), so only the
+        newer ones are checked for a ``_SUCCESS`` marker."""
         if not S.exists(self.spark, self.ledger_dir):
             return []
-        return sorted(int(p.rstrip("/").rsplit("=", 1)[-1]) for p in S.list_dirs(self.spark, self.ledger_dir)
-                      if "batch_id=" in p and S.exists(self.spark, f"{p}/_SUCCESS"))
+        c = self.store.last_compaction()
+        out = []
+        for p in S.list_dirs(self.spark, self.ledger_dir):
+            if "batch_id=" not in p:
+                continue
+            b = int(p.rstrip("/").rsplit("=", 1)[-1])
+            if (c is not None and b <= c) or S.exists(self.spark, f"{p}/_SUCCESS"):
+                out.append(b)
+        return sorted(out)
 
     # -- one job --------------------------------------------------------
     def _report_of(self, paths: list[str]) -> DataFrame:
@@ -75,8 +85,9 @@ class BatchJob:
         """Redo ledger batches whose delta never committed."""
         redone = []
         led = self._ledger()
+        c = self.store.last_compaction()
         for b in self._ledger_batches():
-            if not self._committed(b):
+            if (c is None or b > c) and not self._committed(b):
                 paths = [r.path for r in led.where(F.col("batch_id") == b).select("path").collect()]
                 self._run_batch(b, paths)
                 redone.append(b)

@@ -95,3 +95,26 @@ def test_compaction_rewrites_only_touched_days(spark, sf_dir):
     store.compact(1)
     got = store.current()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_prune_keeps_what_readers_use(spark, sf_dir):
+    rep = R.report(fixture_lines(spark, sf_dir), CFG)
+
+    def on_day(day):  # the report's rows moved to another day
+        return rep.withColumn("start_time", F.concat(F.lit(day), F.substring("start_time", 9, 6)))
+
+    parts = [on_day("20240101"), on_day("20240102"), on_day("20240102"), on_day("20240102")]
+    store = ReportStore(spark, S.scratch_path(spark, "test-prune"), compact_every=1)
+    for i, p in enumerate(parts):
+        store.write_delta(p, i)
+        store.maintain(i)
+    # the last two manifests stay; base 1 (day 2 before compactions 2 and 3) is
+    # referenced by neither, base 0 (day 1) by both
+    assert store._versions("manifest") == [2, 3]
+    bases = sorted(int(p.rstrip("/").rsplit("=", 1)[-1])
+                   for p in S.list_dirs(spark, f"{store.path}/base"))
+    assert bases == [0, 2, 3]
+    assert not S.exists(spark, store.deltas) or S.list_dirs(spark, store.deltas) == []
+    want = upsert(upsert(upsert(parts[0], parts[1]), parts[2]), parts[3])
+    got = store.current()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
