@@ -40,3 +40,31 @@ def test_missing_key_and_bad_number(spark):
     got = sorted(r["reason"] for r in rejects(p, EXPOSE).collect())
     assert got == ["bad_number", "bad_number", "missing_key"]
     assert valid_records(p, EXPOSE).count() == 1
+
+
+def test_slot_minutes_must_divide_an_hour():
+    import pytest
+
+    from slotbook.specs import ReportConfig
+    for n in (1, 5, 10, 12, 15, 20, 30, 60):
+        assert ReportConfig(slot_minutes=n).slot_minutes == n
+    for n in (0, 7, 25, 45, 90, -15):       # 25 would end its last slot at :74:59 (Q18)
+        with pytest.raises(ValueError):
+            ReportConfig(slot_minutes=n)
+
+
+def test_media_raw_or_domain(spark):
+    """Q6: expose media is the raw referer unless the spec asks for its domain."""
+    from slotbook.operators import keys
+    from slotbook.specs import ReportConfig
+    fields = dict.fromkeys(EXPOSE.columns, "1")
+    fields.update(log_length="23", log_time="1704067200000", cost="0.5",
+                  media_url="http://a.example.com:8080/p?q=1", area_id=" ")
+    line = "\x02".join(fields[c] for c in EXPOSE.columns)
+    v = valid_records(parse_lines(lines(spark, line), EXPOSE), EXPOSE)
+    raw = keys.expose_keys(v, ReportConfig()).first()
+    dom = keys.expose_keys(v, ReportConfig(media="domain")).first()
+    assert raw["media"] == "http://a.example.com:8080/p?q=1"
+    assert dom["media"] == "a.example.com:8080"
+    assert raw["area_id"] == dom["area_id"] == "0"          # blank key part (P17)
+    assert raw["slot_ms"] == 1704067200000
