@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from slotbook.functions import format_ts
 from slotbook.operators import aggregate as A
+from slotbook.operators import keys as K
 from slotbook.operators.parse import length_ok, parse_lines, reject_reason
 from slotbook.plans import report as R
 from slotbook.specs import LOG_TYPES, ReportConfig
@@ -33,23 +34,48 @@ def per_partition(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"))
 
 
+def _unpivot(log_type: str, counts: DataFrame, stages=STAGES) -> DataFrame:
+    """One row per stage from the one-row ``counts`` (columns s1, s2, ...)."""
+    return counts.select(F.lit(log_type).alias("log_type"), F.inline(F.array(
+        *[F.struct(F.lit(s).alias("stage"), F.col(f"s{i + 1}").cast("bigint").alias("n_rows"))
+          for i, s in enumerate(stages)])))
+
+
 def stage_counts(lines, cfg: ReportConfig = ReportConfig(), types=LOG_TYPES) -> DataFrame:
     """M1 totals per log type: lines read, lines passing the length check,
-    valid keyed records, and delta rows (distinct report keys)."""
+    valid keyed records, and delta rows (distinct report keys).
+
+    Bid, expose and click lines are parsed once: every line is keyed (the key
+    builders are null-safe), a rejected line's key is null, and one grouping
+    by key counts lines, length passes and valid records per key; the totals
+    and the number of non-null keys follow from it.  An arrive key is the
+    kept record's after window and de-duplication, so arrive counts its
+    delta rows in a second branch."""
     frames = []
     for t in types:
         spec = cfg.specs[t]
         p = parse_lines(R.typed_lines(lines, t), spec)
-        c = p.agg(F.count(F.lit(1)).alias("s1"),
-                  F.count(F.when(length_ok(p, spec), 1)).alias("s2"),
-                  F.count(F.when(reject_reason(p, spec).isNull(), 1)).alias("s3"))
-        keys = A.own_measures(R.contributions_of(lines, t, cfg), t).agg(
-            F.count(F.lit(1)).alias("s4"))
-        frames.append(c.select(F.lit(t).alias("log_type"), F.inline(F.array(
-            *[F.struct(F.lit(s).alias("stage"), F.col(f"s{i + 1}").cast("bigint").alias("n_rows"))
-              for i, s in enumerate(STAGES[:3])]))))
-        frames.append(keys.select(F.lit(t).alias("log_type"), F.lit(STAGES[3]).alias("stage"),
-                                  F.col("s4").cast("bigint").alias("n_rows")))
+        if t == "arrive":
+            c = p.agg(F.count(F.lit(1)).alias("s1"),
+                      F.count_if(length_ok(p, spec)).alias("s2"),
+                      F.count_if(reject_reason(p, spec).isNull()).alias("s3"))
+            n_keys = A.own_measures(R.contributions_of(lines, t, cfg), t).agg(
+                F.count(F.lit(1)).alias("s1"))
+            frames += [_unpivot(t, c, STAGES[:3]), _unpivot(t, n_keys, STAGES[3:])]
+            continue
+        flagged = p.select("*", length_ok(p, spec).cast("int").alias("_len"),
+                           reject_reason(p, spec).isNull().cast("int").alias("_ok"))
+        if t == "bid":
+            keyed = K.bid_keys(flagged, cfg, spec, keep=["_len", "_ok"])
+        else:
+            keyed = K.expose_keys(flagged, cfg, keep=["_len", "_ok"])
+        per_key = keyed.select(
+            "_len", "_ok", *[F.when(F.col("_ok") == 1, F.col(c)).alias(c) for c in A.GROUP]
+        ).groupBy(*A.GROUP).agg(F.count(F.lit(1)).alias("n"), F.sum("_len").alias("l"),
+                                F.sum("_ok").alias("v"))
+        c = per_key.agg(F.sum("n").alias("s1"), F.sum("l").alias("s2"), F.sum("v").alias("s3"),
+                        F.count_if(F.col("v") > 0).alias("s4"))
+        frames.append(_unpivot(t, c))
     return A.union_all(frames)
 
 
