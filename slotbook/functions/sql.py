@@ -106,3 +106,21 @@ def slot_start_text(slot_ms: str) -> str:
 
 def slot_end_text(slot_ms: str, n: int) -> str:
     return f"date_format({ms_to_ntz(f'({slot_ms} + {int(n) * 60_000 - 1000})')}, 'yyyyMMddHHmmss')"
+
+
+def hour_label(slot_ms: str) -> str:
+    return f"date_format({ms_to_ntz(slot_ms)}, 'yyyyMMddHH')"
+
+
+def slot_index(slot_ms: str, n: int) -> str:
+    return f"CAST(floor(minute({ms_to_ntz(slot_ms)}) / {int(n)}) AS INT)"
+
+
+def slot_label(slot_ms: str, n: int) -> str:
+    return f"concat({hour_label(slot_ms)}, CAST({slot_index(slot_ms, n)} AS STRING))"
+
+
+def label_to_slot_ms(label: str, n: int) -> str:
+    hour = f"to_timestamp_ntz(substring({label}, 1, 10), 'yyyyMMddHH')"
+    idx = f"try_cast(substring({label}, 11, 3) AS INT)"
+    return f"(timestampdiff(MILLISECOND, {EPOCH_NTZ}, {hour}) + {idx} * {int(n) * 60_000})"

@@ -13,17 +13,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotbook.functions import label_to_slot_ms, slot_label, split_keep
+from slotbook.functions import sql as Q
 from slotbook.operators import aggregate as A
 from slotbook.operators.parse import parse_lines
 from slotbook.specs import (KEY_PARTS, KEY_SEPARATOR, MEASURES, MERGE, MERGE_ITEMS,
                             MESSAGE_SEPARATOR, REPORT_ITEMS, ReportConfig)
 
 
+def row_key_sql(cfg: ReportConfig) -> str:
+    """Nine values in table order joined by the key separator (SQL text)."""
+    parts = ", ".join([*KEY_PARTS, Q.slot_label("slot_ms", cfg.slot_minutes)])
+    return f"concat_ws({Q.literal(KEY_SEPARATOR)}, {parts})"
+
+
 def row_key(cfg: ReportConfig) -> Column:
-    """Nine values in table order joined by the key separator."""
-    return F.concat_ws(KEY_SEPARATOR, *[F.col(c) for c in KEY_PARTS],
-                       slot_label(F.col("slot_ms"), cfg.slot_minutes))
+    return F.expr(row_key_sql(cfg))
 
 
 def encode(delta: DataFrame, cfg: ReportConfig, sep: str = MESSAGE_SEPARATOR,
@@ -31,14 +35,15 @@ def encode(delta: DataFrame, cfg: ReportConfig, sep: str = MESSAGE_SEPARATOR,
     """P12 + P13: one text message per key of a per-type delta (the output
     of ``aggregate.own_measures``); measures absent from ``delta`` are blank."""
     have = set(delta.columns)
-    fields = [row_key(cfg)]
+    fields = [row_key_sql(cfg)]
     for item in REPORT_ITEMS:
         if item in MEASURES and item in have:
-            fields.append(F.coalesce(F.col(item).cast("string"), F.lit("")))
+            fields.append(f"coalesce(CAST({item} AS STRING), '')")
         else:
-            fields.append(F.lit(""))
-    fields.append(F.lit(str(len(MERGE_ITEMS))))
-    return delta.select(*keep, F.concat_ws(sep, *fields).alias("value"))
+            fields.append("''")
+    fields.append(Q.literal(str(len(MERGE_ITEMS))))
+    value = f"concat_ws({Q.literal(sep)}, {', '.join(fields)}) AS value"
+    return delta.select(*keep, F.expr(value))
 
 
 def decode(messages: DataFrame, cfg: ReportConfig, sep: str = MESSAGE_SEPARATOR) -> DataFrame:
@@ -46,13 +51,13 @@ def decode(messages: DataFrame, cfg: ReportConfig, sep: str = MESSAGE_SEPARATOR)
     every measure, blank → null so that sums skip it)."""
     spec = MERGE.with_separator(sep)
     p = parse_lines(messages, spec)
-    key = split_keep(p["rowKey"], KEY_SEPARATOR)
-    out = [F.get(key, i).alias(c) for i, c in enumerate(KEY_PARTS)]
-    out.append(label_to_slot_ms(F.get(key, len(KEY_PARTS)), cfg.slot_minutes).alias("slot_ms"))
+    key = Q.split_keep(Q.name("rowKey"), KEY_SEPARATOR)
+    out = [f"get({key}, {i}) AS {c}" for i, c in enumerate(KEY_PARTS)]
+    out.append(f"{Q.label_to_slot_ms(f'get({key}, {len(KEY_PARTS)})', cfg.slot_minutes)} AS slot_ms")
     for m in MEASURES:
         t = "decimal(28,4)" if m == "cost" else "bigint"
-        out.append(F.nullif(p[m], F.lit("")).try_cast(t).alias(m))
-    return p.select(*out)
+        out.append(f"try_cast(nullif({Q.name(m)}, '') AS {t}) AS {m}")
+    return p.selectExpr(*out)
 
 
 def merge(decoded: DataFrame) -> DataFrame:

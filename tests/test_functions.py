@@ -129,6 +129,11 @@ def test_sql_forms_equal_column_forms(spark):
         pairs["slot_" + tz] = (slot_start_ms(ms, 15, tz), F.expr(Q.slot_start_ms(Q.java_long("x"), 15, tz)))
     pairs["start"] = (slot_start_text(ms), F.expr(Q.slot_start_text(Q.java_long("x"))))
     pairs["end"] = (slot_end_text(ms, 15), F.expr(Q.slot_end_text(Q.java_long("x"), 15)))
+    pairs["label"] = (slot_label(ms, 15), F.expr(Q.slot_label(Q.java_long("x"), 15)))
+    from slotbook.functions import label_to_slot_ms
+    lab = slot_label(ms, 15)
+    pairs["unlabel"] = (label_to_slot_ms(lab, 15),
+                        F.expr(Q.label_to_slot_ms(Q.slot_label(Q.java_long("x"), 15), 15)))
     cols = []
     for k, (a, b) in pairs.items():
         cols += [a.alias(k + "_c"), (F.expr(b) if isinstance(b, str) else b).alias(k + "_s")]
