@@ -1,5 +1,6 @@
 """Streaming equals batch; in-progress files; late data; replay."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from slotbook import session as S
@@ -50,3 +51,22 @@ def test_ledger_pending_and_prune(spark, sf_dir):
     ledger = FS.read_ledger(spark, ledger_dir)
     assert FS.pending(listing, ledger).where(F.col("name") == "0.log").count() == 0
     assert FS.prune(ledger, listing).count() == ledger.count()
+
+
+
+@pytest.mark.parametrize("compact_every", [None, 2])
+def test_replayed_batch_is_not_counted_twice(spark, sf_dir, compact_every):
+    """The driver dies after the last micro-batch wrote its delta but before
+    the stream committed it: on restart Spark runs that batch again, and the
+    report must not change."""
+    root = write_fixture_files(spark, sf_dir)
+    store = ReportStore(spark, S.scratch_path(spark, "t-replay"), compact_every=compact_every)
+    ckpt = S.scratch_path(spark, "t-replay-ckpt")
+    RS.run_report_stream(spark, root, store, ckpt, FILE_CFG, max_files=10)
+    before = spark.createDataFrame(store.current().collect(), store.current().schema)
+    commits = sorted(int(p.rsplit("/", 1)[-1]) for p in S.list_files(spark, f"{ckpt}/commits"))
+    assert len(commits) >= 2
+    S.delete(spark, f"{ckpt}/commits/{commits[-1]}")
+    q = RS.run_report_stream(spark, root, store, ckpt, FILE_CFG, max_files=10)
+    assert [p["batchId"] for p in q.recentProgress if p["numInputRows"] > 0] == [commits[-1]]
+    assert same(store.current(), before)
