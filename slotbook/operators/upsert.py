@@ -172,7 +172,12 @@ class ReportStore:
         if prev is not None:
             entries = entries.unionByName(
                 prev.where(~F.col("slot_date").isin(dates)) if dates else prev)
-        target = f"{self.path}/manifest/upto={upto}"
+        return self._publish(entries, upto)
+
+    def _publish(self, entries: DataFrame, upto: int) -> str:
+        """Write manifest ``upto`` (one row per day); readers switch to the
+        compaction only once its ``_SUCCESS`` marker exists."""
+        target = f"{self.path}/manifest/upto={int(upto)}"
         entries.coalesce(1).write.mode("overwrite").parquet(target)
         return target
 

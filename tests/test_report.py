@@ -118,3 +118,31 @@ def test_prune_keeps_what_readers_use(spark, sf_dir):
     want = upsert(upsert(upsert(parts[0], parts[1]), parts[2]), parts[3])
     got = store.current()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_compaction_dying_before_its_manifest_is_invisible(spark, sf_dir, monkeypatch):
+    ls = fixture_lines(spark, sf_dir)
+    early = R.report(ls.where("early"), CFG)
+    late = R.report(ls.where("NOT early"), CFG)
+    store = ReportStore(spark, S.scratch_path(spark, "test-die"))
+    store.write_delta(early, 0)
+    store.compact(0)
+    store.write_delta(late, 1)
+    want = upsert(early, late)
+
+    def die(entries, upto):
+        raise RuntimeError("driver lost")
+    monkeypatch.setattr(store, "_publish", die)
+    try:
+        store.compact(1)                       # base/upto=1 written, no manifest
+    except RuntimeError:
+        pass
+    assert S.exists(spark, f"{store.path}/base/upto=1")
+    assert store.last_compaction() == 0
+    got = store.current()                      # manifest 0 + delta 1
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    monkeypatch.undo()
+    store.compact(1)                           # the re-run completes it
+    assert store.last_compaction() == 1
+    got = store.current()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
