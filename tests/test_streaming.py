@@ -70,3 +70,25 @@ def test_replayed_batch_is_not_counted_twice(spark, sf_dir, compact_every):
     q = RS.run_report_stream(spark, root, store, ckpt, FILE_CFG, max_files=10)
     assert [p["batchId"] for p in q.recentProgress if p["numInputRows"] > 0] == [commits[-1]]
     assert same(store.current(), before)
+
+
+def test_registered_handler_serves_batch_and_stream(spark, sf_dir, monkeypatch):
+    """A handler registered for a log type replaces the built-in one
+    in the batch job and in the stream alike (here: clicks of area '1' only)."""
+    from slotbook.operators import aggregate as A
+    from slotbook.operators import keys
+
+    def area_one_clicks(valid, cfg, spec, scope=()):
+        k = keys.click_keys(valid, cfg, keep=scope).where(F.col("area_id") == "1")
+        return A.with_measures(k, {"click_cnt": A.ONE})
+
+    monkeypatch.setitem(A.HANDLERS, "click", area_one_clicks)
+    root = write_fixture_files(spark, sf_dir)
+    src = {t: FS.scan_lines(spark, f"{root}/{t}").select("value", "file_path")
+           for t in ("bid", "expose", "click", "arrive")}
+    batch = R.report(src, FILE_CFG, scope=("file_path",))
+    assert batch.where((F.col("click_cnt") > 0) & (F.col("area_id") != "1")).count() == 0
+    assert batch.where(F.col("click_cnt") > 0).count() > 0
+    store = ReportStore(spark, S.scratch_path(spark, "t-handler"))
+    RS.run_report_stream(spark, root, store, S.scratch_path(spark, "t-handler-ckpt"), FILE_CFG)
+    assert same(store.current(), batch)
