@@ -146,3 +146,21 @@ def test_compaction_dying_before_its_manifest_is_invisible(spark, sf_dir, monkey
     assert store.last_compaction() == 1
     got = store.current()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_two_stages_through_kafka_shaped_records(spark, sf_dir):
+    """The per-type stage sends its delta messages as Kafka records
+    (key = value = the message, topic 'merge'); the merge stage decodes the
+    topic's records and sums them into the report."""
+    from slotbook.sources import kafka
+    ls = fixture_lines(spark, sf_dir)
+    msgs = A.union_all([messages.encode(A.own_measures(R.contributions_of(ls, t, CFG), t), CFG)
+                        for t in LOG_TYPES])
+    records = messages.kafka_records(msgs)
+    assert records.columns == ["key", "value", "topic"]
+    assert records.where(F.col("key") != F.col("value")).count() == 0
+    lines = kafka.decode(records)
+    assert {r[0] for r in lines.select("log_type").distinct().collect()} == {"merge"}
+    back = A.finish(messages.merge(messages.decode(lines.select("value"), CFG)), CFG)
+    direct = R.report(ls, CFG)
+    assert back.exceptAll(direct).count() == 0 and direct.exceptAll(back).count() == 0
