@@ -106,14 +106,18 @@ class ReportStore:
         return (self.spark.read.schema("slot_date string, version bigint")
                 .parquet(f"{self.path}/manifest/upto={c}"))
 
-    def _base(self, c: int | None, dates: list[str] | None = None) -> DataFrame | None:
-        """Base rows as of compaction ``c`` (only ``dates`` when given).  The
-        manifest has one row per day, so its paths are listed on the driver."""
+    def _base(self, c: int | None, dates: list[str] | None = None,
+              exclude: list[str] | None = None) -> DataFrame | None:
+        """Base rows as of compaction ``c`` (only ``dates`` when given, none of
+        ``exclude``).  The manifest has one row per day, so its paths are
+        listed on the driver."""
         m = self._manifest(c)
         if m is None:
             return None
         if dates is not None:
             m = m.where(F.col("slot_date").isin(dates))
+        if exclude:
+            m = m.where(~F.col("slot_date").isin(exclude))
         paths = [f"{self.path}/base/upto={r.version}/slot_date={r.slot_date}"
                  for r in m.select("slot_date", "version").collect()]
         if not paths:
@@ -135,16 +139,35 @@ class ReportStore:
     # -- reading ------------------------------------------------------------
     def current(self, upto: int | None = None) -> DataFrame:
         """The report: base as of the latest compaction + the deltas after it
-        (only those up to batch ``upto`` when given)."""
+        (only those up to batch ``upto`` when given).
+
+        Base rows are already one per key, so only the days the pending
+        deltas touch are aggregated with them; every other day is read as
+        is (a fully compacted store is read with no shuffle)."""
         c = self.last_compaction()
         if upto is not None and c is not None and upto < c:
             raise ValueError(f"batches up to {c} are already compacted")
-        parts = [p.select(*REPORT_OUTPUT) for p in (self._base(c), self._deltas_after(c, upto))
-                 if p is not None]
-        if not parts:
+        deltas = self._deltas_after(c, upto)
+        if c is None and deltas is None:
             raise FileNotFoundError(f"empty report store {self.path}")
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        return rows.groupBy(*KEY_COLUMNS).agg(*[_sum(m) for m in MEASURES]).select(*REPORT_OUTPUT)
+        # the days the pending deltas touch: one row per day
+        dates = ([str(r.slot_date) for r in deltas.select("slot_date").distinct().collect()]
+                 if deltas is not None else [])
+        parts = []
+        if c is not None:
+            untouched = self._base(c, exclude=dates)
+            if untouched is not None:
+                parts.append(untouched.select(*REPORT_OUTPUT))
+        if dates:
+            rows = deltas.select(*REPORT_OUTPUT)
+            touched = self._base(c, dates) if c is not None else None
+            if touched is not None:
+                rows = rows.unionByName(touched.select(*REPORT_OUTPUT))
+            parts.append(rows.groupBy(*KEY_COLUMNS).agg(*[_sum(m) for m in MEASURES])
+                         .select(*REPORT_OUTPUT))
+        if not parts:   # nothing stored yet: an empty report of the right shape
+            return self.spark.createDataFrame([], REPORT_DDL)
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     # -- compaction ---------------------------------------------------------
     def compact(self, upto: int) -> str:

@@ -118,6 +118,16 @@ def test_prune_keeps_what_readers_use(spark, sf_dir):
     want = upsert(upsert(upsert(parts[0], parts[1]), parts[2]), parts[3])
     got = store.current()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # fully compacted: the report is read as stored, with no shuffle
+    from tests.test_plans import plan
+    assert "Exchange" not in plan(got)
+    # one pending delta on day 1: only that day is aggregated, day 2 passes through
+    store.write_delta(parts[0], 4)
+    got = store.current()
+    want = upsert(want, parts[0])
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    p = plan(got)
+    assert p.count("Arguments: hashpartitioning(") == 1
 
 
 def test_compaction_dying_before_its_manifest_is_invisible(spark, sf_dir, monkeypatch):
