@@ -26,7 +26,7 @@ from slotbook.sources import files as FS
 from slotbook.sources import kafka
 from slotbook.sources.fixture import fixture_lines, write_fixture_files
 from slotbook.specs import (ARRIVE, EXPOSE, KEY_PARTS, LEVEL1_SEPARATOR, LOG_TYPES, SPECS,
-                            ReportConfig)
+                            ReportConfig, read_specs_xml, write_specs_xml)
 from slotbook.streaming import report_stream as RS
 
 CFG = ReportConfig()
@@ -110,15 +110,18 @@ def q_split_fixed(spark, sf_dir):
 @query("spec_catalog")
 def q_spec_catalog(spark, sf_dir):
     """The declarations with the lines of each type that match their width."""
-    specs = spark.createDataFrame(
-        [(s.log_type, s.width, ",".join(s.key)) for s in SPECS.values()],
-        "log_type string, n_columns int, key_columns string")
+    # the declarations go through a job file, as the reference's do
+    path = S.scratch_path(spark, "logconf")
+    write_specs_xml(spark, [SPECS[t] for t in LOG_TYPES], path)
+    specs = read_specs_xml(spark, path).select(
+        "log_type", F.size("items").alias("n_columns"),
+        F.concat_ws(",", "key").alias("key_columns"))
     stats = A.union_all([
         parse_lines(R.typed_lines(lines(spark, sf_dir), t), SPECS[t]).agg(
             F.lit(t).alias("log_type"), F.count(F.lit(1)).alias("n_lines"),
             F.count(F.when(F.col(N_FIELDS) == SPECS[t].width, 1)).alias("n_full_width"))
         for t in LOG_TYPES])
-    # five declaration rows: a bounded, tiny side
+    # one declaration row per log type: a bounded, tiny side
     return stats.join(F.broadcast(specs), "log_type").select(
         "log_type", "n_columns", "key_columns", "n_lines", "n_full_width")
 

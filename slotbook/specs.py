@@ -169,6 +169,19 @@ def read_specs_xml(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def write_specs_xml(spark: SparkSession, specs, path: str, slot_minutes: int = DEFAULT_SLOT_MINUTES) -> None:
+    """Declarations as an XML job file (``<logs><log>…</log></logs>``), the
+    form ``read_specs_xml`` reads.  The default separator is written blank:
+    control characters cannot appear in XML text."""
+    rows = [(s.log_type, ",".join(s.columns), ",".join(s.key),
+             "" if s.separator == LINE_SEPARATOR else s.separator, str(slot_minutes))
+            for s in specs]
+    (spark.createDataFrame(rows, "topicLogType string, items string, rowKey string,"
+                                 " separator string, logSpace string")
+     .coalesce(1).write.format("xml").option("rootTag", "logs").option("rowTag", "log")
+     .mode("overwrite").save(path))
+
+
 def select_spec(spec_rows: DataFrame, log_type: str) -> LogSpec:
     """Pick the one declaration of ``log_type``; fail on none or several.
 

@@ -84,3 +84,15 @@ def test_observed_stage_counts_equal_aggregated_ones(spark, sf_dir):
     parts = [ln for ln in plan(rows).splitlines()
              if ln.strip().startswith("Arguments: hashpartitioning(")]
     assert len(parts) == 2
+
+
+def test_specs_xml_round_trip(spark):
+    from slotbook.specs import write_specs_xml
+    path = S.scratch_path(spark, "t-logconf")
+    write_specs_xml(spark, [SPECS[t] for t in LOG_TYPES], path)
+    rows = read_specs_xml(spark, path)
+    for t in LOG_TYPES:
+        got = select_spec(rows, t)
+        assert (got.columns, got.key, got.separator) == (SPECS[t].columns, SPECS[t].key,
+                                                         SPECS[t].separator)
+    assert {r.slot_minutes for r in rows.collect()} == {15}
