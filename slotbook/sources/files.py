@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 
 
 def parent_name(path: Column) -> Column:
-    """Name of the folder holding a file (the log type)."""
-    return F.regexp_extract(path, r"/([^/]+)/[^/]+$", 1)
+    """Name of the folder holding a file (the log type).  Evaluated for every
+    line of a scan, so plain string functions, not a regular expression."""
+    return F.substring_index(F.substring_index(path, "/", -2), "/", 1)
 
 
 def base_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]+)$", 1)
+    return F.substring_index(path, "/", -1)
 
 
 def scan_lines(spark: SparkSession, paths: str | list[str], recursive: bool = True) -> DataFrame:
