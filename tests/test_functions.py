@@ -140,3 +140,13 @@ def test_sql_forms_equal_column_forms(spark):
     for r in df.select(*cols).collect():
         for k in pairs:
             assert r[k + "_c"] == r[k + "_s"], (k, r)
+
+
+def test_file_path_parts(spark):
+    from slotbook.sources.files import base_name, parent_name
+    cases = {"file:/tmp/a/bid/0.log": ("bid", "0.log"),
+             "hdfs://nn:8020/x/y/expose/12.log": ("expose", "12.log"),
+             "s3a://b/k/click/_part.tmp": ("click", "_part.tmp"),
+             "file:/r/arrive/a%20b.log": ("arrive", "a%20b.log")}
+    for path, want in cases.items():
+        assert (one(spark, parent_name, path), one(spark, base_name, path)) == want, path
