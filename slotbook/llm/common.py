@@ -4,6 +4,7 @@ for regular-expression spans with code-point positions."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +16,21 @@ SPAN_TYPE = "array<struct<s:int,e:int,m:string,l:string,r:string>>"
 BLOCK = 64   # elements per block of the two-level prefix sum
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def on_workers(spark: SparkSession) -> None:
+    """Let local Python workers import this package from wherever the driver was
+    started; on a cluster it is shipped with ``--py-files`` as usual."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, through Spark's own reader (any store)."""
+    on_workers(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from slotbook.llm import chat, html_text, packing, pii, quality, secret_scan, token_count, url_filter
+from slotbook.llm import (chat, decontaminate, html_text, ngram_join, packing, pii, quality, secret_scan,
+                          token_count, url_filter)
 from slotbook.llm.common import span_text, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -21,6 +22,12 @@ def _count(spans, kind):
     return F.size(F.filter(spans, lambda x: x["k"] == kind)).cast("long")
 
 
+def op1_ngram_join(spark, sf_dir):
+    """Every document's shingle set size and the component of near copies it is in."""
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents")).select(
+        F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def op2_pii(spark, sf_dir):
     """Personal data in every document: base spans and terms that disclose them."""
     found = pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -88,6 +95,14 @@ def op9_chat_format(spark, sf_dir):
     return chat.read_back(chat.format_events(chat.turn_events(given.unionByName(planted))))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op3_url_filter, op4_token_count, op5_packing, op6_quality,
-                                   op7_html_text, op8_secret_scan, op9_chat_format)}
+def op10_decontaminate(spark, sf_dir):
+    """The documents that hold a benchmark item, with the item and how it was found."""
+    found = decontaminate.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                     table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_ngram_join, op2_pii, op3_url_filter, op4_token_count, op5_packing, op6_quality, op7_html_text,
+    op8_secret_scan, op9_chat_format, op10_decontaminate)}
 ORACLES: dict[str, str] = {}
