@@ -1,8 +1,9 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is executed in full with the ``noop`` sink (every row is
-computed, nothing is collected to the driver) and timed; the log files the
-stream query watches are rendered before timing.  One JSON line is
+computed, nothing is collected to the driver) and timed; the log files are
+rendered before timing.  ``report_text`` reads the report from those text
+files, ``report_text_x4`` from four times as many lines.  One JSON line is
 printed:  {"metric": ..., "value": total_sec, "unit": "sec", "queries": {...}, "sf": ...}
 """
 
@@ -16,8 +17,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from slotbook.plans.queries import QUERIES  # noqa: E402
+from slotbook.plans import report as R  # noqa: E402
+from slotbook.plans.queries import FILE_CFG, QUERIES  # noqa: E402
 from slotbook.session import build_session  # noqa: E402
+from slotbook.sources.files import scan_lines, type_folders  # noqa: E402
 from slotbook.sources.fixture import write_fixture_files  # noqa: E402
 
 HEADLINE = (
@@ -30,6 +33,17 @@ HEADLINE = (
 )
 
 
+def text_report(spark, root: str, times: int):
+    """The report of the text files under ``root``, each read ``times`` times: one scan per type."""
+    lines = {}
+    for t, folder in type_folders(root).items():
+        one = scan_lines(spark, folder)
+        lines[t] = one
+        for _ in range(times - 1):
+            lines[t] = lines[t].unionByName(one)
+    return R.report(lines, FILE_CFG, scope=("file_path",))
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -47,8 +61,12 @@ def main() -> None:
     # The stream query watches log files rendered from the events table;
     # writing them is test-data setup, not engine work, so it happens
     # before the clock starts (the renderer reuses them per application).
-    write_fixture_files(spark, sf_dir)
+    root = write_fixture_files(spark, sf_dir)
     times = {}
+    for name, n in (("report_text", 1), ("report_text_x4", 4)):
+        t0 = time.perf_counter()
+        text_report(spark, root, n).write.format("noop").mode("overwrite").save()
+        times[name] = round(time.perf_counter() - t0, 3)
     for name in HEADLINE:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

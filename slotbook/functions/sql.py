@@ -11,6 +11,7 @@ That matters in streaming, where every micro-batch builds its plan again.
 from __future__ import annotations
 
 from slotbook.functions.text import _JTRIM_CHARS, quote_regex
+from slotbook.specs import COST_TYPE
 
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
@@ -72,10 +73,16 @@ def java_long(x: str) -> str:
     return f"CASE WHEN {x} RLIKE '^[+-]?[0-9]+$' THEN try_cast({x} AS BIGINT) END"
 
 
-def decimal_or_null(x: str, dtype: str = "decimal(18,4)") -> str:
+def decimal_or_null(x: str, dtype: str = COST_TYPE) -> str:
     return f"try_cast({jtrim(x)} AS {dtype})"
 
 
+def decimal_fits(x: str, dtype: str = COST_TYPE) -> str:
+    """Whether a numeric text keeps its value as ``dtype`` (no digit rounded off)."""
+    return (f"({decimal_or_null(x, 'decimal(38,18)')} = {decimal_or_null(x, dtype)}"
+            f" AND NOT {x} RLIKE '[.][0-9]{{18}}[0-9]*[1-9]')")
+
+
 def pad_ms(x: str) -> str:
     return f"CASE WHEN length({x}) < 13 THEN rpad({x}, 13, '0') ELSE {x} END"
 
@@ -121,6 +128,6 @@ def slot_label(slot_ms: str, n: int) -> str:
 
 
 def label_to_slot_ms(label: str, n: int) -> str:
-    hour = f"to_timestamp_ntz(substring({label}, 1, 10), 'yyyyMMddHH')"
+    hour = f"CAST(try_to_timestamp(substring({label}, 1, 10), 'yyyyMMddHH') AS TIMESTAMP_NTZ)"
     idx = f"try_cast(substring({label}, 11, 3) AS INT)"
     return f"(timestampdiff(MILLISECOND, {EPOCH_NTZ}, {hour}) + {idx} * {int(n) * 60_000})"

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from slotbook.specs import COST_TYPE
+
 # Java's String.trim strips every character up to U+0020, not only spaces.
 _JTRIM_CHARS = "".join(chr(i) for i in range(0x21))
 # Characters that are special in a Java regex outside a character class.
@@ -74,6 +76,6 @@ def java_long(c: Column) -> Column:
     return F.when(c.rlike(r"^[+-]?[0-9]+$"), c.try_cast("bigint"))
 
 
-def decimal_or_null(c: Column, dtype: str = "decimal(18,4)") -> Column:
+def decimal_or_null(c: Column, dtype: str = COST_TYPE) -> Column:
     """Decimal value of a numeric text (surrounding blanks ignored), else null."""
     return jtrim(c).try_cast(dtype)

@@ -19,27 +19,22 @@ from pyspark.sql import functions as F
 from slotbook.functions import sql as Q
 from slotbook.functions.text import decimal_or_null
 from slotbook.operators import dedup, keys
-from slotbook.specs import (COUNT_MEASURES, KEY_PARTS, MEASURES, REPORT_OUTPUT, LogSpec,
-                            ReportConfig)
+from slotbook.specs import COST_SUM_TYPE, COST_TYPE, KEY_PARTS, MEASURES, REPORT_OUTPUT, LogSpec, ReportConfig
 
-COST_TYPE = "decimal(18,4)"
 GROUP = KEY_PARTS + ("slot_ms",)
-# the measures each log type produces (Q21: an expose counts as a bid success)
-OWN_MEASURES = {
-    "bid": ("bid_cnt",),
-    "expose": ("bid_success_cnt", "expose_cnt", "cost"),
-    "click": ("click_cnt",),
-    "arrive": ("arrive_cnt",),
-}
 
 Handler = Callable[[DataFrame, ReportConfig, LogSpec, tuple], DataFrame]
 HANDLERS: dict[str, Handler] = {}
+# the measures each log type produces; the first one counts its records
+OWN_MEASURES: dict[str, tuple[str, ...]] = {}
 
 
-def register(log_type: str):
-    """Register the handler of a log type; batch and streaming share it."""
+def register(log_type: str, measures: tuple[str, ...]):
+    """Register the handler of a log type and the measures it fills;
+    batch, streaming and metrics go by what is registered."""
     def deco(fn: Handler) -> Handler:
         HANDLERS[log_type] = fn
+        OWN_MEASURES[log_type] = measures
         return fn
     return deco
 
@@ -58,32 +53,37 @@ def with_measures(keyed: DataFrame, values: dict[str, str], keep=()) -> DataFram
                             *[f"{values.get(m, _zero(m))} AS {m}" for m in MEASURES])
 
 
-@register("expose")
+# Q21: an expose counts as a bid success
+@register("expose", ("expose_cnt", "bid_success_cnt", "cost"))
 def expose_contributions(valid, cfg, spec, scope=()):
     k = keys.expose_keys(valid, cfg, keep=scope,
                          extra=[decimal_or_null(valid["cost"]).alias("_cost")])
     return with_measures(k, {"bid_success_cnt": ONE, "expose_cnt": ONE, "cost": "_cost"})
 
 
-@register("click")
+@register("click", ("click_cnt",))
 def click_contributions(valid, cfg, spec, scope=()):
     k = keys.click_keys(valid, cfg, keep=scope)
     return with_measures(k, {"click_cnt": ONE})
 
 
-@register("bid")
+@register("bid", ("bid_cnt",))
 def bid_contributions(valid, cfg, spec, scope=()):
     k = keys.bid_keys(valid, cfg, spec, keep=scope)
     return with_measures(k, {"bid_cnt": ONE})
 
 
-@register("arrive")
+@register("arrive", ("arrive_cnt",))
 def arrive_contributions(valid, cfg, spec, scope=()):
     """A4: arrival-window test, then one record per (cookie, order id)
     (per file with ``scope``), then count."""
+    return with_measures(kept_arrivals(valid, cfg, scope), {"arrive_cnt": ONE})
+
+
+def kept_arrivals(valid: DataFrame, cfg: ReportConfig, scope=()) -> DataFrame:
+    """The arrivals that count: in the window, the first per (cookie, order id)."""
     k = keys.in_arrival_window(keys.arrive_keys(valid, cfg, keep=scope))
-    kept = dedup.first_arrivals(k, scope if cfg.dedup_scope == "file" else ())
-    return with_measures(kept, {"arrive_cnt": ONE})
+    return dedup.first_arrivals(k, scope if cfg.dedup_scope == "file" else ())
 
 
 def contributions(valid: DataFrame, log_type: str, cfg: ReportConfig,
@@ -102,8 +102,9 @@ def own_measures(contrib: DataFrame, log_type: str) -> DataFrame:
     return contrib.groupBy(*GROUP).agg(*[F.expr(f"sum({m}) AS {m}") for m in own])
 
 
-def finish(agg: DataFrame, cfg: ReportConfig, measures=MEASURES) -> DataFrame:
-    """The report form: the two slot times as text, counts BIGINT, cost DOUBLE."""
+def finish(agg: DataFrame, cfg: ReportConfig, measures=MEASURES, stored: bool = False) -> DataFrame:
+    """The report form: the two slot times as text, counts BIGINT, cost DOUBLE (in
+    the store, and for further adding up, a decimal)."""
     n = cfg.slot_minutes
     out = []
     for c in REPORT_OUTPUT:
@@ -114,7 +115,7 @@ def finish(agg: DataFrame, cfg: ReportConfig, measures=MEASURES) -> DataFrame:
         elif c in KEY_PARTS:
             out.append(c)
         elif c in measures:
-            t = "double" if c == "cost" else "bigint"
+            t = (COST_SUM_TYPE if stored else "double") if c == "cost" else "bigint"
             out.append(f"CAST(coalesce({c}, {_zero(c)}) AS {t}) AS {c}")
     return agg.selectExpr(*out)
 
@@ -124,7 +125,3 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
-
-
-def empty_counts() -> tuple[str, ...]:
-    return COUNT_MEASURES

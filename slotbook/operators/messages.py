@@ -15,14 +15,31 @@ from pyspark.sql import functions as F
 
 from slotbook.functions import sql as Q
 from slotbook.operators import aggregate as A
-from slotbook.operators.parse import parse_lines
-from slotbook.specs import (KEY_PARTS, KEY_SEPARATOR, MEASURES, MERGE, MERGE_ITEMS,
-                            MESSAGE_SEPARATOR, REPORT_ITEMS, ReportConfig)
+from slotbook.operators.parse import N_FIELDS, parse_lines
+from slotbook.specs import (COST_SUM_TYPE, ESCAPE, KEY_PARTS, KEY_SEPARATOR, MEASURES, MERGE,
+                            MERGE_ITEMS, MESSAGE_SEPARATOR, REPORT_ITEMS, ReportConfig)
+
+
+# what may not stand inside a key part, and the digit that stands for it after ESCAPE
+ESCAPED = {ESCAPE: "0", KEY_SEPARATOR: "1", MESSAGE_SEPARATOR: "2", "\n": "3", "\r": "4"}
+
+
+def escape_sql(x: str) -> str:
+    for c, d in ESCAPED.items():          # the escape character itself first
+        x = f"replace({x}, {Q.literal(c)}, {Q.literal(ESCAPE + d)})"
+    return x
+
+
+def unescape_sql(x: str) -> str:
+    for c, d in reversed(ESCAPED.items()):
+        x = f"replace({x}, {Q.literal(ESCAPE + d)}, {Q.literal(c)})"
+    return x
 
 
 def row_key_sql(cfg: ReportConfig) -> str:
-    """Nine values in table order joined by the key separator (SQL text)."""
-    parts = ", ".join([*KEY_PARTS, Q.slot_label("slot_ms", cfg.slot_minutes)])
+    """Nine values in table order joined by the key separator (SQL text); key
+    parts are free text, so what separates them is escaped inside."""
+    parts = ", ".join([*map(escape_sql, KEY_PARTS), Q.slot_label("slot_ms", cfg.slot_minutes)])
     return f"concat_ws({Q.literal(KEY_SEPARATOR)}, {parts})"
 
 
@@ -48,16 +65,42 @@ def encode(delta: DataFrame, cfg: ReportConfig, sep: str = MESSAGE_SEPARATOR,
 
 def decode(messages: DataFrame, cfg: ReportConfig, sep: str = MESSAGE_SEPARATOR) -> DataFrame:
     """P14 + P15 + P16: messages → typed delta rows (key parts, ``slot_ms``,
-    every measure, blank → null so that sums skip it)."""
-    spec = MERGE.with_separator(sep)
-    p = parse_lines(messages, spec)
-    key = Q.split_keep(Q.name("rowKey"), KEY_SEPARATOR)
-    out = [f"get({key}, {i}) AS {c}" for i, c in enumerate(KEY_PARTS)]
-    out.append(f"{Q.label_to_slot_ms(f'get({key}, {len(KEY_PARTS)})', cfg.slot_minutes)} AS slot_ms")
-    for m in MEASURES:
-        t = "decimal(28,4)" if m == "cost" else "bigint"
-        out.append(f"try_cast(nullif({Q.name(m)}, '') AS {t}) AS {m}")
-    return p.selectExpr(*out)
+    every measure, blank → null so that sums skip it).  Messages that are not
+    one of ours are left out; ``decode_rejects`` has them."""
+    out = [f"{unescape_sql(f'get(_key, {i})')} AS {c}" for i, c in enumerate(KEY_PARTS)]
+    out.append(f"{_slot_sql(cfg)} AS slot_ms")
+    out += [f"{_measure_sql(m)} AS {m}" for m in MEASURES]
+    return _parsed(messages, sep).where(f"{_reason_sql(cfg)} IS NULL").selectExpr(*out)
+
+
+def decode_rejects(messages: DataFrame, cfg: ReportConfig, sep: str = MESSAGE_SEPARATOR) -> DataFrame:
+    """(reason, value) of the messages that ``decode`` leaves out: 'fields' (their number), 'row_key' (its
+    parts), 'slot' (its label) or 'measure' (no number)."""
+    return (_parsed(messages, sep).selectExpr(f"{_reason_sql(cfg)} AS reason", "value")
+            .where("reason IS NOT NULL"))
+
+
+def _parsed(messages: DataFrame, sep: str) -> DataFrame:
+    p = parse_lines(messages, MERGE.with_separator(sep))
+    return p.selectExpr("*", f"{Q.split_keep(Q.name('rowKey'), KEY_SEPARATOR)} AS _key")
+
+
+def _slot_sql(cfg: ReportConfig) -> str:
+    return Q.label_to_slot_ms(f"get(_key, {len(KEY_PARTS)})", cfg.slot_minutes)
+
+
+def _measure_sql(m: str) -> str:
+    return f"try_cast(nullif({Q.name(m)}, '') AS {COST_SUM_TYPE if m == 'cost' else 'bigint'})"
+
+
+def _reason_sql(cfg: ReportConfig) -> str:
+    label, slots = f"get(_key, {len(KEY_PARTS)})", 60 // cfg.slot_minutes
+    bad = " OR ".join(f"({Q.name(m)} <> '' AND {_measure_sql(m)} IS NULL)" for m in MEASURES)
+    return (f"CASE WHEN {N_FIELDS} <> {len(MERGE_ITEMS)} OR log_length <> '{len(MERGE_ITEMS)}' THEN 'fields'"
+            f" WHEN size(_key) <> {len(KEY_PARTS) + 1} THEN 'row_key'"
+            f" WHEN NOT {label} RLIKE '^[0-9]{{11,12}}$' OR {_slot_sql(cfg)} IS NULL"
+            f" OR CAST(substring({label}, 11, 2) AS INT) >= {slots} THEN 'slot'"
+            f" WHEN {bad} THEN 'measure' END")
 
 
 def merge(decoded: DataFrame) -> DataFrame:

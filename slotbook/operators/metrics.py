@@ -1,36 +1,33 @@
 """Stage row counts, metric messages and their archive.
 
 The reference buffers each partition to count it and sends one message per
-partition and stage.  Here counts are aggregates (or ``observe`` metrics,
-which count while the data flows, without an extra pass or buffering).
+partition and stage.  Here counts are aggregates over the batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from slotbook import session as S
 from slotbook.functions import format_ts
 from slotbook.operators import aggregate as A
-from slotbook.operators import keys as K
 from slotbook.operators.parse import length_ok, parse_lines, reject_reason
 from slotbook.plans import report as R
-from slotbook.specs import LOG_TYPES, ReportConfig
+from slotbook.specs import MERGE, ReportConfig
 
-# Stage names of the reference's counters.
+MERGE_TYPE = MERGE.log_type
+TIMING_DDL = "batch_id bigint, n_rows bigint, write_ms double"
+
+# The counters' stage names, and the merge stage's.
+MERGE_STAGE = "3-groupByKey_map_after"
 STAGES = ("1-createStream", "2-log_length_filter_after", "3-map_after", "4-groupByKey_map_after")
 METRIC_SEPARATOR = "%"
 
 
-def observe(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """M1: count rows as they pass, read after the action: ``obs.get['rows']``."""
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
-def per_partition(df: DataFrame) -> DataFrame:
-    """Rows per partition of ``df``."""
-    return df.groupBy(F.spark_partition_id().alias("partition")).agg(
+def per_partition(df: DataFrame, *by: str) -> DataFrame:
+    """Rows per partition of ``df`` (and per value of ``by``)."""
+    return df.groupBy(*by, F.spark_partition_id().alias("partition")).agg(
         F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -41,87 +38,24 @@ def _unpivot(log_type: str, counts: DataFrame, stages=STAGES) -> DataFrame:
           for i, s in enumerate(stages)])))
 
 
-def stage_counts(lines, cfg: ReportConfig = ReportConfig(), types=LOG_TYPES) -> DataFrame:
-    """M1 totals per log type: lines read, lines passing the length check,
-    valid keyed records, and delta rows (distinct report keys).
+def stage_counts(lines, cfg: ReportConfig = ReportConfig(), scope=(), types=None) -> DataFrame:
+    """M1 per log type: lines read, lines passing the length check, valid
+    keyed records, delta rows (distinct report keys of the type), and the
+    report keys it has in the merge stage.
 
-    Bid, expose and click lines are parsed once: every line is keyed (the key
-    builders are null-safe), a rejected line's key is null, and one grouping
-    by key counts lines, length passes and valid records per key; the totals
-    and the number of non-null keys follow from it.  An arrive key is the
-    kept record's after window and de-duplication, so arrive counts its
-    delta rows in a second branch."""
+    Lines are counted in one pass per type; keys are counted from the output of the
+    type's handler, whatever it is, and merged keys from the report's own rows."""
     frames = []
-    for t in types:
-        spec = cfg.specs[t]
-        p = parse_lines(R.typed_lines(lines, t), spec)
-        if t == "arrive":
-            c = p.agg(F.count(F.lit(1)).alias("s1"),
-                      F.count_if(length_ok(p, spec)).alias("s2"),
-                      F.count_if(reject_reason(p, spec).isNull()).alias("s3"))
-            n_keys = A.own_measures(R.contributions_of(lines, t, cfg), t).agg(
-                F.count(F.lit(1)).alias("s1"))
-            frames += [_unpivot(t, c, STAGES[:3]), _unpivot(t, n_keys, STAGES[3:])]
-            continue
-        flagged = p.select("*", length_ok(p, spec).cast("int").alias("_len"),
-                           reject_reason(p, spec).isNull().cast("int").alias("_ok"))
-        if t == "bid":
-            keyed = K.bid_keys(flagged, cfg, spec, keep=["_len", "_ok"])
-        else:
-            keyed = K.expose_keys(flagged, cfg, keep=["_len", "_ok"])
-        per_key = keyed.select(
-            "_len", "_ok", *[F.when(F.col("_ok") == 1, F.col(c)).alias(c) for c in A.GROUP]
-        ).groupBy(*A.GROUP).agg(F.count(F.lit(1)).alias("n"), F.sum("_len").alias("l"),
-                                F.sum("_ok").alias("v"))
-        c = per_key.agg(F.sum("n").alias("s1"), F.sum("l").alias("s2"), F.sum("v").alias("s3"),
-                        F.count_if(F.col("v") > 0).alias("s4"))
-        frames.append(_unpivot(t, c))
-    return A.union_all(frames)
-
-
-# the measure that counts each log type's own records
-COUNT_OF = {"bid": "bid_cnt", "expose": "expose_cnt", "click": "click_cnt", "arrive": "arrive_cnt"}
-
-
-def observed_report_rows(lines, cfg: ReportConfig = ReportConfig(), scope=(), types=LOG_TYPES):
-    """M1 inside the job: the report rows of ``lines`` (as
-    ``report.report_rows``) with the stage counts observed while the rows
-    are computed, so counting costs no extra pass over the data.
-
-    Returns ``(rows, counts)``; after an action on ``rows`` (or a DataFrame
-    built from it), ``counts()`` gives ``(log_type, stage, n_rows)`` tuples:
-    lines read, lines passing the length check, valid records, and report
-    keys the type contributed to."""
-    present = [t for t in types if not isinstance(lines, dict) or t in lines]
-    observed, contribs = {}, []
-    for t in present:
+    for t in types or cfg.log_types:
         spec = cfg.specs[t]
         p = parse_lines(R.typed_lines(lines, t), spec, keep=scope)
-        obs = Observation(f"stages_{t}")
-        p = p.observe(obs, F.count(F.lit(1)).alias("s1"),
-                      F.count_if(length_ok(p, spec)).alias("s2"),
-                      F.count_if(reject_reason(p, spec).isNull()).alias("s3"))
-        valid = p.where(reject_reason(p, spec).isNull())
-        contribs.append(A.contributions(valid, t, cfg, scope))
-        observed[t] = obs
-    keys_obs = Observation("stages_keys")
-    rows = A.sum_measures(A.union_all(contribs)).observe(
-        keys_obs, *[F.count_if(F.col(COUNT_OF[t]) > 0).alias(t) for t in present])
-
-    def counts() -> list[tuple[str, str, int]]:
-        k = keys_obs.get
-        out = []
-        for t, obs in observed.items():
-            g = obs.get
-            out += [(t, STAGES[0], int(g["s1"])), (t, STAGES[1], int(g["s2"])),
-                    (t, STAGES[2], int(g["s3"])), (t, STAGES[3], int(k[t]))]
-        return out
-    return rows, counts
-
-
-def counts_frame(spark: SparkSession, counts: list[tuple[str, str, int]]) -> DataFrame:
-    """Observed counts (one row per log type and stage) as a DataFrame."""
-    return spark.createDataFrame(counts, "log_type string, stage string, n_rows bigint")
+        c = p.agg(F.count(F.lit(1)).alias("s1"), F.count_if(length_ok(p, spec)).alias("s2"),
+                  F.count_if(reject_reason(p, spec).isNull()).alias("s3"))
+        keys = A.own_measures(R.contributions_of(lines, t, cfg, scope), t).agg(F.count(F.lit(1)).alias("s1"))
+        frames += [_unpivot(t, c, STAGES[:3]), _unpivot(t, keys, STAGES[3:4])]
+    rows = R.report_rows(lines, cfg, scope, types)
+    merged = rows.agg(F.count(F.lit(1)).alias("s1"))
+    return A.union_all([*frames, _unpivot(MERGE_TYPE, merged, (MERGE_STAGE,))])
 
 
 def messages(counts: DataFrame, batch_id: int | Column = 0, ts: Column | None = None) -> DataFrame:
@@ -143,14 +77,26 @@ def parse_messages(msgs: DataFrame) -> DataFrame:
 
 
 def archive(msgs: DataFrame, folder: str, lines_per_file: int) -> None:
-    """K4: archive messages, a new file every ``lines_per_file`` lines."""
-    msgs.select("value").write.mode("append").option("maxRecordsPerFile", int(lines_per_file)).text(folder)
-
-
-def batch_timing(spark: SparkSession, progress: list[dict]) -> DataFrame:
-    """Per micro-batch duration ÷ rows from the query's progress reports
-    (one small dict per batch, kept by Spark on the driver anyway)."""
-    rows = [(int(p["batchId"]), int(p.get("numInputRows", 0)),
-             int(p.get("durationMs", {}).get("triggerExecution", 0))) for p in progress]
-    df = spark.createDataFrame(rows, "batch_id long, num_input_rows long, duration_ms long")
-    return df.withColumn("ms_per_row", F.col("duration_ms") / F.nullif(F.col("num_input_rows"), F.lit(0)))
+    """K4: archive messages, ``lines_per_file`` to a file (the last one may hold fewer).
+
+    Lines are numbered across tasks - a running number inside each partition, plus the
+    counts of the partitions before it - and dealt to files by number, so files are full
+    whatever the partitioning, and written in parallel."""
+    spark = msgs.sparkSession
+    staged = S.scratch_path(spark, "archive")
+    # written first: numbers must not change between the two passes over the partitions
+    (msgs.select("value", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("i"))
+     .write.parquet(staged))
+    rows = spark.read.schema("value string, part int, i bigint").parquet(staged)
+    before = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", (
+        F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    # an id counts up from 2**33 times the partition's number
+    number = F.col("before") + F.col("i") - F.shiftleft(F.col("part").cast("bigint"), 33)
+    (rows.join(before, "part").select("value", F.floor(number / int(lines_per_file)).alias("file_no"))
+     .repartition("file_no").write.mode("append").partitionBy("file_no").text(folder))
+
+
+def timing(spark: SparkSession, folder: str) -> DataFrame:
+    """Write time per record of every micro-batch, from the rows the stream stored."""
+    df = spark.read.schema(TIMING_DDL).parquet(folder)
+    return df.withColumn("ms_per_row", F.col("write_ms") / F.nullif(F.col("n_rows"), F.lit(0)))

@@ -1,8 +1,8 @@
 """Line parsing and validation.
 
 ``parse_lines`` turns a one-column text DataFrame into the declared string
-columns; ``split_valid`` separates the records that pass the reference's
-checks from rejects that carry a reason.  Everything is one narrow
+columns; ``valid_records`` and ``rejects`` separate the records that pass the
+checks from those that carry a reason.  Everything is one narrow
 projection: no shuffle, whole-stage codegen.
 """
 
@@ -66,12 +66,19 @@ def _bad_number_sql(spec: LogSpec) -> str:
     return " OR ".join(checks) or "false"
 
 
+def _inexact_sql(spec: LogSpec) -> str:
+    return " OR ".join(f"NOT coalesce({Q.decimal_fits(Q.name(c))}, false)"
+                       for c in spec.decimal_columns if c in spec.columns) or "false"
+
+
 def reject_reason_sql(spec: LogSpec) -> str:
-    """'length', 'missing_key', 'bad_number' or null for a good record (Q11),
-    as one SQL expression over the parsed columns."""
+    """'length', 'missing_key', 'bad_number', 'inexact_number' (more decimals than
+    the cost type holds) or null for a good record (Q11), as one SQL
+    expression over the parsed columns."""
     return (f"CASE WHEN NOT ({_length_sql(spec)}) THEN 'length'"
             f" WHEN {_missing_sql(spec)} THEN 'missing_key'"
-            f" WHEN {_bad_number_sql(spec)} THEN 'bad_number' END")
+            f" WHEN {_bad_number_sql(spec)} THEN 'bad_number'"
+            f" WHEN {_inexact_sql(spec)} THEN 'inexact_number' END")
 
 
 def length_ok(df: DataFrame, spec: LogSpec) -> Column:
@@ -83,14 +90,10 @@ def length_ok(df: DataFrame, spec: LogSpec) -> Column:
 
 
 def reject_reason(df: DataFrame, spec: LogSpec) -> Column:
-    """'length', 'missing_key', 'bad_number' or null for a good record (Q11)."""
+    """The reason of ``reject_reason_sql`` as a column."""
     return F.expr(reject_reason_sql(spec))
 
 
-def with_reason(parsed: DataFrame, spec: LogSpec) -> DataFrame:
-    return parsed.withColumn("_reason", reject_reason(parsed, spec))
-
-
 def valid_records(parsed: DataFrame, spec: LogSpec) -> DataFrame:
     """Records that pass every check (the input of the key builders)."""
     return parsed.where(reject_reason(parsed, spec).isNull())
@@ -104,7 +107,3 @@ def rejects(parsed: DataFrame, spec: LogSpec, keep: tuple[str, ...] | list[str]
         F.col(N_FIELDS).alias("n_fields"), F.col("value"))
 
 
-def split_valid(parsed: DataFrame, spec: LogSpec, keep=()) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejects) from one parsed DataFrame.  Cache ``parsed`` first
-    when both sides are consumed by separate actions."""
-    return valid_records(parsed, spec), rejects(parsed, spec, keep)

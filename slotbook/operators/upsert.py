@@ -10,8 +10,8 @@ Here the upsert is set-based and replay-safe:
   written in overwrite mode, so replaying batch N replaces its own delta
   instead of adding it again.  The report is a compacted base plus the
   deltas after it; ``compact`` folds them into a new base version.
-* Publication to a database is by value (``publish_jdbc``: replace), never
-  by increment; a failing write fails the batch (Q14).
+* ``changed`` gives the current rows of the keys a batch touched: what a
+  publication by value has to write, never an increment.
 
 Report files are partitioned by ``slot_date`` so that a later reader (or a
 date-restricted upsert) prunes whole days.
@@ -23,32 +23,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotbook import session as S
-from slotbook.specs import COUNT_MEASURES, KEY_COLUMNS, MEASURES, REPORT_OUTPUT
+from slotbook.operators.dedup import first_arrivals
+from slotbook.specs import (COST_SUM_TYPE, COUNT_MEASURES, KEY_COLUMNS, KEY_PARTS, MEASURES,
+                            REPORT_OUTPUT)
 
 # Stored report rows, read with this schema (no inference over many files;
-# partition values keep their text form).
+# partition values keep their text form).  Cost stays a decimal in the store.
 REPORT_DDL = ", ".join(
-    f"`{c}` {'bigint' if c in COUNT_MEASURES else 'double' if c == 'cost' else 'string'}"
+    f"`{c}` {'bigint' if c in COUNT_MEASURES else COST_SUM_TYPE if c == 'cost' else 'string'}"
     for c in REPORT_OUTPUT)
+ARRIVAL_DDL = ("cookie string, dedup_order_id string, log_ms bigint, check_id string, "
+               + ", ".join(f"`{c}` string" for c in KEY_PARTS) + ", slot_ms bigint")
 
 
 def _sum(m: str):
-    """Counts add as BIGINT; cost is re-summed as a decimal so that repeated
-    accumulation stays exact (each stored double came from a 4-place decimal)."""
+    """Counts add as BIGINT, cost as an exact decimal."""
     if m == "cost":
-        return F.coalesce(F.sum(F.col(m).cast("decimal(38,4)")), F.lit(0)).cast("double").alias(m)
+        return F.coalesce(F.sum(F.col(m).cast(COST_SUM_TYPE)), F.lit(0)).cast(COST_SUM_TYPE).alias(m)
     return F.coalesce(F.sum(m), F.lit(0)).cast("bigint").alias(m)
 
 
+def published(report: DataFrame) -> DataFrame:
+    """The report as it leaves the engine: cost as DOUBLE."""
+    return report.withColumn("cost", F.col("cost").cast("double")).select(*REPORT_OUTPUT)
+
+
 def upsert(old: DataFrame, delta: DataFrame) -> DataFrame:
     """K2: old (null → 0) + new per measure for keys in both; either row
-    alone otherwise.  Both sides are in report form."""
+    alone otherwise.  Both sides are report rows with cost as a decimal."""
     rows = old.select(*REPORT_OUTPUT).unionByName(delta.select(*REPORT_OUTPUT))
     return rows.groupBy(*KEY_COLUMNS).agg(*[_sum(m) for m in MEASURES]).select(*REPORT_OUTPUT)
 
 
-def with_slot_date(report: DataFrame) -> DataFrame:
-    return report.withColumn("slot_date", F.substring("start_time", 1, 8))
+def by_slot_date(report: DataFrame) -> DataFrame:
+    """With its day, and dealt so that a day's rows are written by few tasks: the
+    rebalance also splits a day that is too large for one."""
+    return report.withColumn("slot_date", F.substring("start_time", 1, 8)).hint("rebalance", "slot_date")
 
 
 class ReportStore:
@@ -69,7 +79,7 @@ class ReportStore:
     so a compaction that dies half way is invisible and can be re-run.
     """
 
-    def __init__(self, spark: SparkSession, path: str, compact_every: int | None = None):
+    def __init__(self, spark: SparkSession, path: str, compact_every: int | None = 20):
         self.spark = spark
         self.path = path.rstrip("/")
         self.compact_every = compact_every
@@ -80,9 +90,35 @@ class ReportStore:
 
     def write_delta(self, delta: DataFrame, batch_id: int) -> None:
         """Idempotent: replaying ``batch_id`` overwrites its own folder."""
-        (with_slot_date(delta.select(*REPORT_OUTPUT)).write.mode("overwrite")
+        (by_slot_date(delta.select(*REPORT_OUTPUT)).write.mode("overwrite")
          .partitionBy("slot_date").parquet(f"{self.deltas}/batch_id={int(batch_id)}"))
 
+    def delta(self, batch_id: int) -> DataFrame:
+        """The rows that batch ``batch_id`` added (none for a batch without valid lines)."""
+        return (self.spark.read.schema(f"{REPORT_DDL}, slot_date string")
+                .parquet(f"{self.deltas}/batch_id={int(batch_id)}").select(*REPORT_OUTPUT))
+
+    def changed(self, batch_id: int) -> DataFrame:
+        """The current rows of the keys that batch ``batch_id`` touched (its delta must
+        not be pruned yet): what has to be published, by value, after it."""
+        keys = self.delta(batch_id).select(*KEY_COLUMNS)
+        return self.current().join(keys, list(KEY_COLUMNS), "left_semi")
+
+    # -- arrivals kept over all batches (dedup scope 'stream') ---------------
+    def write_arrivals(self, kept: DataFrame, batch_id: int) -> None:
+        """The batch's first arrival per (cookie, order id), by batch id."""
+        fields = [c.split()[0].strip("`") for c in ARRIVAL_DDL.split(", ")]
+        kept.select(*fields).write.mode("overwrite").parquet(f"{self.path}/arrivals/batch_id={int(batch_id)}")
+
+    def arrivals(self) -> DataFrame:
+        """The first arrival of each (cookie, order id) over all batches; later batches
+        may bring earlier ones, which then count instead."""
+        if not S.exists(self.spark, f"{self.path}/arrivals"):
+            return self.spark.createDataFrame([], ARRIVAL_DDL)
+        rows = (self.spark.read.schema(f"{ARRIVAL_DDL}, batch_id bigint")
+                .option("basePath", f"{self.path}/arrivals").parquet(f"{self.path}/arrivals"))
+        return first_arrivals(rows.drop("batch_id"))
+
     # -- compaction bookkeeping (metadata only) ---------------------------
     def _versions(self, folder: str) -> list[int]:
         """Complete ``upto=N`` folders (with ``_SUCCESS``), ascending."""
@@ -187,7 +223,7 @@ class ReportStore:
             if old is not None:
                 rows = rows.unionByName(old.select(*REPORT_OUTPUT))
             merged = rows.groupBy(*KEY_COLUMNS).agg(*[_sum(m) for m in MEASURES])
-            (with_slot_date(merged.select(*REPORT_OUTPUT)).write.mode("overwrite")
+            (by_slot_date(merged.select(*REPORT_OUTPUT)).write.mode("overwrite")
              .partitionBy("slot_date").parquet(f"{self.path}/base/upto={upto}"))
         entries = self.spark.createDataFrame([(d, upto) for d in dates],
                                              "slot_date string, version bigint")
@@ -205,22 +241,22 @@ class ReportStore:
         return target
 
     def prune(self, keep_manifests: int = 2) -> list[int]:
-        """Drop what readers no longer use: delta folders already folded into
-        the latest compaction, manifests older than the last
-        ``keep_manifests``, and base versions none of those references (also
-        the leftovers of a compaction that died).  Keeps listings and reads
-        short on a long stream.  Returns the deleted delta batch ids."""
+        """Drop what readers no longer use: manifests older than the last
+        ``keep_manifests``, the delta folders folded before the oldest of those (a report read
+        before the last compaction still holds the later ones), and base
+        versions no kept manifest references (also the leftovers of a
+        compaction that died).  Returns the deleted delta batch ids."""
         c = self.last_compaction()
         if c is None:
             return []
+        kept = self._versions("manifest")[-keep_manifests:]
         gone = []
         if S.exists(self.spark, self.deltas):
             for p in S.list_dirs(self.spark, self.deltas):
                 name = p.rstrip("/").rsplit("/", 1)[-1]
-                if name.startswith("batch_id=") and int(name[9:]) <= c:
+                if name.startswith("batch_id=") and len(kept) == keep_manifests and int(name[9:]) <= kept[0]:
                     S.delete(self.spark, p)
                     gone.append(int(name[9:]))
-        kept = self._versions("manifest")[-keep_manifests:]
         # one row per day and manifest: the versions still referenced
         used = set(kept)
         for v in kept:
@@ -249,9 +285,3 @@ class ReportStore:
         if every and (int(batch_id) + 1) % int(every) == 0:
             self.compact(batch_id)
             self.prune()
-
-
-def publish_jdbc(report: DataFrame, url: str, table: str, properties: dict | None = None) -> None:
-    """Publish the report by value: the table is replaced, not incremented,
-    so a replayed publication cannot double-count."""
-    report.select(*REPORT_OUTPUT).write.mode("overwrite").jdbc(url, table, properties=properties or {})

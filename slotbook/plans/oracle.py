@@ -62,12 +62,14 @@ def reason(t: str) -> str:
     missing = " OR ".join(f"{fld(t, c)} IS NULL" for c in need)
     bad = [f"NOT {is_long(fld(t, 'log_time'))}"]
     if t == "expose":
-        bad.append(f"TRY_CAST({jtrim(fld(t, 'cost'))} AS DECIMAL(18,4)) IS NULL")
+        bad.append(f"TRY_CAST({jtrim(fld(t, 'cost'))} AS DECIMAL(28,8)) IS NULL")
     if t == "arrive":
         p = part(fld(t, "id"), 3, 0)
         bad.append(f"({jtrim(p)} <> '' AND NOT {is_long(p)})")
+    fine = (f" WHEN regexp_matches({fld(t, 'cost')}, '[.][0-9]{{8}}[0-9]*[1-9]') THEN 'inexact_number'"
+            if t == "expose" else "")
     return (f"CASE WHEN NOT {length} THEN 'length' WHEN {missing} THEN 'missing_key'"
-            f" WHEN {' OR '.join(bad)} THEN 'bad_number' END")
+            f" WHEN {' OR '.join(bad)} THEN 'bad_number'{fine} END")
 
 
 def checked(t: str) -> str:
@@ -99,7 +101,7 @@ def keyed(t: str, extra_cols: str = "") -> str:
     ms = log_ms(fld(t, "log_time"))
     more = ""
     if t == "expose":
-        more = f", CAST({jtrim(fld(t, 'cost'))} AS DECIMAL(18,4)) AS cost_v"
+        more = f", CAST({jtrim(fld(t, 'cost'))} AS DECIMAL(28,8)) AS cost_v"
     if t == "arrive":
         p0 = part(fld(t, "id"), 3, 0)
         more = (f", {fld(t, 'cookie')} AS cookie, {part(fld(t, 'id'), 3, 6)} AS oid,"
@@ -118,13 +120,14 @@ def arrive_kept(scope: str = "all") -> str:
             f" AS rn FROM ({keyed('arrive', ', file_no, early')}) WHERE log_ms - 300000 <= id_ms) WHERE rn = 1")
 
 
-def contributions(t: str, scope: str = "all") -> str:
-    vals = {m: ("CAST(0 AS DECIMAL(18,4))" if m == "cost" else "CAST(0 AS BIGINT)") for m in MEASURES}
-    src = arrive_kept(scope) if t == "arrive" else keyed(t)
+def contributions(t: str, scope: str = "all", half: str = "") -> str:
+    """Contributions of type t; ``half`` (a condition on ``early``) takes some of the lines."""
+    vals = {m: ("CAST(0 AS DECIMAL(28,8))" if m == "cost" else "CAST(0 AS BIGINT)") for m in MEASURES}
+    src = arrive_kept(scope) if t == "arrive" else keyed(t, ", early")
     for m in OWN[t]:
         vals[m] = "cost_v" if m == "cost" else "CAST(1 AS BIGINT)"
     ms = ", ".join(f"{v} AS {m}" for m, v in vals.items())
-    return f"SELECT {', '.join(KEY_PARTS)}, slot_ms, {ms} FROM ({src})"
+    return f"SELECT {', '.join(KEY_PARTS)}, slot_ms, {ms} FROM ({src})" + (f" WHERE {half}" if half else "")
 
 
 def finish(src: str, measures=MEASURES) -> str:
@@ -142,8 +145,8 @@ def finish(src: str, measures=MEASURES) -> str:
     return f"SELECT {', '.join(cols)} FROM ({src}) GROUP BY {', '.join(KEY_PARTS)}, slot_ms"
 
 
-def with_lines(body: str) -> str:
-    return f"WITH lines AS ({duckdb_lines_sql()}) {body}"
+def with_lines(body: str, variant: str | None = None) -> str:
+    return f"WITH lines AS ({duckdb_lines_sql(variant)}) {body}"
 
 
 def report_sql(scope: str = "all", where: str = "") -> str:

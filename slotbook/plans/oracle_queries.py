@@ -18,15 +18,24 @@ ORACLES["parse_expose"] = W(
     "SELECT CAST(n AS INTEGER) AS n_fields, "
     + ", ".join(f'f[{i + 1}] AS "{c}"' for i, c in enumerate(EXPOSE.columns))
     + f" FROM ({O.parsed('expose')})")
+ORACLES["parse_all"] = W(" UNION ALL ".join(
+    f"SELECT '{t}' AS log_type, CAST(n AS INTEGER) AS n_fields, concat_ws('|', "
+    + ", ".join(f"'{i}=' || f[{i + 1}]" for i in range(SPECS[t].width)) + f") AS fields FROM ({O.parsed(t)})"
+    for t in LOG_TYPES))
 ORACLES["valid_logs"] = W(" UNION ALL ".join(
     f"SELECT '{t}' AS log_type, value FROM ({O.checked(t)}) WHERE reason IS NULL" for t in LOG_TYPES))
-ORACLES["rejected_logs"] = W(" UNION ALL ".join(
+_rejected = " UNION ALL ".join(
     f"SELECT '{t}' AS log_type, reason, CAST(n AS INTEGER) AS n_fields, value"
-    f" FROM ({O.checked(t)}) WHERE reason IS NOT NULL" for t in LOG_TYPES))
-ORACLES["split_fixed"] = W(
-    f"SELECT {O.fld('arrive', 'check_id')} AS check_id, "
-    + ", ".join(f"{O.part(O.fld('arrive', 'id'), 3, i)} AS p{i}" for i in range(8))
-    + f" FROM ({O.parsed('arrive')})")
+    f" FROM ({O.checked(t)}) WHERE reason IS NOT NULL" for t in LOG_TYPES)
+ORACLES["rejected_logs"] = W(_rejected)
+_ad = f"string_split({O.fld('bid', 'bitted_ad_info')}, chr(3))[1]"
+ORACLES["split_fixed"] = W(" UNION ALL ".join(
+    f"SELECT '{name}' AS field, {O.fld(t, ident)} AS record, "
+    + ", ".join((O.part(text, sep, i) if i < n else "''") + f" AS p{i}" for i in range(8))
+    + f" FROM ({O.parsed(t)})" for t, name, text, sep, n, ident in (
+        ("arrive", "id", O.fld("arrive", "id"), 3, 8, "check_id"),
+        ("bid", "bitted_ad_info", _ad, 4, 6, "bit_id"),
+        ("bid", "ad_pos_info", O.fld("bid", "ad_pos_info"), 4, 5, "bit_id"))))
 ORACLES["spec_catalog"] = W(" UNION ALL ".join(
     f"SELECT '{t}' AS log_type, {SPECS[t].width} AS n_columns, '{','.join(SPECS[t].key)}' AS key_columns,"
     f" count(*) AS n_lines, count(*) FILTER (WHERE n = {SPECS[t].width}) AS n_full_width"
@@ -34,26 +43,30 @@ ORACLES["spec_catalog"] = W(" UNION ALL ".join(
 
 # ---- scalars
 ORACLES["url_domain"] = "SELECT page_id, regexp_extract(url, '://([^/]*)', 1) AS domain FROM pages"
-_ms = O.log_ms(O.fld("expose", "log_time"))
-_sec = O.log_ms(f"substr({O.fld('expose', 'log_time')}, 1, 10)")
-_slot = f"({_ms} - ({_ms} % {O.SLOT_MS}))"
-_slot_sec = f"({_sec} - ({_sec} % {O.SLOT_MS}))"
-ORACLES["time_slot"] = W(
-    f"SELECT {O.fld('expose', 'expose_id')} AS expose_id,"
-    f" strftime(make_timestamp({_slot} * 1000), '%Y%m%d%H') AS hour_label,"
-    f" CAST(floor(minute(make_timestamp({_slot} * 1000)) / {O.N}) AS INTEGER) AS slot_index,"
-    f" {O.label(_slot)} AS slot_label, {O.label(_slot_sec)} AS slot_label_sec"
-    f" FROM ({O.checked('expose')}) WHERE reason IS NULL")
+RECORD_ID = {"bid": "bit_id", "expose": "expose_id", "click": "expose_id", "arrive": "check_id"}
+
+
+def _time_slot(t: str) -> str:
+    x = O.fld(t, "log_time")
+    a, b = (f"({m} - ({m} % {O.SLOT_MS}))" for m in (O.log_ms(x), O.log_ms(f"substr({x}, 1, 10)")))
+    return (f"SELECT '{t}' AS log_type, {O.fld(t, RECORD_ID[t])} AS record,"
+            f" strftime(make_timestamp({a} * 1000), '%Y%m%d%H') AS hour_label,"
+            f" CAST(floor(minute(make_timestamp({a} * 1000)) / {O.N}) AS INTEGER) AS slot_index,"
+            f" {O.label(a)} AS slot_label, {O.label(b)} AS slot_label_sec"
+            f" FROM ({O.checked(t)}) WHERE reason IS NULL")
+
+
+ORACLES["time_slot"] = W(" UNION ALL ".join(map(_time_slot, RECORD_ID)))
 _all = " UNION ALL ".join(O.contributions(t) for t in LOG_TYPES)
 ORACLES["slot_bounds"] = W(
     f"SELECT {O.label('slot_ms')} AS slot_label, {O.fmt('slot_ms')} AS start_time,"
     f" {O.fmt(f'slot_ms + {O.SLOT_MS - 1000}')} AS end_time, count(*) AS n_records"
     f" FROM ({_all}) GROUP BY slot_ms")
 ORACLES["blank_keys"] = W(
-    "SELECT area_raw, " + O.nz("area_raw") + " AS area_id, count(*) AS n FROM ("
-    + " UNION ALL ".join(f"SELECT {O.fld(t, 'area_id')} AS area_raw FROM ({O.checked(t)})"
-                         f" WHERE reason IS NULL" for t in ("expose", "click"))
-    + ") GROUP BY area_raw")
+    "SELECT log_type, field, raw, " + O.nz("raw") + " AS part, count(*) AS n FROM ("
+    + " UNION ALL ".join(f"SELECT '{t}' AS log_type, '{c}' AS field, {O.fld(t, c)} AS raw FROM ({O.checked(t)})"
+                         f" WHERE reason IS NULL" for t in LOG_TYPES for c in SPECS[t].key if c != "log_time")
+    + ") GROUP BY log_type, field, raw")
 
 # ---- keys
 _parts = ", ".join(KEY_PARTS)
@@ -73,8 +86,18 @@ ORACLES["arrive_first_per_file"] = W(
     f" {O.fmt('slot_ms')} AS start_time FROM ({O.arrive_kept('file')})")
 
 # ---- aggregates
-for _name in ("report_batch", "merge_deltas", "message_roundtrip"):
+for _name in ("report_batch", "merge_deltas"):
     ORACLES[_name] = W(REPORT)
+ORACLES["message_roundtrip"] = W(REPORT, "odd")
+ORACLES["cost_fine"] = W(
+    "SELECT reason, count(*) AS n, CAST(sum(cost) AS VARCHAR) AS cost FROM (SELECT coalesce(reason, '') AS reason,"
+    f" CASE WHEN reason IS NULL THEN CAST({O.jtrim(O.fld('expose', 'cost'))} AS DECIMAL(28,8)) ELSE 0 END AS cost"
+    f" FROM ({O.checked('expose')})) GROUP BY reason", "fine")
+_zeros = ", ".join("CAST(1 AS BIGINT) AS second_jump_cnt" if m == "second_jump_cnt" else
+                   f"CAST(0 AS {'DECIMAL(28,8)' if m == 'cost' else 'BIGINT'}) AS {m}" for m in MEASURES)
+ORACLES["report_plugin"] = W(O.finish(" UNION ALL ".join(
+    [O.contributions(t, "file") for t in LOG_TYPES]
+    + [f"SELECT {', '.join(KEY_PARTS)}, slot_ms, {_zeros} FROM ({O.keyed('click', ', event_id')}) WHERE event_id % 3 = 0"])))
 # old and new halves are de-duplicated each on its own (dedup scope is the batch)
 ORACLES["report_upsert"] = W(O.report_sql("early"))
 for _t in LOG_TYPES:
@@ -84,7 +107,7 @@ for _t in LOG_TYPES:
 # ---- messages
 def _message_sql(t: str) -> str:
     own = O.OWN[t]
-    sums = ", ".join(f"CAST(SUM({m}) AS {'DECIMAL(38,4)' if m == 'cost' else 'BIGINT'}) AS {m}"
+    sums = ", ".join(f"CAST(SUM({m}) AS {'DECIMAL(38,8)' if m == 'cost' else 'BIGINT'}) AS {m}"
                      for m in own)
     fields = [f"concat_ws(chr(31), {_parts}, {O.label('slot_ms')})"]
     for item in REPORT_ITEMS:
@@ -96,45 +119,79 @@ def _message_sql(t: str) -> str:
 
 ORACLES["delta_message"] = W(" UNION ALL ".join(_message_sql(t) for t in LOG_TYPES))
 
+ORACLES["two_stage_report"] = W(REPORT_FILE, "odd")
+_clicks = f"(SELECT count(*) FROM (SELECT DISTINCT {_parts}, slot_ms FROM ({O.contributions('click')})))"
+ORACLES["message_rejects"] = W(
+    f"SELECT reason, n * {_clicks} AS n FROM (VALUES ('', 1), ('fields', 2), ('row_key', 1), ('slot', 1),"
+    " ('measure', 1)) v(reason, n)")
+
 # ---- files
 ORACLES["pending_files"] = W(f"SELECT DISTINCT log_type, {FILE_NAME} AS name FROM lines WHERE file_no >= 2")
 ORACLES["ledger_prune"] = W(f"SELECT DISTINCT log_type, {FILE_NAME} AS name FROM lines WHERE file_no < 2")
 ORACLES["ledger_latest"] = W(
     "SELECT 'history_' || lpad(CAST(max(file_no) AS VARCHAR), 9, '0') || '.log' AS name FROM lines")
 ORACLES["source_file_audit"] = W(
-    f"SELECT log_type, {FILE_NAME} AS file_name, count(*) AS n_lines FROM lines GROUP BY log_type, file_no")
+    f"SELECT log_type, {FILE_NAME} AS file_name, count(*) AS n_lines, true AS timed"
+    " FROM lines GROUP BY log_type, file_no")
 
 # ---- streaming
 ORACLES["stream_file_ingest"] = ORACLES["scan_log_lines"]
 ORACLES["stream_report"] = W(REPORT_FILE)
 ORACLES["updated_keys"] = W(
     f"SELECT DISTINCT concat_ws(chr(31), {_parts}, start_time) AS row_key FROM ({REPORT_FILE})")
-ORACLES["stream_late_data"] = W(O.report_sql("file_early"))
+ORACLES["stream_late_data"] = W(O.report_sql("file_early"), "days")
+_early = " UNION ALL ".join(O.contributions(t, "file_early", "early") for t in LOG_TYPES)
+ORACLES["report_changes"] = W(
+    f"SELECT r.* FROM ({O.report_sql('file_early')}) r SEMI JOIN (SELECT DISTINCT {_parts},"
+    f" {O.fmt('slot_ms')} AS start_time FROM ({_early})) e USING ({_parts}, start_time)", "days")
+ORACLES["stream_rejects"] = W(_rejected + " UNION ALL SELECT 'stray', 'unknown_type', NULL, value FROM lines"
+                              " WHERE log_type = 'click' AND event_id % 5 = 0")
+_arrivals = O.finish(O.contributions("arrive"))
+ORACLES["arrive_any_cap"] = W(" UNION ALL ".join(
+    f"SELECT CAST({c} AS INTEGER) AS cap, * FROM ({_arrivals})" for c in (1, 3, 0)))
+ORACLES["arrive_late"] = W(
+    f"SELECT cookie, oid AS order_key, check_id, log_ms, {_parts}, {O.fmt('slot_ms')} AS start_time"
+    f" FROM ({O.arrive_kept('all')})", "days")
 ORACLES["stream_arrive_dedup"] = W(
-    f"SELECT DISTINCT cookie, oid AS order_key FROM ({O.keyed('arrive')}) WHERE log_ms - 300000 <= id_ms")
+    f"SELECT cookie, oid AS order_key, check_id, log_ms FROM ({O.arrive_kept('all')})")
 
 
 # ---- metrics
-def _stage_sql(t: str) -> str:
+def _stage_sql(t: str, scope: str = "all", half: str = "") -> str:
     w = SPECS[t].width
+    where = f" WHERE {half}" if half else ""
     length = f"coalesce({O.jtrim('f[1]')} = CAST(least(n, {w}) AS VARCHAR), false)"
     return (f"SELECT '{t}' AS log_type, stage, n_rows FROM (SELECT"
             f" CAST(count(*) AS BIGINT) AS s1, CAST(count(*) FILTER (WHERE {length}) AS BIGINT) AS s2,"
             f" CAST(count(*) FILTER (WHERE reason IS NULL) AS BIGINT) AS s3,"
             f" (SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT {_parts}, slot_ms"
-            f" FROM ({O.contributions(t)}))) AS s4 FROM ({O.checked(t)}))"
+            f" FROM ({O.contributions(t, scope, half)}))) AS s4 FROM ({O.checked(t)}){where})"
             " UNPIVOT (n_rows FOR stage IN (s1 AS '1-createStream', s2 AS '2-log_length_filter_after',"
             " s3 AS '3-map_after', s4 AS '4-groupByKey_map_after'))")
 
 
-_stages = " UNION ALL ".join(_stage_sql(t) for t in LOG_TYPES)
+def _stages_sql(scope: str = "all", half: str = "") -> str:
+    merged = " UNION ALL ".join(O.contributions(t, scope, half) for t in LOG_TYPES)
+    return " UNION ALL ".join([*(_stage_sql(t, scope, half) for t in LOG_TYPES),
+                               "SELECT 'merge' AS log_type, '3-groupByKey_map_after' AS stage, CAST(count(*) AS BIGINT)"
+                               f" AS n_rows FROM (SELECT DISTINCT {_parts}, slot_ms FROM ({merged}))"])
+
+
+_stages = _stages_sql()
 ORACLES["stage_counts"] = W(_stages)
-_msg = (f"SELECT concat_ws('%', log_type, CAST(n_rows AS VARCHAR), stage, 'batch-0',"
-        f" '2024-01-01 00:00:00') AS value FROM ({_stages})")
-ORACLES["metrics_message"] = W(_msg)
-ORACLES["metrics_archive"] = W(_msg)
+ORACLES["metrics_message"] = W(
+    f"SELECT concat_ws('%', log_type, CAST(n_rows AS VARCHAR), stage, 'batch-0',"
+    f" '2024-01-01 00:00:00') AS value FROM ({_stages})")
+# 17 messages, four to a file
+ORACLES["metrics_archive"] = W(
+    "SELECT n_lines, count(*) AS n_files FROM (SELECT count(*) AS n_lines FROM (SELECT row_number() OVER () - 1 AS i"
+    f" FROM ({_stages})) GROUP BY i // 4) GROUP BY n_lines")
 ORACLES["metrics_parse"] = W(
     f"SELECT log_type, n_rows, stage, 'batch-0' AS host, '2024-01-01 00:00:00' AS time FROM ({_stages})")
-ORACLES["report_files_job"] = W(REPORT_FILE)
-ORACLES["stream_stage_metrics"] = W(
-    f"SELECT log_type, stage, n_rows FROM ({_stages}) WHERE stage <> '4-groupByKey_map_after'")
+ORACLES["partition_counts"] = W(
+    "SELECT log_type, CAST(count(*) AS BIGINT) AS n_rows, true AS counted FROM lines GROUP BY log_type")
+# every (cookie, order id) once over all files
+ORACLES["report_files_job"] = W(REPORT)
+ORACLES["stream_stage_metrics"] = W(" UNION ALL ".join(
+    f"SELECT *, 'batch-{i}' AS host FROM ({_stages_sql('file_early', half)})"
+    for i, half in enumerate(("NOT early", "early"))))

@@ -10,33 +10,47 @@ and return what Spark read or wrote back.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotbook import session as S
-from slotbook.functions import (blank_to_zero, bounds_from_label, hour_label, pad_ms,
+from slotbook.functions import (blank_to_zero, bounds_from_label, first_element, hour_label, pad_ms,
                                 slot_end_text, slot_index, slot_label, slot_start_ms,
                                 slot_start_text, split_fixed, url_domain)
 from slotbook.operators import aggregate as A
 from slotbook.operators import dedup, keys, messages, metrics
 from slotbook.operators.parse import N_FIELDS, parse_lines
-from slotbook.operators.upsert import ReportStore, upsert
+from slotbook.functions import sql as Q
+from slotbook.operators.upsert import ReportStore, published, upsert
 from slotbook.plans import report as R
 from slotbook.sources import files as FS
 from slotbook.sources import kafka
 from slotbook.sources.fixture import fixture_lines, write_fixture_files
-from slotbook.specs import (ARRIVE, EXPOSE, KEY_PARTS, LEVEL1_SEPARATOR, LOG_TYPES, SPECS,
-                            ReportConfig, read_specs_xml, write_specs_xml)
+from slotbook.specs import (COST_TYPE, EXPOSE, KEY_PARTS, KEY_SEPARATOR, LEVEL1_SEPARATOR,
+                            LEVEL2_SEPARATOR, LOG_TYPES, MESSAGE_SEPARATOR, SPECS, ReportConfig,
+                            read_specs_xml, write_specs_xml)
 from slotbook.streaming import report_stream as RS
 
 CFG = ReportConfig()
 FILE_CFG = ReportConfig(dedup_scope="file")
+STREAM_CFG = ReportConfig(dedup_scope="stream")
+# the column that tells records of a type apart
+RECORD_ID = {"bid": "bit_id", "expose": "expose_id", "click": "expose_id", "arrive": "check_id"}
+# a log type of its own, declared like click
+JUMP = replace(SPECS["click"], log_type="jump")
 N = CFG.slot_minutes
 
 QUERIES: dict = {}
 VERSION_WIDTH = 9   # digits of a ledger version name
 
 
+@A.register("jump", ("second_jump_cnt",))
+def jump_contributions(valid, cfg, spec, scope=()):
+    return A.with_measures(keys.click_keys(valid, cfg, keep=scope), {"second_jump_cnt": A.ONE})
+
+
 def query(name: str):
     def deco(fn):
         QUERIES[name] = fn
@@ -63,8 +77,7 @@ def _key_out(df: DataFrame, id_col: str) -> DataFrame:
 def q_scan_log_lines(spark, sf_dir):
     """S1 + S3: text files of each log folder, in-progress files skipped."""
     root = write_fixture_files(spark, sf_dir)
-    df = FS.scan_lines(spark, [f"{root}/{t}" for t in LOG_TYPES])
-    return df.select("log_type", "file_name", "value")
+    return FS.scan_lines(spark, root).select("log_type", "file_name", "value")
 
 
 @query("kafka_lines")
@@ -84,6 +97,19 @@ def q_parse_expose(spark, sf_dir):
     return p.select(F.col(N_FIELDS).alias("n_fields"), *EXPOSE.columns)
 
 
+@query("parse_all")
+def q_parse_all(spark, sf_dir):
+    """P1 + P2 + F7 over all four types: fields by number, '\x02'-free text."""
+    frames = []
+    for t in LOG_TYPES:
+        p = parse_lines(R.typed_lines(lines(spark, sf_dir), t), SPECS[t])
+        named = F.concat_ws("|", *[F.concat(F.lit(f"{i}="), F.col(f"`{c}`"))
+                                   for i, c in enumerate(SPECS[t].columns)])
+        frames.append(p.select(F.lit(t).alias("log_type"), F.col(N_FIELDS).alias("n_fields"),
+                               named.alias("fields")))
+    return A.union_all(frames)
+
+
 @query("valid_logs")
 def q_valid_logs(spark, sf_dir):
     """Lines that pass the length, key and number checks."""
@@ -101,10 +127,18 @@ def q_rejected_logs(spark, sf_dir):
 
 @query("split_fixed")
 def q_split_fixed(spark, sf_dir):
-    """P10: the arrive composite id as eight parts, missing ones ''."""
-    p = parse_lines(R.typed_lines(lines(spark, sf_dir), "arrive"), ARRIVE)
-    parts = split_fixed(p["id"], LEVEL1_SEPARATOR, 8)
-    return p.select(F.col("check_id"), *[c.alias(f"p{i}") for i, c in enumerate(parts)])
+    """P10: the composite fields - the arrive id (8 parts), bid's first ad (6) and its
+    ad position (5) - as parts, missing ones ''."""
+    frames = []
+    for t, column, sep, n, ident in (("arrive", "id", LEVEL1_SEPARATOR, 8, "check_id"),
+                                     ("bid", "bitted_ad_info", LEVEL2_SEPARATOR, 6, "bit_id"),
+                                     ("bid", "ad_pos_info", LEVEL2_SEPARATOR, 5, "bit_id")):
+        p = parse_lines(R.typed_lines(lines(spark, sf_dir), t), SPECS[t])
+        text = first_element(p[column], LEVEL1_SEPARATOR) if column == "bitted_ad_info" else p[column]
+        parts = split_fixed(text, sep, n) + [F.lit("")] * (8 - n)
+        frames.append(p.select(F.lit(column).alias("field"), F.col(ident).alias("record"),
+                               *[c.alias(f"p{i}") for i, c in enumerate(parts)]))
+    return A.union_all(frames)
 
 
 @query("spec_catalog")
@@ -138,14 +172,18 @@ def q_url_domain(spark, sf_dir):
 
 @query("time_slot")
 def q_time_slot(spark, sf_dir):
-    """F2-F4 over expose log times, also read as 10-digit seconds (padding)."""
-    p = R.valid_of(lines(spark, sf_dir), "expose", CFG)
-    ms = keys.log_ms(p["log_time"])
-    sec_ms = pad_ms(F.substring(p["log_time"], 1, 10)).try_cast("bigint")
-    s1, s2 = slot_start_ms(ms, N), slot_start_ms(sec_ms, N)
-    return p.select(p["expose_id"], hour_label(s1).alias("hour_label"),
-                    slot_index(s1, N).alias("slot_index"), slot_label(s1, N).alias("slot_label"),
-                    slot_label(s2, N).alias("slot_label_sec"))
+    """F2-F4 over every type's log times, also read as 10-digit seconds (padding)."""
+    frames = []
+    for t, ident in RECORD_ID.items():
+        p = R.valid_of(lines(spark, sf_dir), t, CFG)
+        ms = keys.log_ms(p["log_time"])
+        sec_ms = pad_ms(F.substring(p["log_time"], 1, 10)).try_cast("bigint")
+        s1, s2 = slot_start_ms(ms, N), slot_start_ms(sec_ms, N)
+        frames.append(p.select(
+            F.lit(t).alias("log_type"), p[ident].alias("record"), hour_label(s1).alias("hour_label"),
+            slot_index(s1, N).alias("slot_index"), slot_label(s1, N).alias("slot_label"),
+            slot_label(s2, N).alias("slot_label_sec")))
+    return A.union_all(frames)
 
 
 @query("slot_bounds")
@@ -161,14 +199,19 @@ def q_slot_bounds(spark, sf_dir):
 
 @query("blank_keys")
 def q_blank_keys(spark, sf_dir):
-    """P17 + Q5: raw area text → key part ('' and '0' meet in one group)."""
+    """P17 + Q5: raw text of every declared column → key part ('' and '0' meet in one
+    group), all types."""
     ls = lines(spark, sf_dir)
     frames = []
-    for t in ("expose", "click"):
+    for t in LOG_TYPES:
         v = R.valid_of(ls, t, CFG)
-        frames.append(v.select(F.col("area_id").alias("area_raw"),
-                               blank_to_zero(F.col("area_id")).alias("area_id")))
-    return A.union_all(frames).groupBy("area_raw", "area_id").agg(F.count(F.lit(1)).alias("n"))
+        cells = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").alias("v"))
+                                    for c in SPECS[t].key if c != "log_time"]))
+        frames.append(v.select(cells.alias("x")).select(
+            F.lit(t).alias("log_type"), F.col("x.c").alias("field"), F.col("x.v").alias("raw"),
+            blank_to_zero(F.col("x.v")).alias("part")))
+    return (A.union_all(frames).groupBy("log_type", "field", "raw", "part")
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 # ---------------------------------------------------------------- keys
@@ -226,7 +269,7 @@ def q_arrive_first(spark, sf_dir):
 def q_arrive_first_per_file(spark, sf_dir):
     """T5: the same, de-duplicated within each source file."""
     root = write_fixture_files(spark, sf_dir)
-    src = {"arrive": FS.scan_lines(spark, f"{root}/arrive").select("value", "file_name")}
+    src = {"arrive": FS.scan_lines(spark, {"arrive": f"{root}/arrive"}).select("value", "file_name")}
     v = R.valid_of(src, "arrive", FILE_CFG, keep=("file_name",))
     return _first(keys.arrive_keys(v, FILE_CFG, keep=("file_name",)), ("file_name",))
 
@@ -264,9 +307,35 @@ def q_merge_deltas(spark, sf_dir):
 def q_report_upsert(spark, sf_dir):
     """Report of the first half-month, then the second added to it."""
     ls = lines(spark, sf_dir)
-    old = R.report(ls.where(F.col("early")), CFG)
-    new = R.report(ls.where(~F.col("early")), CFG)
-    return upsert(old, new)
+    old = R.report(ls.where(F.col("early")), CFG, stored=True)
+    new = R.report(ls.where(~F.col("early")), CFG, stored=True)
+    return published(upsert(old, new))
+
+
+@query("cost_fine")
+def q_cost_fine(spark, sf_dir):
+    """A2 + F6: costs of six decimals add up exactly, those of eleven are rejected."""
+    ls = fixture_lines(spark, sf_dir, variant="fine")
+    kept = R.valid_of(ls, "expose", CFG).select(
+        F.lit("").alias("reason"), F.expr(Q.decimal_or_null("cost")).alias("cost"))
+    gone = R.rejects_of(ls, "expose", CFG).select("reason", F.lit(0).cast(COST_TYPE).alias("cost"))
+    return kept.union(gone).groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("cost").cast("string").alias("cost"))
+
+
+@query("report_plugin")
+def q_report_plugin(spark, sf_dir):
+    """A fifth log type - declared like click, counted as second jumps - by its
+    declaration and handler alone; batch and stream give one report (the stream's here)."""
+    root = write_fixture_files(spark, sf_dir)
+    click = fixture_lines(spark, sf_dir).where("log_type = 'click' AND event_id % 3 = 0").select("value")
+    jumps = S.scratch_path(spark, "jump-logs")
+    click.write.text(jumps)
+    store = ReportStore(spark, S.scratch_path(spark, "plugin-report"))
+    cfg = FILE_CFG.with_spec(JUMP)
+    RS.run_report_stream(spark, {**FS.type_folders(root), "jump": jumps}, store,
+                         S.scratch_path(spark, "plugin-ckpt"), cfg, max_files=3)
+    return RS.stream_report(store, cfg)
 
 
 # ---------------------------------------------------------------- messages
@@ -285,10 +354,39 @@ def q_delta_message(spark, sf_dir):
     return _delta_messages(lines(spark, sf_dir))
 
 
+@query("message_rejects")
+def q_message_rejects(spark, sf_dir):
+    """Messages that are cut short, have a bad label, key or measure, by reason."""
+    msgs = _delta_messages(lines(spark, sf_dir)).where("log_type = 'click'").select("value")
+    sep, ks = MESSAGE_SEPARATOR, KEY_SEPARATOR
+    bad = A.union_all([msgs, *(msgs.select(e.alias("value")) for e in (
+        F.lit("garbage"), F.substring_index("value", sep, 20),
+        F.concat(F.lit(ks), "value"), F.regexp_replace("value", f"{ks}[0-9]+{sep}", f"{ks}2024019999{sep}"),
+        F.regexp_replace("value", f"{sep}([0-9]+){sep}", f"{sep}$1x{sep}")))])
+    return (messages.decode_rejects(bad, CFG).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+            .union(messages.decode(bad, CFG).select(F.lit("").alias("reason"))
+                   .groupBy("reason").agg(F.count(F.lit(1)).alias("n"))))
+
+
+@query("two_stage_report")
+def q_two_stage_report(spark, sf_dir):
+    """T6 + K1 + S7: a stream of lines → records with Kafka's columns → a second stream → the
+    report, with every separator inside the referer."""
+    root = write_fixture_files(spark, sf_dir, variant="odd")
+    topic = S.scratch_path(spark, "merge-topic")
+    RS.run_delta_stream(RS.file_lines_stream(spark, root, 5), topic, S.scratch_path(spark, "stage1-ckpt"), FILE_CFG)
+    store = ReportStore(spark, S.scratch_path(spark, "two-stage"), compact_every=2)
+    records = (spark.readStream.schema("key binary, value binary, topic string")
+               .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 8).parquet(topic))
+    RS.run_merge_stream(records, store, S.scratch_path(spark, "stage2-ckpt"), FILE_CFG,
+                        rejects_dir=S.scratch_path(spark, "stage2-rejects"))
+    return RS.stream_report(store, FILE_CFG)
+
+
 @query("message_roundtrip")
 def q_message_roundtrip(spark, sf_dir):
-    """P14-P16 + T6: messages decoded and merged give the report."""
-    msgs = _delta_messages(lines(spark, sf_dir)).select("value")
+    """P14-P16 + T6: messages decoded and merged give the report, whatever the referer holds."""
+    msgs = _delta_messages(fixture_lines(spark, sf_dir, variant="odd")).select("value")
     return A.finish(messages.merge(messages.decode(msgs, CFG)), CFG)
 
 
@@ -319,9 +417,9 @@ def q_pending_files(spark, sf_dir):
 @query("ledger_prune")
 def q_ledger_prune(spark, sf_dir):
     """Ledger entries whose file still exists."""
-    _, listing, ledger = _ledger(spark, sf_dir)
+    root, listing, ledger = _ledger(spark, sf_dir)
     kept = FS.prune(ledger, listing)
-    return kept.select(FS.parent_name(F.col("path")).alias("log_type"),
+    return kept.select(FS.type_below(spark, F.col("path"), root).alias("log_type"),
                        FS.base_name(F.col("path")).alias("name"))
 
 
@@ -343,15 +441,16 @@ def q_ledger_latest(spark, sf_dir):
         for j, p in enumerate(sorted(S.list_files(spark, d))):
             S.rename(spark, p, f"{hist}/history_{int(v):0{VERSION_WIDTH}d}{'' if j == 0 else f'-{j}'}.log")
     S.touch(spark, f"{hist}/history_{'9' * VERSION_WIDTH}.log")
-    return FS.latest_version(FS.listing(spark, hist, recursive=False))
+    return FS.latest_version(FS.listing(spark, hist))
 
 
 @query("source_file_audit")
 def q_source_file_audit(spark, sf_dir):
-    """K5: each source file taken, with its line count."""
+    """K5: each source file taken, with its line count, and that its time is known and past."""
     root = write_fixture_files(spark, sf_dir)
-    audit = FS.audit(FS.scan_lines(spark, [f"{root}/{t}" for t in LOG_TYPES]))
-    return audit.select("log_type", "file_name", "n_lines")
+    audit = FS.audit(FS.scan_lines(spark, root))
+    return audit.select("log_type", "file_name", "n_lines",
+                        F.coalesce(F.col("file_modified") <= F.current_timestamp(), F.lit(False)).alias("timed"))
 
 
 # ---------------------------------------------------------------- streaming
@@ -366,77 +465,115 @@ def q_stream_file_ingest(spark, sf_dir):
     return spark.read.parquet(sink).select("log_type", "file_name", "value")
 
 
-def _stream_store(spark, sf_dir, audit: bool = False):
+def _stream_store(spark, sf_dir, **dirs):
     root = write_fixture_files(spark, sf_dir)
     # compacted every two micro-batches, as a long-running stream would be
     store = ReportStore(spark, S.scratch_path(spark, "report"), compact_every=2)
-    audit_dir = S.scratch_path(spark, "updated") if audit else None
-    q = RS.run_report_stream(spark, root, store, S.scratch_path(spark, "report-ckpt"),
-                             FILE_CFG, max_files=10, audit_dir=audit_dir)
-    return store, audit_dir, q
+    RS.run_report_stream(spark, root, store, S.scratch_path(spark, "report-ckpt"), FILE_CFG, max_files=5, **dirs)
+    return store
 
 
 @query("stream_report")
 def q_stream_report(spark, sf_dir):
-    """The report built micro-batch by micro-batch (4 files each)."""
-    store, _, _ = _stream_store(spark, sf_dir)
-    return store.current()
+    """The report built micro-batch by micro-batch (5 files each)."""
+    return RS.stream_report(_stream_store(spark, sf_dir), FILE_CFG)
 
 
 @query("updated_keys")
 def q_updated_keys(spark, sf_dir):
     """K3: the keys each micro-batch updated (distinct over batches)."""
-    _, audit_dir, _ = _stream_store(spark, sf_dir, audit=True)
+    audit_dir = S.scratch_path(spark, "updated")
+    _stream_store(spark, sf_dir, audit_dir=audit_dir)
     return spark.read.text(audit_dir).select(F.col("value").alias("row_key")).distinct()
 
 
-@query("stream_late_data")
-def q_stream_late_data(spark, sf_dir):
-    """T4: second-half-month files first, then first-half files arriving
-    late for the same slots; the late records add to the old rows."""
+@query("stream_rejects")
+def q_stream_rejects(spark, sf_dir):
+    """The lines each micro-batch rejected, and those of a folder that is no log type."""
+    root = write_fixture_files(spark, sf_dir, reuse=False)
+    fixture_lines(spark, sf_dir).where("log_type = 'click' AND event_id % 5 = 0").select("value").write.text(
+        f"{root}/stray/deep")
+    out = S.scratch_path(spark, "rejects")
+    store = ReportStore(spark, S.scratch_path(spark, "rejects-report"))
+    RS.run_report_stream(spark, root, store, S.scratch_path(spark, "rejects-ckpt"), FILE_CFG, max_files=7,
+                         rejects_dir=out)
+    return (spark.read.schema("log_type string, reason string, n_fields int, value string")
+            .option("basePath", out).parquet(out).select("log_type", "reason", "n_fields", "value"))
+
+
+def _two_runs(spark, sf_dir, cfg, variant=None, max_files=None, **dirs):
+    """Second-half-month files first, then first-half files arriving late."""
     root = S.scratch_path(spark, "late")
     store = ReportStore(spark, S.scratch_path(spark, "late-report"), compact_every=2)
     ckpt = S.scratch_path(spark, "late-ckpt")
-    write_fixture_files(spark, sf_dir, where="NOT early", root=root, with_tmp=False)
-    RS.run_report_stream(spark, root, store, ckpt, FILE_CFG, max_files=None)
-    write_fixture_files(spark, sf_dir, where="early", root=root, suffix="-late", with_tmp=False)
-    RS.run_report_stream(spark, root, store, ckpt, FILE_CFG, max_files=None)
-    return store.current()
+    for where, suffix in (("NOT early", ""), ("early", "-late")):
+        write_fixture_files(spark, sf_dir, where=where, root=root, suffix=suffix, with_tmp=False, variant=variant)
+        RS.run_report_stream(spark, root, store, ckpt, cfg, max_files=max_files, **dirs)
+    return store
 
 
-@query("stream_stage_metrics")
-def q_stream_stage_metrics(spark, sf_dir):
-    """M1-M3 in the stream: stage counts observed in each micro-batch,
-    archived as metric messages, parsed back and summed over the batches
-    (lines read, length check passed, valid records)."""
+@query("stream_late_data")
+def q_stream_late_data(spark, sf_dir):
+    """T4: late files add to the old rows of their slots, over all days of the month."""
+    return RS.stream_report(_two_runs(spark, sf_dir, FILE_CFG, "days"), FILE_CFG)
+
+
+@query("report_changes")
+def q_report_changes(spark, sf_dir):
+    """K2: the current rows of the keys the last batch touched: what is published after it."""
+    store = _two_runs(spark, sf_dir, FILE_CFG, "days")
+    return published(store.changed(1))
+
+
+@query("arrive_any_cap")
+def q_arrive_any_cap(spark, sf_dir):
+    """T5: with the scope 'stream', the report is the same for every cap on files a batch."""
     root = write_fixture_files(spark, sf_dir)
-    store = ReportStore(spark, S.scratch_path(spark, "metrics-report"))
-    metrics_dir = S.scratch_path(spark, "stream-metrics")
-    RS.run_report_stream(spark, root, store, S.scratch_path(spark, "metrics-ckpt"), FILE_CFG,
-                         max_files=10, metrics_dir=metrics_dir)
-    parsed = metrics.parse_messages(spark.read.text(metrics_dir))
-    return (parsed.where(F.col("stage") != metrics.STAGES[3])
-            .groupBy("log_type", "stage").agg(F.sum("n_rows").cast("bigint").alias("n_rows")))
+    frames = []
+    for cap in (1, 3, None):
+        store = ReportStore(spark, S.scratch_path(spark, "cap-report"), compact_every=2)
+        RS.run_report_stream(spark, FS.type_folders(root, ("arrive",)), store, S.scratch_path(spark, "cap-ckpt"),
+                             STREAM_CFG, max_files=cap)
+        frames.append(RS.stream_report(store, STREAM_CFG).select(F.lit(cap or 0).alias("cap"), "*"))
+    return A.union_all(frames)
+
+
+@query("arrive_late")
+def q_arrive_late(spark, sf_dir):
+    """T5: earlier arrivals that come in later files take the place of those kept so far;
+    none is dropped as late."""
+    store = _two_runs(spark, sf_dir, STREAM_CFG, "days", max_files=3)
+    return store.arrivals().select("cookie", F.col("dedup_order_id").alias("order_key"), "check_id", "log_ms",
+                                   *KEY_PARTS, slot_start_text(F.col("slot_ms")).alias("start_time"))
 
 
 @query("stream_arrive_dedup")
 def q_stream_arrive_dedup(spark, sf_dir):
     """T5 across micro-batches: one arrive file per batch (the same cookie and
     order recur in several files), each (cookie, order id) kept once over
-    the stream.  The watermark delay exceeds the fixture's one-day span of
-    event times, so no arrival is dropped as late."""
+    the stream, with the record that was kept."""
     root = write_fixture_files(spark, sf_dir)
-    sink = S.scratch_path(spark, "arrive-dedup")
-    RS.run_arrive_dedup_stream(spark, root, sink, S.scratch_path(spark, "arrive-dedup-ckpt"),
-                               CFG, delay="25 hours", max_files=1)
-    return spark.read.parquet(sink).select("cookie", F.col("dedup_order_id").alias("order_key"))
+    store = ReportStore(spark, S.scratch_path(spark, "arrive-dedup"))
+    RS.run_report_stream(spark, FS.type_folders(root, ("arrive",)), store,
+                         S.scratch_path(spark, "arrive-dedup-ckpt"), STREAM_CFG, max_files=1)
+    return store.arrivals().select("cookie", F.col("dedup_order_id").alias("order_key"), "check_id", "log_ms")
+
+
+@query("stream_stage_metrics")
+def q_stream_stage_metrics(spark, sf_dir):
+    """M1-M3 in the stream: the stage counts of each micro-batch, archived as metric
+    messages and parsed back (batch 0: second half-month, batch 1: first)."""
+    metrics_dir = S.scratch_path(spark, "stream-metrics")
+    _two_runs(spark, sf_dir, FILE_CFG, metrics_dir=metrics_dir)
+    return metrics.parse_messages(spark.read.text(metrics_dir)).select("log_type", "stage", "n_rows", "host")
 
 
 @query("batch_timing")
 def q_batch_timing(spark, sf_dir):
-    """Per micro-batch duration per row (rows only: times vary)."""
-    _, _, q = _stream_store(spark, sf_dir)
-    return metrics.batch_timing(spark, [p for p in q.recentProgress])
+    """Write time per record of every micro-batch (rows only: times vary)."""
+    timing_dir = S.scratch_path(spark, "timing")
+    _stream_store(spark, sf_dir, timing_dir=timing_dir)
+    return metrics.timing(spark, timing_dir)
 
 
 # ---------------------------------------------------------------- metrics
@@ -468,19 +605,30 @@ def q_metrics_parse(spark, sf_dir):
 
 @query("metrics_archive")
 def q_metrics_archive(spark, sf_dir):
-    """K4: messages archived four lines per file, read back."""
+    """K4: messages archived four lines per file, from more tasks than files: the lines
+    of each file, largest files first, and a digest of all lines."""
     folder = S.scratch_path(spark, "metrics")
     msgs = metrics.messages(metrics.stage_counts(lines(spark, sf_dir), CFG), 0, _metric_ts())
-    metrics.archive(msgs, folder, 4)
-    return spark.read.text(folder).select("value")
+    metrics.archive(msgs.repartition(7), folder, 4)
+    rows = spark.read.text(folder)
+    return rows.select("value", F.col("_metadata.file_path").alias("f")).groupBy("f").agg(
+        F.count(F.lit(1)).alias("n_lines")).groupBy("n_lines").agg(F.count(F.lit(1)).alias("n_files"))
+
+
+@query("partition_counts")
+def q_partition_counts(spark, sf_dir):
+    """Lines per partition and type, summed: every line is in one partition."""
+    counts = metrics.per_partition(lines(spark, sf_dir).select("log_type"), "log_type")
+    return counts.groupBy("log_type").agg(F.sum("n_rows").alias("n_rows"),
+                                          (F.count(F.lit(1)) > 0).alias("counted"))
 
 
 @query("report_files_job")
 def q_report_files_job(spark, sf_dir):
-    """§3.2: batch jobs over the watched folders, ten files per job, ledger
-    first, delta by batch id; the accumulated report."""
-    from slotbook.plans.batch_job import BatchJob
+    """§3.2: the batch job over watched folders: every pending file, ten a batch, then stop."""
     root = write_fixture_files(spark, sf_dir)
     store = ReportStore(spark, S.scratch_path(spark, "job-report"), compact_every=2)
-    BatchJob(spark, root, store, S.scratch_path(spark, "job-ledger"), FILE_CFG, 10).run_all()
-    return store.current()
+    ckpt = S.scratch_path(spark, "job-ckpt")
+    for _ in range(2):          # the second launch finds no new file
+        RS.run_report_stream(spark, FS.type_folders(root), store, ckpt, STREAM_CFG, max_files=10)
+    return RS.stream_report(store, STREAM_CFG)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from slotbook.operators import aggregate as A
 from slotbook.operators.parse import parse_lines, rejects, valid_records
-from slotbook.specs import LOG_TYPES, ReportConfig
+from slotbook.specs import ReportConfig
 
 
 def typed_lines(lines: DataFrame | dict[str, DataFrame], log_type: str) -> DataFrame:
@@ -36,19 +36,33 @@ def contributions_of(lines, log_type: str, cfg: ReportConfig, scope=()) -> DataF
     return A.contributions(valid_of(lines, log_type, cfg, keep=scope), log_type, cfg, scope)
 
 
-def all_contributions(lines, cfg: ReportConfig, scope=(), types=LOG_TYPES) -> DataFrame:
-    present = [t for t in types if not isinstance(lines, dict) or t in lines]
+def unknown_lines(lines: DataFrame, cfg: ReportConfig, keep=()) -> DataFrame:
+    """Lines whose log type is not declared, in the rejects' form."""
+    known = F.col("log_type").isin(*cfg.log_types)
+    return lines.where(~F.coalesce(known, F.lit(False))).select(
+        *keep, F.col("log_type"), F.lit("unknown_type").alias("reason"),
+        F.lit(None).cast("int").alias("n_fields"), F.col("value"))
+
+
+def all_rejects(lines: DataFrame, cfg: ReportConfig, keep=()) -> DataFrame:
+    """Every line that no record is made of, with its reason."""
+    return A.union_all([rejects_of(lines, t, cfg, keep) for t in cfg.log_types]
+                       + [unknown_lines(lines, cfg, keep)])
+
+
+def all_contributions(lines, cfg: ReportConfig, scope=(), types=None) -> DataFrame:
+    present = [t for t in types or cfg.log_types if not isinstance(lines, dict) or t in lines]
     return A.union_all([contributions_of(lines, t, cfg, scope) for t in present])
 
 
-def report_rows(lines, cfg: ReportConfig = ReportConfig(), scope=()) -> DataFrame:
+def report_rows(lines, cfg: ReportConfig = ReportConfig(), scope=(), types=None) -> DataFrame:
     """A5 + A6 + U1: the report of a set of lines, aggregated with one shuffle
     (arrive de-duplication adds its own, on (cookie, order id))."""
-    return A.sum_measures(all_contributions(lines, cfg, scope))
+    return A.sum_measures(all_contributions(lines, cfg, scope, types))
 
 
-def report(lines, cfg: ReportConfig = ReportConfig(), scope=()) -> DataFrame:
-    return A.finish(report_rows(lines, cfg, scope), cfg)
+def report(lines, cfg: ReportConfig = ReportConfig(), scope=(), stored: bool = False) -> DataFrame:
+    return A.finish(report_rows(lines, cfg, scope), cfg, stored=stored)
 
 
 def type_delta(lines, log_type: str, cfg: ReportConfig = ReportConfig(), scope=()) -> DataFrame:

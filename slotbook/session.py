@@ -51,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="slotbook-ckpt-")
         sc.setCheckpointDir(d)
     elif not sc.getCheckpointDir():
@@ -70,6 +72,13 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def raw_path(spark: SparkSession, path: str) -> str:
+    """The path part of ``path`` as it stands in ``_metadata.file_path``
+    (percent-encoded, without scheme and host)."""
+    fs, p = _fs(spark, path)
+    return fs.makeQualified(p).toUri().getRawPath().rstrip("/")
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> None:
     """Metadata-only move on the cluster filesystem."""
     fs, s = _fs(spark, src)

@@ -15,50 +15,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotbook.session import raw_path
+from slotbook.specs import LOG_TYPES
 
-def parent_name(path: Column) -> Column:
-    """Name of the folder holding a file (the log type).  Evaluated for every
-    line of a scan, so plain string functions, not a regular expression."""
-    return F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+
+def type_below(spark: SparkSession, path: Column, root: str) -> Column:
+    """The log type of a file: the first folder below ``root``, however deep
+    the file lies.  Evaluated for every line of a scan, so plain string functions,
+    not a regular expression."""
+    top = raw_path(spark, root) + "/"
+    rest = F.substr(path, F.locate(top, path) + F.lit(len(top)))
+    return F.when(F.instr(rest, "/") > 0, F.substring_index(rest, "/", 1))
 
 
 def base_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
 
-def scan_lines(spark: SparkSession, paths: str | list[str], recursive: bool = True) -> DataFrame:
-    """Lines of text files with the identity of their file.
-
-    Columns: ``value``, ``file_path``, ``file_name``, ``file_modified``,
-    ``log_type`` (the parent folder's name)."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    df = spark.read.option("recursiveFileLookup", str(recursive).lower()).text(paths)
+def scan_lines(spark: SparkSession, roots: str | dict[str, str]) -> DataFrame:
+    """Lines of text files, at any depth, with the identity of their file.
+
+    ``roots``: a folder with one sub-folder per log type, or a folder for each
+    log type.  Columns: ``value``, ``file_path``, ``file_name``,
+    ``file_modified``, ``log_type``."""
+    if isinstance(roots, dict):
+        frames = [scan_lines(spark, r).withColumn("log_type", F.lit(t)) for t, r in roots.items()]
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
+    df = spark.read.option("recursiveFileLookup", "true").text(roots)
+    path = F.col("_metadata.file_path")
     return df.select(
-        "value",
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
+        "value", path.alias("file_path"), F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_modification_time").alias("file_modified"),
-        parent_name(F.col("_metadata.file_path")).alias("log_type"),
-    )
+        type_below(spark, path, roots).alias("log_type"))
 
 
-def typed_sources(spark: SparkSession, root: str, types=("bid", "expose", "click", "arrive"),
-                  keep_file: bool = True) -> dict[str, DataFrame]:
-    """One line source per log type from ``{root}/{log_type}/``."""
-    out = {}
-    for t in types:
-        df = scan_lines(spark, f"{root.rstrip('/')}/{t}")
-        out[t] = df.select("value", "file_path", "file_name") if keep_file else df.select("value")
-    return out
+def type_folders(root: str, types=LOG_TYPES) -> dict[str, str]:
+    """The usual layout: ``{root}/{log_type}``."""
+    return {t: f"{root.rstrip('/')}/{t}" for t in types}
 
 
-def listing(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
+def listing(spark: SparkSession, root: str) -> DataFrame:
     """Files under ``root``: path, name, log_type, modified, length (no content read)."""
-    df = (spark.read.format("binaryFile")
-          .option("recursiveFileLookup", str(recursive).lower()).load(root))
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     return df.select(
         F.col("path"), base_name(F.col("path")).alias("name"),
-        parent_name(F.col("path")).alias("log_type"),
+        type_below(spark, F.col("_metadata.file_path"), root).alias("log_type"),
         F.col("modificationTime").alias("modified"), F.col("length"))
 
 

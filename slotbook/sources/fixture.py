@@ -38,6 +38,7 @@ BASE = {
 # least number of files per log type (the per-file oracles count on it).
 ROWS_PER_FILE = 1_000_000
 MIN_FILES = 4
+DATED = "2024-01-01/h00"
 FILES_SQL = (f"(SELECT greatest({MIN_FILES}, CAST(ceil(count(*) / {ROWS_PER_FILE}.0) AS BIGINT))"
              " FROM events)")
 
@@ -65,6 +66,25 @@ DERIVED = {
 }
 
 
+# variants of the lines: finer costs (some too fine), separators inside the referer,
+# and event times not folded into one day
+VARIANTS = {
+    "fine": {"cost": (f"{DERIVED['cost']} || CASE WHEN k % 17 = 0 THEN '000400001' ELSE '0004' END")},
+    "odd": {"dom": f"{DERIVED['dom']} || chr(31) || 'q' || chr(30) || chr(27) || '1'"},
+    "days": {},
+}
+UNFOLDED_MS = {"spark": "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)",
+               "duckdb": "epoch_us(ts) // 1000"}
+
+
+def _columns(engine: str, variant: str | None) -> tuple[dict, dict]:
+    """Base and derived columns of a variant."""
+    base = dict(BASE[engine])
+    if variant == "days":
+        base["ms"] = UNFOLDED_MS[engine]
+    return base, {**DERIVED, **(VARIANTS[variant] if variant else {})}
+
+
 def _join(fields: list[str], sep_code: int) -> str:
     return f"concat_ws(chr({sep_code}), " + ", ".join(fields) + ")"
 
@@ -139,10 +159,10 @@ LOG_TYPE_SQL = ("CASE event_type WHEN 'view' THEN 'expose' WHEN 'error' THEN 'ex
                 " WHEN 'purchase' THEN 'arrive' END")
 
 
-def duckdb_lines_sql() -> str:
+def duckdb_lines_sql(variant: str | None = None) -> str:
     """``lines(event_id, file_no, early, log_type, value)`` as DuckDB SQL."""
-    b = BASE["duckdb"]
-    derived = ", ".join(f"{v} AS {k}" for k, v in DERIVED.items())
+    b, d = _columns("duckdb", variant)
+    derived = ", ".join(f"{v} AS {k}" for k, v in d.items())
     return (
         f"SELECT event_id, event_id % {FILES_SQL} AS file_no, early, log_type, value FROM ("
         f" SELECT event_id, early, {LOG_TYPE_SQL} AS log_type, {value_sql()} AS value FROM ("
@@ -168,19 +188,20 @@ def spread(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return df if _SPLITS[key] >= cores else df.repartition(cores)
 
 
-def fixture_lines(spark: SparkSession, sf_dir: str, n_files: int = MIN_FILES) -> DataFrame:
+def fixture_lines(spark: SparkSession, sf_dir: str, n_files: int = MIN_FILES,
+                  variant: str | None = None) -> DataFrame:
     """``(event_id, file_no, early, log_type, value)``: one line per event,
     ``file_no`` = ``event_id % n_files``.
 
     One union branch per event type with a literal log type, so a filter on
     ``log_type`` prunes whole branches and each branch's projection stays
     small enough for whole-stage codegen."""
-    b = BASE["spark"]
+    b, derived = _columns("spark", variant)
     path = f"{sf_dir}/events.parquet"
     ev = spread(spark, spark.read.parquet(path), path).selectExpr(
         "event_id", "user_id", "event_type", "value",
         f"{b['k']} AS k", f"{b['ms']} AS ms", f"{b['early']} AS early")
-    ev = ev.selectExpr("*", *[f"{v} AS {k}" for k, v in DERIVED.items()])
+    ev = ev.selectExpr("*", *[f"{v} AS {k}" for k, v in derived.items()])
     out = None
     for etype, (ltype, sql) in renderings().items():
         part = ev.where(F.col("event_type") == etype).selectExpr(
@@ -195,9 +216,10 @@ _FILE_CACHE: dict[tuple[str, str], str] = {}
 
 def write_fixture_files(spark: SparkSession, sf_dir: str, reuse: bool = True,
                         where: str | None = None, root: str | None = None,
-                        suffix: str = "", with_tmp: bool = True) -> str:
-    """Write the lines as files ``{root}/{log_type}/{file_no}{suffix}.log`` plus
-    an in-progress ``_part.tmp`` in each folder (must be skipped by readers).
+                        suffix: str = "", with_tmp: bool = True, variant: str | None = None) -> str:
+    """Write the lines as files ``{root}/{log_type}/{file_no}{suffix}.log``, those with
+    an odd number in a dated sub-folder, plus an in-progress ``_part.tmp``
+    in each type's folder (must be skipped by readers).
 
     Spark writes the data (one task per type and file number, so one file
     each); the driver only renames the finished part files.  ``where``
@@ -205,12 +227,12 @@ def write_fixture_files(spark: SparkSession, sf_dir: str, reuse: bool = True,
     files to an existing folder.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    cacheable = reuse and where is None and root is None and not suffix and with_tmp
+    cacheable = reuse and where is None and root is None and not suffix and with_tmp and not variant
     if cacheable and key in _FILE_CACHE and S.exists(spark, _FILE_CACHE[key]):
         return _FILE_CACHE[key]
     root = root or S.scratch_path(spark, "logs")
     staging = S.scratch_path(spark, "staging")
-    lines = fixture_lines(spark, sf_dir, files_per_type(spark, sf_dir))
+    lines = fixture_lines(spark, sf_dir, files_per_type(spark, sf_dir), variant)
     if where:
         lines = lines.where(where)
     # one task per (type, file): each writes at most ROWS_PER_FILE lines
@@ -226,8 +248,9 @@ def write_fixture_files(spark: SparkSession, sf_dir: str, reuse: bool = True,
         folders = S.list_dirs(spark, type_dir) if S.exists(spark, type_dir) else []
         for folder in folders:
             n = folder.rstrip("/").rsplit("=", 1)[-1]
+            deep = f"{DATED}/" if int(n) % 2 else ""
             for j, p in enumerate(sorted(S.list_files(spark, folder))):
-                S.rename(spark, p, f"{root}/{t}/{n}{suffix}{'' if j == 0 else f'-{j}'}.log")
+                S.rename(spark, p, f"{root}/{t}/{deep}{n}{suffix}{'' if j == 0 else f'-{j}'}.log")
         tmp_dir = f"{staging}/tmp/log_type={t}"
         if with_tmp and S.exists(spark, tmp_dir):
             for j, p in enumerate(sorted(S.list_files(spark, tmp_dir))):

@@ -1,4 +1,4 @@
-"""Kafka topics as line sources and message sinks.
+"""Kafka topics as line sources (S7, S9); ``messages.kafka_records`` makes the sink's columns (K1).
 
 The value of a record is the line; the key is ignored.  ``decode`` works
 on any DataFrame with Kafka's columns (``key``, ``value`` binary,
@@ -34,10 +34,3 @@ def read_topics(spark: SparkSession, servers: str, topics: list[str], streaming:
     for k, v in (options or {}).items():
         r = r.option(k, v)
     return decode(r.load())
-
-
-def write_messages(messages: DataFrame, servers: str, topic: str):
-    """K1 (batch form): message text as both key and value."""
-    v = F.encode(F.col("value"), "UTF-8")
-    (messages.select(v.alias("key"), v.alias("value")).write.format("kafka")
-     .option("kafka.bootstrap.servers", servers).option("topic", topic).save())

@@ -48,6 +48,15 @@ CLICK_KEY = "log_time,ad_id,order_id,activity_id,media_url,area_id,size_id,repre
 EXPOSE_KEY = "log_time,ad_id,order_id,activity_id,media_url,area_id,size_id,represent_pos"
 BID_KEY = "log_time,area_id,media_url,ad_pos_info,bitted_ad_info"
 ARRIVE_KEY = "log_time,id"
+# the ten columns a report row is upserted on, the slot's two times last
+KEY_COLUMNS = (
+    "activity_id", "order_id", "material_id", "ad_id", "size_id", "area_id",
+    "media", "ad_pos_id", "start_time", "end_time",
+)
+MEASURES = (
+    "bid_cnt", "bid_success_cnt", "expose_cnt", "click_cnt", "arrive_cnt",
+    "second_jump_cnt", "trans_cnt", "cost",
+)
 LINE_SEPARATOR = "\x02"      # default field separator of a log line
 LEVEL1_SEPARATOR = "\x03"    # list inside a composite field
 LEVEL2_SEPARATOR = "\x04"    # parts of one list element
@@ -55,23 +64,20 @@ DEFAULT_SLOT_MINUTES = 15
 ARRIVE_WINDOW_MS = 5 * 60 * 1000
 # ---------------------------------------------------------------------------
 
-# Separators of this engine's own wire messages (the reference's texts are not
-# reused; any text absent from the data works).
+# Separators of this engine's own wire messages, and the character that escapes
+# them where they occur in the data.
 KEY_SEPARATOR = "\x1f"
 MESSAGE_SEPARATOR = "\x1e"
+ESCAPE = "\x1b"
+
+# Cost values are exact decimals; a text with more decimals is rejected, not rounded.
+COST_SCALE = 8
+COST_TYPE = f"decimal(28,{COST_SCALE})"
+COST_SUM_TYPE = f"decimal(38,{COST_SCALE})"
 
 REPORT_ITEMS = tuple(REPORT_COLUMNS.split(","))
-# the ten columns a report row is upserted on
-KEY_COLUMNS = (
-    "activity_id", "order_id", "material_id", "ad_id", "size_id", "area_id",
-    "media", "ad_pos_id", "start_time", "end_time",
-)
 # the eight key parts that come from a record (the slot gives the two times)
 KEY_PARTS = KEY_COLUMNS[:8]
-MEASURES = (
-    "bid_cnt", "bid_success_cnt", "expose_cnt", "click_cnt", "arrive_cnt",
-    "second_jump_cnt", "trans_cnt", "cost",
-)
 COUNT_MEASURES = MEASURES[:-1]
 # report column order without the database's own auto-increment id
 REPORT_OUTPUT = tuple(c for c in REPORT_ITEMS if c != "id")
@@ -119,7 +125,7 @@ ARRIVE = LogSpec("arrive", _cols(ARRIVE_COLUMNS), _cols(ARRIVE_KEY),
 MERGE = LogSpec("merge", MERGE_ITEMS, ("rowKey",), separator=MESSAGE_SEPARATOR,
                 check_length=False, long_columns=())
 
-SPECS: dict[str, LogSpec] = {s.log_type: s for s in (EXPOSE, CLICK, BID, ARRIVE, MERGE)}
+SPECS: dict[str, LogSpec] = {s.log_type: s for s in (BID, EXPOSE, CLICK, ARRIVE, MERGE)}
 LOG_TYPES = ("bid", "expose", "click", "arrive")
 
 
@@ -131,8 +137,9 @@ class ReportConfig:
     tz: str = "UTC"
     # 'raw' keeps expose/click media as the referer text; 'domain' extracts its host
     media: str = "raw"
-    # arrive de-duplication scope: 'all' or 'file'
-    dedup_scope: str = "all"
+    # arrive de-duplication scope: 'batch' (all lines given at once), 'file', or
+    # 'stream' (over all batches of a store)
+    dedup_scope: str = "batch"
     specs: dict = field(default_factory=lambda: dict(SPECS))
 
     def __post_init__(self):
@@ -141,8 +148,17 @@ class ReportConfig:
             raise ValueError(f"slot minutes must divide 60, got {n}")
         if self.media not in ("raw", "domain"):
             raise ValueError("media must be 'raw' or 'domain'")
-        if self.dedup_scope not in ("all", "file"):
-            raise ValueError("dedup_scope must be 'all' or 'file'")
+        if self.dedup_scope not in ("batch", "file", "stream"):
+            raise ValueError("dedup_scope must be 'batch', 'file' or 'stream'")
+
+    @property
+    def log_types(self) -> tuple[str, ...]:
+        """The log types of the job: those declared, but for the merge stage's."""
+        return tuple(t for t in self.specs if t != MERGE.log_type)
+
+    def with_spec(self, spec: "LogSpec") -> "ReportConfig":
+        """A job with one more log type (its handler is registered by the same name)."""
+        return replace(self, specs={**self.specs, spec.log_type: spec})
 
 
 def read_specs_xml(spark: SparkSession, path: str) -> DataFrame:

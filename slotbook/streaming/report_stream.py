@@ -1,7 +1,8 @@
-"""Structured Streaming over watched log folders.
+"""Structured Streaming over log lines.
 
-One file-source query watches the log folders (each new file is taken
-once; in-progress ``_``/``.`` files are skipped until renamed).  Each
+A file-source query watches the log folders (each new file is taken
+once; in-progress ``_``/``.`` files are skipped until renamed); any other
+stream of lines - ``kafka.decode`` of a topic - will do as well.  Each
 micro-batch runs the batch report functions in ``foreachBatch`` and stores
 its delta by batch id, so the report table is the state (T3), late records
 just add to their old slot (T4), and a replayed batch overwrites its own
@@ -11,84 +12,146 @@ in the checkpoint folder, so a restarted or failed query resumes exactly.
 
 from __future__ import annotations
 
+import time
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotbook.operators import keys
+from slotbook.operators import aggregate as A
+from slotbook.operators import messages
 from slotbook.operators import metrics as M
-from slotbook.operators.parse import parse_lines, valid_records
-from slotbook.operators.upsert import ReportStore
+from slotbook.operators.upsert import ReportStore, published, upsert
 from slotbook.plans import report as R
-from slotbook.sources.files import parent_name
-from slotbook.specs import ReportConfig
+from slotbook.sources.files import type_below
+from slotbook.specs import KEY_COLUMNS, ReportConfig
 
 
-def file_lines_stream(spark: SparkSession, root: str, max_files: int | None = 10) -> DataFrame:
-    """New files under ``root`` (one sub-folder per log type) as
-    lines with their file identity; at most ``max_files`` files per batch."""
+def file_lines_stream(spark: SparkSession, roots: str | dict[str, str], max_files: int | None = 10) -> DataFrame:
+    """New files, at any depth below ``roots`` (a folder with one sub-folder per
+    log type, or one folder per type), as lines with their file identity; at
+    most ``max_files`` files of each folder given per batch."""
+    if isinstance(roots, dict):
+        return A.union_all([file_lines_stream(spark, r, max_files).withColumn("log_type", F.lit(t))
+                            for t, r in roots.items()])
     r = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files:
         r = r.option("maxFilesPerTrigger", int(max_files))
-    return r.load(root).select(
-        "value",
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        parent_name(F.col("_metadata.file_path")).alias("log_type"))
+    path = F.col("_metadata.file_path")
+    return r.load(roots).select(
+        "value", path.alias("file_path"), F.col("_metadata.file_name").alias("file_name"),
+        type_below(spark, path, roots).alias("log_type"))
 
 
 def report_batch_writer(store: ReportStore, cfg: ReportConfig, audit_dir: str | None = None,
-                        metrics_dir: str | None = None, lines_per_file: int = 1000):
-    """The ``foreachBatch`` function: batch lines → delta → store (+ key
-    audit, + stage metrics of the batch as metric messages)."""
+                        metrics_dir: str | None = None, rejects_dir: str | None = None,
+                        timing_dir: str | None = None):
+    """The ``foreachBatch`` function: batch lines → delta → store (+ key audit,
+    stage metrics, rejected lines and write time of the batch, each by batch id, so that a
+    replayed batch replaces its own)."""
     scope = ("file_path",) if cfg.dedup_scope == "file" else ()
+    # arrivals that count over the whole stream are not in the deltas
+    types = tuple(t for t in cfg.log_types if t != "arrive" or cfg.dedup_scope != "stream")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        # the four log types each read the batch once; keep it for them
+        spark, part = store.spark, f"batch_id={int(batch_id)}"
+        # the log types each read the batch once; keep it for them
         lines = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            began = time.monotonic()
+            store.write_delta(A.finish(R.report_rows(lines, cfg, scope, types), cfg, stored=True), batch_id)
+            if "arrive" not in types:
+                store.write_arrivals(A.kept_arrivals(R.valid_of(lines, "arrive", cfg), cfg), batch_id)
+            wrote = 1000 * (time.monotonic() - began)
+            if timing_dir:
+                spark.createDataFrame([(int(batch_id), lines.count(), wrote)], M.TIMING_DDL).write.mode(
+                    "overwrite").parquet(f"{timing_dir}/{part}")
             if metrics_dir:
-                rows, counts = M.observed_report_rows(lines, cfg, scope)
-            else:
-                rows, counts = R.report_rows(lines, cfg, scope), None
-            store.write_delta(R.A.finish(rows, cfg), batch_id)
+                M.messages(M.stage_counts(lines, cfg, scope), batch_id).write.mode("overwrite").text(
+                    f"{metrics_dir}/{part}")
+            if rejects_dir:
+                R.all_rejects(lines, cfg).write.mode("overwrite").parquet(f"{rejects_dir}/{part}")
         finally:
             lines.unpersist()
-        if counts is not None:
-            # M1-M3/K4: this batch's stage counts (types x stages rows), by
-            # batch id, so a replayed batch replaces its own messages
-            msgs = M.messages(M.counts_frame(store.spark, counts()), batch_id)
-            (msgs.write.mode("overwrite").option("maxRecordsPerFile", int(lines_per_file))
-             .text(f"{metrics_dir}/batch_id={int(batch_id)}"))
         if audit_dir:
             # K3: the keys this batch updated, read back from the committed delta
-            d = store.spark.read.parquet(f"{store.deltas}/batch_id={int(batch_id)}")
-            keys = d.select(F.concat_ws("\x1f", *[F.col(c) for c in
-                                                 ("activity_id", "order_id", "material_id", "ad_id",
-                                                  "size_id", "area_id", "media", "ad_pos_id",
-                                                  "start_time")]).alias("value"))
-            keys.write.mode("overwrite").text(f"{audit_dir}/batch_id={int(batch_id)}")
+            keys = store.delta(batch_id).select(F.concat_ws("\x1f", *KEY_COLUMNS[:-1]).alias("value"))
+            keys.write.mode("overwrite").text(f"{audit_dir}/{part}")
         # fold the deltas into the days they touch every few batches
         store.maintain(batch_id)
     return run
 
 
-def run_report_stream(spark: SparkSession, root: str, store: ReportStore, checkpoint: str,
-                      cfg: ReportConfig = ReportConfig(), max_files: int | None = 10,
-                      audit_dir: str | None = None, trigger: dict | None = None,
-                      metrics_dir: str | None = None):
-    """Start the report query; with the default ``availableNow`` trigger it
-    processes every pending file and stops (production: ``processingTime``)."""
-    q = (file_lines_stream(spark, root, max_files).writeStream
-         .foreachBatch(report_batch_writer(store, cfg, audit_dir, metrics_dir))
-         .option("checkpointLocation", checkpoint)
-         .trigger(**(trigger or {"availableNow": True}))
-         .start())
-    if (trigger or {"availableNow": True}).get("availableNow"):
+def stream_report(store: ReportStore, cfg: ReportConfig = ReportConfig()) -> DataFrame:
+    """The report of all batches; with dedup scope 'stream', each (cookie, order id)'s
+    first arrival over all of them counts, in whatever batch it came."""
+    if cfg.dedup_scope != "stream":
+        return published(store.current())
+    arrived = A.sum_measures(A.with_measures(store.arrivals(), {"arrive_cnt": A.ONE}))
+    return published(upsert(store.current(), A.finish(arrived, cfg, stored=True)))
+
+
+def _start(writer, checkpoint: str, trigger: dict | None):
+    trigger = trigger or {"availableNow": True}
+    q = writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    if trigger.get("availableNow"):
         q.awaitTermination()
     return q
 
 
+def run_lines_stream(lines: DataFrame, store: ReportStore, checkpoint: str, cfg: ReportConfig,
+                     trigger: dict | None = None, **dirs):
+    """The report query over any stream of lines (``log_type``, ``value``, and
+    ``file_path`` for the dedup scope 'file')."""
+    return _start(lines.writeStream.foreachBatch(report_batch_writer(store, cfg, **dirs)), checkpoint, trigger)
+
+
+def run_report_stream(spark: SparkSession, roots: str | dict[str, str], store: ReportStore, checkpoint: str,
+                      cfg: ReportConfig, max_files: int | None = 10, trigger: dict | None = None, **dirs):
+    """The report query over watched folders; with the default ``availableNow``
+    trigger it takes every pending file, ``max_files`` a batch, and stops: the batch
+    job over folders (production: ``processingTime``).  The file source's log in the
+    checkpoint folder is the ledger of files taken.
+
+    The dedup scope 'batch' would make the result depend on ``max_files``."""
+    if max_files and cfg.dedup_scope == "batch":
+        raise ValueError("dedup scope 'batch' with a cap on files: choose 'file' or 'stream'")
+    return run_lines_stream(file_lines_stream(spark, roots, max_files), store, checkpoint, cfg, trigger, **dirs)
+
+
+def run_delta_stream(lines: DataFrame, out: str, checkpoint: str, cfg: ReportConfig, trigger: dict | None = None):
+    """Stage one of two (K1, T6): each batch's per-type deltas as records with Kafka's
+    columns, by batch id.  A Kafka sink takes the same records."""
+    scope = ("file_path",) if cfg.dedup_scope == "file" else ()
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            msgs = A.union_all([messages.encode(A.own_measures(R.contributions_of(kept, t, cfg, scope), t), cfg)
+                                for t in cfg.log_types])
+            messages.kafka_records(msgs).write.mode("overwrite").parquet(f"{out}/batch_id={int(batch_id)}")
+        finally:
+            kept.unpersist()
+
+    return _start(lines.writeStream.foreachBatch(run), checkpoint, trigger)
+
+
+def run_merge_stream(records: DataFrame, store: ReportStore, checkpoint: str, cfg: ReportConfig,
+                     rejects_dir: str | None = None, trigger: dict | None = None):
+    """Stage two (S7, A5): delta messages from a stream with Kafka's columns → store;
+    messages that cannot be read go to the rejects by batch id."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        msgs = batch.select(F.col("value").cast("string").alias("value"))
+        merged = messages.merge(messages.decode(msgs, cfg))
+        store.write_delta(A.finish(merged, cfg, stored=True), batch_id)
+        if rejects_dir:
+            messages.decode_rejects(msgs, cfg).write.mode("overwrite").parquet(
+                f"{rejects_dir}/batch_id={int(batch_id)}")
+        store.maintain(batch_id)
+
+    return _start(records.writeStream.foreachBatch(run), checkpoint, trigger)
+
+
 def lines_sink_writer(sink_dir: str):
     """``foreachBatch`` that lands the raw lines by batch id (idempotent)."""
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -97,40 +160,11 @@ def lines_sink_writer(sink_dir: str):
     return run
 
 
-def run_ingest_stream(spark: SparkSession, root: str, sink_dir: str, checkpoint: str,
+def run_ingest_stream(spark: SparkSession, roots: str | dict[str, str], sink_dir: str, checkpoint: str,
                       max_files: int | None = 10):
-    q = (file_lines_stream(spark, root, max_files).writeStream
+    q = (file_lines_stream(spark, roots, max_files).writeStream
          .foreachBatch(lines_sink_writer(sink_dir))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
-
-
-def dedup_across_batches(keyed: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Stream-wide arrive de-duplication (T5 across batches): keeps the first
-    record of a (cookie, order id) to *arrive*, with state bounded by a
-    watermark on the event time.  ``keyed`` is ``keys.arrive_keys`` output."""
-    return (keyed.withColumn("_event_ts", F.timestamp_millis(F.col("log_ms")))
-            .withWatermark("_event_ts", delay)
-            .dropDuplicatesWithinWatermark(["cookie", "dedup_order_id"])
-            .drop("_event_ts"))
-
-
-def run_arrive_dedup_stream(spark: SparkSession, root: str, sink_dir: str, checkpoint: str,
-                            cfg: ReportConfig = ReportConfig(), delay: str = "1 hour",
-                            max_files: int | None = 1):
-    """T5 across micro-batches: arrivals of ``{root}/arrive`` in the window,
-    each (cookie, order id) kept once over the whole stream (state bounded
-    by the watermark ``delay``), appended to a parquet sink."""
-    r = spark.readStream.format("text")
-    if max_files:
-        r = r.option("maxFilesPerTrigger", int(max_files))
-    spec = cfg.specs["arrive"]
-    valid = valid_records(parse_lines(r.load(f"{root.rstrip('/')}/arrive"), spec), spec)
-    kept = dedup_across_batches(keys.in_arrival_window(keys.arrive_keys(valid, cfg)), delay)
-    q = (kept.select("cookie", "dedup_order_id", "check_id", "log_ms", "slot_ms")
-         .writeStream.format("parquet").option("path", sink_dir)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q

@@ -143,10 +143,11 @@ def test_sql_forms_equal_column_forms(spark):
 
 
 def test_file_path_parts(spark):
-    from slotbook.sources.files import base_name, parent_name
-    cases = {"file:/tmp/a/bid/0.log": ("bid", "0.log"),
-             "hdfs://nn:8020/x/y/expose/12.log": ("expose", "12.log"),
-             "s3a://b/k/click/_part.tmp": ("click", "_part.tmp"),
-             "file:/r/arrive/a%20b.log": ("arrive", "a%20b.log")}
-    for path, want in cases.items():
-        assert (one(spark, parent_name, path), one(spark, base_name, path)) == want, path
+    from slotbook.sources.files import base_name, type_below
+    cases = {("/tmp/a", "file:///tmp/a/bid/0.log"): ("bid", "0.log"),
+             ("/x/y", "hdfs://nn:8020/x/y/expose/2024-01-01/h03/12.log"): ("expose", "12.log"),
+             ("/k/", "s3a://b/k/click/_part.tmp"): ("click", "_part.tmp"),
+             ("/tmp/r s", "file:/tmp/r%20s/arrive/a%20b.log"): ("arrive", "a%20b.log"),
+             ("/tmp/a", "file:///tmp/a/0.log"): (None, "0.log")}
+    for (root, path), want in cases.items():
+        assert (one(spark, lambda c, r=root: type_below(spark, c, r), path), one(spark, base_name, path)) == want, path

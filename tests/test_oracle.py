@@ -7,8 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 
-TABLES = "events pages".split()
-SLOW = {"stream_report", "updated_keys", "stream_late_data", "batch_timing"}
+TABLES = "events pages documents conversations benchmark labels".split()
 
 
 def norm(v):
@@ -25,8 +24,6 @@ def duck(sf_dir):
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, sf_dir, duck, name):
-    if name in SLOW:
-        pytest.skip("streaming queries are covered by test_streaming")
     df = E.queries()[name](spark, sf_dir)
     cols = df.columns
     rows = Counter(tuple(norm(r[c]) for c in sorted(cols)) for r in df.collect())

@@ -1,16 +1,12 @@
-"""Declarations from XML (S10), stage counts (M1, A8) and stream-wide
-arrive de-duplication (T5 across micro-batches)."""
+"""Declarations from XML (S10), partition counts (A8) and the metric archive (K4)."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from slotbook import session as S
-from slotbook.operators import keys, metrics
-from slotbook.operators.parse import parse_lines, valid_records
+from slotbook.operators import metrics
 from slotbook.sources.fixture import fixture_lines
-from slotbook.specs import (ARRIVE, LINE_SEPARATOR, LOG_TYPES, SPECS, ReportConfig,
-                            read_specs_xml, select_spec)
-from slotbook.streaming.report_stream import dedup_across_batches
+from slotbook.specs import LINE_SEPARATOR, LOG_TYPES, SPECS, read_specs_xml, select_spec
 
 
 def _xml(specs, extra=""):
@@ -38,52 +34,20 @@ def test_specs_from_xml(spark, tmp_path):
         select_spec(read_specs_xml(spark, str(twice)), "bid")
 
 
-def test_observed_and_per_partition_counts(spark, sf_dir):
+def test_per_partition_counts(spark, sf_dir):
     ls = fixture_lines(spark, sf_dir)
-    n = ls.count()
-    seen, obs = metrics.observe(ls, "1-createStream")
-    seen.write.format("noop").mode("overwrite").save()
-    assert obs.get["rows"] == n
     parts = metrics.per_partition(ls.repartition(3))
-    assert parts.agg(F.sum("n_rows")).first()[0] == n
+    assert parts.count() == 3 and parts.agg(F.sum("n_rows")).first()[0] == ls.count()
 
 
-def test_stream_dedup_across_batches(spark, sf_dir):
-    """The second micro-batch repeats every arrival: each (cookie, order id)
-    is still kept once."""
-    root = S.scratch_path(spark, "test-dedup")
-    arr = fixture_lines(spark, sf_dir).where("log_type = 'arrive'").select("value")
-    arr.coalesce(1).write.text(f"{root}/in/a")
-    arr.coalesce(1).write.text(f"{root}/in/b")
-    cfg = ReportConfig()
-    src = (spark.readStream.format("text").option("recursiveFileLookup", "true")
-           .option("maxFilesPerTrigger", 1).load(f"{root}/in"))
-    keyed = keys.arrive_keys(valid_records(parse_lines(src, ARRIVE), ARRIVE), cfg)
-    q = (dedup_across_batches(keyed, "36500 days")
-         .select("cookie", "dedup_order_id").writeStream.format("parquet")
-         .option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 2
-    out = spark.read.parquet(f"{root}/out")
-    batch = keys.arrive_keys(valid_records(parse_lines(arr, ARRIVE), ARRIVE), cfg)
-    want = batch.select("cookie", "dedup_order_id").distinct().count()
-    assert out.count() == want
-    assert out.distinct().count() == want
-
-
-def test_observed_stage_counts_equal_aggregated_ones(spark, sf_dir):
-    ls = fixture_lines(spark, sf_dir)
-    cfg = ReportConfig()
-    rows, counts = metrics.observed_report_rows(ls, cfg)
-    rows.write.format("noop").mode("overwrite").save()
-    want = {(r.log_type, r.stage): r.n_rows for r in metrics.stage_counts(ls, cfg).collect()}
-    assert {(t, s): n for t, s, n in counts()} == want
-    # counting inside the job adds no exchange to the report's plan
-    from tests.test_plans import plan
-    parts = [ln for ln in plan(rows).splitlines()
-             if ln.strip().startswith("Arguments: hashpartitioning(")]
-    assert len(parts) == 2
+def test_archive_fills_files_across_tasks(spark):
+    """One-line partitions: files hold seven lines all the same, and every line is there once."""
+    folder = S.scratch_path(spark, "t-archive")
+    metrics.archive(spark.range(40).selectExpr("CAST(id AS STRING) AS value").repartition(40), folder, 7)
+    rows = spark.read.text(folder).select("value", F.col("_metadata.file_path").alias("f")).collect()
+    assert sorted(int(r.value) for r in rows) == list(range(40))
+    per_file = sorted(sum(r.f == f for r in rows) for f in {r.f for r in rows})
+    assert per_file == [5, 7, 7, 7, 7, 7]
 
 
 def test_specs_xml_round_trip(spark):
