@@ -12,6 +12,7 @@ any other kind of tokenizer.
 from __future__ import annotations
 
 import json
+import unicodedata
 from itertools import chain
 
 import numpy as np
@@ -66,7 +67,8 @@ class WordIds:
         for w in new:
             core = w.strip(PUNCTUATION)
             if core and core != w:
-                c = core.decode("utf-8", "replace")
+                # as the tokenizer will see it: normalising may end a letter with a mark
+                c = unicodedata.normalize("NFC", core.decode("utf-8", "replace")).lower()
                 if (c[0].isalpha() or c[0] in "0123456789") and (c[-1].isalpha() or c[-1] in "0123456789"):
                     at = w.index(core)
                     parts.append((w, (w[:at], core, w[at + len(core):])))
