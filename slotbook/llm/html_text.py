@@ -62,6 +62,7 @@ def blocks_of(page: str) -> list[Block]:
     stack: list[tuple[str, bool, bool]] = []      # tag, in content, in furniture
     parts: list[tuple[str, bool]] = []
     in_link, at, n = False, 0, len(page)
+    last = page.rfind(">")                        # no tag ends after it
 
     def flush() -> None:
         if parts:
@@ -74,9 +75,10 @@ def blocks_of(page: str) -> list[Block]:
             parts.clear()
 
     while at < n:
-        m = TOKEN.search(page, at)
+        m = TOKEN.search(page, at) if at <= last else None
         if m is None:
-            parts.append((page[at:], in_link))
+            cut = page.find("<!--", at)           # a comment that is never closed
+            parts.append((page[at:] if cut < 0 else page[at:cut], in_link))
             break
         if m.start() > at:
             parts.append((page[at:m.start()], in_link))
