@@ -10,17 +10,17 @@ tokens of both share at least k (k, the extension, is a share of n).
    number of rare tokens shared.  A pair whose nodes hold f frequent tokens in
    these prefixes must share k - f rare ones, or it is no candidate.
 2. A node is heavy if its frequent tokens could be all that it shares (f >= k).  For pairs
-   of heavy nodes tokens are put in order again, rare before frequent, and prefixes taken from
-   whole sets, e + 2 long: they share two tokens.  Either one is rare, and is
-   indexed alone; or both are frequent, and the node's 2-token combinations of
-   frequent prefix tokens are indexed.
+   of heavy nodes tokens are put in order again, by the number of heavy nodes that hold them,
+   and prefixes taken from whole sets, e + 2 long: they share two tokens.  Either one is
+   rare, and is indexed alone; or both are frequent, and the node's 2-token
+   combinations of frequent prefix tokens are indexed.
 3. Candidates are verified exactly on whole sets; links give components.
 
 A large group of near copies has only frequent tokens.  Before pairs of heavy nodes are
 listed, each token's least node is verified against the token's other nodes (a star, not
 all pairs), and links contract the group to one component; tokens and combinations
-within one component need no pair at all.  What is left between components is
-listed whole, so no link between different texts is lost.
+within one component need no comparison at all.  The nodes that the rest connect are
+compared whole, in blocks, so no link between different texts is lost.
 """
 
 from __future__ import annotations
@@ -45,12 +45,13 @@ SMALL = 500_000         # rows of one or two numbers that may be broadcast: some
 @dataclass(frozen=True)
 class JoinRules:
     """Words per shingle, threshold in percent, extension of the prefix in percent
-    of the set, nodes up to which a token is rare, rounds of stars."""
+    of the set, nodes up to which a token is rare, rounds of stars, nodes in a part of a block."""
     width: int = 5
     percent: int = 80
     extension: int = 5
     rare: int = 16
     rounds: int = 3
+    part: int = 400
 
     def missing(self, n):
         """Tokens of a set of n that a linked set may lack."""
@@ -271,15 +272,19 @@ def _missing(n: Column, rules: JoinRules) -> Column:
     return n - F.ceil(n * rules.percent / F.lit(100))
 
 
-def heavy_prefixes(sets: DataFrame, heavy: DataFrame, frequent: DataFrame, rules: JoinRules) -> DataFrame:
-    """(node, token, often): the first e + 2 tokens of heavy nodes, rare ones before frequent ones."""
-    tokens = sets.join(_small(heavy.select("node")), "node", "left_semi").mapInArrow(
-        _tokens, "node long, n long, token long")
-    marked = tokens.join(_small(frequent.select("token", F.lit(1).alias("f"))), "token", "left")
-    order = Window.partitionBy("node").orderBy(F.coalesce("f", F.lit(0)), "token")
+def heavy_prefixes(sets: DataFrame, heavy: DataFrame, rules: JoinRules) -> DataFrame:
+    """(node, token, often): the first e + 2 tokens of heavy nodes, in order of the number of heavy
+    nodes that hold them (then of the token).  A node that differs from its group in more than e
+    tokens posts only those, which nobody shares."""
+    tokens = written(sets.join(_small(heavy.select("node")), "node", "left_semi").mapInArrow(
+        _tokens, "node long, n long, token long"), "heavy-tokens")
+    counts = tokens.groupBy("token").agg(F.count("*").alias("held"))
+    # tokens of one node alone need not be joined back: without a count they come first
+    marked = tokens.join(counts.filter("held > 1"), "token", "left")
+    order = Window.partitionBy("node").orderBy(F.coalesce("held", F.lit(1)), "token")
     return (marked.withColumn("place", F.row_number().over(order))
-            .filter(F.col("place") <= _missing(F.col("n"), rules) + 2)
-            .select("node", "token", F.col("f").isNotNull().alias("often")))
+            .filter((F.col("place") <= _missing(F.col("n"), rules) + 2) & F.col("held").isNotNull())
+            .select("node", "token", (F.col("held") > rules.rare).alias("often")))
 
 
 def _with_component(postings: DataFrame, comps: DataFrame) -> DataFrame:
@@ -300,18 +305,76 @@ def star_pairs(postings: DataFrame, comps: DataFrame) -> DataFrame:
     return p.select(*_pairs(F.col("node"), F.col("center.node"))).distinct()
 
 
-def cross_pairs(postings: DataFrame, comps: DataFrame) -> DataFrame:
-    """All pairs of nodes of one key and different components."""
-    p = written(_with_component(postings, comps).select("key", "node", "component"), "postings")
-    return (p.alias("p").join(p.alias("q"), (F.col("p.key") == F.col("q.key")) & (F.col("p.node") < F.col("q.node"))
-                              & (F.col("p.component") != F.col("q.component")))
-            .select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct())
-
-
-def heavy_links(sets: DataFrame, heavy: DataFrame, frequent: DataFrame, links: DataFrame,
-                tried: DataFrame, rules: JoinRules) -> DataFrame:
+def _blocks(rules: JoinRules):
+    """Links between the two halves of a block (or inside its one half) that join different components;
+    enough of them to connect all that are linked."""
+    def blocks(table: pa.Table) -> pa.Table:
+        half = table.column("half").to_numpy()
+        node, comp, n = (table.column(c).to_numpy() for c in ("node", "component", "n"))
+        sets = [np.frombuffer(x.as_buffer(), np.int64) for x in table.column("tokens").combine_chunks()]
+        two = half.min() != half.max()
+        tokens, place, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        kept = held > 1                                   # others are in no intersection
+        column = np.cumsum(kept) - 1
+        some = kept[place]
+        row, place = row[some], column[place[some]]
+        order = np.argsort(place, kind="stable")
+        row, place = row[order], place[order]
+        both = np.zeros((len(sets), len(sets)), np.float32)
+        width = 4096
+        for lo in range(0, int(kept.sum()), width):
+            i, j = np.searchsorted(place, [lo, lo + width])
+            m = np.zeros((len(sets), width), np.float32)
+            m[row[i:j], place[i:j] - lo] = 1
+            both += m @ m.T
+        least = rules.percent * (n[:, None] + n[None, :] - both)
+        hit = np.triu((100 * both >= least) & (comp[:, None] != comp[None, :]), 1)
+        if two:
+            hit &= half[:, None] != half[None, :]
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        out = []
+        for x, y in zip(*(v.tolist() for v in np.nonzero(hit)), strict=True):
+            f, g = find(int(comp[x])), find(int(comp[y]))
+            if f != g:
+                root[f] = g
+                out.append((int(node[x]), int(node[y])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+    return blocks
+
+
+def cross_links(postings: DataFrame, comps: DataFrame, sets: DataFrame, rules: JoinRules) -> DataFrame:
+    """Links between nodes of one key and different components.
+
+    Nodes that keys connect, directly or not, are a cluster.  All of a cluster's nodes are compared, in
+    blocks: it is dealt into parts of bounded size, and each pair of parts is one block, in which the
+    intersections of all sets are one matrix product.  No list of pairs is made.
+    """
+    p = _with_component(postings, comps)
+    spans = written(p.select("node", F.col("center.node").alias("center"), "component").distinct(), "cluster-edges")
+    edges = spans.filter("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b"))
+    members = written(spans.select("node", F.col("component").alias("inside")).distinct().join(
+        components(edges).withColumnRenamed("component", "cluster"), "node"), "cluster-members")
+    parts = members.groupBy("cluster").agg(F.ceil(F.count("*") / rules.part).alias("parts"))
+    dealt = members.join(parts, "cluster").withColumn(
+        "part", F.pmod(F.xxhash64("node"), F.col("parts"))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    block = dealt.select("cluster", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"),
+                         F.col("part").alias("half"), "node", F.col("inside").alias("component"))
+    full = block.join(sets, "node")
+    return full.groupBy("cluster", "lo", "hi").applyInArrow(_blocks(rules), "a long, b long")
+
+
+def heavy_links(sets: DataFrame, heavy: DataFrame, links: DataFrame, tried: DataFrame,
+                rules: JoinRules) -> DataFrame:
     """``links`` and those between heavy nodes that its components do not imply."""
-    prefix = written(heavy_prefixes(sets, heavy, frequent, rules), "heavy-prefixes")
+    prefix = written(heavy_prefixes(sets, heavy, rules), "heavy-prefixes")
     single = prefix.select("node", F.col("token").alias("key"))
     comps = components(links)
     for _ in range(rules.rounds):
@@ -329,8 +392,8 @@ def heavy_links(sets: DataFrame, heavy: DataFrame, frequent: DataFrame, links: D
                                      & (F.col("p.token") < F.col("q.token")))
                 .select(F.col("p.node").alias("node"), F.xxhash64("p.token", "q.token").alias("key")))
     rare = prefix.filter("NOT often").select("node", F.col("token").alias("key"))
-    rest = cross_pairs(rare, comps).union(cross_pairs(combined, comps)).distinct()
-    return links.union(written(verify(rest.join(tried, ["a", "b"], "left_anti"), sets, rules), "cross-links"))
+    rest = cross_links(rare.union(combined), comps, sets, rules)
+    return links.union(written(rest, "cross-links"))
 
 
 def link_nodes(docs: DataFrame, sketched: DataFrame, text: str, rules: JoinRules) -> DataFrame:
@@ -370,7 +433,7 @@ def link_nodes(docs: DataFrame, sketched: DataFrame, text: str, rules: JoinRules
         .join(_small(wanted.select("text_hash").distinct()), "text_hash", "left_semi").select("text")
         .mapInArrow(_sets_of(rules), "node long, n long, tokens binary").dropDuplicates(["node"]), "whole-sets")
     links = written(verify(pairs, sets, rules), "verified-links")
-    return links if heavy.isEmpty() else heavy_links(sets, heavy, frequent, links, pairs, rules)
+    return links if heavy.isEmpty() else heavy_links(sets, heavy, links, pairs, rules)
 
 
 def _explode(batches):
