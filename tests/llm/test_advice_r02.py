@@ -31,3 +31,35 @@ def test_op10_a_quote_does_not_hide_the_whole_item(spark):
     docs += [some(40) + item[8:24] + some(150), some(200)]
     got = leaks(spark, [" ".join(d) for d in docs], [" ".join(item)])
     assert got == {(d, 0): 1.0 for d in range(4)}
+
+
+def test_op10_rare_words_in_place_of_an_item_s_own_do_not_hide_it(spark):
+    """Words of no other text stand for 3 in 10 of the item's; most plain weight is theirs. Short items too."""
+    r = random.Random(2)
+    common = [f"c{i}" for i in range(60)]
+    items = [[r.choice(common) for _ in range(n)] for n in (40, 32, 24, 6, 4)]
+    docs, want = [], set()
+    for i, w in enumerate(items[:3]):
+        for _ in range(6):
+            want.add((len(docs), i))
+            copy = [f"rare{r.randrange(10 ** 9)}" if j % 10 in (2, 5, 8) else x for j, x in enumerate(w)]
+            docs.append([f"u{r.randrange(10 ** 9)}" for _ in range(30)] + copy + [f"u{r.randrange(10 ** 9)}" for _ in range(30)])
+    for i in (3, 4):
+        want.add((len(docs), i))
+        docs.append([f"u{r.randrange(10 ** 9)}" for _ in range(30)] + items[i] + [f"u{r.randrange(10 ** 9)}" for _ in range(30)])
+    docs += [[r.choice(common) for _ in range(3)] + [f"f{r.randrange(10 ** 9)}" for _ in range(20)] for _ in range(400)]
+    got = leaks(spark, [" ".join(d) for d in docs], [" ".join(w) for w in items])
+    assert set(got) >= want and all(share >= 0.5 for share in got.values())
+
+
+def test_op10_what_is_skipped_cannot_hold_a_leak():
+    """The bound on an item's rarest words against a count of all of them."""
+    import numpy as np
+    r = random.Random(3)
+    for _ in range(500):
+        counts = np.array([r.choice([1, 1, 2, 5]) for _ in range(r.randrange(1, 12))])
+        need = 0.5 * counts.sum()
+        rare, least = decontaminate.telling(counts, np.array([r.random() for _ in counts]), need)
+        for _ in range(30):
+            held = [w for w in range(len(counts)) if r.random() < 0.5]
+            assert counts[held].sum() < need or len(set(held) & set(rare)) >= least >= 1
