@@ -24,7 +24,9 @@ BLOCKS = frozenset("""address article aside blockquote body button caption cente
     main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul""".split())
 NESTED = frozenset("""article aside blockquote body button details dialog div dl fieldset figure footer
     form header html main menu nav ol section select table td ul""".split())
-UNSEEN = frozenset("head iframe math noscript object script style svg template textarea title".split())
+UNSEEN = frozenset("head iframe noscript script style svg template textarea title".split())
+RAW = frozenset("script style".split())               # all that follows is no markup until the end tag
+HEAD = frozenset("base basefont bgsound head link meta noscript script style template title".split())
 FURNITURE_TAGS = frozenset("aside button dialog footer form menu nav select".split())
 CONTENT_TAGS = frozenset("article main".split())
 FURNITURE = frozenset("""ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs
@@ -63,6 +65,7 @@ def blocks_of(page: str) -> list[Block]:
     parts: list[tuple[str, bool]] = []
     in_link, at, n = False, 0, len(page)
     last = page.rfind(">")                        # no tag ends after it
+    unclosed: set[str] = set()                    # elements without an end tag from here on
 
     def flush() -> None:
         if parts:
@@ -88,10 +91,14 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if tag in UNSEEN and not m["end"]:
             if not m["attrs"].endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                if close is None and tag == "head":    # never closed: up to the body
-                    close = re.compile(r"(?=<body)", re.I).search(page, at)
-                at = close.end() if close else n
+                close = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+                if close:
+                    at = close.end()
+                elif tag in RAW:
+                    at = n
+                else:                              # never closed: empty, but for a head's own elements
+                    unclosed.add(tag)
+                    at = _head_end(page, at) if tag == "head" else at
             continue
         if tag == "a":
             in_link = not m["end"]
@@ -117,6 +124,28 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
+def _head_end(page: str, at: int) -> int:
+    """Where an unclosed head ends: at the first tag of another element, or text outside of its own."""
+    unclosed: set[str] = set()
+    while at < len(page):
+        m = TOKEN.search(page, at) if page.find(">", at) >= 0 else None
+        if m is None or page[at:m.start()].strip():
+            return at
+        tag = (m["tag"] or "").lower()
+        if tag and tag not in HEAD:
+            return m.start()
+        at = m.end()
+        if tag in UNSEEN and tag != "head" and not m["end"] and not m["attrs"].endswith("/") and tag not in unclosed:
+            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            if close:
+                at = close.end()
+            elif tag in RAW:
+                return len(page)
+            else:
+                unclosed.add(tag)
+    return at
+
+
 def features(blocks: list[Block]) -> list[tuple[float, ...]]:
     """One row of ``FEATURES`` per block; a missing neighbour counts as empty."""
     size = [(float(b.words), b.links) for b in blocks]

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from slotbook.llm import decontaminate
+from slotbook.llm import decontaminate, html_text
 from slotbook.llm.common import on_workers
 
 
@@ -63,3 +63,15 @@ def test_op10_what_is_skipped_cannot_hold_a_leak():
         for _ in range(30):
             held = [w for w in range(len(counts)) if r.random() < 0.5]
             assert counts[held].sum() < need or len(set(held) & set(rare)) >= least >= 1
+
+
+def test_op7_unclosed_elements_do_not_swallow_the_page(spark):
+    tree = html_text.train(spark)
+    body = " ".join("a sentence of running text that goes on for a while".split() * 3)
+    for before in ("<html><head><title>x</title>", "<html><head><meta charset=u><title>x</title><style>p{}</style>",
+                   "<html><body><svg>", "<body><math>", "<body><object>", "<head></head><title>", "<body><template><iframe>"):
+        assert html_text.main_text(f"{before}<article><p>{body}</p></article></html>", tree).endswith(body), before
+    page = f"<body><article><p>{body} <math><mi>x</mi></math> and <object data=a>the rest</object></p></article></body>"
+    assert html_text.main_text(page, tree) == f"{body} x and the rest"
+    assert html_text.main_text(f"<body><article><p>{body}</p><script>var x = 1;", tree) == body
+    assert html_text.main_text("<head>" * 9000 + "<svg>" * 9000 + "<title>" * 9000, tree) == ""
