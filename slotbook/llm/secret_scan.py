@@ -2,7 +2,8 @@
 candidate strings.
 
 Everything is a column expression on the document's own row: no shuffle, no
-Python.  A candidate is a maximal run of token characters that holds a digit.
+Python.  A candidate is a maximal run of token characters; where parts of a run (between
+``= / _ -``) hold a stand-in such as "sample", the rest of it on either side is taken instead.
 A window slides over it with the counts of its characters kept up to date (one
 character enters, one leaves), and with them the sum of c*log2(c) from which
 the entropy follows; windows at or above the threshold of the candidate's
@@ -17,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotbook.llm.common import regex_spans, unused
+from slotbook.llm.common import SPAN_TYPE, regex_spans, unused
 
 # The base patterns.
 ASSIGN = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -28,15 +29,20 @@ ACCESS_LENGTH = 16
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}+"
 
 # Candidate strings and harmless forms of them.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}+"
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 ALLOWED = (
     r"^[0-9+/_=-]+$",                                                  # numbers, dates, rules
     r"^[A-Za-z+/_=-]+[0-9]{1,4}$",                                     # words, then a number
     r"^[0-9]{1,4}[A-Za-z+/_=-]+$",                                     # a number, then words
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",           # UUID
-    r"(?i)example|sample|placeholder|changeme|dummy|x{6}",             # stand-ins
-    r"(?i)0123456789|abcdefghij|qwertyuiop",                           # runs of keys
+    # words, joined by signs or as humps
+    r"^[+/_=-]*+(?:(?:[A-Z]?[a-z]{2,}+|[A-Z][a-z](?=[A-Z][a-z]{2})|[A-Z]{2,}+(?![a-z])|[A-Za-z](?![A-Za-z]))[+/_=-]*+)++$",
 )
+STAND_INS = (
+    r"(?i:example|sample|placeholder|changeme|dummy|x{6})",
+    r"(?i:0123456789|abcdefghij|qwertyuiop)",                          # runs of keys
+)
+SHORTEST = 20
 
 
 @dataclass(frozen=True)
@@ -60,6 +66,7 @@ CLASSES = (
 class SecretRules:
     classes: tuple[EntropyClass, ...] = CLASSES
     allowed: tuple[str, ...] = field(default=ALLOWED)
+    stand_ins: tuple[str, ...] = field(default=STAND_INS)
 
 
 KINDS = ("assign", "access", "hex", "entropy")
@@ -114,7 +121,18 @@ def _window_runs(cls: EntropyClass, m: str) -> str:
 
 def candidates(text: Column, rules: SecretRules) -> Column:
     """Spans of the candidate strings that are not on the allow list."""
-    return F.filter(regex_spans(text, CANDIDATE), lambda x: ~_any(x["m"], rules.allowed))
+    part = f"(?![A-Za-z0-9+]*?(?:{'|'.join(rules.stand_ins) or '(?!)'}))[A-Za-z0-9+]++"
+    rest = f"(?<![A-Za-z0-9+]){part}(?:[=/_-]++{part})*+=*+"       # parts without a stand-in
+
+    def beside(x: Column) -> Column:
+        some = F.filter(regex_spans(x["m"], rest), lambda y: F.length(y["m"]) >= SHORTEST)
+        return F.transform(some, lambda y: F.struct(
+            (x["s"] + y["s"]).alias("s"), (x["s"] + y["e"]).alias("e"), y["m"].alias("m"),
+            y["l"].alias("l"), y["r"].alias("r")))
+
+    runs = F.transform(regex_spans(text, CANDIDATE), lambda x: F.when(
+        _any(x["m"], rules.stand_ins), beside(x).cast(SPAN_TYPE)).otherwise(F.array(x).cast(SPAN_TYPE)))
+    return F.filter(F.flatten(runs), lambda x: ~_any(x["m"], rules.allowed))
 
 
 def entropy_spans(found: str, rules: SecretRules) -> Column:

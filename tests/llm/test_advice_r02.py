@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from slotbook.llm import decontaminate, html_text
+from slotbook.llm import decontaminate, html_text, secret_scan
 from slotbook.llm.common import on_workers
 
 
@@ -75,3 +75,18 @@ def test_op7_unclosed_elements_do_not_swallow_the_page(spark):
     assert html_text.main_text(page, tree) == f"{body} x and the rest"
     assert html_text.main_text(f"<body><article><p>{body}</p><script>var x = 1;", tree) == body
     assert html_text.main_text("<head>" * 9000 + "<svg>" * 9000 + "<title>" * 9000, tree) == ""
+
+
+def test_op8_a_name_beside_a_secret_does_not_hide_it(spark):
+    token, letters = "Zx81kQpL0mN4vB7tR2wY", "ZxQkpLvmNqBtRwYhGdJs"
+    cases = {f"SAMPLE_APP_SIGNING={token}": token, f"APP_SIGNING={token}": token, f"see /examples/{token} now": token,
+             f"/srv/dummy-{token}": token, f"{token}/sample": token, f"key {letters} end": letters, f"xxEXAMPLE{token}": None,
+             "example_sample-placeholder/dummy": None, "getElementsByClassNameAndIndex": None,
+             "/usr/share/applications/default-programs": None, "internationalization_of_words": None,
+             "\U0001f600 sample=" + token: token, "sample" + "=" * 30000: None}
+    got = secret_scan.scan_secrets(spark.createDataFrame([(t,) for t in cases], "text string")).collect()
+    assert len(got) == len(cases)
+    for r in got:
+        spans = [r["text"][s["s"]:s["e"]] for s in r["secret_spans"] if s["k"] == "entropy"]
+        want = cases[r["text"]]
+        assert not spans if want is None else len(spans) == 1 and want in spans[0], (r["text"][:80], spans)
