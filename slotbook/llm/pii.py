@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotbook.llm.common import redact, regex_spans, unused, written
+from slotbook.llm.common import let, redact, regex_spans, unused, written
 
 # The base patterns.  Possessive quantifiers and the look-behind (a match
 # can only start where its first run starts, or where the match before it ended) find the same
@@ -38,6 +38,7 @@ KINDS = ("email", "ip", "card", "phone", "term")
 
 # a term: a word of letters alone that is no part of an address or a number
 TERM = r"(?<![\p{L}\p{N}@._%+-])\p{L}{3,}+(?![\p{L}\p{N}@]|[._%+-][\p{L}\p{N}])"
+PIECE = 1000         # characters of the pieces from which a mention's surroundings are taken
 SMALL = 200_000      # candidate terms that may be broadcast: some 10 MB
 MENTION = "array<struct<entity:string,terms:array<struct<term:string,s:int,e:int>>>>"
 
@@ -51,17 +52,17 @@ class Disclosure:
     reach: int = 100
 
 
-def base_spans(text: Column, context: int = 0) -> dict[str, Column]:
+def base_spans(text: Column) -> dict[str, Column]:
     """Valid spans of each base kind, in order."""
     def digits(x: Column) -> Column:
         return F.regexp_replace(x["m"], "[^0-9]", "")
 
     return {
-        "email": regex_spans(text, EMAIL, context),
-        "ip": F.filter(regex_spans(text, IP, context), lambda x: x["m"].rlike(IP_PARTS)),
-        "card": F.filter(regex_spans(text, CARD, context), lambda x: F.length(digits(x)).between(13, 19)
+        "email": regex_spans(text, EMAIL),
+        "ip": F.filter(regex_spans(text, IP), lambda x: x["m"].rlike(IP_PARTS)),
+        "card": F.filter(regex_spans(text, CARD), lambda x: F.length(digits(x)).between(13, 19)
                          & F.call_function("luhn_check", digits(x))),
-        "phone": F.filter(regex_spans(text, PHONE, context),
+        "phone": F.filter(regex_spans(text, PHONE),
                           lambda x: F.length(digits(x)).between(9, 15)),
     }
 
@@ -81,12 +82,21 @@ def _terms(context: Column, offset: Column, cut_left: Column, cut_right: Column)
         F.lower(t["m"]).alias("term"), (offset + t["s"]).alias("s"), (offset + t["e"]).alias("e")))
 
 
-def mentions(spans: Column, kind: str, reach: int) -> Column:
-    """Each span's entity and the terms around it."""
-    return F.transform(spans, lambda x: F.struct(
-        _entity(kind, x).alias("entity"),
-        F.concat(_terms(x["l"], x["s"] - F.length(x["l"]), F.length(x["l"]) == reach, F.lit(False)),
-                 _terms(x["r"], x["e"], F.lit(False), F.length(x["r"]) == reach)).alias("terms")))
+def _part(pieces: Column, start: Column, length: Column) -> Column:
+    """``length`` characters from ``start`` of a text cut into ``pieces``, without a walk through all of it."""
+    first, last = (start / PIECE).cast("int"), ((start + length) / PIECE).cast("int")
+    return F.substring(F.array_join(F.slice(pieces, first + 1, last - first + 1), ""), start - first * PIECE + 1, length)
+
+
+def mentions(spans: Column, kind: str, reach: int, pieces: Column) -> Column:
+    """Each span's entity and the terms around it, whatever other matches lie between."""
+    def near(x: Column) -> Column:
+        left = F.least(x["s"], F.lit(reach))
+        return F.concat(
+            let(_part(pieces, x["s"] - left, left), lambda c: _terms(c, x["s"] - left, left == reach, F.lit(False))),
+            let(_part(pieces, x["e"], F.lit(reach)), lambda c: _terms(c, x["e"], F.lit(False), F.length(c) == reach)))
+
+    return F.transform(spans, lambda x: F.struct(_entity(kind, x).alias("entity"), near(x).alias("terms")))
 
 
 def find_base(docs: DataFrame, keep: list[str], text: str, d: Disclosure, out: str, near: str,
@@ -95,9 +105,11 @@ def find_base(docs: DataFrame, keep: list[str], text: str, d: Disclosure, out: s
     body = F.coalesce(F.col(text), F.lit(""))
     kinds = KINDS[:4]
     held = {k: unused([*keep, text, out, near, text_key], f"spans_{k}") for k in kinds}
-    base = base_spans(body, d.reach)
+    base = base_spans(body)
+    pieces = unused([*keep, text, out, near, text_key], "pieces")
     cols = [F.col(f"`{c}`") for c in keep]
-    found = docs.select(*cols, F.xxhash64(body).alias(text_key), *(base[k].alias(held[k]) for k in kinds))
+    found = docs.select(*cols, F.xxhash64(body).alias(text_key), *(base[k].alias(held[k]) for k in kinds),
+                        F.regexp_extract_all(body, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)).alias(pieces))
 
     def named(kind: str) -> Column:
         return F.transform(held[kind], lambda x: F.struct(
@@ -105,7 +117,7 @@ def find_base(docs: DataFrame, keep: list[str], text: str, d: Disclosure, out: s
 
     return found.select(
         *cols, text_key, F.concat(*(named(k) for k in kinds)).alias(out),
-        F.concat(*(mentions(F.col(held[k]), k, d.reach) for k in kinds)).cast(MENTION).alias(near))
+        F.concat(*(mentions(F.col(held[k]), k, d.reach, F.col(pieces)) for k in kinds)).cast(MENTION).alias(near))
 
 
 def disclosing_terms(found: DataFrame, docs: DataFrame, text: str, d: Disclosure, near: str,

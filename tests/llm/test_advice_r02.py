@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from slotbook.llm import decontaminate, html_text, secret_scan
+from slotbook.llm import decontaminate, html_text, pii, secret_scan
 from slotbook.llm.common import on_workers
 
 
@@ -90,3 +90,14 @@ def test_op8_a_name_beside_a_secret_does_not_hide_it(spark):
         spans = [r["text"][s["s"]:s["e"]] for s in r["secret_spans"] if s["k"] == "entropy"]
         want = cases[r["text"]]
         assert not spans if want is None else len(spans) == 1 and want in spans[0], (r["text"][:80], spans)
+
+
+def test_op2_other_numbers_do_not_cut_a_mention_s_surroundings(spark):
+    near = "\U0001f600 Kowalski, born 1971, card 4111 1111 1111 1111, house 12, street Lindenhof"
+    rows = [f"{'é' * 1990 + ' ' if i % 2 else ''}{near} note {'abcdefgh'[i]}" for i in range(6)]
+    rows += [f"born in a house on the street, note and card {i}" for i in range(300)]
+    got = pii.find_personal_data(spark.createDataFrame([(t,) for t in rows], "text string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        terms = {r["text"][s["s"]:s["e"]] for s in r["pii_spans"] if s["k"] == "term"}
+        assert terms == ({"Kowalski", "Lindenhof"} if "Kowalski" in r["text"] else set())
