@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from slotbook.llm import (chat, decontaminate, html_text, ngram_join, packing, pii, quality, secret_scan,
-                          token_count, url_filter)
+from slotbook.llm import (chat, conversation_repair, decontaminate, hard_negatives, html_text, ngram_join, oracles, packing,
+                          pii, quality, secret_scan, simhash, token_count, url_filter)
 from slotbook.llm.common import span_text, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -102,7 +102,52 @@ def op10_decontaminate(spark, sf_dir):
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
+def op11_hard_negatives(spark, sf_dir):
+    """Hard negatives of every anchor's best positives."""
+    given = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = given.select(F.col("vec_id").alias("id"), moved.alias("label"), F.transform(
+        "embedding", lambda x: whole_part(256 * x.cast("double"))).alias("vector"))
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+def whole_part(x):
+    """floor as a double: exact where a long would overflow, and non-finite values stay so."""
+    return F.when(F.abs(x) < float(1 << 52), F.floor(x).cast("double")).otherwise(x)
+
+
+def damaged(conversations):
+    """The rows with the damage that op12 repairs; nulls are one space."""
+    key = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    rows = conversations.select(
+        "conv_id", "turn", *(F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")), (F.crc32(key) % 20).alias("deal"))
+    kind = F.col("deal")
+    return rows.filter(kind != 0).select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"))
+
+
+def op12_conversation_repair(spark, sf_dir):
+    """Every conversation's damage, and its repair."""
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversation_repair.summaries(conversation_repair.repair(damaged(given)))
+    zero = F.lit(0).cast("long")
+    return given.select("conv_id").distinct().join(
+        found.withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c")), "left").select(
+        "conv_id", *(F.coalesce(c, zero).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op13_simhash(spark, sf_dir):
+    """Every document's fingerprint and the component of near copies it is in."""
+    return simhash.simhash_components(table(spark, sf_dir, "documents")).select(
+        F.col("doc").alias("doc_id"), simhash.hex64(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_pii, op3_url_filter, op4_token_count, op5_packing, op6_quality, op7_html_text,
-    op8_secret_scan, op9_chat_format, op10_decontaminate)}
-ORACLES: dict[str, str] = {}
+    op8_secret_scan, op9_chat_format, op10_decontaminate, op11_hard_negatives, op12_conversation_repair, op13_simhash)}
+ORACLES: dict[str, str] = {"op11_hard_negatives": oracles.HARD_NEGATIVES,
+                           "op12_conversation_repair": oracles.CONVERSATION_REPAIR}

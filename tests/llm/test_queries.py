@@ -37,7 +37,7 @@ def spans_text(spans, order):
 
 def test_registered_names():
     import __spark_entry__ as E
-    assert {f"op{i}_" for i in range(1, 11)} <= {n.split("_")[0] + "_" for n in E.queries()}
+    assert {f"op{i}_" for i in range(1, 14)} <= {n.split("_")[0] + "_" for n in E.queries()}
     assert "pipeline" in E.queries()
 
 
