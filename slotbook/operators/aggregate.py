@@ -25,20 +25,37 @@ GROUP = KEY_PARTS + ("slot_ms",)
 
 Handler = Callable[[DataFrame, ReportConfig, LogSpec, tuple], DataFrame]
 HANDLERS: dict[str, Handler] = {}
+# log type -> (handler, keyed): ``keyed`` builds the keys of parsed records, good and bad, keeping the
+# columns it is told to, so that whoever counts bad records too need not parse them again
+KEYED: dict[str, tuple[Handler, Callable]] = {}
 # the measures each log type produces; the first one counts its records
 OWN_MEASURES: dict[str, tuple[str, ...]] = {}
 
 
-def register(log_type: str, measures: tuple[str, ...]):
+def register(log_type: str, measures: tuple[str, ...], keyed: Callable | None = None):
     """Register the handler of a log type and the measures it fills;
-    batch, streaming and metrics go by what is registered."""
+    batch, streaming and metrics go by what is registered.  ``keyed(parsed, cfg, spec, keep)``, for a
+    handler that makes one contribution of each valid record, gives its keys."""
     def deco(fn: Handler) -> Handler:
         HANDLERS[log_type] = fn
         OWN_MEASURES[log_type] = measures
+        KEYED.pop(log_type, None)
+        if keyed is not None:
+            KEYED[log_type] = (fn, keyed)
         return fn
     return deco
 
 
+def keyed_of(log_type: str) -> Callable | None:
+    """The ``keyed`` function of the handler that is registered now, if it has one."""
+    fn, keyed = KEYED.get(log_type, (None, None))
+    return keyed if fn is not None and HANDLERS.get(log_type) is fn else None
+
+
+def _referer_keys(parsed, cfg, spec, keep):
+    return keys.expose_keys(parsed, cfg, keep=keep)
+
+
 ONE = "CAST(1 AS BIGINT)"
 
 
@@ -54,26 +71,26 @@ def with_measures(keyed: DataFrame, values: dict[str, str], keep=()) -> DataFram
 
 
 # Q21: an expose counts as a bid success
-@register("expose", ("expose_cnt", "bid_success_cnt", "cost"))
+@register("expose", ("expose_cnt", "bid_success_cnt", "cost"), _referer_keys)
 def expose_contributions(valid, cfg, spec, scope=()):
     k = keys.expose_keys(valid, cfg, keep=scope,
                          extra=[decimal_or_null(valid["cost"]).alias("_cost")])
     return with_measures(k, {"bid_success_cnt": ONE, "expose_cnt": ONE, "cost": "_cost"})
 
 
-@register("click", ("click_cnt",))
+@register("click", ("click_cnt",), _referer_keys)
 def click_contributions(valid, cfg, spec, scope=()):
     k = keys.click_keys(valid, cfg, keep=scope)
     return with_measures(k, {"click_cnt": ONE})
 
 
-@register("bid", ("bid_cnt",))
+@register("bid", ("bid_cnt",), lambda parsed, cfg, spec, keep: keys.bid_keys(parsed, cfg, spec, keep=keep))
 def bid_contributions(valid, cfg, spec, scope=()):
     k = keys.bid_keys(valid, cfg, spec, keep=scope)
     return with_measures(k, {"bid_cnt": ONE})
 
 
-@register("arrive", ("arrive_cnt",))
+@register("arrive", ("arrive_cnt",), lambda parsed, cfg, spec, keep: keys.arrive_keys(parsed, cfg, keep=keep))
 def arrive_contributions(valid, cfg, spec, scope=()):
     """A4: arrival-window test, then one record per (cookie, order id)
     (per file with ``scope``), then count."""

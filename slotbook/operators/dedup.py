@@ -20,6 +20,8 @@ from slotbook.specs import KEY_PARTS
 
 ORDER = ("log_ms", "check_id")
 PAYLOAD = KEY_PARTS + ("slot_ms",)
+# what arrivals of one (cookie, order id) are ordered by
+FIRST = ORDER + PAYLOAD
 
 
 def first_per_group(df: DataFrame, group: list[str] | tuple[str, ...],

@@ -82,4 +82,8 @@ def arrive_keys(valid: DataFrame, cfg: ReportConfig, keep=(), extra=()) -> DataF
 
 def in_arrival_window(keyed: DataFrame) -> DataFrame:
     """``log_ms - 5 min <= id time`` (blank id time is 0, Q22); no lower bound."""
-    return keyed.where(F.col("log_ms") - F.lit(ARRIVE_WINDOW_MS) <= F.col("id_ms"))
+    return keyed.where(in_window())
+
+
+def in_window() -> Column:
+    return F.col("log_ms") - F.lit(ARRIVE_WINDOW_MS) <= F.col("id_ms")

@@ -6,10 +6,13 @@ Here the upsert is set-based and replay-safe:
 
 * ``upsert(old, delta)`` is ``unionByName`` + ``groupBy`` over the ten keys
   (one shuffle; no per-key lookups, no join).
-* ``ReportStore`` keeps each batch's delta in ``deltas/batch_id=N``,
-  written in overwrite mode, so replaying batch N replaces its own delta
-  instead of adding it again.  The report is a compacted base plus the
-  deltas after it; ``compact`` folds them into a new base version.
+* ``ReportStore`` is a ``FoldedTable`` of report rows by ``slot_date``: each batch's delta
+  replaces itself when the batch is replayed, and the report is a compacted base plus the deltas
+  after it.
+* The first arrival of each (cookie, order id) over all batches is kept in a second
+  ``FoldedTable`` by hash bucket (``arrivals``).  A batch's delta holds what it changes
+  about them: +1 at the key of each new first arrival, -1 at the key of the one it replaces.
+  Reading the report therefore reads no arrivals, and a batch looks up its own buckets only.
 * ``changed`` gives the current rows of the keys a batch touched: what a
   publication by value has to write, never an increment.
 
@@ -19,11 +22,13 @@ date-restricted upsert) prunes whole days.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotbook import session as S
-from slotbook.operators.dedup import first_arrivals
+from slotbook.operators.dedup import FIRST, PAYLOAD, first_arrivals
+from slotbook.operators.folded import FoldedTable
 from slotbook.specs import (COST_SUM_TYPE, COUNT_MEASURES, KEY_COLUMNS, KEY_PARTS, MEASURES,
                             REPORT_OUTPUT)
 
@@ -32,8 +37,13 @@ from slotbook.specs import (COST_SUM_TYPE, COUNT_MEASURES, KEY_COLUMNS, KEY_PART
 REPORT_DDL = ", ".join(
     f"`{c}` {'bigint' if c in COUNT_MEASURES else COST_SUM_TYPE if c == 'cost' else 'string'}"
     for c in REPORT_OUTPUT)
+# a first arrival, and where the one it replaced was counted (null: it replaced none)
+WAS_DDL = "struct<" + ", ".join(f"`{c}`: string" for c in KEY_PARTS) + ", slot_ms: bigint>"
 ARRIVAL_DDL = ("cookie string, dedup_order_id string, log_ms bigint, check_id string, "
-               + ", ".join(f"`{c}` string" for c in KEY_PARTS) + ", slot_ms bigint")
+               + ", ".join(f"`{c}` string" for c in KEY_PARTS) + f", slot_ms bigint, was {WAS_DDL}")
+ARRIVAL_KEY = ("cookie", "dedup_order_id")
+#: a row that counts nothing is no row of the report (its arrivals went to other keys)
+COUNTS_SOMETHING = " OR ".join(f"{m} <> 0" for m in COUNT_MEASURES)
 
 
 def _sum(m: str):
@@ -48,240 +58,101 @@ def published(report: DataFrame) -> DataFrame:
     return report.withColumn("cost", F.col("cost").cast("double")).select(*REPORT_OUTPUT)
 
 
+def added_up(rows: DataFrame) -> DataFrame:
+    """Report rows, one per key."""
+    return rows.groupBy(*KEY_COLUMNS).agg(*[_sum(m) for m in MEASURES]).select(*REPORT_OUTPUT)
+
+
 def upsert(old: DataFrame, delta: DataFrame) -> DataFrame:
     """K2: old (null → 0) + new per measure for keys in both; either row
     alone otherwise.  Both sides are report rows with cost as a decimal."""
-    rows = old.select(*REPORT_OUTPUT).unionByName(delta.select(*REPORT_OUTPUT))
-    return rows.groupBy(*KEY_COLUMNS).agg(*[_sum(m) for m in MEASURES]).select(*REPORT_OUTPUT)
+    return added_up(old.select(*REPORT_OUTPUT).unionByName(delta.select(*REPORT_OUTPUT)))
 
 
 def by_slot_date(report: DataFrame) -> DataFrame:
-    """With its day, and dealt so that a day's rows are written by few tasks: the
-    rebalance also splits a day that is too large for one."""
-    return report.withColumn("slot_date", F.substring("start_time", 1, 8)).hint("rebalance", "slot_date")
-
-
-class ReportStore:
-    """Replay-safe accumulated report on a shared filesystem.
-
-    Layout under ``path``::
-
-        deltas/batch_id=N/slot_date=D/   one batch's delta (overwritten on replay)
-        base/upto=N/slot_date=D/         report rows of the days touched by the
-                                         deltas folded in compaction N
-        manifest/upto=N/                 (slot_date, version): where each day's
-                                         current base rows live; written last
-
-    Compaction N folds the deltas after the previous compaction C into the
-    days they touch only, so its cost follows the new data, not the history.
-    A day no delta touched keeps pointing at its older version.  Readers use
-    the latest manifest with a ``_SUCCESS`` marker plus the deltas after it,
-    so a compaction that dies half way is invisible and can be re-run.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, compact_every: int | None = 20):
-        self.spark = spark
-        self.path = path.rstrip("/")
+    return report.withColumn("slot_date", F.substring("start_time", 1, 8))
+
+
+class FirstArrivals(FoldedTable):
+    """The first arrival of each (cookie, order id) over all batches, by hash bucket."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int):
+        super().__init__(spark, path, ARRIVAL_DDL, "bucket",
+                         lambda rows: first_arrivals(rows).withColumn("was", F.lit(None).cast(WAS_DDL)))
+        self.buckets = int(buckets)
+
+    def with_part(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("bucket", F.pmod(F.xxhash64(*ARRIVAL_KEY), F.lit(self.buckets)).cast("string"))
+
+    def take(self, arrived: DataFrame, batch_id: int) -> None:
+        """Store what the batch's first arrivals (one per cookie and order id) change about
+        those of the batches before it."""
+        new = self.with_part(arrived).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # only the batch's own buckets are looked up: one value each
+            old = self.current(int(batch_id) - 1, self._touched(new)).select(
+                *ARRIVAL_KEY, F.struct(*FIRST).alias("before"))
+            won = new.join(old, list(ARRIVAL_KEY), "left").where(
+                F.col("before").isNull() | (F.struct(*FIRST) < F.col("before")))
+            place = F.struct(*[F.col(f"before.{c}").alias(c) for c in PAYLOAD])
+            self.write_batch(won.withColumn("was", F.when(F.col("before").isNotNull(), place))
+                             .select(*self.columns, "bucket"), batch_id)
+        finally:
+            new.unpersist()
+
+    def moves(self, batch_id: int) -> DataFrame:
+        """Key parts, slot_ms and ``n``: +1 where an arrival of the batch counts now, -1 where the
+        one it replaced did."""
+        rows = self.batch(batch_id)
+        return rows.select(*PAYLOAD, F.lit(1).cast("bigint").alias("n")).unionByName(
+            rows.where("was IS NOT NULL").select("was.*", F.lit(-1).cast("bigint").alias("n")))
+
+
+class ReportStore(FoldedTable):
+    """Replay-safe accumulated report on a shared filesystem, with the first arrivals it counts.
+
+    ``compact_every``: batches between compactions (None: never); ``arrival_buckets``: hash
+    buckets of the first arrivals - as many as keep one bucket's rows to some executor's work."""
+
+    def __init__(self, spark: SparkSession, path: str, compact_every: int | None = 20, arrival_buckets: int = 16):
+        super().__init__(spark, path, REPORT_DDL, "slot_date", lambda rows: added_up(rows).where(COUNTS_SOMETHING))
         self.compact_every = compact_every
+        self.first = FirstArrivals(spark, f"{self.path}/arrivals", arrival_buckets)
 
-    @property
-    def deltas(self) -> str:
-        return f"{self.path}/deltas"
+    def with_part(self, rows: DataFrame) -> DataFrame:
+        return by_slot_date(rows)
 
     def write_delta(self, delta: DataFrame, batch_id: int) -> None:
         """Idempotent: replaying ``batch_id`` overwrites its own folder."""
-        (by_slot_date(delta.select(*REPORT_OUTPUT)).write.mode("overwrite")
-         .partitionBy("slot_date").parquet(f"{self.deltas}/batch_id={int(batch_id)}"))
+        self.write_batch(by_slot_date(delta.select(*REPORT_OUTPUT)), batch_id)
 
     def delta(self, batch_id: int) -> DataFrame:
         """The rows that batch ``batch_id`` added (none for a batch without valid lines)."""
-        return (self.spark.read.schema(f"{REPORT_DDL}, slot_date string")
-                .parquet(f"{self.deltas}/batch_id={int(batch_id)}").select(*REPORT_OUTPUT))
+        return self.batch(batch_id).select(*REPORT_OUTPUT)
 
     def changed(self, batch_id: int) -> DataFrame:
-        """The current rows of the keys that batch ``batch_id`` touched (its delta must
-        not be pruned yet): what has to be published, by value, after it."""
-        keys = self.delta(batch_id).select(*KEY_COLUMNS)
-        return self.current().join(keys, list(KEY_COLUMNS), "left_semi")
-
-    # -- arrivals kept over all batches (dedup scope 'stream') ---------------
-    def write_arrivals(self, kept: DataFrame, batch_id: int) -> None:
-        """The batch's first arrival per (cookie, order id), by batch id."""
-        fields = [c.split()[0].strip("`") for c in ARRIVAL_DDL.split(", ")]
-        kept.select(*fields).write.mode("overwrite").parquet(f"{self.path}/arrivals/batch_id={int(batch_id)}")
+        """The rows, as of batch ``batch_id``, of the keys that it touched (its delta must
+        not be folded yet): what has to be published, by value, after it.  A row that counts nothing
+        any more - its arrivals went to other keys - comes with zeros: it has to be removed."""
+        keys = self.batch(batch_id)
+        days = self._touched(keys)
+        now = self.current(int(batch_id), days)
+        zeros = [F.coalesce(F.col(m), F.lit(0)).cast(COST_SUM_TYPE if m == "cost" else "bigint").alias(m)
+                 if m in MEASURES else F.col(m) for m in REPORT_OUTPUT]
+        return keys.select(*KEY_COLUMNS).join(now, list(KEY_COLUMNS), "left").select(*zeros)
 
     def arrivals(self) -> DataFrame:
         """The first arrival of each (cookie, order id) over all batches; later batches
         may bring earlier ones, which then count instead."""
-        if not S.exists(self.spark, f"{self.path}/arrivals"):
-            return self.spark.createDataFrame([], ARRIVAL_DDL)
-        rows = (self.spark.read.schema(f"{ARRIVAL_DDL}, batch_id bigint")
-                .option("basePath", f"{self.path}/arrivals").parquet(f"{self.path}/arrivals"))
-        return first_arrivals(rows.drop("batch_id"))
-
-    # -- compaction bookkeeping (metadata only) ---------------------------
-    def _versions(self, folder: str) -> list[int]:
-        """Complete ``upto=N`` folders (with ``_SUCCESS``), ascending."""
-        root = f"{self.path}/{folder}"
-        if not S.exists(self.spark, root):
-            return []
-        out = []
-        for p in S.list_dirs(self.spark, root):
-            name = p.rstrip("/").rsplit("/", 1)[-1]
-            if name.startswith("upto=") and S.exists(self.spark, f"{p}/_SUCCESS"):
-                out.append(int(name[5:]))
-        return sorted(out)
-
-    def last_compaction(self) -> int | None:
-        v = self._versions("manifest")
-        return v[-1] if v else None
-
-    def _manifest(self, c: int | None) -> DataFrame | None:
-        if c is None:
-            return None
-        return (self.spark.read.schema("slot_date string, version bigint")
-                .parquet(f"{self.path}/manifest/upto={c}"))
-
-    def _base(self, c: int | None, dates: list[str] | None = None,
-              exclude: list[str] | None = None) -> DataFrame | None:
-        """Base rows as of compaction ``c`` (only ``dates`` when given, none of
-        ``exclude``).  The manifest has one row per day, so its paths are
-        listed on the driver."""
-        m = self._manifest(c)
-        if m is None:
-            return None
-        if dates is not None:
-            m = m.where(F.col("slot_date").isin(dates))
-        if exclude:
-            m = m.where(~F.col("slot_date").isin(exclude))
-        paths = [f"{self.path}/base/upto={r.version}/slot_date={r.slot_date}"
-                 for r in m.select("slot_date", "version").collect()]
-        if not paths:
-            return None
-        return (self.spark.read.schema(f"{REPORT_DDL}, upto bigint, slot_date string")
-                .option("basePath", f"{self.path}/base").parquet(*paths))
-
-    def _deltas_after(self, c: int | None, upto: int | None = None) -> DataFrame | None:
-        if not S.exists(self.spark, self.deltas):
-            return None
-        d = (self.spark.read.schema(f"{REPORT_DDL}, batch_id bigint, slot_date string")
-             .option("basePath", self.deltas).parquet(self.deltas))
-        if c is not None:
-            d = d.where(F.col("batch_id") > c)
-        if upto is not None:
-            d = d.where(F.col("batch_id") <= int(upto))
-        return d
-
-    # -- reading ------------------------------------------------------------
-    def current(self, upto: int | None = None) -> DataFrame:
-        """The report: base as of the latest compaction + the deltas after it
-        (only those up to batch ``upto`` when given).
-
-        Base rows are already one per key, so only the days the pending
-        deltas touch are aggregated with them; every other day is read as
-        is (a fully compacted store is read with no shuffle)."""
-        c = self.last_compaction()
-        if upto is not None and c is not None and upto < c:
-            raise ValueError(f"batches up to {c} are already compacted")
-        deltas = self._deltas_after(c, upto)
-        if c is None and deltas is None:
-            raise FileNotFoundError(f"empty report store {self.path}")
-        # the days the pending deltas touch: one row per day
-        dates = ([str(r.slot_date) for r in deltas.select("slot_date").distinct().collect()]
-                 if deltas is not None else [])
-        parts = []
-        if c is not None:
-            untouched = self._base(c, exclude=dates)
-            if untouched is not None:
-                parts.append(untouched.select(*REPORT_OUTPUT))
-        if dates:
-            rows = deltas.select(*REPORT_OUTPUT)
-            touched = self._base(c, dates) if c is not None else None
-            if touched is not None:
-                rows = rows.unionByName(touched.select(*REPORT_OUTPUT))
-            parts.append(rows.groupBy(*KEY_COLUMNS).agg(*[_sum(m) for m in MEASURES])
-                         .select(*REPORT_OUTPUT))
-        if not parts:   # nothing stored yet: an empty report of the right shape
-            return self.spark.createDataFrame([], REPORT_DDL)
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-    # -- compaction ---------------------------------------------------------
-    def compact(self, upto: int) -> str:
-        """Fold the deltas after the last compaction, up to ``upto``, into the
-        days they touch; then publish the new manifest."""
-        upto = int(upto)
-        c = self.last_compaction()
-        if c is not None and upto <= c:
-            return f"{self.path}/manifest/upto={c}"
-        new = self._deltas_after(c, upto)
-        # the days touched: one row per day, read from the partition column
-        dates = ([str(r.slot_date) for r in new.select("slot_date").distinct().collect()]
-                 if new is not None else [])
-        if dates:
-            old = self._base(c, dates)
-            rows = new.select(*REPORT_OUTPUT)
-            if old is not None:
-                rows = rows.unionByName(old.select(*REPORT_OUTPUT))
-            merged = rows.groupBy(*KEY_COLUMNS).agg(*[_sum(m) for m in MEASURES])
-            (by_slot_date(merged.select(*REPORT_OUTPUT)).write.mode("overwrite")
-             .partitionBy("slot_date").parquet(f"{self.path}/base/upto={upto}"))
-        entries = self.spark.createDataFrame([(d, upto) for d in dates],
-                                             "slot_date string, version bigint")
-        prev = self._manifest(c)
-        if prev is not None:
-            entries = entries.unionByName(
-                prev.where(~F.col("slot_date").isin(dates)) if dates else prev)
-        return self._publish(entries, upto)
-
-    def _publish(self, entries: DataFrame, upto: int) -> str:
-        """Write manifest ``upto`` (one row per day); readers switch to the
-        compaction only once its ``_SUCCESS`` marker exists."""
-        target = f"{self.path}/manifest/upto={int(upto)}"
-        entries.coalesce(1).write.mode("overwrite").parquet(target)
-        return target
-
-    def prune(self, keep_manifests: int = 2) -> list[int]:
-        """Drop what readers no longer use: manifests older than the last
-        ``keep_manifests``, the delta folders folded before the oldest of those (a report read
-        before the last compaction still holds the later ones), and base
-        versions no kept manifest references (also the leftovers of a
-        compaction that died).  Returns the deleted delta batch ids."""
-        c = self.last_compaction()
-        if c is None:
-            return []
-        kept = self._versions("manifest")[-keep_manifests:]
-        gone = []
-        if S.exists(self.spark, self.deltas):
-            for p in S.list_dirs(self.spark, self.deltas):
-                name = p.rstrip("/").rsplit("/", 1)[-1]
-                if name.startswith("batch_id=") and len(kept) == keep_manifests and int(name[9:]) <= kept[0]:
-                    S.delete(self.spark, p)
-                    gone.append(int(name[9:]))
-        # one row per day and manifest: the versions still referenced
-        used = set(kept)
-        for v in kept:
-            used |= {int(r.version) for r in self._manifest(v).select("version").distinct().collect()}
-        for folder, drop in (("manifest", lambda v: v < kept[0]),
-                             ("base", lambda v: v not in used and v <= c)):
-            root = f"{self.path}/{folder}"
-            if not S.exists(self.spark, root):
-                continue
-            for p in S.list_dirs(self.spark, root):
-                name = p.rstrip("/").rsplit("/", 1)[-1]
-                if name.startswith("upto=") and drop(int(name[5:])):
-                    S.delete(self.spark, p)
-        return sorted(gone)
-
-    def committed(self, batch_id: int) -> bool:
-        """Batch ``batch_id``'s delta is in the report (folded or pending)."""
-        c = self.last_compaction()
-        return ((c is not None and int(batch_id) <= c)
-                or S.exists(self.spark, f"{self.deltas}/batch_id={int(batch_id)}/_SUCCESS"))
+        return self.first.current().drop("was")
 
     def maintain(self, batch_id: int) -> None:
         """After batch ``batch_id``: compact and prune on every
         ``compact_every``-th batch (never when it is None)."""
         every = self.compact_every
         if every and (int(batch_id) + 1) % int(every) == 0:
-            self.compact(batch_id)
-            self.prune()
+            # the report last: once it is folded, the batch is done
+            for table in (self.first, self):
+                if table is self or S.exists(self.spark, table.deltas):
+                    table.compact(batch_id)
+                    table.prune()

@@ -146,9 +146,24 @@ ORACLES["report_changes"] = W(
     f" {O.fmt('slot_ms')} AS start_time FROM ({_early})) e USING ({_parts}, start_time)", "days")
 ORACLES["stream_rejects"] = W(_rejected + " UNION ALL SELECT 'stray', 'unknown_type', NULL, value FROM lines"
                               " WHERE log_type = 'click' AND event_id % 5 = 0")
+ORACLES["batch_timing"] = W(" UNION ALL ".join(
+    f"SELECT CAST({i} AS BIGINT) AS batch_id, count(*) AS n_rows, true AS timed FROM (SELECT DISTINCT {_parts}, slot_ms FROM ("
+    + " UNION ALL ".join(O.contributions(t, "file_early", half) for t in LOG_TYPES) + "))"
+    for i, half in enumerate(("NOT early", "early"))))
+# with the scope 'stream' every (cookie, order id) counts once over all batches
+ORACLES["report_changes_stream"] = ORACLES["two_stage_stream_report"] = W(REPORT, "days")
+# keys touched: those of the other types, those where the second half's first arrivals count at first, and those
+# where the first arrivals of all count in the end
+_touched = " UNION ".join([
+    *(f"SELECT {_parts}, slot_ms FROM ({O.contributions(t)})" for t in LOG_TYPES if t != "arrive"),
+    f"SELECT {_parts}, slot_ms FROM ({O.contributions('arrive', 'early', 'NOT early')})",
+    f"SELECT {_parts}, slot_ms FROM ({O.arrive_kept('all')})"])
+ORACLES["updated_keys_stream"] = W(
+    f"SELECT DISTINCT concat_ws(chr(31), {_parts}, {O.fmt('slot_ms')}) AS row_key FROM ({_touched})", "days")
 _arrivals = O.finish(O.contributions("arrive"))
 ORACLES["arrive_any_cap"] = W(" UNION ALL ".join(
     f"SELECT CAST({c} AS INTEGER) AS cap, * FROM ({_arrivals})" for c in (1, 3, 0)))
+ORACLES["two_stage_any_cap"] = ORACLES["arrive_any_cap"]
 ORACLES["arrive_late"] = W(
     f"SELECT cookie, oid AS order_key, check_id, log_ms, {_parts}, {O.fmt('slot_ms')} AS start_time"
     f" FROM ({O.arrive_kept('all')})", "days")
@@ -182,16 +197,44 @@ ORACLES["stage_counts"] = W(_stages)
 ORACLES["metrics_message"] = W(
     f"SELECT concat_ws('%', log_type, CAST(n_rows AS VARCHAR), stage, 'batch-0',"
     f" '2024-01-01 00:00:00') AS value FROM ({_stages})")
-# 17 messages, four to a file
-ORACLES["metrics_archive"] = W(
-    "SELECT n_lines, count(*) AS n_files FROM (SELECT count(*) AS n_lines FROM (SELECT row_number() OVER () - 1 AS i"
-    f" FROM ({_stages})) GROUP BY i // 4) GROUP BY n_lines")
+# a line for every click: full files but for the last
+def _files_sql(n: int, where: str = "true") -> str:
+    return ("SELECT n_lines, count(*) AS n_files, CAST(sum(n_lines) AS BIGINT) AS n_different FROM (SELECT count(*) AS n_lines FROM ("
+            f"SELECT row_number() OVER () - 1 AS i FROM lines WHERE log_type = 'click' AND {where}) GROUP BY i // {n}) GROUP BY n_lines")
+
+
+ORACLES["metrics_archive"] = W(_files_sql(100))
+_ok = "event_id % 7 <> 0"
+ORACLES["metrics_stream"] = W(
+    f"SELECT 'files of ' || n_lines AS what, n_files AS n, n_different AS total FROM ({_files_sql(50, _ok)})"
+    f" UNION ALL SELECT 'parsed', count(*), CAST(sum(event_id) AS BIGINT) FROM lines WHERE log_type = 'click' AND {_ok}"
+    " UNION ALL SELECT 'rejected: ' || r, count(*), 0 FROM (SELECT CASE event_id % 21 WHEN 0 THEN 'fields' WHEN 7 THEN 'count'"
+    " ELSE 'time' END AS r FROM lines WHERE log_type = 'click' AND event_id % 7 = 0) GROUP BY r")
 ORACLES["metrics_parse"] = W(
     f"SELECT log_type, n_rows, stage, 'batch-0' AS host, '2024-01-01 00:00:00' AS time FROM ({_stages})")
 ORACLES["partition_counts"] = W(
     "SELECT log_type, CAST(count(*) AS BIGINT) AS n_rows, true AS counted FROM lines GROUP BY log_type")
 # every (cookie, order id) once over all files
 ORACLES["report_files_job"] = W(REPORT)
+ORACLES["job_from_file"] = W(f"SELECT 'batch' AS started, * FROM ({REPORT}) UNION ALL SELECT 'topics', * FROM ({REPORT})")
 ORACLES["stream_stage_metrics"] = W(" UNION ALL ".join(
     f"SELECT *, 'batch-{i}' AS host FROM ({_stages_sql('file_early', half)})"
     for i, half in enumerate(("NOT early", "early"))))
+# with the scope 'stream': the keys of a batch's arrivals are where first arrivals begin or cease to count
+def _scope_stages() -> str:
+    second = f"SELECT {_parts}, slot_ms, cookie, oid, log_ms, check_id FROM ({O.arrive_kept('early')}) WHERE NOT early"
+    whole = f"SELECT {_parts}, slot_ms, cookie, oid, log_ms, check_id, early FROM ({O.arrive_kept('all')})"
+    moved = (f"SELECT {_parts}, slot_ms FROM ({whole}) WHERE early UNION SELECT s.{', s.'.join(KEY_PARTS)}, s.slot_ms"
+             f" FROM ({second}) s JOIN ({whole}) w ON w.cookie = s.cookie AND w.oid = s.oid AND w.early")
+    out = []
+    for i, (half, keys) in enumerate((("NOT early", f"SELECT {_parts}, slot_ms FROM ({second})"), ("early", moved))):
+        merged = " UNION ".join([*(f"SELECT {_parts}, slot_ms FROM ({O.contributions(t, 'file_early', half)})"
+                                   for t in LOG_TYPES if t != "arrive"), keys])
+        out.append(f"SELECT log_type, stage, n_rows, 'batch-{i}' AS host FROM ({_stage_sql('arrive', 'all', half)})"
+                   " WHERE stage <> '4-groupByKey_map_after'")
+        out.append(f"SELECT 'arrive', '4-groupByKey_map_after', count(*), 'batch-{i}' FROM (SELECT DISTINCT * FROM ({keys}))")
+        out.append(f"SELECT 'merge', '3-groupByKey_map_after', count(*), 'batch-{i}' FROM (SELECT DISTINCT * FROM ({merged}))")
+    return " UNION ALL ".join(out)
+
+
+ORACLES["stream_scope_metrics"] = W(_scope_stages())

@@ -15,7 +15,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotbook import session as S
+from slotbook import job, session as S
 from slotbook.functions import (blank_to_zero, bounds_from_label, first_element, hour_label, pad_ms,
                                 slot_end_text, slot_index, slot_label, slot_start_ms,
                                 slot_start_text, split_fixed, url_domain)
@@ -23,13 +23,13 @@ from slotbook.operators import aggregate as A
 from slotbook.operators import dedup, keys, messages, metrics
 from slotbook.operators.parse import N_FIELDS, parse_lines
 from slotbook.functions import sql as Q
-from slotbook.operators.upsert import ReportStore, published, upsert
+from slotbook.operators.upsert import COUNTS_SOMETHING, ReportStore, published, upsert
 from slotbook.plans import report as R
 from slotbook.sources import files as FS
-from slotbook.sources import kafka
+from slotbook.sources import kafka, publish
 from slotbook.sources.fixture import fixture_lines, write_fixture_files
 from slotbook.specs import (COST_TYPE, EXPOSE, KEY_PARTS, KEY_SEPARATOR, LEVEL1_SEPARATOR,
-                            LEVEL2_SEPARATOR, LOG_TYPES, MESSAGE_SEPARATOR, SPECS, ReportConfig,
+                            LEVEL2_SEPARATOR, LOG_TYPES, MEASURES, MESSAGE_SEPARATOR, REPORT_OUTPUT, SPECS, ReportConfig,
                             read_specs_xml, write_specs_xml)
 from slotbook.streaming import report_stream as RS
 
@@ -376,13 +376,48 @@ def q_two_stage_report(spark, sf_dir):
     topic = S.scratch_path(spark, "merge-topic")
     RS.run_delta_stream(RS.file_lines_stream(spark, root, 5), topic, S.scratch_path(spark, "stage1-ckpt"), FILE_CFG)
     store = ReportStore(spark, S.scratch_path(spark, "two-stage"), compact_every=2)
-    records = (spark.readStream.schema("key binary, value binary, topic string")
-               .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 8).parquet(topic))
-    RS.run_merge_stream(records, store, S.scratch_path(spark, "stage2-ckpt"), FILE_CFG,
+    RS.run_merge_stream(topic_records(spark, topic, 8), store, S.scratch_path(spark, "stage2-ckpt"), FILE_CFG,
                         rejects_dir=S.scratch_path(spark, "stage2-rejects"))
     return RS.stream_report(store, FILE_CFG)
 
 
+@query("two_stage_any_cap")
+def q_two_stage_any_cap(spark, sf_dir):
+    """T5 + T6: with the scope 'stream' the two stages give one report - each (cookie, order id) once over
+    all batches - whatever the caps of either stage on files a batch."""
+    root = write_fixture_files(spark, sf_dir)
+    frames = []
+    for cap in (1, 3, None):
+        topic = S.scratch_path(spark, "first-topic")
+        # one arrival file a batch at least; the other types' lines do not matter here
+        RS.run_delta_stream(RS.file_lines_stream(spark, FS.type_folders(root, ("arrive",)), cap), topic,
+                            S.scratch_path(spark, "cap1-ckpt"), STREAM_CFG)
+        store = ReportStore(spark, S.scratch_path(spark, "two-stage-cap"), compact_every=2)
+        RS.run_merge_stream(topic_records(spark, topic, cap), store, S.scratch_path(spark, "cap2-ckpt"), STREAM_CFG)
+        frames.append(RS.stream_report(store, STREAM_CFG).select(F.lit(cap or 0).alias("cap"), "*"))
+    return A.union_all(frames)
+
+
+def topic_records(spark, folder: str, max_files: int | None = None) -> DataFrame:
+    """Written records with Kafka's columns as a stream."""
+    r = spark.readStream.schema("key binary, value binary, topic string").option("recursiveFileLookup", "true")
+    return (r.option("maxFilesPerTrigger", max_files) if max_files else r).parquet(folder)
+
+
+@query("two_stage_stream_report")
+def q_two_stage_stream_report(spark, sf_dir):
+    """T5 + T6: the whole report through both stages with the scope 'stream', second half-month's files first: arrivals
+    counted are taken back where earlier ones come late."""
+    root, topic = S.scratch_path(spark, "late2"), S.scratch_path(spark, "late-topic")
+    store = ReportStore(spark, S.scratch_path(spark, "late2-report"), compact_every=3)
+    one, two = S.scratch_path(spark, "late2-1"), S.scratch_path(spark, "late2-2")
+    for where, suffix in (("NOT early", ""), ("early", "-late")):
+        write_fixture_files(spark, sf_dir, where=where, root=root, suffix=suffix, with_tmp=False, variant="days")
+        RS.run_delta_stream(RS.file_lines_stream(spark, root, 6), topic, one, STREAM_CFG)
+        RS.run_merge_stream(topic_records(spark, topic, 5), store, two, STREAM_CFG)
+    return RS.stream_report(store, STREAM_CFG)
+
+
 @query("message_roundtrip")
 def q_message_roundtrip(spark, sf_dir):
     """P14-P16 + T6: messages decoded and merged give the report, whatever the referer holds."""
@@ -525,6 +560,26 @@ def q_report_changes(spark, sf_dir):
     return published(store.changed(1))
 
 
+@query("report_changes_stream")
+def q_report_changes_stream(spark, sf_dir):
+    """K2 + K3: with the scope 'stream' the changed rows of each batch, applied by value one batch after the
+    other - the last value of a key counts, a row of zeros removes it - give the report."""
+    feed = S.scratch_path(spark, "changes")
+    _two_runs(spark, sf_dir, STREAM_CFG, "days", max_files=4, changes_dir=feed)
+    rows = spark.read.option("basePath", feed).parquet(feed)
+    key = [c for c in REPORT_OUTPUT if c not in MEASURES]
+    last = rows.groupBy(*key).agg(F.max(F.struct("batch_id", *MEASURES)).alias("r"))
+    return last.select(*[F.col(c) if c in key else F.col(f"r.{c}") for c in REPORT_OUTPUT]).where(COUNTS_SOMETHING)
+
+
+@query("updated_keys_stream")
+def q_updated_keys_stream(spark, sf_dir):
+    """K3: the audit names every key whose row changed, those too that an arrival came to or left (distinct over batches)."""
+    audit_dir = S.scratch_path(spark, "updated-stream")
+    _two_runs(spark, sf_dir, STREAM_CFG, "days", max_files=None, audit_dir=audit_dir)
+    return spark.read.text(audit_dir).select(F.col("value").alias("row_key")).distinct()
+
+
 @query("arrive_any_cap")
 def q_arrive_any_cap(spark, sf_dir):
     """T5: with the scope 'stream', the report is the same for every cap on files a batch."""
@@ -568,12 +623,24 @@ def q_stream_stage_metrics(spark, sf_dir):
     return metrics.parse_messages(spark.read.text(metrics_dir)).select("log_type", "stage", "n_rows", "host")
 
 
+@query("stream_scope_metrics")
+def q_stream_scope_metrics(spark, sf_dir):
+    """M1 with the scope 'stream': the merge stage's keys of each batch are those its delta has, arrivals that moved
+    included (batch 0: second half-month, batch 1: first)."""
+    metrics_dir = S.scratch_path(spark, "scope-metrics")
+    _two_runs(spark, sf_dir, STREAM_CFG, metrics_dir=metrics_dir)
+    return metrics.parse_messages(spark.read.text(metrics_dir)).where(
+        "log_type IN ('arrive', 'merge')").select("log_type", "stage", "n_rows", "host")
+
+
 @query("batch_timing")
 def q_batch_timing(spark, sf_dir):
-    """Write time per record of every micro-batch (rows only: times vary)."""
+    """The changed rows of each micro-batch written by value, as the writers of its partitions report them
+    (the times vary: that each partition has one)."""
     timing_dir = S.scratch_path(spark, "timing")
-    _stream_store(spark, sf_dir, timing_dir=timing_dir)
-    return metrics.timing(spark, timing_dir)
+    _two_runs(spark, sf_dir, FILE_CFG, changes_dir=S.scratch_path(spark, "timed-changes"), timing_dir=timing_dir)
+    return publish.timing(spark, timing_dir).groupBy("batch_id").agg(
+        F.sum("n_rows").alias("n_rows"), F.min(F.col("write_ms") >= 0).alias("timed"))
 
 
 # ---------------------------------------------------------------- metrics
@@ -605,14 +672,52 @@ def q_metrics_parse(spark, sf_dir):
 
 @query("metrics_archive")
 def q_metrics_archive(spark, sf_dir):
-    """K4: messages archived four lines per file, from more tasks than files: the lines
-    of each file, largest files first, and a digest of all lines."""
-    folder = S.scratch_path(spark, "metrics")
-    msgs = metrics.messages(metrics.stage_counts(lines(spark, sf_dir), CFG), 0, _metric_ts())
-    metrics.archive(msgs.repartition(7), folder, 4)
-    rows = spark.read.text(folder)
-    return rows.select("value", F.col("_metadata.file_path").alias("f")).groupBy("f").agg(
-        F.count(F.lit(1)).alias("n_lines")).groupBy("n_lines").agg(F.count(F.lit(1)).alias("n_files"))
+    """K4: every valid click's line as a metric line, archived 100 to a file over three batches, from many tasks: the files
+    by number of lines, with how many different lines they hold."""
+    archive = metrics.Archive(spark, S.scratch_path(spark, "metrics"), 100)
+    msgs = _click_metrics(spark, sf_dir)
+    for i in range(3):
+        some = msgs.where(F.col("event_id") % 3 == i).select("value")
+        for _ in range(1 + i % 2):                # the second batch is replayed
+            archive.append(some.repartition(7), i)
+    return _archived(archive)
+
+
+def _click_metrics(spark, sf_dir) -> DataFrame:
+    """A metric message for every click event."""
+    return lines(spark, sf_dir).where("log_type = 'click'").select(
+        "event_id", F.concat(F.lit("click%"), F.col("event_id").cast("string"),
+                             F.lit("%1-createStream%batch-0%2024-01-01 00:00:00")).alias("value"))
+
+
+def _archived(archive) -> DataFrame:
+    files = archive.read().groupBy("file_no").agg(F.count(F.lit(1)).alias("n_lines"),
+                                                  F.count_distinct("value").alias("n_different"))
+    return files.groupBy("n_lines").agg(F.count(F.lit(1)).alias("n_files"), F.sum("n_different").alias("n_different"))
+
+
+@query("metrics_stream")
+def q_metrics_stream(spark, sf_dir):
+    """Metric messages as a stream of records with Kafka's columns, every seventh spoiled in one of three ways:
+    archived lines by file size, parsed messages, and rejects by reason."""
+    bad = F.when(F.col("event_id") % 21 == 0, "junk").when(F.col("event_id") % 21 == 7, F.regexp_replace(
+        "value", "click%", "click%x")).otherwise(F.regexp_replace("value", "2024-01-01", "yesterday"))
+    src = S.scratch_path(spark, "metric-topic")
+    (_click_metrics(spark, sf_dir).select(
+        F.lit(None).cast("binary").alias("key"), F.encode(F.when(F.col("event_id") % 7 == 0, bad).otherwise(
+            F.col("value")), "UTF-8").alias("value"), F.lit("report").alias("topic"))
+     .repartition(9).write.parquet(src))
+    archive = metrics.Archive(spark, S.scratch_path(spark, "metric-archive"), 50)
+    parsed, rejects = S.scratch_path(spark, "metric-parsed"), S.scratch_path(spark, "metric-rejects")
+    metrics.run_metric_stream(topic_records(spark, src, 2), archive, parsed, rejects, S.scratch_path(spark, "metric-ckpt"))
+    ok = spark.read.option("basePath", parsed).parquet(parsed).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_rows").alias("total"))
+    gone = spark.read.option("basePath", rejects).parquet(rejects).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return A.union_all([
+        _archived(archive).select(F.concat(F.lit("files of "), F.col("n_lines").cast("string")).alias("what"),
+                                  F.col("n_files").alias("n"), F.col("n_different").alias("total")),
+        ok.select(F.lit("parsed").alias("what"), "n", "total"),
+        gone.select(F.concat(F.lit("rejected: "), "reason").alias("what"), "n", F.lit(0).cast("bigint").alias("total"))])
 
 
 @query("partition_counts")
@@ -623,6 +728,26 @@ def q_partition_counts(spark, sf_dir):
                                           (F.count(F.lit(1)) > 0).alias("counted"))
 
 
+@query("job_from_file")
+def q_job_from_file(spark, sf_dir):
+    """A job file - folders, cap, slots, declarations, table, topics - read back by Spark's XML source, starts the
+    batch over its folders, and the processes of its topics; both reports, marked."""
+    root = write_fixture_files(spark, sf_dir)
+    path = S.scratch_path(spark, "job-file")
+    job.write_job(spark, path, FS.type_folders(root), max_files=4, topics={**dict.fromkeys(LOG_TYPES, 2), "merge": 5})
+    j = job.read_job(spark, path)
+    stores = [ReportStore(spark, S.scratch_path(spark, f"job-{kind}"), compact_every=2) for kind in ("batch", "topics")]
+    job.run_batch(spark, j, stores[0], S.scratch_path(spark, "job-ckpt"))
+    once = {"availableNow": True}
+    hand_off = S.scratch_path(spark, "job-topic")
+    for f in j.folders:
+        records = spark.readStream.format("text").option("recursiveFileLookup", "true").load(f.path)
+        job.run_topic(records, j, f.log_type, f"{hand_off}/{f.log_type}", S.scratch_path(spark, "job-topic-ckpt"), once)
+    job.run_merge(topic_records(spark, hand_off, 3), j, stores[1], S.scratch_path(spark, "job-merge-ckpt"), once)
+    return A.union_all([RS.stream_report(s, j.config).select(F.lit(kind).alias("started"), "*")
+                        for kind, s in zip(("batch", "topics"), stores)])
+
+
 @query("report_files_job")
 def q_report_files_job(spark, sf_dir):
     """§3.2: the batch job over watched folders: every pending file, ten a batch, then stop."""

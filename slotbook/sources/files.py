@@ -24,7 +24,11 @@ def type_below(spark: SparkSession, path: Column, root: str) -> Column:
     the file lies.  Evaluated for every line of a scan, so plain string functions,
     not a regular expression."""
     top = raw_path(spark, root) + "/"
-    rest = F.substr(path, F.locate(top, path) + F.lit(len(top)))
+    # the path without scheme and host begins with the root; its text may also stand elsewhere
+    host = F.locate("://", path)
+    own = F.when(host > 0, F.substr(path, F.call_function("locate", F.lit("/"), path, host + 3))).otherwise(
+        F.substr(path, F.locate("/", path)))
+    rest = F.when(F.startswith(own, F.lit(top)), F.substr(own, F.lit(len(top) + 1)))
     return F.when(F.instr(rest, "/") > 0, F.substring_index(rest, "/", 1))
 
 

@@ -125,6 +125,10 @@ ARRIVE = LogSpec("arrive", _cols(ARRIVE_COLUMNS), _cols(ARRIVE_KEY),
 MERGE = LogSpec("merge", MERGE_ITEMS, ("rowKey",), separator=MESSAGE_SEPARATOR,
                 check_length=False, long_columns=())
 
+# a first arrival on its way to the merge stage: where it counts, whose it is, and when it was
+FIRST_ITEMS = ("rowKey", "cookie", "order_id", "log_time", "check_id", "log_length")
+FIRST = LogSpec("first", FIRST_ITEMS, ("rowKey",), separator=MESSAGE_SEPARATOR, check_length=False)
+
 SPECS: dict[str, LogSpec] = {s.log_type: s for s in (BID, EXPOSE, CLICK, ARRIVE, MERGE)}
 LOG_TYPES = ("bid", "expose", "click", "arrive")
 
@@ -137,8 +141,9 @@ class ReportConfig:
     tz: str = "UTC"
     # 'raw' keeps expose/click media as the referer text; 'domain' extracts its host
     media: str = "raw"
-    # arrive de-duplication scope: 'batch' (all lines given at once), 'file', or
-    # 'stream' (over all batches of a store)
+    # arrive de-duplication scope: 'batch' (all lines given at once; no stream takes it),
+    # 'file', 'stream' (over all batches of a store), or 'micro_batch' (each micro-batch
+    # by itself, so that the result depends on how files fall into batches)
     dedup_scope: str = "batch"
     specs: dict = field(default_factory=lambda: dict(SPECS))
 
@@ -148,8 +153,8 @@ class ReportConfig:
             raise ValueError(f"slot minutes must divide 60, got {n}")
         if self.media not in ("raw", "domain"):
             raise ValueError("media must be 'raw' or 'domain'")
-        if self.dedup_scope not in ("batch", "file", "stream"):
-            raise ValueError("dedup_scope must be 'batch', 'file' or 'stream'")
+        if self.dedup_scope not in ("batch", "file", "stream", "micro_batch"):
+            raise ValueError("dedup_scope must be 'batch', 'file', 'stream' or 'micro_batch'")
 
     @property
     def log_types(self) -> tuple[str, ...]:

@@ -12,8 +12,6 @@ in the checkpoint folder, so a restarted or failed query resumes exactly.
 
 from __future__ import annotations
 
-import time
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +19,10 @@ from pyspark.sql import functions as F
 from slotbook.operators import aggregate as A
 from slotbook.operators import messages
 from slotbook.operators import metrics as M
-from slotbook.operators.upsert import ReportStore, published, upsert
+from slotbook.operators.dedup import first_arrivals
+from slotbook.operators.upsert import ReportStore, published
 from slotbook.plans import report as R
+from slotbook.sources import publish as P
 from slotbook.sources.files import type_below
 from slotbook.specs import KEY_COLUMNS, ReportConfig
 
@@ -43,52 +43,80 @@ def file_lines_stream(spark: SparkSession, roots: str | dict[str, str], max_file
         type_below(spark, path, roots).alias("log_type"))
 
 
+def _scope(cfg: ReportConfig) -> tuple[str, ...]:
+    """The columns that part the arrivals of a micro-batch.  The scope 'batch' is refused: what
+    counts would depend on how files fall into batches, which 'micro_batch' says by its name."""
+    if cfg.dedup_scope == "batch":
+        raise ValueError("dedup scope 'batch' in a stream: choose 'file', 'stream' or 'micro_batch'")
+    return ("file_path",) if cfg.dedup_scope == "file" else ()
+
+
+def batch_types(cfg: ReportConfig) -> tuple[tuple[str, ...], bool]:
+    """The log types that a micro-batch counts by itself, and whether its arrivals are compared with
+    those of all batches before (the scope 'stream')."""
+    apart = cfg.dedup_scope == "stream" and "arrive" in cfg.log_types
+    return tuple(t for t in cfg.log_types if not (apart and t == "arrive")), apart
+
+
+def moved_arrivals(store: ReportStore, batch_id: int) -> DataFrame:
+    """What a batch changes about the arrivals counted, as contributions of +1 and -1."""
+    return A.with_measures(store.first.moves(batch_id), {"arrive_cnt": "n"})
+
+
 def report_batch_writer(store: ReportStore, cfg: ReportConfig, audit_dir: str | None = None,
                         metrics_dir: str | None = None, rejects_dir: str | None = None,
-                        timing_dir: str | None = None):
+                        changes_dir: str | None = None, timing_dir: str | None = None):
     """The ``foreachBatch`` function: batch lines → delta → store (+ key audit,
-    stage metrics, rejected lines and write time of the batch, each by batch id, so that a
-    replayed batch replaces its own)."""
-    scope = ("file_path",) if cfg.dedup_scope == "file" else ()
-    # arrivals that count over the whole stream are not in the deltas
-    types = tuple(t for t in cfg.log_types if t != "arrive" or cfg.dedup_scope != "stream")
+    stage metrics, rejected lines, changed rows and write time of the batch, each by batch id, so
+    that a replayed batch replaces its own)."""
+    scope, (types, apart) = _scope(cfg), batch_types(cfg)
+    if timing_dir:
+        P.register(store.spark)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark, part = store.spark, f"batch_id={int(batch_id)}"
+        if store.folded(batch_id):     # replayed after its compaction: all of it is written
+            return
+        part = f"batch_id={int(batch_id)}"
         # the log types each read the batch once; keep it for them
         lines = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            began = time.monotonic()
-            store.write_delta(A.finish(R.report_rows(lines, cfg, scope, types), cfg, stored=True), batch_id)
-            if "arrive" not in types:
-                store.write_arrivals(A.kept_arrivals(R.valid_of(lines, "arrive", cfg), cfg), batch_id)
-            wrote = 1000 * (time.monotonic() - began)
-            if timing_dir:
-                spark.createDataFrame([(int(batch_id), lines.count(), wrote)], M.TIMING_DDL).write.mode(
-                    "overwrite").parquet(f"{timing_dir}/{part}")
+            rows, moves = [R.contributions_of(lines, t, cfg, scope) for t in types], None
+            if apart:
+                if not store.first.folded(batch_id):
+                    store.first.take(A.kept_arrivals(R.valid_of(lines, "arrive", cfg), cfg), batch_id)
+                moves = moved_arrivals(store, batch_id)
+                rows.append(moves)
+            store.write_delta(A.finish(A.sum_measures(A.union_all(rows)), cfg, stored=True), batch_id)
             if metrics_dir:
-                M.messages(M.stage_counts(lines, cfg, scope), batch_id).write.mode("overwrite").text(
+                M.messages(M.stage_counts(lines, cfg, scope, moves=moves), batch_id).write.mode("overwrite").text(
                     f"{metrics_dir}/{part}")
             if rejects_dir:
                 R.all_rejects(lines, cfg).write.mode("overwrite").parquet(f"{rejects_dir}/{part}")
         finally:
             lines.unpersist()
-        if audit_dir:
-            # K3: the keys this batch updated, read back from the committed delta
-            keys = store.delta(batch_id).select(F.concat_ws("\x1f", *KEY_COLUMNS[:-1]).alias("value"))
-            keys.write.mode("overwrite").text(f"{audit_dir}/{part}")
-        # fold the deltas into the days they touch every few batches
-        store.maintain(batch_id)
+        after_delta(store, batch_id, audit_dir, changes_dir, timing_dir)
     return run
 
 
+def after_delta(store: ReportStore, batch_id: int, audit_dir: str | None = None, changes_dir: str | None = None,
+                timing_dir: str | None = None) -> None:
+    """What follows a committed delta: the audit of its keys (K3), its changed rows by value, with the
+    time that writing them took per partition (A9), and the store's upkeep, last."""
+    part = f"batch_id={int(batch_id)}"
+    if audit_dir:
+        keys = store.delta(batch_id).select(F.concat_ws("\x1f", *KEY_COLUMNS[:-1]).alias("value"))
+        keys.write.mode("overwrite").text(f"{audit_dir}/{part}")
+    if changes_dir:
+        P.write_rows(published(store.changed(batch_id)), f"{changes_dir}/{part}",
+                     f"{timing_dir}/{part}" if timing_dir else None)
+    # fold the deltas into the days they touch every few batches
+    store.maintain(batch_id)
+
+
 def stream_report(store: ReportStore, cfg: ReportConfig = ReportConfig()) -> DataFrame:
     """The report of all batches; with dedup scope 'stream', each (cookie, order id)'s
     first arrival over all of them counts, in whatever batch it came."""
-    if cfg.dedup_scope != "stream":
-        return published(store.current())
-    arrived = A.sum_measures(A.with_measures(store.arrivals(), {"arrive_cnt": A.ONE}))
-    return published(upsert(store.current(), A.finish(arrived, cfg, stored=True)))
+    return published(store.current())
 
 
 def _start(writer, checkpoint: str, trigger: dict | None):
@@ -111,25 +139,26 @@ def run_report_stream(spark: SparkSession, roots: str | dict[str, str], store: R
     """The report query over watched folders; with the default ``availableNow``
     trigger it takes every pending file, ``max_files`` a batch, and stops: the batch
     job over folders (production: ``processingTime``).  The file source's log in the
-    checkpoint folder is the ledger of files taken.
-
-    The dedup scope 'batch' would make the result depend on ``max_files``."""
-    if max_files and cfg.dedup_scope == "batch":
-        raise ValueError("dedup scope 'batch' with a cap on files: choose 'file' or 'stream'")
+    checkpoint folder is the ledger of files taken."""
+    _scope(cfg)
     return run_lines_stream(file_lines_stream(spark, roots, max_files), store, checkpoint, cfg, trigger, **dirs)
 
 
 def run_delta_stream(lines: DataFrame, out: str, checkpoint: str, cfg: ReportConfig, trigger: dict | None = None):
     """Stage one of two (K1, T6): each batch's per-type deltas as records with Kafka's
-    columns, by batch id.  A Kafka sink takes the same records."""
-    scope = ("file_path",) if cfg.dedup_scope == "file" else ()
+    columns, by batch id; with the scope 'stream', its first arrivals as records of their own topic, as
+    only the merge stage can tell which of them count.  A Kafka sink takes the same records."""
+    scope, (types, apart) = _scope(cfg), batch_types(cfg)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            msgs = A.union_all([messages.encode(A.own_measures(R.contributions_of(kept, t, cfg, scope), t), cfg)
-                                for t in cfg.log_types])
-            messages.kafka_records(msgs).write.mode("overwrite").parquet(f"{out}/batch_id={int(batch_id)}")
+            records = [messages.kafka_records(messages.encode(
+                A.own_measures(R.contributions_of(kept, t, cfg, scope), t), cfg)) for t in types]
+            if apart:
+                first = A.kept_arrivals(R.valid_of(kept, "arrive", cfg), cfg)
+                records.append(messages.kafka_records(messages.encode_first(first, cfg), messages.FIRST_TOPIC))
+            A.union_all(records).write.mode("overwrite").parquet(f"{out}/batch_id={int(batch_id)}")
         finally:
             kept.unpersist()
 
@@ -137,17 +166,37 @@ def run_delta_stream(lines: DataFrame, out: str, checkpoint: str, cfg: ReportCon
 
 
 def run_merge_stream(records: DataFrame, store: ReportStore, checkpoint: str, cfg: ReportConfig,
-                     rejects_dir: str | None = None, trigger: dict | None = None):
-    """Stage two (S7, A5): delta messages from a stream with Kafka's columns → store;
-    messages that cannot be read go to the rejects by batch id."""
+                     rejects_dir: str | None = None, trigger: dict | None = None, **dirs):
+    """Stage two (S7, A5): messages from a stream with Kafka's columns → store.  Deltas are
+    added up; a first arrival counts only if no earlier one of its cookie and order id is known, and
+    takes the place of the one counted so far, so neither stage's cap on files matters.  Messages that
+    cannot be read go to the rejects by batch id."""
+    if dirs.get("timing_dir"):
+        P.register(store.spark)
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        msgs = batch.select(F.col("value").cast("string").alias("value"))
-        merged = messages.merge(messages.decode(msgs, cfg))
-        store.write_delta(A.finish(merged, cfg, stored=True), batch_id)
-        if rejects_dir:
-            messages.decode_rejects(msgs, cfg).write.mode("overwrite").parquet(
-                f"{rejects_dir}/batch_id={int(batch_id)}")
-        store.maintain(batch_id)
+        if store.folded(batch_id):
+            return
+        value = F.col("value").cast("string").alias("value")
+        kept = batch.select("topic", value).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            first = kept.where(F.col("topic") == messages.FIRST_TOPIC).select("value")
+            deltas = kept.where(~F.coalesce(F.col("topic") == messages.FIRST_TOPIC, F.lit(False))).select("value")
+            rows = messages.decode(deltas, cfg)
+            bad = messages.decode_rejects(deltas, cfg)
+            if cfg.dedup_scope == "stream":
+                if not store.first.folded(batch_id):
+                    store.first.take(first_arrivals(messages.decode_first(first, cfg)), batch_id)
+                rows = rows.unionByName(moved_arrivals(store, batch_id))
+                bad = bad.unionByName(messages.first_rejects(first, cfg))
+            else:      # stage one runs with another scope
+                bad = bad.unionByName(first.select(F.lit("scope").alias("reason"), "value"))
+            store.write_delta(A.finish(messages.merge(rows), cfg, stored=True), batch_id)
+            if rejects_dir:
+                bad.write.mode("overwrite").parquet(f"{rejects_dir}/batch_id={int(batch_id)}")
+        finally:
+            kept.unpersist()
+        after_delta(store, batch_id, **dirs)
 
     return _start(records.writeStream.foreachBatch(run), checkpoint, trigger)
 

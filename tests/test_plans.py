@@ -22,7 +22,9 @@ from slotbook.specs import ReportConfig
 BUILT_BY_RUNNING = {"scan_log_lines", "arrive_first_per_file", "pending_files", "ledger_prune",
                     "ledger_latest", "source_file_audit", "stream_file_ingest", "stream_report",
                     "updated_keys", "stream_late_data", "batch_timing", "metrics_archive",
-                    "report_files_job", "stream_stage_metrics", "stream_arrive_dedup"}
+                    "report_files_job", "stream_stage_metrics", "stream_arrive_dedup", "two_stage_any_cap",
+                    "two_stage_stream_report", "report_changes_stream", "updated_keys_stream", "arrive_any_cap",
+                    "stream_scope_metrics", "metrics_stream", "job_from_file"}
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                 "FlatMapCoGroupsInPandas", "PythonUDF", "MapInArrow")
 PAIR_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")

@@ -42,11 +42,11 @@ def test_per_partition_counts(spark, sf_dir):
 
 def test_archive_fills_files_across_tasks(spark):
     """One-line partitions: files hold seven lines all the same, and every line is there once."""
-    folder = S.scratch_path(spark, "t-archive")
-    metrics.archive(spark.range(40).selectExpr("CAST(id AS STRING) AS value").repartition(40), folder, 7)
-    rows = spark.read.text(folder).select("value", F.col("_metadata.file_path").alias("f")).collect()
+    archive = metrics.Archive(spark, S.scratch_path(spark, "t-archive"), 7)
+    archive.append(spark.range(40).selectExpr("CAST(id AS STRING) AS value").repartition(40), 0)
+    rows = archive.read().collect()
     assert sorted(int(r.value) for r in rows) == list(range(40))
-    per_file = sorted(sum(r.f == f for r in rows) for f in {r.f for r in rows})
+    per_file = sorted(sum(r.file_no == f for r in rows) for f in {r.file_no for r in rows})
     assert per_file == [5, 7, 7, 7, 7, 7]
 
 

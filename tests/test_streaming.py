@@ -8,6 +8,7 @@ from slotbook.operators import metrics as M
 from slotbook.operators.upsert import ReportStore
 from slotbook.plans import report as R
 from slotbook.sources import files as FS
+from slotbook.sources import publish as P
 from slotbook.sources.fixture import fixture_lines, write_fixture_files
 from slotbook.specs import ReportConfig
 from slotbook.streaming import report_stream as RS
@@ -67,7 +68,9 @@ def test_replayed_batch_is_not_counted_twice(spark, sf_dir, compact_every):
     assert len(commits) >= 2
     S.delete(spark, f"{ckpt}/commits/{commits[-1]}")
     q = RS.run_report_stream(spark, root, store, ckpt, FILE_CFG, max_files=10)
-    assert [p["batchId"] for p in q.recentProgress if p["numInputRows"] > 0] == [commits[-1]]
+    assert S.exists(spark, f"{ckpt}/commits/{commits[-1]}")        # it ran again
+    # a folded batch is known to be written and reads nothing
+    assert [p["batchId"] for p in q.recentProgress if p["numInputRows"] > 0] == ([] if compact_every else [commits[-1]])
     assert same(store.current(), before)
 
 
@@ -103,7 +106,7 @@ def test_batches_of_rejected_lines_only(spark):
     """Audit, metrics and rejects of a batch without one good line, then a good one."""
     root, out = S.scratch_path(spark, "t-bad"), S.scratch_path(spark, "t-bad-out")
     store, ckpt = ReportStore(spark, f"{out}/report"), f"{out}/ckpt"
-    dirs = {d: f"{out}/{d}" for d in ("audit_dir", "metrics_dir", "rejects_dir", "timing_dir")}
+    dirs = {d: f"{out}/{d}" for d in ("audit_dir", "metrics_dir", "rejects_dir", "changes_dir", "timing_dir")}
     _write(spark, f"{root}/expose/day/bad", ["junk", ""])
     RS.run_report_stream(spark, root, store, ckpt, FILE_CFG, **dirs)
     assert store.current().count() == 0
@@ -120,7 +123,8 @@ def test_batches_of_rejected_lines_only(spark):
               for r in M.parse_messages(spark.read.text(dirs["metrics_dir"])).collect()}
     assert stages[("batch-0", "expose", "1")] == 2 and stages[("batch-0", "expose", "3")] == 0
     assert stages[("batch-1", "expose", "4")] == 1 == stages[("batch-1", "merge", "3")]
-    assert {r.batch_id: r.n_rows for r in M.timing(spark, dirs["timing_dir"]).collect()} == {0: 2, 1: 2}
+    timed = P.timing(spark, dirs["timing_dir"]).groupBy("batch_id").agg(F.sum("n_rows").alias("n"))
+    assert {r.batch_id: r.n for r in timed.collect() if r.n} == {1: 1}
 
 
 def test_file_names_with_glob_characters(spark):
@@ -133,11 +137,6 @@ def test_file_names_with_glob_characters(spark):
     assert store.current().first().expose_cnt == 4
 
 
-def test_scope_batch_with_a_cap_is_refused(spark):
-    with pytest.raises(ValueError):
-        RS.run_report_stream(spark, "/x", ReportStore(spark, "/y"), "/z", ReportConfig(), max_files=2)
-
-
 def test_a_report_read_before_a_compaction_stays_readable(spark, sf_dir):
     """A report held over the next compaction (and its pruning) gives the rows it had."""
     ls = fixture_lines(spark, sf_dir, variant="days")
