@@ -173,13 +173,20 @@ class FoldedTable:
             self._write(self.with_part(self.merge(rows)), f"{self.path}/base/upto={upto}")
         # a partition whose rows all went has no folder
         kept = [p for p in touched if S.exists(self.spark, f"{self.path}/base/upto={upto}/{self.part}={p}")]
-        entries = self.spark.createDataFrame([(p, upto) for p in kept], f"{self.part} string, version bigint")
+        entries = self._entries(kept, upto)
         prev = self._manifest(c)
         if prev is not None:
             entries = entries.unionByName(
                 prev.where(~F.col(self.part).isin(touched)) if touched else prev)
         return self._publish(entries, upto)
 
+    def _entries(self, parts: list[str], version: int) -> DataFrame:
+        """Manifest rows as literals: one row per partition, no job to make them."""
+        if not parts:
+            return self.spark.createDataFrame([], f"{self.part} string, version bigint")
+        return self.spark.range(1).select(F.explode(F.array(*map(F.lit, parts))).alias(self.part),
+                                          F.lit(version).cast("bigint").alias("version"))
+
     def _publish(self, entries: DataFrame, upto: int) -> str:
         """Write manifest ``upto`` (one row per partition); readers switch to the
         compaction only once its ``_SUCCESS`` marker exists."""
