@@ -102,9 +102,9 @@ def _sketch(rules: JoinRules):
     def sketch(batches):
         seen: set[int] = set()
         for b in batches:
-            keys, hashes, texts = b.column(0), b.column(1), b.column(2).to_pylist()
+            keys, hashes, texts = b.column(0), b.column(1), b.column(2)
             for i in range(0, len(texts), 256):
-                sets = shingle_sets(texts[i:i + 256], rules.width)
+                sets = shingle_sets(texts.slice(i, 256).to_pylist(), rules.width)
                 nodes, posts = [], []
                 for s in sets:
                     n = len(s)
@@ -224,9 +224,9 @@ def _small(df: DataFrame) -> DataFrame:
 def _sets_of(rules: JoinRules):
     def sets_of(batches):
         for b in batches:
-            texts = b.column(0).to_pylist()
+            texts = b.column(0)
             for i in range(0, len(texts), 256):
-                sets = [s for s in shingle_sets(texts[i:i + 256], rules.width) if len(s)]
+                sets = [s for s in shingle_sets(texts.slice(i, 256).to_pylist(), rules.width) if len(s)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([node_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "n", "tokens"])

@@ -46,9 +46,9 @@ def encoded(docs: DataFrame, path: str, packing: Packing, key: str, source: str,
     def encode(batches):
         part, queued = TaskContext.get().partitionId(), {}
         for b in batches:
-            doc, queue, texts = b.column(0), b.column(1).to_pylist(), b.column(2).to_pylist()
+            doc, queue, texts = b.column(0), b.column(1).to_pylist(), b.column(2)
             for i in range(0, len(texts), 500):
-                ids = [x + end for x in encoder(path).encode([t or "" for t in texts[i:i + 500]])]
+                ids = [x + end for x in encoder(path).encode([t or "" for t in texts.slice(i, 500).to_pylist()])]
                 n = [len(x) // 4 for x in ids]
                 starts = []
                 for q, k in zip(queue[i:i + 500], n, strict=True):
@@ -125,7 +125,7 @@ def tail_sequences(total: int, window: int) -> tuple[int, np.ndarray]:
     return start, np.array(ends, np.int64)
 
 
-def _cutter(queues: list[str], rounds: Rounds, packing: Packing):
+def _cutter(queues: list[str], rounds: Rounds, packing: Packing, with_ids: bool):
     number = {q: i for i, q in enumerate(queues)}
     total = int(rounds.size.sum())
     window = packing.window
@@ -147,30 +147,32 @@ def _cutter(queues: list[str], rounds: Rounds, packing: Packing):
                             begin = int(ends[j - 1]) if j else tail
                             seq, off, k = tail // window + j, p - begin, min(m, int(ends[j]) - p)
                         some = ids[4 * s:4 * (s + k)]
-                        for h, v in zip(held, (doc, s, k, zlib.crc32(some), n, seq, off, some), strict=True):
+                        for h, v in zip(held, (doc, s, k, zlib.crc32(some), n, seq, off), strict=False):
                             h.append(v)
+                        if with_ids:
+                            held[7].append(some)
                         size += k
                         s, m, p = s + k, m - k, p + k
                 if size > 1 << 20:
-                    yield _piece_batch(held)
+                    yield _piece_batch(held, with_ids)
                     held, size = [[] for _ in range(8)], 0
             if held[0]:
-                yield _piece_batch(held)
+                yield _piece_batch(held, with_ids)
     return cut
 
 
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def _piece_batch(held: list[list]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(h, pa.int64()) for h in held[:7]] + [pa.array(held[7], pa.binary())],
-        names=[c.split()[0] for c in PIECES.split(", ")])
+def _piece_batch(held: list[list], with_ids: bool) -> pa.RecordBatch:
+    names = [c.split()[0] for c in PIECES.split(", ")]
+    arrays = [pa.array(h, pa.int64()) for h in held[:7]]
+    return pa.RecordBatch.from_arrays(arrays + [pa.array(held[7], pa.binary())] * with_ids, names=names + ["ids"] * with_ids)
 
 
 def pack(docs: DataFrame, path: str, packing: Packing = Packing(), weights: dict[str, float] | None = None,
-         key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """Pieces of all rows: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids.
+         key: str = "doc_id", source: str = "source", text: str = "text", with_ids: bool = True) -> DataFrame:
+    """Pieces of all rows: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for, ids.
 
     Every row is packed, repeated rows each on their own; null or empty text is its end id
     alone, a null source a queue of its own (''), a null key stays null.  ``weights`` gives target
@@ -190,4 +192,4 @@ def pack(docs: DataFrame, path: str, packing: Packing = Packing(), weights: dict
     if bases.count() <= SMALL:
         places = F.broadcast(places)
     return tokens.join(places, ["part", "queue"]).select("doc", "queue", "n", "start", "base", "ids").mapInArrow(
-        _cutter(queues, rounds, packing), PIECES)
+        _cutter(queues, rounds, packing, with_ids), PIECES + ", ids binary" * with_ids)

@@ -13,18 +13,18 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotbook.llm.common import unused
+from slotbook.llm.common import unused, written
+from slotbook.llm.word_memory import WordMemory
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
-MEMORY = 400_000     # words whose pieces one worker keeps; then it starts anew
+SMALL = 100_000      # groups that may be broadcast: some 10 MB
 MEASURES = pa.struct([("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()),
                       ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()),
                       ("n_tokens", pa.int64()), ("chars_per_token", pa.float64()),
@@ -54,17 +54,12 @@ class Pieces:
         import sentencepiece
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.is_byte = np.array([self.model.is_byte(i) for i in range(self.model.get_piece_size())])
-        self.kept: dict[bytes, bytes] = {}
+        self.words = WordMemory(self._learn)
 
-    def learn(self, words: set[bytes]) -> None:
-        new = words.difference(self.kept)
-        if len(self.kept) + len(new) > MEMORY:
-            self.kept.clear()
-            new = words
-        if new:
-            order = list(new)
-            ids = self.model.encode([w.decode("utf-8", "replace") for w in order], num_threads=1)
-            self.kept.update((w, np.array(i, "<u4").tobytes()) for w, i in zip(order, ids, strict=True))
+    def _learn(self, new: set[bytes]) -> dict[bytes, bytes]:
+        order = list(new)
+        ids = self.model.encode([w.decode("utf-8", "replace") for w in order], num_threads=1)
+        return {w: np.array(i, "<u4").tobytes() for w, i in zip(order, ids, strict=True)}
 
 
 def pieces(path: str) -> Pieces:
@@ -90,12 +85,11 @@ def repeated_words(words: list[bytes]) -> int:
     return total
 
 
-def measure_text(text: str, words: list[bytes], data: bytes, p: Pieces) -> tuple:
+def measure_text(text: str, words: list[bytes], pieces_of: list[bytes], data: bytes, p: Pieces) -> tuple:
     spaces = len(data) - len(data.translate(None, SPACE))
     lines = [x for x in data.split(b"\n") if x.strip(SPACE)]
     chars = len(text) - spaces
-    get = p.kept.__getitem__
-    ids = np.frombuffer(b"".join(map(get, words)), "<u4")
+    ids = np.frombuffer(b"".join(pieces_of), "<u4")
     n = len(ids)
     if n:
         counts = np.unique(ids, return_counts=True)[1]
@@ -122,8 +116,7 @@ def measures(text: Column, path: str) -> Column:
             some = [t or "" for t in texts[start:stop]]
             data = [t.encode("utf-8", "replace") for t in some]
             words = [d.split() for d in data]
-            p.learn(set(chain.from_iterable(words)))
-            out += [measure_text(t, w, d, p) for t, w, d in zip(some, words, data, strict=True)]
+            out += [measure_text(t, w, i, d, p) for t, w, i, d in zip(some, words, p.words.values(words), data, strict=True)]
             start = stop
         cols = zip(*out, strict=True) if out else [[] for _ in MEASURES]
         return pa.StructArray.from_arrays(
@@ -156,6 +149,10 @@ def fit_bands(q: DataFrame, rules: QualityRules = QualityRules(), out: str = "qu
     # the median first: deviations are taken from it
     middle = ok.groupBy(F.col(f"{out}.band").alias("band")).agg(
         F.percentile_approx(f"{out}.chars_per_token", 0.5, 10000).alias("middle"))
+    # one row per group, and broadcast if those are few, as counted: rows are not dealt out by group
+    middle = written(middle, "band-middles")
+    if middle.count() <= SMALL:
+        middle = F.broadcast(middle)
     scaled = ok.withColumn("band", F.col(f"{out}.band")).join(middle, "band").withColumn(
         "z", (F.col(f"{out}.chars_per_token") - F.col("middle")) * F.sqrt(f"{out}.n_tokens"))
     quart = [0.25, 0.75]

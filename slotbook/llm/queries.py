@@ -56,7 +56,7 @@ def op4_token_count(spark, sf_dir):
 def op5_packing(spark, sf_dir):
     """All documents packed into sequences, piece by piece."""
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "source", "text"),
-                        public_tokenizers.path(WORD_BPE)).drop("ids")
+                        public_tokenizers.path(WORD_BPE), with_ids=False)
 
 
 def op6_quality(spark, sf_dir):

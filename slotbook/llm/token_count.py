@@ -41,8 +41,10 @@ def id_counts(text: Column, path: str) -> Column:
     """Number of ids of each text (null: 0)."""
     @F.arrow_udf("long")
     def count(column: pa.Array) -> pa.Array:
-        ids = encoder(path).encode([t or "" for t in column.to_pylist()])
-        return pa.array([len(i) // 4 for i in ids], pa.int64())
+        n: list[int] = []
+        for at in range(0, len(column), 500):
+            n += [len(i) // 4 for i in encoder(path).encode([t or "" for t in column.slice(at, 500).to_pylist()])]
+        return pa.array(n, pa.int64())
 
     return count(text)
 

@@ -13,11 +13,11 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from itertools import chain
 
 import numpy as np
 
-MEMORY = 600_000      # words kept by one worker; then it starts anew
+from slotbook.llm.word_memory import WordMemory
+
 SLICE = 1 << 20       # bytes of text looked up at a time
 JOINED = 256          # new words encoded by one call
 PUNCTUATION = b".,;:!?*#$%&|()[]{}\"/\\-_=+~@^`"
@@ -52,16 +52,16 @@ class WordIds:
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        self.kept: dict[bytes, bytes] = {}
+        self.words = WordMemory(self._learn)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: set[bytes]) -> None:
-        """Encode unknown words.  Punctuation around a word that starts and ends
+    def _learn(self, new: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of unknown words.  Punctuation around a word that starts and ends
         with a letter or digit is a word of its own for the tokenizer."""
-        kept = self.kept
+        kept: dict[bytes, bytes] = {}
         parts: list[tuple[bytes, tuple[bytes, ...]]] = []
         single: set[bytes] = set()
         for w in new:
@@ -72,9 +72,16 @@ class WordIds:
                 if (c[0].isalpha() or c[0] in "0123456789") and (c[-1].isalpha() or c[-1] in "0123456789"):
                     at = w.index(core)
                     parts.append((w, (w[:at], core, w[at + len(core):])))
-                    single.update(x for x in parts[-1][1] if x and x not in kept)
                     continue
             single.add(w)
+        known = self.words.young.get
+        for _, some in parts:
+            for x in some:
+                ids = known(x)
+                if ids is not None:
+                    kept[x] = ids
+                elif x:
+                    single.add(x)
         plain, other = [], []
         for w in single:
             (plain if w.decode("utf-8", "replace").isalpha() else other).append(w)
@@ -94,6 +101,7 @@ class WordIds:
         kept[b""] = b""
         for w, p in parts:
             kept[w] = b"".join(kept[x] for x in p)
+        return kept
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, no special tokens added."""
@@ -113,12 +121,5 @@ class WordIds:
     def _some(self, texts: list[str]) -> list[bytes]:
         # lower-casing A-Z early changes no id outside special strings
         words = [None if "<|" in t else t.encode("utf-8", "replace").lower().split() for t in texts]
-        new = set(chain.from_iterable(w for w in words if w)).difference(self.kept)
-        if new:
-            if len(self.kept) + len(new) > MEMORY:
-                self.kept.clear()
-                new = set(chain.from_iterable(w for w in words if w))
-            self._learn(new)
-        get = self.kept.__getitem__
-        return [self._whole([t])[0] if w is None else b"".join(map(get, w))
-                for t, w in zip(texts, words, strict=True)]
+        ids = iter(self.words.values([w for w in words if w is not None]))
+        return [self._whole([t])[0] if w is None else b"".join(next(ids)) for t, w in zip(texts, words, strict=True)]
