@@ -3,9 +3,11 @@
 Markup is read once into flat blocks: the text between two block-level tags.
 A block's features are its number of words and its link density, those of the
 block before and after it, and whether an enclosing element is named as content
-or as page furniture.  A small labelled table of pages (below) trains a
-decision tree on these features; blocks that it takes for content, in page
-order, are the text.
+or as page furniture.  A name counts for the element's own part of the page alone: an
+element around the page's main heading, or around nearly all its words, is no furniture whatever
+it is called, and where a name of content stands beside one of furniture the former counts.
+A small labelled table of pages (below), with and without names, trains a decision tree on
+these features; blocks that it takes for content, in page order, are the text.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ FURNITURE = frozenset("""ad ads advert advertisement advertising adverts banner
     newsletter notice notices pagination popup promo related replies reply respond share sharing sidebar
     signup social sponsor sponsored subscribe toolbar widget""".split())
 CONTENT = frozenset("article content entry main post story".split())
+PAGE_TAGS = frozenset("article body html main".split())      # never furniture by a name
+WRAPPER = 0.9        # share of a page's words from which an element is around the page
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)
     |<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*"|'[^']*')*+)>
@@ -61,7 +65,10 @@ def _names(attrs: str) -> set[str]:
 def blocks_of(page: str) -> list[Block]:
     """The flat text blocks of a page, in order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []      # tag, in content, in furniture
+    stack: list[tuple[str, bool, int]] = []       # tag, in content, number of the element
+    elements: list[list] = []                     # [furniture, enclosing element, words inside, holds the main heading]
+    within: list[int] = []                        # the element that each block lies in
+    heading = False
     parts: list[tuple[str, bool]] = []
     in_link, at, n = False, 0, len(page)
     last = page.rfind(">")                        # no tag ends after it
@@ -73,8 +80,12 @@ def blocks_of(page: str) -> list[Block]:
             if text:
                 words = len(text.split(" "))
                 linked = sum(len(t.split()) for t, link in parts if link)
-                _, content, furniture = stack[-1] if stack else ("", False, False)
-                out.append(Block(text, words, min(1.0, linked / words), content, furniture))
+                _, content, number = stack[-1] if stack else ("", False, -1)
+                out.append(Block(text, words, min(1.0, linked / words), content, False))
+                within.append(number)
+                while number >= 0:
+                    elements[number][2] += words
+                    number = elements[number][1]
             parts.clear()
 
     while at < n:
@@ -107,20 +118,32 @@ def blocks_of(page: str) -> list[Block]:
         elif tag in BLOCKS:
             flush()
             in_link = False
+            if tag == "h1" and not m["end"] and not heading:
+                heading, number = True, stack[-1][2] if stack else -1
+                while number >= 0:
+                    elements[number][3] = True
+                    number = elements[number][1]
             if tag in NESTED:
                 if m["end"]:
                     if any(t == tag for t, _, _ in stack):
                         while stack.pop()[0] != tag:
                             pass
                 elif not m["attrs"].endswith("/"):
-                    _, content, furniture = stack[-1] if stack else ("", False, False)
+                    _, content, number = stack[-1] if stack else ("", False, -1)
                     names = _names(m["attrs"]) if "=" in m["attrs"] else set()
+                    own = tag in CONTENT_TAGS or not names.isdisjoint(CONTENT)
                     head = tag == "header" or "header" in names
-                    furniture = (furniture or tag in FURNITURE_TAGS or not names.isdisjoint(FURNITURE)
-                                 or (head and not content))
-                    content = content or tag in CONTENT_TAGS or not names.isdisjoint(CONTENT)
-                    stack.append((tag, content, furniture))
+                    named = not names.isdisjoint(FURNITURE) and not own and tag not in PAGE_TAGS
+                    elements.append([tag in FURNITURE_TAGS or named or (head and not content), number, 0, False])
+                    stack.append((tag, content or own, len(elements) - 1))
     flush()
+    total = sum(b.words for b in out)
+    furniture: list[bool] = []
+    for named, around, words, main in elements:           # enclosing elements come first
+        wrapper = main or words > WRAPPER * total
+        furniture.append((named and not wrapper) or (around >= 0 and furniture[around]))
+    for b, number in zip(out, within, strict=True):
+        b.furniture = number >= 0 and furniture[number]
     return out
 
 
@@ -183,15 +206,54 @@ LABELLED = (
 )
 
 
-def train(spark: SparkSession, labelled=LABELLED, depth: int = 5) -> tuple:
+def varied_pages(n: int = 80, named: bool = True) -> list[tuple[str, str]]:
+    """Labelled pages: menus and lists of links before and after, a line of site or owner, lone links, a
+    heading, paragraphs long and short, a short line between, links inside running text.  On half of them (on all,
+    unless ``named``) no element has a name, so that words and link density of a block and of its neighbours are
+    what separates; on the others the article, or what stands around it, has one."""
+    word, pages = "text", []
+
+    def block(words: int, linked: int = 0, tag: str = "p") -> str:
+        a = f"<a href=/x>{' '.join([word] * linked)}</a> " if linked else ""
+        return f"<{tag}>{a}{' '.join([word] * (words - linked))}</{tag}>"
+
+    for i in range(n):
+        menu = [block(1 + (i + j) % 3, 1 + (i + j) % 3, "li") for j in range(3 + i % 6)]
+        line = [block(2 + (3 * i) % 9)] if i % 3 else []          # the site's name, beside the menu
+        body = [block(2 + i % 8, tag=f"h{1 + i % 3}")]
+        for j in range(3 + i % 4):
+            body.append(block(14 + (7 * i + 23 * j) % 90, (i + j) % 4))
+            if (i + j) % 3 == 0:
+                body.append(block(2 + (i + j) % 7))               # a short line between paragraphs
+            if (i + j) % 5 == 1:
+                body.append(block(2 + j, tag="h2"))
+        body.append(block(12 + (11 * i) % 40))
+        lone = [block(1 + j % 2, 1 + j % 2) for j in range(i % 3)]
+        more = [block(2 + (i + j) % 6, 2 + (i + j) % 6, "li") for j in range(2 + i % 5)]
+        owner = [block(3 + i % 9, i % 2)] if i % 4 else []
+        before = menu + line if i % 3 else line + menu
+        after = [] if i % 7 == 0 else lone + more + owner
+        if i % 11 == 0:
+            before = []
+        kind = i % 4 if named else 0
+        if kind == 1:           # a named article, which may hold lists of links and short lines at its ends
+            body += [[], [block(2 + i % 3, 2, "li")] * 3, [block(3 + i % 5)]][i // 4 % 3]
+        inner = "".join(body)
+        page = ("".join(before) + (f"<article>{inner}</article>" if kind == 1 else inner) + "".join(after) if kind != 3 else
+                f"<nav>{''.join(before)}</nav><div>{inner}</div><div class=related>{''.join(after)}{block(30)}</div>")
+        pages.append((f"<body>{page}</body>", "0" * len(before) + "1" * len(body) + "0" * (len(after) + (kind == 3))))
+    return pages
+
+
+def train(spark: SparkSession, labelled=None, depth: int = 8) -> tuple:
     """The decision tree as nested tuples: (feature, limit, left, right) or (0 or 1,).
 
-    The labelled table is bounded: the rows given, by default those above.
+    The labelled table is bounded: the rows given, by default those above and of ``varied_pages``.
     """
     from pyspark.ml.classification import DecisionTreeClassifier
     from pyspark.ml.linalg import Vectors
     rows = []
-    for page, labels in labelled:
+    for page, labels in labelled or [*LABELLED * 2, *varied_pages()]:
         f = features(blocks_of(page))
         rows += [(float(y), Vectors.dense(x)) for x, y in zip(f, labels, strict=True)]
     table = spark.createDataFrame(rows, ["label", "features"]).coalesce(1)

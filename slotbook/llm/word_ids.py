@@ -64,7 +64,11 @@ class WordIds:
         kept: dict[bytes, bytes] = {}
         parts: list[tuple[bytes, tuple[bytes, ...]]] = []
         single: set[bytes] = set()
+        plain: list[bytes] = []
         for w in new:
+            if w.isalpha():          # ASCII letters alone, most words
+                plain.append(w)
+                continue
             core = w.strip(PUNCTUATION)
             if core and core != w:
                 # as the tokenizer will see it: normalising may end a letter with a mark
@@ -82,7 +86,8 @@ class WordIds:
                     kept[x] = ids
                 elif x:
                     single.add(x)
-        plain, other = [], []
+        single.difference_update(plain)
+        other: list[bytes] = []
         for w in single:
             (plain if w.decode("utf-8", "replace").isalpha() else other).append(w)
         if other:

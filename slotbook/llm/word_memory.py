@@ -10,18 +10,27 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-BYTES = 96 << 20       # of both generations, by an estimate of what an entry takes
+BYTES = 224 << 20      # of both generations, by an estimate of what an entry takes
 ENTRY = 180            # bytes of an entry besides its key and value
 _active: list[WordMemory] = []
 
 
+class _Words(dict):
+    """Values by word; words that are not there are listed and have none."""
+    __slots__ = ("missed",)
+
+    def __missing__(self, word: bytes) -> None:
+        self.missed.append(word)
+
+
 class WordMemory:
     def __init__(self, learn: Callable[[set[bytes]], dict[bytes, bytes]], size: int = BYTES):
         """``learn``: the values of words that are not known."""
         self.learn, self.size = learn, size
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.used = 0
+        self.clear()
+
+    def clear(self) -> None:
+        self.young, self.old, self.used = _Words(), {}, 0
 
     def _begin(self) -> None:
         if _active[:1] != [self]:
@@ -29,26 +38,26 @@ class WordMemory:
                 other.clear()
             _active[:] = [self]
         if self.used > self.size // 2:
-            self.old, self.young, self.used = self.young, {}, 0
-
-    def clear(self) -> None:
-        self.young, self.old, self.used = {}, {}, 0
+            self.old, self.young, self.used = self.young, _Words(), 0
 
     def values(self, texts: list[list[bytes]]) -> list[list[bytes]]:
         """The values of the words of each text, in order.  Texts are looked up first, and only what
-        they miss is gathered and learnt."""
+        they miss is learnt."""
         self._begin()
-        get = self.young.get
-        out = [list(map(get, words)) for words in texts]
-        short = [i for i, found in enumerate(out) if None in found]
+        young = self.young
+        young.missed = missed = []
+        get, out, short = young.__getitem__, [], []
+        for i, words in enumerate(texts):
+            before = len(missed)
+            out.append(list(map(get, words)))
+            if len(missed) > before:
+                short.append(i)
         if short:
-            new: set[bytes] = set()
-            for i in short:
-                new.update(w for w, v in zip(texts[i], out[i], strict=True) if v is None)
-            known = {w: self.old[w] for w in new if w in self.old}
+            new = set(missed)
+            known = {w: self.old[w] for w in new.intersection(self.old)} if self.old else {}
             new.difference_update(known)
             for some in (known, self.learn(new) if new else {}):
-                self.young.update(some)
+                young.update(some)
                 self.used += sum(map(len, some)) + sum(map(len, some.values())) + ENTRY * len(some)
             for i in short:
                 out[i] = list(map(get, texts[i]))
