@@ -1,20 +1,22 @@
 r"""Personal data: fixed patterns, and information-theoretic sanitisation of the
 terms that give protected entities away.
 
-The values found by the patterns (an e-mail address, a number) are the protected
-entities.  Over the whole corpus, a term near an entity's mentions discloses it
+Protected entities are the values that the patterns find (an e-mail address, a number) and
+the classes that they belong to: their kind, and an address's domain, a network's prefix, a card's
+issuer, a phone's country and area.  Over the whole corpus, a term discloses an entity
 as far as their point-wise mutual information goes,
 
     PMI(t, e) = log2( n(t, e) * N / (n(t) * n(e)) ),
 
-measured against the entity's own information log2(N / n(e)).  A term that gives away
-at least ``alpha`` of it, and was met next to the entity in at least ``support`` different
-texts, is a span of its own in the documents that mention the entity.  n(e) and n(t)
-count all documents, n(t, e) those with the term within ``reach`` characters of a mention.
+measured against the entity's own information log2(N / n(e)); n(e), n(t) and n(t, e) count the
+documents that hold the entity, the term, and both.  A term that gives away at least ``alpha`` of it,
+and was met together with the entity in enough different texts, is a span of its own wherever it
+stands, also in documents without the entity: a ``term`` if it discloses a value, to be removed; a
+``hint`` if it discloses a class alone, to be generalised.
 
-Column functions throughout.  One pass finds the base spans and writes them
-with the mentions' surroundings (small); terms are counted by a second pass over all
-texts, filtered to the candidate terms before anything is shuffled.
+Column functions throughout.  One pass finds the base spans and, for the documents that have
+some, their words; a second counts the candidate terms over all documents, a third finds the texts that
+hold those over the threshold.  Words are combined or filtered before anything is shuffled.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotbook.llm.common import let, redact, regex_spans, unused, written
+from slotbook.llm.common import redact, regex_spans, unused, written
 
 # The base patterns.  Possessive quantifiers and the look-behind (a match
 # can only start where its first run starts, or where the match before it ended) find the same
@@ -34,22 +36,20 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IP_PARTS = r"^(?:0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])(?:\.|$)){4}$"
-KINDS = ("email", "ip", "card", "phone", "term")
+KINDS = ("email", "ip", "card", "phone", "term", "hint")
 
 # a term: a word of letters alone that is no part of an address or a number
 TERM = r"(?<![\p{L}\p{N}@._%+-])\p{L}{3,}+(?![\p{L}\p{N}@]|[._%+-][\p{L}\p{N}])"
-PIECE = 1000         # characters of the pieces from which a mention's surroundings are taken
-SMALL = 200_000      # candidate terms that may be broadcast: some 10 MB
-MENTION = "array<struct<entity:string,terms:array<struct<term:string,s:int,e:int>>>>"
+SMALL = 200_000      # terms or texts that may be broadcast: some 10 MB
 
 
 @dataclass(frozen=True)
 class Disclosure:
-    """Share of an entity's information that a term may give away, the number of
-    different texts that must show it, and how far from a mention terms are looked for."""
+    """Share of an entity's information that a term may give away, and the numbers of different texts that
+    must show it together with a value, or with a class."""
     alpha: float = 0.75
     support: int = 2
-    reach: int = 100
+    class_support: int = 3
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -67,112 +67,119 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
-def _entity(kind: str, x: Column) -> Column:
-    value = x["m"] if kind == "ip" else F.lower(x["m"]) if kind == "email" \
-        else F.regexp_replace(x["m"], "[^0-9]", "")
-    return F.concat(F.lit(f"{kind}:"), value)
+def entities(kind: str, x: Column) -> Column:
+    """The entities of a match: (name, whether it is a class)."""
+    value = x["m"] if kind == "ip" else F.lower(x["m"]) if kind == "email" else F.regexp_replace(x["m"], "[^0-9]", "")
+    group = {"email": lambda v: F.substring_index(v, "@", -1), "ip": lambda v: F.substring_index(v, ".", 2),
+             "card": lambda v: F.substring(v, 1, 6), "phone": lambda v: F.substring(v, 1, 4)}[kind](value)
 
+    def entity(*parts: Column, of_class: bool) -> Column:
+        return F.struct(F.concat(F.lit(f"{kind}:"), *parts).alias("entity"), F.lit(of_class).alias("of_class"))
 
-def _terms(context: Column, offset: Column, cut_left: Column, cut_right: Column) -> Column:
-    """Terms of a stretch of text that starts at ``offset``; one that a cut end may
-    have shortened is left out."""
-    whole = F.filter(regex_spans(context, TERM), lambda t: ~(cut_left & (t["s"] == 0))
-                     & ~(cut_right & (t["e"] == F.length(context))))
-    return F.transform(whole, lambda t: F.struct(
-        F.lower(t["m"]).alias("term"), (offset + t["s"]).alias("s"), (offset + t["e"]).alias("e")))
+    return F.array(entity(F.lit("="), value, of_class=False), entity(F.lit("~"), group, of_class=True), entity(of_class=True))
 
 
-def _part(pieces: Column, start: Column, length: Column) -> Column:
-    """``length`` characters from ``start`` of a text cut into ``pieces``, without a walk through all of it."""
-    first, last = (start / PIECE).cast("int"), ((start + length) / PIECE).cast("int")
-    return F.substring(F.array_join(F.slice(pieces, first + 1, last - first + 1), ""), start - first * PIECE + 1, length)
+def words_of(text: Column) -> Column:
+    """The different terms of a text, lower-cased one by one as they are found."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
-def mentions(spans: Column, kind: str, reach: int, pieces: Column) -> Column:
-    """Each span's entity and the terms around it, whatever other matches lie between."""
-    def near(x: Column) -> Column:
-        left = F.least(x["s"], F.lit(reach))
-        return F.concat(
-            let(_part(pieces, x["s"] - left, left), lambda c: _terms(c, x["s"] - left, left == reach, F.lit(False))),
-            let(_part(pieces, x["e"], F.lit(reach)), lambda c: _terms(c, x["e"], F.lit(False), F.length(c) == reach)))
-
-    return F.transform(spans, lambda x: F.struct(_entity(kind, x).alias("entity"), near(x).alias("terms")))
-
-
-def find_base(docs: DataFrame, keep: list[str], text: str, d: Disclosure, out: str, near: str,
-              text_key: str) -> DataFrame:
-    """``keep`` columns, base spans array<struct<k,s,e>>, mentions, and a key of the text."""
-    body = F.coalesce(F.col(text), F.lit(""))
+def find_base(docs: DataFrame, keep: list[str], text: str, out: str, near: str, text_key: str) -> DataFrame:
+    """``keep`` columns, base spans array<struct<k,s,e>>, a key of the text, and ``near``: the entities found
+    and the text's words (null without entities)."""
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     kinds = KINDS[:4]
     held = {k: unused([*keep, text, out, near, text_key], f"spans_{k}") for k in kinds}
     base = base_spans(body)
-    pieces = unused([*keep, text, out, near, text_key], "pieces")
     cols = [F.col(f"`{c}`") for c in keep]
-    found = docs.select(*cols, F.xxhash64(body).alias(text_key), *(base[k].alias(held[k]) for k in kinds),
-                        F.regexp_extract_all(body, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)).alias(pieces))
+    found = docs.select(*cols, body.alias(unused([*keep, *held.values(), out, near, text_key], "body")),
+                        *(base[k].alias(held[k]) for k in kinds))
+    body = F.col(found.columns[len(keep)])
 
     def named(kind: str) -> Column:
         return F.transform(held[kind], lambda x: F.struct(
             F.lit(kind).alias("k"), x["s"].alias("s"), x["e"].alias("e")))
 
+    def entities_of(kind: str) -> Column:
+        return F.flatten(F.transform(held[kind], lambda x: entities(kind, x)))
+
+    every = F.array_distinct(F.concat(*map(entities_of, kinds)))
+    some = F.size(F.concat(*(named(k) for k in kinds))) > 0
     return found.select(
-        *cols, text_key, F.concat(*(named(k) for k in kinds)).alias(out),
-        F.concat(*(mentions(F.col(held[k]), k, d.reach, F.col(pieces)) for k in kinds)).cast(MENTION).alias(near))
-
-
-def disclosing_terms(found: DataFrame, docs: DataFrame, text: str, d: Disclosure, near: str,
-                     text_key: str) -> DataFrame:
-    """(entity, term) pairs over the threshold.  ``found``: rows of ``find_base``."""
-    total = found.count()
-    one = found.filter(F.size(near) > 0)
-    entities = (one.select(F.explode(F.array_distinct(F.transform(near, lambda m: m["entity"]))).alias("entity"))
-                .groupBy("entity").agg(F.count("*").alias("n_e")))
-    pairs = one.select(F.col(text_key).alias("of"), F.explode(F.array_distinct(F.flatten(F.transform(
-        near, lambda m: F.transform(m["terms"], lambda t: F.struct(
-            m["entity"].alias("entity"), t["term"].alias("term"))))))).alias("p"))
-    candidates = written(
-        pairs.groupBy("p.entity", "p.term").agg(F.count("*").alias("n_te"), F.countDistinct("of").alias("texts"))
-        .filter(F.col("texts") >= d.support).join(entities, "entity"), "pii-pairs")
-    terms = candidates.select("term").distinct()
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TERM), F.lit(0)))).alias("term"))
-    if terms.count() <= SMALL:
-        counts = words.join(F.broadcast(terms), "term").groupBy("term").agg(F.count("*").alias("n_t"))
-    else:   # too many to hold in every task: count first, then join by shuffle
-        counts = words.groupBy("term").agg(F.count("*").alias("n_t")).join(terms, "term")
-    info = F.log2(F.lit(float(total)) / F.col("n_e"))
-    # a text whose lower-casing as a whole differs from its words' may miss a term: at least n(t, e)
-    pmi = F.log2(F.col("n_te") * F.lit(float(total)) / (F.greatest("n_t", "n_te") * F.col("n_e")))
-    return candidates.join(counts, "term").filter((info > 0) & (pmi >= d.alpha * info)).select("entity", "term")
+        *cols, F.xxhash64(body).alias(text_key), F.concat(*(named(k) for k in kinds)).alias(out),
+        F.when(some, F.struct(every.alias("entities"), words_of(body).alias("words"))).alias(near))
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """For broadcast if its rows are few, as counted."""
+    return F.broadcast(df) if df.count() <= SMALL else df
+
+
+def disclosing_terms(found: DataFrame, docs: DataFrame, text: str, d: Disclosure, near: str, text_key: str) -> DataFrame:
+    """(entity, of_class, term, n_te, n_t, n_e) of the pairs over the threshold.  ``found``: rows of ``find_base``."""
+    total = float(found.count())
+    # each different text once, with the number of its documents
+    texts = found.filter(F.col(near).isNotNull()).groupBy(F.col(text_key).alias("of")).agg(
+        F.count("*").alias("copies"), F.first(near).alias("near"))
+    held = texts.select("copies", F.explode("near.entities").alias("x"), F.col("near.words").alias("words")).select(
+        "copies", "x.entity", "x.of_class", "words")
+    sizes = held.groupBy("entity").agg(F.sum("copies").alias("n_e"))
+    least = F.when(F.col("of_class"), d.class_support).otherwise(d.support)
+    pairs = written(held.select("copies", "entity", "of_class", F.explode("words").alias("term"))
+                    .groupBy("entity", "of_class", "term").agg(F.sum("copies").alias("n_te"), F.count("*").alias("texts"))
+                    .filter(F.col("texts") >= least).join(sizes, "entity"), "pii-pairs")
+    info, n = F.log2(F.lit(total) / F.col("n_e")), F.lit(total)
+    pairs = pairs.filter(info > 0)
+    terms = pairs.select("term").distinct()
+    every = docs.select(F.explode(words_of(F.coalesce(F.col(text).cast("string"), F.lit("")))).alias("term"))
+    counts = every.join(_few(terms), "term").groupBy("term").agg(F.count("*").alias("n_t"))
+    pmi = F.log2(F.col("n_te") * n / (F.col("n_t") * F.col("n_e")))
+    return pairs.join(counts, "term").filter(pmi >= d.alpha * info).select(
+        "entity", "of_class", "term", "n_te", "n_t", "n_e")
+
+
+def _marks(docs: DataFrame, pairs: DataFrame, text: str) -> DataFrame:
+    """(of, marks): the spans of disclosing terms in each text that holds some."""
+    flagged = written(pairs.groupBy("term").agg(F.min("of_class").alias("of_class")), "pii-terms")
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    texts = docs.select(F.xxhash64(body).alias("of"), body.alias("body"))
+    hit = (texts.select("of", F.explode(words_of(F.col("body"))).alias("term")).join(_few(flagged), "term")
+           .groupBy("of").agg(F.collect_set(F.when(~F.col("of_class"), F.col("term"))).alias("terms"),
+                              F.collect_set(F.when(F.col("of_class"), F.col("term"))).alias("hints")))
+    hit = written(hit, "pii-texts")
+
+    def marked(kind: str, words: str) -> Column:
+        return F.transform(F.filter("all", lambda x: F.array_contains(words, F.lower(x["m"]))), lambda x: F.struct(
+            F.lit(kind).alias("k"), x["s"].alias("s"), x["e"].alias("e")))
+
+    found = texts.join(_few(hit), "of").dropDuplicates(["of"]).withColumn("all", regex_spans(F.col("body"), TERM))
+    return found.select("of", F.concat(marked("term", "terms"), marked("hint", "hints")).alias("marks"))
 
 
 def find_personal_data(docs: DataFrame, text: str = "text", d: Disclosure = Disclosure(),
                        out: str = "pii_spans", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default: all) and ``out``: the spans of a row, array<struct<k,s,e>>, ordered by
-    kind (email, ip, card, phone, term), then start.
+    kind (email, ip, card, phone, term, hint), then start.
 
     Null text is empty and has no spans.  Texts of any length and any number of matches, repeated rows
-    (equal texts get equal spans) and empty tables are handled; a column called ``out`` is replaced.
+    (equal texts get equal spans, and are one text as support) and empty tables are handled; a column called ``out``
+    is replaced.
     """
     keep = [c for c in (keep if keep is not None else docs.columns) if c != out]
     near, text_key = unused([*docs.columns, out], "near"), unused([*docs.columns, out], "text_key")
-    found = written(find_base(docs, keep, text, d, out, near, text_key), "pii-base")
-    pairs = disclosing_terms(found, docs, text, d, near, text_key)
+    found = written(find_base(docs, keep, text, out, near, text_key), "pii-base")
+    pairs = written(disclosing_terms(found, docs, text, d, near, text_key), "pii-disclosing")
     cols = [F.col(f"`{c}`") for c in keep]
-    text_of, places = unused([*docs.columns, out], "text_of"), unused([*docs.columns, out], "places")
-    with_terms = (found.filter(F.size(near) > 0).select(F.col(text_key).alias("of"), F.explode(near).alias("m"))
-                  .select("of", "m.entity", F.explode("m.terms").alias("t"))
-                  .select("of", "entity", "t.*").distinct())
-    spans = (with_terms.join(pairs, ["entity", "term"]).groupBy(F.col("of").alias(text_of)).agg(
-        F.array_sort(F.collect_set(F.struct("s", "e"))).alias(places)))
-    term = F.transform(places, lambda x: F.struct(F.lit("term").alias("k"), x["s"].alias("s"), x["e"].alias("e")))
+    if pairs.isEmpty():
+        return found.select(*cols, out)
+    of, marks = unused([*docs.columns, out], "text_of"), unused([*docs.columns, out], "marks")
+    spans = written(_marks(docs, pairs, text).select(F.col("of").alias(of), F.col("marks").alias(marks)), "pii-marks")
     none = F.array().cast("array<struct<k:string,s:int,e:int>>")
-    named = (found.filter(F.size(near) > 0).join(spans, F.col(text_key) == F.col(text_of), "left")
-             .select(*cols, F.concat(F.col(out), F.coalesce(term, none)).alias(out)))
-    return found.filter(F.size(near) == 0).select(*cols, out).unionByName(named)
+    return found.join(_few(spans), F.col(text_key) == F.col(of), "left").select(
+        *cols, F.concat(F.col(out), F.coalesce(marks, none)).alias(out))
 
 
 def sanitised(text: Column, spans: Column) -> Column:
-    """The text with values generalised to their kind and terms removed."""
+    """The text with values generalised to their kind, terms removed, and hints generalised."""
     return redact(text, spans, lambda k: F.when(k == "term", F.lit("")).otherwise(
         F.concat(F.lit("["), F.upper(k), F.lit("]"))))

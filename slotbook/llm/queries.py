@@ -32,11 +32,11 @@ def op2_pii(spark, sf_dir):
     """Personal data in every document: base spans and terms that disclose them."""
     found = pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                    out="found", keep=["doc_id"])
-    base = F.filter("found", lambda x: x["k"] != "term")
+    base = F.filter("found", lambda x: ~x["k"].isin("term", "hint"))
     return found.select(
         "doc_id", *(_count(F.col("found"), k).alias(f"n_{k}") for k in pii.KINDS[:4]),
         F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("found")).alias("spans"),
-        _count(F.col("found"), "term").alias("n_term"))
+        _count(F.col("found"), "term").alias("n_term"), _count(F.col("found"), "hint").alias("n_hint"))
 
 
 def op3_url_filter(spark, sf_dir):
