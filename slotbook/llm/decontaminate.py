@@ -22,10 +22,13 @@ The benchmark is the query set; it is taken in blocks of a fixed number of items
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,13 +76,14 @@ def buckets(words: np.ndarray) -> np.ndarray:
     return (words >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
-def _count(sample: int):
-    """Document frequencies by bucket, and the task's documents with the least hashes."""
+def _count(limit: int):
+    """Document frequencies by bucket, and the texts whose hash (of 63 bits) is below the limit, once each."""
     def count(batches):
         df = np.zeros(1 << BUCKET_BITS, np.int64)
-        held: list[tuple[int, str]] = []
+        held: dict[int, str] = {}
         for b in batches:
             texts, hashes = b.column(0).to_pylist(), b.column(1).to_pylist()
+            held.update((h, t) for h, t in zip(hashes, texts, strict=True) if h < limit)
             data = _bytes(texts)
             for a, z in _slices(data):
                 words, upto = words_of(data[a:z], PUNCTUATION)
@@ -87,7 +91,6 @@ def _count(sample: int):
                 # distinct (document, bucket) pairs, one count each
                 pair = np.unique(of << BUCKET_BITS | buckets(words))
                 df += np.bincount(pair & ((1 << BUCKET_BITS) - 1), minlength=1 << BUCKET_BITS)
-            held = sorted([*held, *zip(hashes, texts, strict=True)], key=lambda x: x[0])[:sample]
         at = np.flatnonzero(df)
         for i in range(0, len(at), 1 << 14):
             some = at[i:i + (1 << 14)]
@@ -97,7 +100,7 @@ def _count(sample: int):
         if held:
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(len(held), pa.int64()), pa.nulls(len(held), pa.int64()),
-                 pa.array([h for h, _ in held], pa.int64()), pa.array([t for _, t in held], pa.string())],
+                 pa.array(list(held), pa.int64()), pa.array(list(held.values()), pa.string())],
                 names=["bucket", "df", "hash", "text"])
     return count
 
@@ -202,6 +205,10 @@ class Item:
     words: list[int]
     answer: set[int]
 
+    def __post_init__(self):
+        self.counts = Counter(self.words)
+        self.places = places_of(self.words)
+
 
 def telling(words: np.ndarray, rarity: np.ndarray, need: float) -> tuple[list[int], int]:
     """(places of rare words of an item, how many of them any text needs that holds
@@ -266,19 +273,7 @@ class Index:
             text, start = passages(upto - begin, size, max(size // 4, 1))
             a = begin[text] + start
             b = np.minimum(a + size, upto[text])
-            reach = self._reach(hits, len(words), size)
-            marks = np.bincount(reach[0] % len(words), minlength=len(words) + 1)
-            marks[1:] -= np.bincount(reach[1] % len(words), minlength=len(words))[:len(words)]
-            some = np.flatnonzero(np.cumsum(marks)[a] > 0)
-            for i in range(0, len(some), 1024):
-                j = some[i:i + 1024]
-                x, y = np.nonzero(self._projected(weight, at, a[j], b[j]) @ self.passages[size].T >= self.rules.cosine)
-                x, k = j[x], self.of[size][y]
-                key = k * len(words) + a[x]
-                ok = np.searchsorted(reach[0], key, "right") > np.searchsorted(reach[1], key, "left")
-                x, y, k = x[ok], y[ok], k[ok]
-                if not len(x):
-                    continue
+            for x, y, k in self._near(hits, weight, at, a, b, len(words), size):
                 place = a[x, None] + np.arange(size)
                 inside = place < b[x, None]
                 place = np.where(inside, place, 0)
@@ -310,13 +305,55 @@ class Index:
         ok = ok[item[last[ok]] == item[ok]]
         return item[ok], place[ok], place[last[ok]]
 
-    def _reach(self, hits: tuple[np.ndarray, np.ndarray, np.ndarray], n: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """First and last places, each sorted, from which a passage of ``size`` words has such a stretch
-        in its surroundings; counted on from n times the item's number."""
+    def _reach(self, hits: tuple[np.ndarray, np.ndarray, np.ndarray], a: np.ndarray, n: int,
+               size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, first, last + 1), by item and without overlap: the passages, which start at ``a``, that have
+        such a stretch in their surroundings."""
         item, first, last = hits
-        low, high = np.maximum(last - self.wide[item] - size + 1, 0), np.minimum(first + self.wide[item], n - 1)
-        ok = low <= high
-        return np.sort((item * n + low)[ok]), np.sort((item * n + high)[ok])
+        low = np.searchsorted(a, last - self.wide[item] - size + 1)
+        high = np.searchsorted(a, np.minimum(first + self.wide[item], n - 1), "right")
+        ok = low < high
+        item, low, high = item[ok], low[ok], high[ok]
+        if not len(item):
+            return item, low, high
+        # by item, then place: hits of one item come in order, so runs that meet are neighbours
+        shift = item * (len(a) + 1)
+        start = np.concatenate([[True], (low + shift)[1:] > np.maximum.accumulate(high + shift)[:-1]])
+        run = np.flatnonzero(start)
+        return item[run], low[run], np.maximum.reduceat(high, run)
+
+    def _near(self, hits, weight: np.ndarray, at: np.ndarray, a: np.ndarray, b: np.ndarray, n: int, size: int):
+        """(passage, item's passage, item) of the latent neighbours, some at a time.  A passage is compared with the
+        items that it reaches alone: for each item one product of its passages and of those that reach it."""
+        item, low, high = self._reach(hits, a, n, size)
+        if not len(item):
+            return
+        marks = np.bincount(low, minlength=len(a) + 1)
+        marks -= np.bincount(high, minlength=len(a) + 1)
+        some = np.flatnonzero(np.cumsum(marks)[:-1] > 0)
+        latent = np.concatenate([self._projected(weight, at, a[j], b[j]) for j in (
+            some[i:i + 1024] for i in range(0, len(some), 1024))])
+        row = np.zeros(len(a), np.int64)
+        row[some] = np.arange(len(some))
+        of = self.of[size]
+        runs = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]]))
+        held, count = [], 0
+        for lo, hi in zip(runs.tolist(), [*runs[1:].tolist(), len(item)], strict=True):
+            k = int(item[lo])
+            y0, y1 = np.searchsorted(of, [k, k + 1]).tolist()
+            if y0 == y1:          # an item of another passage size
+                continue
+            # a run of passages lies together in ``latent``, as all of it is in reach
+            x = np.concatenate([np.arange(p, q) for p, q in zip(low[lo:hi].tolist(), high[lo:hi].tolist(), strict=True)])
+            i, j = np.nonzero(latent[row[x]] @ self.passages[size][y0:y1].T >= self.rules.cosine)
+            if len(i):
+                held.append((x[i], j + y0, np.full(len(i), k)))
+                count += len(i)
+            if count > 1 << 16:
+                yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
+                held, count = [], 0
+        if held:
+            yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
 
     def _projected(self, weight: np.ndarray, at: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Unit latent vectors of the passages words[a:b], which lie near one another: differences of
@@ -353,10 +390,10 @@ class Index:
         a stretch holds more than the whole does, so most stretches are checked once."""
         def shares(a: int, b: int) -> tuple[float, float]:
             near = words[a:b].tolist()
-            here = set(near)
-            if not self.is_leak(sum(w in here for w in item.words) / len(item.words), 1.0):
+            here = item.counts.keys() & set(near)
+            if not self.is_leak(sum(map(item.counts.__getitem__, here)) / len(item.words), 1.0):
                 return 0.0, 0.0
-            return (lcs(item.words, near) / len(item.words),
+            return (common_length(item.places, len(item.words), near) / len(item.words),
                     len(item.answer.intersection(near)) / len(item.answer) if item.answer else 0.0)
 
         if len(stretch) > 1 and not self.is_leak(*shares(stretch[0][0], stretch[-1][1])):
@@ -382,36 +419,47 @@ def _stretches(around: list[tuple[int, int, float]]) -> list[list[tuple[int, int
     return out
 
 
-def lcs(a: list[int], b: list[int]) -> int:
-    """Length of the longest common subsequence, by bit-parallel rows."""
+def places_of(words: list[int]) -> dict[int, int]:
+    """The places of each word as a set of bits."""
     places: dict[int, int] = {}
-    for i, x in enumerate(a):
+    for i, x in enumerate(words):
         places[x] = places.get(x, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    v = full
-    for x in b:
-        m = places.get(x, 0)
+    return places
+
+
+def common_length(places: dict[int, int], n: int, b: list[int]) -> int:
+    """Length of the longest common subsequence of n words, given their places, and b, by bit-parallel rows; words
+    that are not among the n change nothing."""
+    full = v = (1 << n) - 1
+    for m in filter(None, map(places.get, b)):
         u = v & m
         v = (v + u | v - u) & full
-    return len(a) - v.bit_count()
+    return n - v.bit_count()
+
+
+def lcs(a: list[int], b: list[int]) -> int:
+    return common_length(places_of(a), len(a), b)
 
 
 def indexes(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
-            item_text: str = "text", rules: LeakRules = LeakRules()) -> list[Index]:
-    """One fitted index per block of items.  Gathers the items of a block, one count per
-    bucket and the SVD's small matrices; documents stay where they are."""
+            item_text: str = "text", rules: LeakRules = LeakRules()) -> Iterator[tuple[Index, bool]]:
+    """A fitted index for each block of items, one after the other, and whether it is the last.  Gathers the items of
+    a block, one count per bucket and the SVD's small matrices; documents stay where they are.  The fit's sample
+    is the texts with the least hashes: below a limit that some twice as many pass as are wanted."""
     spark = docs.sparkSession
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    counted = written(docs.select(body.alias("text"), F.xxhash64(body).alias("hash")).mapInArrow(
-        _count(rules.sample), "bucket long, df long, hash long, text string"), "word-counts")
+    total = docs.count()
+    limit = min((1 << 63) - 1, (1 << 63) * 2 * rules.sample // max(total, 1))
+    hashed = F.xxhash64(body).bitwiseAND(F.lit((1 << 63) - 1))
+    counted = written(docs.select(body.alias("text"), hashed.alias("hash")).mapInArrow(
+        _count(limit), "bucket long, df long, hash long, text string"), "word-counts")
     df = np.zeros(1 << BUCKET_BITS)
     for r in counted.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("df").alias("df")).collect():
         df[r["bucket"]] = r["df"]
-    idf = np.log((1.0 + docs.count()) / (1.0 + df)) + 1.0
+    idf = np.log((1.0 + total) / (1.0 + df)) + 1.0
     sample = (counted.filter("text IS NOT NULL").select("hash", "text").distinct()
               .orderBy("hash").limit(rules.sample).select("text"))
     items = benchmark.select(F.col(item).cast("long").alias("i"), F.col(item_text).alias("t")).filter("t IS NOT NULL")
-    out = []
     blocks = -(-items.count() // rules.block)
     numbered = written(items.repartitionByRange(max(blocks, 1), "i"), "benchmark-items") if blocks > 1 else items
     for k in range(max(blocks, 1)):
@@ -422,20 +470,16 @@ def indexes(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str
         vocabulary = np.unique(words_of(_bytes([t for _, t in rows]), PUNCTUATION)[0])
         fit = Fit(idf, vocabulary, rules.size)
         texts = written(part.select(F.col("t").alias("text")).union(sample).repartition(4), "fit-texts")
-        out.append(Index(rows, fit, randomised_svd(texts, fit, rules.dimensions), rules))
-    return out
-
+        yield Index(rows, fit, randomised_svd(texts, fit, rules.dimensions), rules), k == max(blocks, 1) - 1
 
-def leaks_of(text: Column, spark, found: list[Index]) -> Column:
-    """Array of (item_id, cosine, lcs, answer) found in each text."""
-    sent = spark.sparkContext.broadcast(found)     # bounded by the block size, not by the documents
 
+def leaks_of(text: Column, sent: Broadcast) -> Column:
+    """Array of (item_id, cosine, lcs, answer) of the items of one index found in each text."""
     @F.arrow_udf(LEAKS_DDL)
     def leaks(column: pa.Array) -> pa.Array:
         data, out = _bytes(column.to_pylist()), []
         for a, b in _slices(data):
-            some = [index.leaks(data[a:b]) for index in sent.value]
-            out += [[x for leak in each for x in leak] for each in zip(*some, strict=True)] if some else [[]] * (b - a)
+            out += sent.value.leaks(data[a:b])
         return pa.array(out, pa.list_(LEAK))
 
     return leaks(text)
@@ -449,5 +493,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item:
     benchmark or table gives empty arrays or no rows.  Every column is kept, but for one called ``out``.
     """
     cols = [F.col(f"`{c}`") for c in docs.columns if c != out]
-    found = indexes(docs, benchmark, text, item, item_text, rules)
-    return docs.select(*cols, leaks_of(F.col(text), docs.sparkSession, found).alias(out))
+    found = F.array().cast(LEAKS_DDL)
+    rows = docs.select(*cols, found.alias(out))
+    for index, last in indexes(docs, benchmark, text, item, item_text, rules):
+        # an index is of a block's size, and one is held at a time: rows go through a table between blocks
+        sent = docs.sparkSession.sparkContext.broadcast(index)
+        more = F.concat(F.col(out), leaks_of(F.col(text), sent))
+        rows = rows.select(*cols, F.array_sort(more, lambda x, y: F.when(
+            x["item_id"] < y["item_id"], -1).when(x["item_id"] > y["item_id"], 1).otherwise(0)).alias(out))
+        if not last:
+            rows = written(rows, "leaks-so-far")
+            sent.unpersist()
+    return rows
