@@ -40,14 +40,15 @@ KINDS = ("email", "ip", "card", "phone", "term", "hint")
 
 # a term: a word of letters alone that is no part of an address or a number
 TERM = r"(?<![\p{L}\p{N}@._%+-])\p{L}{3,}+(?![\p{L}\p{N}@]|[._%+-][\p{L}\p{N}])"
-SMALL = 200_000      # terms or texts that may be broadcast: some 10 MB
+SMALL = 200_000      # terms that may be broadcast: some 10 MB
+FEW = 20_000         # texts with their terms or spans that may be broadcast
 
 
 @dataclass(frozen=True)
 class Disclosure:
     """Share of an entity's information that a term may give away, and the numbers of different texts that
     must show it together with a value, or with a class."""
-    alpha: float = 0.75
+    alpha: float = 0.9
     support: int = 2
     class_support: int = 3
 
@@ -110,9 +111,9 @@ def find_base(docs: DataFrame, keep: list[str], text: str, out: str, near: str,
         F.when(some, F.struct(every.alias("entities"), words_of(body).alias("words"))).alias(near))
 
 
-def _few(df: DataFrame) -> DataFrame:
+def _few(df: DataFrame, most: int = SMALL) -> DataFrame:
     """For broadcast if its rows are few, as counted."""
-    return F.broadcast(df) if df.count() <= SMALL else df
+    return F.broadcast(df) if df.count() <= most else df
 
 
 def disclosing_terms(found: DataFrame, docs: DataFrame, text: str, d: Disclosure, near: str, text_key: str) -> DataFrame:
@@ -152,7 +153,7 @@ def _marks(docs: DataFrame, pairs: DataFrame, text: str) -> DataFrame:
         return F.transform(F.filter("all", lambda x: F.array_contains(words, F.lower(x["m"]))), lambda x: F.struct(
             F.lit(kind).alias("k"), x["s"].alias("s"), x["e"].alias("e")))
 
-    found = texts.join(_few(hit), "of").dropDuplicates(["of"]).withColumn("all", regex_spans(F.col("body"), TERM))
+    found = texts.join(_few(hit, FEW), "of").dropDuplicates(["of"]).withColumn("all", regex_spans(F.col("body"), TERM))
     return found.select("of", F.concat(marked("term", "terms"), marked("hint", "hints")).alias("marks"))
 
 
@@ -175,7 +176,7 @@ def find_personal_data(docs: DataFrame, text: str = "text", d: Disclosure = Disc
     of, marks = unused([*docs.columns, out], "text_of"), unused([*docs.columns, out], "marks")
     spans = written(_marks(docs, pairs, text).select(F.col("of").alias(of), F.col("marks").alias(marks)), "pii-marks")
     none = F.array().cast("array<struct<k:string,s:int,e:int>>")
-    return found.join(_few(spans), F.col(text_key) == F.col(of), "left").select(
+    return found.join(_few(spans, FEW), F.col(text_key) == F.col(of), "left").select(
         *cols, F.concat(F.col(out), F.coalesce(marks, none)).alias(out))
 
 

@@ -100,4 +100,6 @@ def test_op2_other_numbers_do_not_cut_a_mention_s_surroundings(spark):
     assert len(got) == len(rows)
     for r in got:
         terms = {r["text"][s["s"]:s["e"]] for s in r["pii_spans"] if s["k"] == "term"}
-        assert terms == ({"Kowalski", "Lindenhof"} if "Kowalski" in r["text"] else set())
+        # the padding, where there is some, is a word that only these texts hold
+        own = {"Kowalski", "Lindenhof"} | ({"é" * 1990} if r["text"].startswith("é") else set())
+        assert terms == (own if "Kowalski" in r["text"] else set())
