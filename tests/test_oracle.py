@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 
-TABLES = "events pages documents conversations benchmark labels".split()
+TABLES = "events pages documents embeddings conversations benchmark labels".split()
 
 
 def norm(v):
