@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from slotbook.llm.common import written
 from slotbook.llm.hashing import PUNCTUATION, words_of
+from slotbook.llm.word_memory import release
 
 BUCKET_BITS = 16
 SLICE = 1 << 20
@@ -79,6 +80,7 @@ def buckets(words: np.ndarray) -> np.ndarray:
 def _count(limit: int):
     """Document frequencies by bucket, and the texts whose hash (of 63 bits) is below the limit, once each."""
     def count(batches):
+        release()
         df = np.zeros(1 << BUCKET_BITS, np.int64)
         held: dict[int, str] = {}
         for b in batches:

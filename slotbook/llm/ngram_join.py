@@ -37,6 +37,7 @@ from pyspark.sql import Window
 from slotbook.llm.common import written
 from slotbook.llm.graph import components
 from slotbook.llm.hashing import BASE, SPACES, mix, word_hashes
+from slotbook.llm.word_memory import release
 
 SLICE = 1 << 20         # bytes of text hashed at a time
 CHUNK = 1 << 20         # tokens posted at a time
@@ -100,6 +101,7 @@ def node_id(tokens: np.ndarray) -> int:
 
 def _sketch(rules: JoinRules):
     def sketch(batches):
+        release()
         seen: set[int] = set()
         for b in batches:
             keys, hashes, texts = b.column(0), b.column(1), b.column(2)
@@ -223,6 +225,7 @@ def _small(df: DataFrame) -> DataFrame:
 
 def _sets_of(rules: JoinRules):
     def sets_of(batches):
+        release()
         for b in batches:
             texts = b.column(0)
             for i in range(0, len(texts), 256):

@@ -3,14 +3,14 @@
 Two generations: words are looked up in the younger, those found in the older one move over,
 and when the younger has its share of bytes it becomes the older and the one before goes.  So
 frequent words stay, and a text of new words never throws everything away.  Workers are reused by
-later stages; when another encoder begins, the words of the one before are dropped.
+later stages; when another encoder begins, or work that encodes nothing (``release``), the words are dropped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-BYTES = 224 << 20      # of both generations, by an estimate of what an entry takes
+BYTES = 128 << 20      # of both generations, by an estimate of what an entry takes
 ENTRY = 180            # bytes of an entry besides its key and value
 _active: list[WordMemory] = []
 
@@ -23,6 +23,13 @@ class _Words(dict):
         self.missed.append(word)
 
 
+def release() -> None:
+    """Drop all words: for work in the same workers that encodes nothing."""
+    for memory in _active:
+        memory.clear()
+    _active.clear()
+
+
 class WordMemory:
     def __init__(self, learn: Callable[[set[bytes]], dict[bytes, bytes]], size: int = BYTES):
         """``learn``: the values of words that are not known."""
