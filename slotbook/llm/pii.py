@@ -124,11 +124,11 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, text: str, d: Disclosure
         F.count("*").alias("copies"), F.first(near).alias("near"))
     held = texts.select("copies", F.explode("near.entities").alias("x"), F.col("near.words").alias("words")).select(
         "copies", "x.entity", "x.of_class", "words")
-    sizes = held.groupBy("entity").agg(F.sum("copies").alias("n_e"))
+    sizes = written(held.groupBy("entity").agg(F.sum("copies").alias("n_e")), "pii-entities")
     least = F.when(F.col("of_class"), d.class_support).otherwise(d.support)
     pairs = written(held.select("copies", "entity", "of_class", F.explode("words").alias("term"))
                     .groupBy("entity", "of_class", "term").agg(F.sum("copies").alias("n_te"), F.count("*").alias("texts"))
-                    .filter(F.col("texts") >= least).join(sizes, "entity"), "pii-pairs")
+                    .filter(F.col("texts") >= least).join(_few(sizes), "entity"), "pii-pairs")
     info, n = F.log2(F.lit(total) / F.col("n_e")), F.lit(total)
     pairs = pairs.filter(info > 0)
     terms = pairs.select("term").distinct()
