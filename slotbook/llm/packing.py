@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotbook.llm.common import unused, written
-from slotbook.llm.word_ids import encoder
+from slotbook.llm.word_ids import encoder, slices
 
 SCALE = 1 << 16     # quanta are multiples of 1 / SCALE tokens
 SMALL = 200_000     # (partition, source) rows that may be broadcast: some 10 MB
@@ -47,16 +47,16 @@ def encoded(docs: DataFrame, path: str, packing: Packing, key: str, source: str,
         part, queued = TaskContext.get().partitionId(), {}
         for b in batches:
             doc, queue, texts = b.column(0), b.column(1).to_pylist(), b.column(2)
-            for i in range(0, len(texts), 500):
-                ids = [x + end for x in encoder(path).encode([t or "" for t in texts.slice(i, 500).to_pylist()])]
+            for i, z in slices(texts):
+                ids = [x + end for x in encoder(path).encode(texts.slice(i, z - i))]
                 n = [len(x) // 4 for x in ids]
                 starts = []
-                for q, k in zip(queue[i:i + 500], n, strict=True):
+                for q, k in zip(queue[i:z], n, strict=True):
                     starts.append(queued.get(q, 0))
                     queued[q] = starts[-1] + k
                 yield pa.RecordBatch.from_arrays([
                     pa.array([part] * len(ids), pa.int64()), doc.slice(i, len(ids)).cast(pa.int64()),
-                    pa.array(queue[i:i + 500], pa.string()), pa.array(n, pa.int64()),
+                    pa.array(queue[i:z], pa.string()), pa.array(n, pa.int64()),
                     pa.array(starts, pa.int64()), pa.array(ids, pa.binary())],
                     names=["part", "doc", "queue", "n", "start", "ids"])
 
@@ -82,36 +82,48 @@ class Rounds:
         credit = np.asarray(r, np.int64)[:, None] * self.quantum[None, :] // SCALE
         return np.where(credit >= self.size[None, :], self.size[None, :], credit // self.packet * self.packet)
 
-    def rounds_of(self, k: int, a: int, b: int) -> np.ndarray:
-        """The rounds that serve tokens a to b-1 of queue k: those in which the credit
-        reaches the ends of their packets."""
-        packets = np.arange(a // self.packet, (b - 1) // self.packet + 1, dtype=np.int64)
-        credit = np.minimum((packets + 1) * self.packet, self.size[k]) * SCALE
-        return np.unique(-(-credit // self.quantum[k]) - 1)
-
-    def cuts(self, k: int, a: int, n: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start in the document, length, place in the output) of the pieces of a
-        document that holds tokens a to a+n-1 of queue k."""
-        r = self.rounds_of(k, a, a + n)
+    def cuts(self, k: int, a: int, n: int, window: int) -> tuple[np.ndarray, ...]:
+        """(start in the document, length, place in the output) of the pieces of one document."""
+        return self.cuts_of(k, np.array([a], np.int64), np.array([n], np.int64), window)[1:]
+
+    def cuts_of(self, k: int, a: np.ndarray, n: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+        """(which, start in the document, length, place in the output) of the pieces of documents
+        that hold tokens a to a+n-1 of queue k, in order."""
+        # the rounds that serve them: those in which the credit reaches the ends of their packets
+        low = a // self.packet
+        doc, nth = _each((a + n - 1) // self.packet - low + 1)
+        credit = np.minimum((low[doc] + nth + 1) * self.packet, self.size[k]) * SCALE
+        r = -(-credit // self.quantum[k]) - 1
+        new = _starts(doc, r)
+        doc, r = doc[new], r[new]
         s, t = self.served(r), self.served(r + 1)
-        from_, to = np.maximum(s[:, k], a), np.minimum(t[:, k], a + n)
+        from_, to = np.maximum(s[:, k], a[doc]), np.minimum(t[:, k], (a + n)[doc])
         place = s.sum(1) + (t[:, :k] - s[:, :k]).sum(1) + (from_ - s[:, k])
         some = to > from_
-        from_, to, place = from_[some], to[some], place[some]
+        doc, from_, to, place = doc[some], from_[some], to[some], place[some]
         # neighbours that also follow one another in the output are one piece
-        if len(from_) > 1:
-            first = np.concatenate([[True], place[1:] != place[:-1] + (to[:-1] - from_[:-1])])
-            at = np.flatnonzero(first)
-            from_, place = from_[at], place[at]
-            to = np.append(from_[1:], a + n)
+        at = np.flatnonzero(_starts(doc, place - from_))
+        last = np.append(at[1:], len(doc)) - 1
+        doc, from_, place, length = doc[at], from_[at], place[at], to[last] - from_[at]
         # cut at the ends of windows
-        length = to - from_
-        pieces = (place + length - 1) // window - place // window + 1
-        which = np.repeat(np.arange(len(place)), pieces)
-        nth = np.arange(len(which)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        which, nth = _each((place + length - 1) // window - place // window + 1)
         begin = np.maximum(place[which], (place[which] // window + nth) * window)
         end = np.minimum(place[which] + length[which], (place[which] // window + nth + 1) * window)
-        return from_[which] - a + (begin - place[which]), end - begin, begin
+        return doc[which], (from_ - a[doc] - place)[which] + begin, end - begin, begin
+
+
+def _each(many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which, nth): ``many`` of each."""
+    which = np.repeat(np.arange(len(many)), many)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where any column differs from the row before."""
+    new = np.ones(len(columns[0]), bool)
+    if len(new):
+        new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return new
 
 
 def tail_sequences(total: int, window: int) -> tuple[int, np.ndarray]:
@@ -127,47 +139,53 @@ def tail_sequences(total: int, window: int) -> tuple[int, np.ndarray]:
 
 def _cutter(queues: list[str], rounds: Rounds, packing: Packing, with_ids: bool):
     number = {q: i for i, q in enumerate(queues)}
-    total = int(rounds.size.sum())
     window = packing.window
-    tail, ends = tail_sequences(total, window)
+    tail, ends = tail_sequences(int(rounds.size.sum()), window)
+    # the ends of all sequences from the last whole window on
+    limits = np.concatenate([[tail], ends]).astype(np.int64)
+
+    def pieces(k: int, a: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        which, start, length, place = rounds.cuts_of(k, a, n, window)
+        j = np.searchsorted(limits, place, "right") - 1
+        in_tail = np.flatnonzero(j >= 0)
+        if len(in_tail):      # at most a window's tokens, cut again at the ends of their sequences
+            last = np.searchsorted(limits, place + length, "left") - 1
+            many = np.ones(len(place), np.int64)
+            many[in_tail] += (last - j)[in_tail]
+            piece, nth = _each(many)
+            begin = np.where(nth > 0, limits[np.maximum(j[piece] + nth, 0)], place[piece])
+            end = place[piece] + length[piece]
+            end = np.where(nth + 1 < many[piece], limits[np.minimum(j[piece] + nth + 1, len(limits) - 1)], end)
+            which, start = which[piece], start[piece] + (begin - place[piece])
+            length, place, j = end - begin, begin, j[piece] + nth
+        seq = np.where(j >= 0, tail // window + j, place // window)
+        return which, start, length, seq, place - np.where(j >= 0, limits[np.maximum(j, 0)], place // window * window)
 
     def cut(batches):
         for b in batches:
-            cols = [c.to_pylist() for c in b.columns]
-            held: list[list] = [[] for _ in range(8)]
-            size = 0
-            for doc, queue, n, start, base, ids in zip(*cols, strict=True):
-                at, length, place = rounds.cuts(number[queue], base + start, n, window)
-                for s, m, p in zip(at.tolist(), length.tolist(), place.tolist(), strict=True):
-                    while m:
-                        if p < tail:
-                            seq, off, k = p // window, p % window, m
-                        else:
-                            j = int(np.searchsorted(ends, p, "right"))
-                            begin = int(ends[j - 1]) if j else tail
-                            seq, off, k = tail // window + j, p - begin, min(m, int(ends[j]) - p)
-                        some = ids[4 * s:4 * (s + k)]
-                        for h, v in zip(held, (doc, s, k, zlib.crc32(some), n, seq, off), strict=False):
-                            h.append(v)
-                        if with_ids:
-                            held[7].append(some)
-                        size += k
-                        s, m, p = s + k, m - k, p + k
-                if size > 1 << 20:
-                    yield _piece_batch(held, with_ids)
-                    held, size = [[] for _ in range(8)], 0
-            if held[0]:
-                yield _piece_batch(held, with_ids)
+            doc, n, ids = b.column(0), b.column(2).to_numpy(), b.column(5)
+            a = b.column(3).to_numpy() + b.column(4).to_numpy()
+            queue = np.array([number[q] for q in b.column(1).to_pylist()], np.int64)
+            step = max(1, min(1 << 14, (1 << 20) // len(queues)))     # packets at a time, each beside all queues
+            for k in np.unique(queue).tolist():
+                rows = np.flatnonzero(queue == k)
+                # as many rows as have some ``step`` packets, or one row
+                group = np.cumsum(n[rows] // packing.packet + 2) // step
+                for some in np.split(rows, np.flatnonzero(np.diff(group)) + 1):
+                    which, start, length, seq, off = pieces(k, a[some], n[some])
+                    text = [ids[i].as_buffer() for i in some.tolist()]
+                    parts = [memoryview(text[w])[4 * s:4 * (s + m)] for w, s, m in zip(
+                        which.tolist(), start.tolist(), length.tolist(), strict=True)]
+                    columns = [doc.take(pa.array(some[which])), *(pa.array(c, pa.int64()) for c in (
+                        start, length, [zlib.crc32(p) for p in parts], n[some][which], seq, off))]
+                    if with_ids:
+                        columns.append(pa.array([bytes(p) for p in parts], pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, names=NAMES + ["ids"] * with_ids)
     return cut
 
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-
-
-def _piece_batch(held: list[list], with_ids: bool) -> pa.RecordBatch:
-    names = [c.split()[0] for c in PIECES.split(", ")]
-    arrays = [pa.array(h, pa.int64()) for h in held[:7]]
-    return pa.RecordBatch.from_arrays(arrays + [pa.array(held[7], pa.binary())] * with_ids, names=names + ["ids"] * with_ids)
+NAMES = [c.split()[0] for c in PIECES.split(", ")]
 
 
 def pack(docs: DataFrame, path: str, packing: Packing = Packing(), weights: dict[str, float] | None = None,

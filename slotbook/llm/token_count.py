@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotbook.llm.common import unused, written
-from slotbook.llm.word_ids import encoder
+from slotbook.llm.word_ids import encoder, slices
 
 HUGE = 1 << 16       # characters that are encoded in one go
 STEP = 1 << 15       # characters between the starts of two pieces
@@ -41,10 +41,8 @@ def id_counts(text: Column, path: str) -> Column:
     """Number of ids of each text (null: 0)."""
     @F.arrow_udf("long")
     def count(column: pa.Array) -> pa.Array:
-        n: list[int] = []
-        for at in range(0, len(column), 500):
-            n += [len(i) // 4 for i in encoder(path).encode([t or "" for t in column.slice(at, 500).to_pylist()])]
-        return pa.array(n, pa.int64())
+        return pa.array([len(i) // 4 for a, b in slices(column)
+                         for i in encoder(path).encode(column.slice(a, b - a))], pa.int64())
 
     return count(text)
 

@@ -60,12 +60,31 @@ class WordMemory:
             if len(missed) > before:
                 short.append(i)
         if short:
-            new = set(missed)
-            known = {w: self.old[w] for w in new.intersection(self.old)} if self.old else {}
-            new.difference_update(known)
-            for some in (known, self.learn(new) if new else {}):
-                young.update(some)
-                self.used += sum(map(len, some)) + sum(map(len, some.values())) + ENTRY * len(some)
+            self._add(set(missed))
             for i in short:
                 out[i] = list(map(get, texts[i]))
         return out
+
+    def once(self, words: list[bytes]) -> list[bytes]:
+        """The values of different words, in order."""
+        self._begin()
+        young = self.young
+        young.missed = missed = []
+        out = list(map(young.__getitem__, words))
+        if missed:
+            self._add(set(missed))
+            out = list(map(young.__getitem__, words))
+        return out
+
+    def known(self, word: bytes) -> bytes | None:
+        """The value of a word, if it is kept."""
+        found = self.young.get(word)
+        return self.old.get(word) if found is None else found
+
+    def _add(self, new: set[bytes]) -> None:
+        """Bring words that the younger generation lacks into it."""
+        known = {w: self.old[w] for w in new.intersection(self.old)} if self.old else {}
+        new.difference_update(known)
+        for some in (known, self.learn(new) if new else {}):
+            self.young.update(some)
+            self.used += sum(map(len, some)) + sum(map(len, some.values())) + ENTRY * len(some)

@@ -4,11 +4,12 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from slotbook.llm import chat, decontaminate, hashing, html_text, ngram_join, packing, token_count
+from slotbook.llm import chat, decontaminate, hashing, html_text, ngram_join, packing, token_count, word_ids
 from slotbook.llm.quality import repeated_words
 from slotbook.llm.queries import WORD_BPE
 from slotbook.llm.word_ids import WordIds
@@ -78,6 +79,37 @@ def test_rounds_place_every_token_once(sizes, window, packet, weighted):
     assert seen == set(range(sum(sizes)))
 
 
+def test_many_documents_are_cut_as_one_by_one():
+    p = packing.Packing(window=64, packet=8)
+    r = packing.Rounds([3000, 70, 900], None, p)
+    n = np.array([1, 63, 64, 65, 700, 7, 8, 9, 1500, 583], np.int64)
+    a = np.cumsum(n) - n
+    which, *many = r.cuts_of(0, a, n, p.window)
+    for i in range(len(n)):
+        for x, y in zip(many, r.cuts(0, int(a[i]), int(n[i]), p.window), strict=True):
+            assert x[which == i].tolist() == y.tolist()
+
+
+@pytest.mark.parametrize("columns", [[None, "", "a  b", "Zoë's <|endoftext|> x", "rock-n-roll... 42 Ünï <|"], ["b c", "d E f"], []])
+def test_texts_of_a_column(columns):
+    want = [WORDS.tokenizer.encode(t or "", add_special_tokens=False).ids for t in columns]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(["skipped one", *columns, "the last"], kind).slice(1, len(columns))
+        for each in (column, column.fill_null("")):
+            assert [np.frombuffer(x, "<u4").tolist() for x in WORDS.encode(each)] == want
+
+
+def test_slices_of_a_column(monkeypatch):
+    monkeypatch.setattr(word_ids, "SLICE", 64)
+    texts = [f"Some {'word ' * (i % 7)}number{i}, it's Über-{i}!" for i in range(200)]
+    column = pa.array(texts, pa.string())
+    parts = word_ids.slices(column.slice(50))
+    assert [a for a, _ in parts] == [0, *(b for _, b in parts[:-1])] and parts[-1][1] == 150 and len(parts) > 20
+    got = [x for a, b in parts for x in WORDS.encode(column.slice(50).slice(a, b - a))]
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [
+        WORDS.tokenizer.encode(t, add_special_tokens=False).ids for t in texts[50:]]
+
+
 def test_windows_hold_the_target_shares():
     sizes = [400_000, 100_000, 30_000, 5_000]
     p = packing.Packing()
