@@ -73,7 +73,8 @@ class WordMemory:
         out = list(map(young.__getitem__, words))
         if missed:
             self._add(set(missed))
-            out = list(map(young.__getitem__, words))
+            more = map(young.__getitem__, missed)
+            out = [next(more) if x is None else x for x in out]
         return out
 
     def known(self, word: bytes) -> bytes | None:
@@ -83,7 +84,8 @@ class WordMemory:
 
     def _add(self, new: set[bytes]) -> None:
         """Bring words that the younger generation lacks into it."""
-        known = {w: self.old[w] for w in new.intersection(self.old)} if self.old else {}
+        # asked word by word: the older generation is much larger than what is new
+        known = {w: self.old[w] for w in filter(self.old.__contains__, new)}
         new.difference_update(known)
         for some in (known, self.learn(new) if new else {}):
             self.young.update(some)
