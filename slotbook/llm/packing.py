@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from slotbook.llm.common import unused, written
 from slotbook.llm.word_ids import encoder, slices
+from slotbook.llm.word_memory import give_back
 
 SCALE = 1 << 16     # quanta are multiples of 1 / SCALE tokens
 SMALL = 200_000     # (partition, source) rows that may be broadcast: some 10 MB
@@ -44,6 +45,7 @@ def encoded(docs: DataFrame, path: str, packing: Packing, key: str, source: str,
     end = np.array([packing.end_id], "<u4").tobytes()
 
     def encode(batches):
+        give_back()
         part, queued = TaskContext.get().partitionId(), {}
         for b in batches:
             doc, queue, texts = b.column(0), b.column(1).to_pylist(), b.column(2)

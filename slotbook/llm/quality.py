@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotbook.llm.common import unused, written
-from slotbook.llm.word_memory import WordMemory
+from slotbook.llm.word_memory import WordMemory, kept_encoder
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -44,9 +44,6 @@ class QualityRules:
     byte_slack: float = 0.2          # above the upper quartile
 
 
-_PIECES: dict[str, Pieces] = {}
-
-
 class Pieces:
     """Piece ids of single words, each encoded once and kept."""
 
@@ -63,9 +60,7 @@ class Pieces:
 
 
 def pieces(path: str) -> Pieces:
-    if path not in _PIECES:
-        _PIECES[path] = Pieces(path)
-    return _PIECES[path]
+    return kept_encoder(path, Pieces)
 
 
 def repeated_words(words: list[bytes]) -> int:

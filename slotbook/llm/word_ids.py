@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from slotbook.llm.word_memory import WordMemory
+from slotbook.llm.word_memory import WordMemory, kept_encoder
 
 SLICE = 1 << 20       # bytes of text looked up at a time
 JOINED = 256          # new words encoded by one call
@@ -36,14 +36,9 @@ def slices(texts: pa.Array) -> list[tuple[int, int]]:
     return out
 
 
-_ENCODERS: dict[str, WordIds] = {}
-
-
 def encoder(path: str) -> WordIds:
     """One encoder for each vocabulary file and Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordIds(path)
-    return _ENCODERS[path]
+    return kept_encoder(path, WordIds)
 
 
 def words_are_independent(spec: dict) -> bool:

@@ -8,11 +8,17 @@ later stages; when another encoder begins, or work that encodes nothing (``relea
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable
+from typing import Any
+
+import pyarrow as pa
 
 BYTES = 128 << 20      # of both generations, by an estimate of what an entry takes
 ENTRY = 180            # bytes of an entry besides its key and value
 _active: list[WordMemory] = []
+_encoders: dict[str, Any] = {}
 
 
 class _Words(dict):
@@ -23,11 +29,30 @@ class _Words(dict):
         self.missed.append(word)
 
 
+def kept_encoder(path: str, make: Callable[[str], Any]) -> Any:
+    """One encoder for each vocabulary file and Python worker, until ``release``."""
+    if path not in _encoders:
+        _encoders[path] = make(path)
+    return _encoders[path]
+
+
 def release() -> None:
-    """Drop all words: for work in the same workers that encodes nothing."""
-    for memory in _active:
-        memory.clear()
-    _active.clear()
+    """Drop all words and encoders: for work in the same workers that encodes nothing."""
+    if _active or _encoders:
+        for memory in _active:
+            memory.clear()
+        _active.clear()
+        _encoders.clear()
+        give_back()
+
+
+def give_back() -> None:
+    """Return memory that earlier work in this worker has freed to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # glibc alone has it
+    if trim:
+        trim(0)
 
 
 class WordMemory:
