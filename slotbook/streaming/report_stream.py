@@ -26,6 +26,9 @@ from slotbook.sources import publish as P
 from slotbook.sources.files import type_below
 from slotbook.specs import KEY_COLUMNS, ReportConfig
 
+#: Lines of a batch for each file of records that stage one writes of it: a line gives one record at most.
+LINES_PER_FILE = 1_000_000
+
 
 def file_lines_stream(spark: SparkSession, roots: str | dict[str, str], max_files: int | None = 10) -> DataFrame:
     """New files, at any depth below ``roots`` (a folder with one sub-folder per
@@ -147,7 +150,10 @@ def run_report_stream(spark: SparkSession, roots: str | dict[str, str], store: R
 def run_delta_stream(lines: DataFrame, out: str, checkpoint: str, cfg: ReportConfig, trigger: dict | None = None):
     """Stage one of two (K1, T6): each batch's per-type deltas as records with Kafka's
     columns, by batch id; with the scope 'stream', its first arrivals as records of their own topic, as
-    only the merge stage can tell which of them count.  A Kafka sink takes the same records."""
+    only the merge stage can tell which of them count.  A Kafka sink takes the same records.
+
+    The files written follow the batch's lines, not the shuffle partitions: a merge stage that caps its
+    files would otherwise take many more batches, each of which looks up all arrivals before it."""
     scope, (types, apart) = _scope(cfg), batch_types(cfg)
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -158,7 +164,8 @@ def run_delta_stream(lines: DataFrame, out: str, checkpoint: str, cfg: ReportCon
             if apart:
                 first = A.kept_arrivals(R.valid_of(kept, "arrive", cfg), cfg)
                 records.append(messages.kafka_records(messages.encode_first(first, cfg), messages.FIRST_TOPIC))
-            A.union_all(records).write.mode("overwrite").parquet(f"{out}/batch_id={int(batch_id)}")
+            files = max(1, -(-kept.count() // LINES_PER_FILE))
+            A.union_all(records).repartition(files).write.mode("overwrite").parquet(f"{out}/batch_id={int(batch_id)}")
         finally:
             kept.unpersist()
 
