@@ -2,8 +2,8 @@
 
 Texts are seen as overlapping passages of ``size`` words.  A passage is a TF-IDF vector: word weights come from document frequencies counted over the whole corpus
 (in a fixed number of hash buckets).  A randomised SVD, computed in parallel over
-the passages of the benchmark and of a bounded sample of documents, gives the
-latent space of the benchmark's words.
+the passages of the benchmark and of all documents, gives the latent space of the
+benchmark's words.
 
 Every passage of every document whose surroundings could hold enough of an item's words in
 any order is then projected, and its latent cosine with all items' passages taken.  That bound is exact:
@@ -38,6 +38,9 @@ from slotbook.llm.word_memory import release
 
 BUCKET_BITS = 16
 SLICE = 1 << 20
+CELLS = 1 << 24      # pairs of words held as an array by a task
+ROWS = 256
+PART = 8             # passages looked at together
 LEAK = pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs", pa.float64()),
                   ("answer", pa.float64())])
 LEAKS_DDL = "array<struct<item_id:long,cosine:double,lcs:double,answer:double>>"
@@ -47,14 +50,13 @@ LEAKS_DDL = "array<struct<item_id:long,cosine:double,lcs:double,answer:double>>"
 class LeakRules:
     """Words of a passage; latent dimensions; latent cosine from which a passage is a candidate; share of the item's words
     that must follow one another (``copied``), or that must do so when the share ``answered`` of
-    its answer is there too; documents of the fit's sample; items of a block."""
+    its answer is there too; items of a block."""
     size: int = 16
     dimensions: int = 128
     cosine: float = 0.5
     copied: float = 0.7
     paraphrased: float = 0.5
     answered: float = 0.8
-    sample: int = 1000
     block: int = 2000
 
 
@@ -77,34 +79,22 @@ def buckets(words: np.ndarray) -> np.ndarray:
     return (words >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
 
 
-def _count(limit: int):
-    """Document frequencies by bucket, and the texts whose hash (of 63 bits) is below the limit, once each."""
-    def count(batches):
-        release()
-        df = np.zeros(1 << BUCKET_BITS, np.int64)
-        held: dict[int, str] = {}
-        for b in batches:
-            texts, hashes = b.column(0).to_pylist(), b.column(1).to_pylist()
-            held.update((h, t) for h, t in zip(hashes, texts, strict=True) if h < limit)
-            data = _bytes(texts)
-            for a, z in _slices(data):
-                words, upto = words_of(data[a:z], PUNCTUATION)
-                of = np.repeat(np.arange(z - a), np.diff(upto, prepend=0))
-                # distinct (document, bucket) pairs, one count each
-                pair = np.unique(of << BUCKET_BITS | buckets(words))
-                df += np.bincount(pair & ((1 << BUCKET_BITS) - 1), minlength=1 << BUCKET_BITS)
-        at = np.flatnonzero(df)
-        for i in range(0, len(at), 1 << 14):
-            some = at[i:i + (1 << 14)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some), pa.array(df[some]), pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.string())],
-                names=["bucket", "df", "hash", "text"])
-        if held:
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(held), pa.int64()), pa.nulls(len(held), pa.int64()),
-                 pa.array(list(held), pa.int64()), pa.array(list(held.values()), pa.string())],
-                names=["bucket", "df", "hash", "text"])
-    return count
+def _count(batches):
+    """Document frequencies by bucket."""
+    release()
+    df = np.zeros(1 << BUCKET_BITS, np.int64)
+    for b in batches:
+        data = _bytes(b.column(0).to_pylist())
+        for a, z in _slices(data):
+            words, upto = words_of(data[a:z], PUNCTUATION)
+            of = np.repeat(np.arange(z - a), np.diff(upto, prepend=0))
+            # distinct (document, bucket) pairs, one count each
+            pair = np.unique(of << BUCKET_BITS | buckets(words))
+            df += np.bincount(pair & ((1 << BUCKET_BITS) - 1), minlength=1 << BUCKET_BITS)
+    at = np.flatnonzero(df)
+    for i in range(0, len(at), 1 << 14):
+        some = at[i:i + (1 << 14)]
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(df[some])], names=["bucket", "df"])
 
 
 def passages(n: np.ndarray, size: int, step: int) -> tuple[np.ndarray, np.ndarray]:
@@ -154,51 +144,130 @@ class Fit:
         return out
 
 
-def _sums(fit: Fit, omega: np.ndarray, root: np.ndarray | None):
-    """One row per partition: the sum over its passages of y'y, with y = row * omega; or,
-    given ``root``, of q'row with q = y * root."""
+class Pairs:
+    """Sums by pair of words, (smaller, larger) number, of which ``times`` takes the product with a
+    narrow matrix.  All cells are held while they are few; else pairs, and their product when they are many."""
+
+    def __init__(self, omega: np.ndarray):
+        self.omega, self.n = omega.astype(np.float64), len(omega)
+        self.total = np.zeros(omega.shape)
+        self.cells = np.zeros(self.n * self.n) if self.n * self.n <= CELLS else None
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.many = 0
+
+    def add(self, v: np.ndarray, u: np.ndarray, x: np.ndarray) -> None:
+        key = np.minimum(v, u) * self.n + np.maximum(v, u)
+        if self.cells is not None:
+            np.add.at(self.cells, key, x)
+            return
+        self.held.append((key, x))
+        self.many += len(key)
+        if self.many > CELLS // 2:
+            self._reduce()
+            if self.many > CELLS // 4:
+                self._multiply()
+
+    def _reduce(self) -> None:
+        if self.held:
+            key, at = np.unique(np.concatenate([k for k, _ in self.held]), return_inverse=True)
+            self.held = [(key, np.bincount(at, np.concatenate([x for _, x in self.held]), len(key)))]
+            self.many = len(key)
+
+    def _multiply(self) -> None:
+        """Add (P + P') * omega of the pairs held, some rows of P at a time."""
+        for key, x in self.held:
+            edges = np.searchsorted(key, np.arange(0, self.n + ROWS, ROWS) * self.n)
+            for i, (a, z) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
+                rows = slice(i * ROWS, min((i + 1) * ROWS, self.n))
+                some = np.zeros((rows.stop - rows.start, self.n))
+                some.ravel()[key[a:z] - i * ROWS * self.n] = x[a:z]
+                self.total[rows] += some @ self.omega
+                self.total += some.T @ self.omega[rows]
+        self.held, self.many = [], 0
+
+    def times(self) -> np.ndarray:
+        if self.cells is not None:
+            cells = self.cells.reshape(self.n, self.n)
+            return cells @ self.omega + cells.T @ self.omega
+        self._reduce()
+        self._multiply()
+        return self.total
+
+
+def _together(fit: Fit, omega: np.ndarray):
+    """One row per partition and some words: its passages' X'X * omega, X their unit TF-IDF vectors.
+
+    X'X is summed over the pairs of known words less than a passage apart: the weights of both, over the
+    squared norms of the passages that hold both, which are running sums over the passages' starts."""
+    size = fit.size
+
     def sums(batches):
-        total = np.zeros((omega.shape[1], omega.shape[1] if root is None else omega.shape[0]))
+        release()
+        pairs = Pairs(omega)
         for b in batches:
             data = _bytes(b.column(0).to_pylist())
-            for i in range(0, len(data), 64):
-                words, upto = words_of(data[i:i + 64], PUNCTUATION)
-                for w in np.split(words, upto[:-1]):
-                    rows = fit.rows(w)
-                    y = rows @ omega
-                    total += y.T @ y if root is None else (y @ root).T @ rows
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
+            for i, z in _slices(data):
+                words, upto = words_of(data[i:z], PUNCTUATION)
+                weight, at = fit.idf[buckets(words)], fit.index(words)
+                begin = np.concatenate([[0], upto[:-1]])
+                text, start = passages(upto - begin, size, max(size // 2, 1))
+                start = begin[text] + start
+                mass = np.concatenate([[0.0], np.cumsum(weight ** 2)])
+                norm = mass[np.minimum(start + size, upto[text])] - mass[start]
+                upon = np.concatenate([[0.0], np.cumsum(1 / np.maximum(norm, 1e-18))])
+                place = np.flatnonzero(at >= 0)
+                first = np.repeat(begin, upto - begin)[place]
+                until = upon[np.searchsorted(start, place, "right")]
+                before = upon[np.searchsorted(start, np.maximum(place - size + 1, first), "left")]
+                word, heavy = at[place], weight[place]
+                pairs.add(word, word, (until - before) * heavy ** 2 / 2)
+                for d in range(1, size):
+                    near = np.flatnonzero((place[d:] - place[:-d] < size) & (first[d:] <= place[:-d]))
+                    if not len(near):
+                        break
+                    far = near + d
+                    pairs.add(word[near], word[far], np.maximum(until[near] - before[far], 0) * heavy[near] * heavy[far])
+        total = pairs.times()
+        for i in range(0, len(total), ROWS):
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([total[i:i + ROWS].tobytes()], pa.binary())],
+                                             names=["row", "part"])
     return sums
 
 
-def _added(texts: DataFrame, f, shape: tuple[int, int]) -> np.ndarray:
-    """The sum of one small matrix per partition."""
-    total = np.zeros(shape)
-    for r in texts.mapInArrow(f, "part binary").toLocalIterator():
-        total += np.frombuffer(r["part"]).reshape(shape)
-    return total
+def _added(batches):
+    """The sums of the parts, by their first row."""
+    total: dict[int, np.ndarray] = {}
+    for b in batches:
+        for i, part in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            x = np.frombuffer(part)
+            total[i] = total[i] + x if i in total else x
+    for i, x in total.items():
+        yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([x.tobytes()], pa.binary())], names=["row", "part"])
 
 
 def randomised_svd(texts: DataFrame, fit: Fit, dimensions: int) -> np.ndarray:
     """Right singular vectors (words x dimensions) of the TF-IDF passages of ``texts``.
 
-    Range finding with a random projection, orthonormalised through the Cholesky factor of
-    its Gram matrix; both products are sums over partitions.
+    Range finding with a random projection: one pass gives S = X'X * omega, and with it the Gram matrix omega' * S of
+    Y = X * omega; Y * root has orthonormal columns, and its product with X is root' * S'.  The driver gathers S.
     """
     n = len(fit.vocabulary)
     width = min(n, dimensions + 16)
+    if not n:
+        return np.zeros((0, 0), np.float32)
     omega = np.random.default_rng(7).standard_normal((n, width)).astype(np.float32)
-    gram = _added(texts, _sums(fit, omega, None), (width, width))
-    values, vectors = np.linalg.eigh(gram)
+    total = np.zeros((n, width))
+    parts = texts.mapInArrow(_together(fit, omega), "row long, part binary")
+    for r in parts.repartition(8, "row").mapInArrow(_added, "row long, part binary").toLocalIterator():
+        x = np.frombuffer(r["part"]).reshape(-1, width)
+        total[r["row"]:r["row"] + len(x)] = x
+    gram = omega.T.astype(np.float64) @ total
+    values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     keep = values > values.max(initial=0) * 1e-9
-    root = vectors[:, keep] / np.sqrt(values[keep])            # y * root has orthonormal columns
     if not keep.any():
         return np.zeros((n, 0), np.float32)
-    full = np.zeros((width, width))
-    full[:, :root.shape[1]] = root
-    b = _added(texts, _sums(fit, omega, full), (width, n))[:root.shape[1]]
-    _, _, vt = np.linalg.svd(b, full_matrices=False)
-    return np.ascontiguousarray(vt[:dimensions].T.astype(np.float32))
+    space, _, _ = np.linalg.svd(total @ (vectors[:, keep] / np.sqrt(values[keep])), full_matrices=False)
+    return np.ascontiguousarray(space[:, :dimensions].astype(np.float32))
 
 
 @dataclass
@@ -236,6 +305,7 @@ class Index:
         of: dict[int, list[int]] = {}
         pairs: list[tuple[int, int]] = []
         least: list[int] = []
+        holds: list[tuple[np.ndarray, np.ndarray]] = []
         for item_id, text in items:
             words = words_of(_bytes([text]), PUNCTUATION)[0]
             if not len(words):
@@ -250,11 +320,18 @@ class Index:
             rare, some = telling(counts, fit.idf[buckets(different)], self._need(len(words)))
             pairs += [(w, len(self.items) - 1) for w in fit.index(different[rare]).tolist()]
             least.append(some)
+            holds.append((fit.index(different), counts))
         self.rows = {size: np.concatenate(x) for size, x in rows.items()}
         self.passages = {size: self._latent(x @ space).astype(np.float32) for size, x in self.rows.items()}
         self.of = {size: np.array(x, np.int64) for size, x in of.items()}
         self.wide = np.array([len(i.words) for i in self.items], np.int64)
         self.least = np.array(least, np.int64)
+        # the different words of each item, as bits and as counts
+        self.bits = np.zeros((len(holds), len(fit.vocabulary) // 8 + 1), np.uint8)
+        for bits, (w, _) in zip(self.bits, holds, strict=True):
+            np.bitwise_or.at(bits, w >> 3, (1 << (w & 7)).astype(np.uint8))
+        self.held = np.concatenate([k * len(fit.vocabulary) + w for k, (w, _) in enumerate(holds)] or [np.zeros(0, np.int64)])
+        self.times = np.concatenate([c for _, c in holds] or [np.zeros(0, np.int64)])
         pairs.sort()
         self.telling = np.array([k for _, k in pairs], np.int64)        # items by word
         self.upto = np.searchsorted(np.array([w for w, _ in pairs], np.int64), np.arange(len(fit.vocabulary) + 1))
@@ -324,10 +401,35 @@ class Index:
         run = np.flatnonzero(start)
         return item[run], low[run], np.maximum.reduceat(high, run)
 
+    def _enough(self, at: np.ndarray, item: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Numbers of the stretches that hold as many words of their item, in any order, as a leak needs."""
+        place = np.flatnonzero(at >= 0)
+        lo, hi = np.searchsorted(place, begin), np.searchsorted(place, end)
+        out, known, n = [], at[place], len(self.fit.vocabulary)
+        cuts = np.flatnonzero(np.diff(np.cumsum(hi - lo) >> 19)) + 1
+        for some in np.split(np.arange(len(item)), cuts):
+            many = (hi - lo)[some]
+            run = np.repeat(np.arange(len(some)), many)
+            word = known[np.arange(len(run)) + np.repeat(lo[some] - (np.cumsum(many) - many), many)]
+            of = item[some][run]
+            hit = np.flatnonzero(self.bits[of, word >> 3] >> (word & 7).astype(np.uint8) & 1)
+            run, word = np.divmod(np.unique(run[hit] * n + word[hit]), n)
+            counts = self.times[np.searchsorted(self.held, item[some][run] * n + word)]
+            out.append(some[np.bincount(run, counts, len(some)) >= self._need(self.wide[item[some]]) - 1e-9])
+        return np.concatenate(out)
+
     def _near(self, hits, weight: np.ndarray, at: np.ndarray, a: np.ndarray, b: np.ndarray, n: int, size: int):
         """(passage, item's passage, item) of the latent neighbours, some at a time.  A passage is compared with the
         items that it reaches alone: for each item one product of its passages and of those that reach it."""
         item, low, high = self._reach(hits, a, n, size)
+        if len(item):
+            # long runs in parts, as only what lies near one another is one leak
+            many = -(-(high - low) // PART)
+            nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            item, low, high = np.repeat(item, many), np.repeat(low, many) + nth * PART, np.repeat(high, many)
+            high = np.minimum(high, low + PART)
+            some = self._enough(at, item, a[low] - self.wide[item], b[high - 1] + self.wide[item])
+            item, low, high = item[some], low[some], high[some]
         if not len(item):
             return
         marks = np.bincount(low, minlength=len(a) + 1)
@@ -446,21 +548,15 @@ def lcs(a: list[int], b: list[int]) -> int:
 def indexes(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
             item_text: str = "text", rules: LeakRules = LeakRules()) -> Iterator[tuple[Index, bool]]:
     """A fitted index for each block of items, one after the other, and whether it is the last.  Gathers the items of
-    a block, one count per bucket and the SVD's small matrices; documents stay where they are.  The fit's sample
-    is the texts with the least hashes: below a limit that some twice as many pass as are wanted."""
+    a block, one count per bucket and one narrow matrix over the block's words; documents stay where they are."""
     spark = docs.sparkSession
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     total = docs.count()
-    limit = min((1 << 63) - 1, (1 << 63) * 2 * rules.sample // max(total, 1))
-    hashed = F.xxhash64(body).bitwiseAND(F.lit((1 << 63) - 1))
-    counted = written(docs.select(body.alias("text"), hashed.alias("hash")).mapInArrow(
-        _count(limit), "bucket long, df long, hash long, text string"), "word-counts")
+    counted = docs.select(body.alias("text")).mapInArrow(_count, "bucket long, df long")
     df = np.zeros(1 << BUCKET_BITS)
-    for r in counted.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("df").alias("df")).collect():
+    for r in counted.groupBy("bucket").agg(F.sum("df").alias("df")).collect():
         df[r["bucket"]] = r["df"]
     idf = np.log((1.0 + total) / (1.0 + df)) + 1.0
-    sample = (counted.filter("text IS NOT NULL").select("hash", "text").distinct()
-              .orderBy("hash").limit(rules.sample).select("text"))
     items = benchmark.select(F.col(item).cast("long").alias("i"), F.col(item_text).alias("t")).filter("t IS NOT NULL")
     blocks = -(-items.count() // rules.block)
     numbered = written(items.repartitionByRange(max(blocks, 1), "i"), "benchmark-items") if blocks > 1 else items
@@ -471,7 +567,7 @@ def indexes(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str
             continue
         vocabulary = np.unique(words_of(_bytes([t for _, t in rows]), PUNCTUATION)[0])
         fit = Fit(idf, vocabulary, rules.size)
-        texts = written(part.select(F.col("t").alias("text")).union(sample).repartition(4), "fit-texts")
+        texts = docs.select(body.alias("text")).unionByName(part.select(F.col("t").alias("text")))
         yield Index(rows, fit, randomised_svd(texts, fit, rules.dimensions), rules), k == max(blocks, 1) - 1
 
 
@@ -484,7 +580,8 @@ def leaks_of(text: Column, sent: Broadcast) -> Column:
             out += sent.value.leaks(data[a:b])
         return pa.array(out, pa.list_(LEAK))
 
-    return leaks(text)
+    # searched once, also where a filter on what was found moves before the column
+    return leaks.asNondeterministic()(text)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
