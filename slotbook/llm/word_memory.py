@@ -3,7 +3,8 @@
 Two generations: words are looked up in the younger, those found in the older one move over,
 and when the younger has its share of bytes it becomes the older and the one before goes.  So
 frequent words stay, and a text of new words never throws everything away.  Workers are reused by
-later stages; when another encoder begins, or work that encodes nothing (``release``), the words are dropped.
+later stages; when another encoder begins, or work that encodes nothing (``release``), words and encoder are
+dropped and their memory goes back to the system.
 """
 
 from __future__ import annotations
@@ -30,8 +31,9 @@ class _Words(dict):
 
 
 def kept_encoder(path: str, make: Callable[[str], Any]) -> Any:
-    """One encoder for each vocabulary file and Python worker, until ``release``."""
+    """One encoder for each Python worker, until another vocabulary file is asked for or ``release``."""
     if path not in _encoders:
+        release()
         _encoders[path] = make(path)
     return _encoders[path]
 
