@@ -11,17 +11,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotbook.llm import decontaminate, ngram_join, packing, quality, secret_scan
-from slotbook.llm.common import on_workers, redact, table, unused, written
+from slotbook.llm.common import bounded_batches, on_workers, redact, table, unused, written
 from slotbook.llm.queries import PIECE_BPE, WORD_BPE
 
 #: The columns that every stage but the last returns.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def prepared(spark: SparkSession) -> None:
+    """Every stage's rows are whole texts, and its executors have run the stages before."""
+    on_workers(spark)
+    bounded_batches(spark)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep.  Bands are fitted on all of them first; the
     measures are taken again rather than written beside the texts."""
-    on_workers(spark)
+    prepared(spark)
     q = unused(docs.columns, "quality")
     measured = quality.measured(docs, public_tokenizers.path(PIECE_BPE), out=q)
     bands = written(quality.fit_bands(written(measured.select(q), "quality"), out=q), "quality-bands")
@@ -30,13 +36,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    on_workers(spark)
+    prepared(spark)
     return ngram_join.keep_one(docs).select(*COLUMNS)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    on_workers(spark)
+    prepared(spark)
     found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
     return found.filter(F.size("leaks") == 0).select(*COLUMNS)
 
@@ -52,7 +58,7 @@ def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents packed into sequences, piece by piece."""
-    on_workers(spark)
+    prepared(spark)
     return packing.pack(docs, public_tokenizers.path(WORD_BPE), with_ids=False)
 
 

@@ -28,6 +28,15 @@ def on_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Let at most so many rows go to a Python worker at once: a batch of texts is held by the JVM and by the
+    worker, for each core.  A smaller number that the session has is kept."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    has = int(spark.conf.get(name))
+    if has <= 0 or has > rows:
+        spark.conf.set(name, str(rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, through Spark's own reader (any store)."""
     on_workers(spark)

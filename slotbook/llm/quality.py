@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotbook.llm.common import unused, written
-from slotbook.llm.word_memory import WordMemory, kept_encoder
+from slotbook.llm.word_ids import slices
+from slotbook.llm.word_memory import WordMemory, give_back, kept_encoder
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -49,6 +50,7 @@ class Pieces:
 
     def __init__(self, path: str):
         import sentencepiece
+        give_back()       # what earlier work in this worker has freed, before words are kept
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.is_byte = np.array([self.model.is_byte(i) for i in range(self.model.get_piece_size())])
         self.words = WordMemory(self._learn)
@@ -101,18 +103,12 @@ def measures(text: Column, path: str) -> Column:
     @F.arrow_udf(MEASURES_DDL)
     def measure(column: pa.Array) -> pa.Array:
         p, out = pieces(path), []
-        texts = column.to_pylist()
-        start = 0
-        while start < len(texts):
-            stop, size = start, 0
-            while stop < len(texts) and (stop == start or size < 1 << 20):
-                size += len(texts[stop] or "")
-                stop += 1
-            some = [t or "" for t in texts[start:stop]]
+        # some megabytes at a time: no more of a batch is held as Python objects
+        for a, z in slices(column):
+            some = [t or "" for t in column.slice(a, z - a).to_pylist()]
             data = [t.encode("utf-8", "replace") for t in some]
             words = [d.split() for d in data]
             out += [measure_text(t, w, i, d, p) for t, w, i, d in zip(some, words, p.words.values(words), data, strict=True)]
-            start = stop
         cols = zip(*out, strict=True) if out else [[] for _ in MEASURES]
         return pa.StructArray.from_arrays(
             [pa.array(list(c), f.type) for c, f in zip(cols, MEASURES, strict=True)], fields=list(MEASURES))
