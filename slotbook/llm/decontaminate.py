@@ -34,13 +34,13 @@ from pyspark.sql import functions as F
 
 from slotbook.llm.common import written
 from slotbook.llm.hashing import PUNCTUATION, words_of
+from slotbook.llm.word_ids import slices
 from slotbook.llm.word_memory import release
 
 BUCKET_BITS = 16
-SLICE = 1 << 20
 CELLS = 1 << 24      # pairs of words held as an array by a task
 ROWS = 256
-PART = 8             # passages looked at together
+PARTS = (8, 1)       # passages looked at together, first and once more
 LEAK = pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs", pa.float64()),
                   ("answer", pa.float64())])
 LEAKS_DDL = "array<struct<item_id:long,cosine:double,lcs:double,answer:double>>"
@@ -64,15 +64,16 @@ def _bytes(texts: list[str | None]) -> list[bytes]:
     return [(t or "").lower().encode("utf-8", "replace") for t in texts]
 
 
-def _slices(texts: list[bytes]):
-    start = 0
-    while start < len(texts):
-        stop, size = start, 0
-        while stop < len(texts) and (stop == start or size < SLICE):
-            size += len(texts[stop])
-            stop += 1
-        yield start, stop
-        start = stop
+def _texts(column: pa.Array) -> Iterator[list[bytes]]:
+    """The texts, some megabytes at a time: no more of a batch is held as Python objects."""
+    for a, z in slices(column):
+        yield _bytes(column.slice(a, z - a).to_pylist())
+
+
+def _different(keys: np.ndarray) -> np.ndarray:
+    """The different keys, in order: by a sort, which numpy does several times as fast as its table of hashes."""
+    keys = np.sort(keys)
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
 
 
 def buckets(words: np.ndarray) -> np.ndarray:
@@ -84,12 +85,11 @@ def _count(batches):
     release()
     df = np.zeros(1 << BUCKET_BITS, np.int64)
     for b in batches:
-        data = _bytes(b.column(0).to_pylist())
-        for a, z in _slices(data):
-            words, upto = words_of(data[a:z], PUNCTUATION)
-            of = np.repeat(np.arange(z - a), np.diff(upto, prepend=0))
+        for data in _texts(b.column(0)):
+            words, upto = words_of(data, PUNCTUATION)
+            of = np.repeat(np.arange(len(data)), np.diff(upto, prepend=0))
             # distinct (document, bucket) pairs, one count each
-            pair = np.unique(of << BUCKET_BITS | buckets(words))
+            pair = _different(of << BUCKET_BITS | buckets(words))
             df += np.bincount(pair & ((1 << BUCKET_BITS) - 1), minlength=1 << BUCKET_BITS)
     at = np.flatnonzero(df)
     for i in range(0, len(at), 1 << 14):
@@ -188,7 +188,11 @@ class Pairs:
     def times(self) -> np.ndarray:
         if self.cells is not None:
             cells = self.cells.reshape(self.n, self.n)
-            return cells @ self.omega + cells.T @ self.omega
+            for i in range(0, self.n, ROWS):         # the smaller number comes first: no cells before the diagonal
+                some = cells[i:i + ROWS, i:]
+                self.total[i:i + ROWS] += some @ self.omega[i:]
+                self.total[i:] += some.T @ self.omega[i:i + ROWS]
+            return self.total
         self._reduce()
         self._multiply()
         return self.total
@@ -205,9 +209,8 @@ def _together(fit: Fit, omega: np.ndarray):
         release()
         pairs = Pairs(omega)
         for b in batches:
-            data = _bytes(b.column(0).to_pylist())
-            for i, z in _slices(data):
-                words, upto = words_of(data[i:z], PUNCTUATION)
+            for data in _texts(b.column(0)):
+                words, upto = words_of(data, PUNCTUATION)
                 weight, at = fit.idf[buckets(words)], fit.index(words)
                 begin = np.concatenate([[0], upto[:-1]])
                 text, start = passages(upto - begin, size, max(size // 2, 1))
@@ -216,13 +219,17 @@ def _together(fit: Fit, omega: np.ndarray):
                 norm = mass[np.minimum(start + size, upto[text])] - mass[start]
                 upon = np.concatenate([[0.0], np.cumsum(1 / np.maximum(norm, 1e-18))])
                 place = np.flatnonzero(at >= 0)
-                first = np.repeat(begin, upto - begin)[place]
-                until = upon[np.searchsorted(start, place, "right")]
-                before = upon[np.searchsorted(start, np.maximum(place - size + 1, first), "left")]
+                first, last = (np.repeat(x, upto - begin)[place] for x in (begin, upto))
+                below = np.concatenate([[0], np.cumsum(np.bincount(start, minlength=len(words)))])   # starts before a place
+                until = upon[below[place + 1]]
+                before = upon[below[np.maximum(place - size + 1, first)]]
                 word, heavy = at[place], weight[place]
                 pairs.add(word, word, (until - before) * heavy ** 2 / 2)
+                near, last = np.arange(len(place)), np.minimum(place + size, last)
                 for d in range(1, size):
-                    near = np.flatnonzero((place[d:] - place[:-d] < size) & (first[d:] <= place[:-d]))
+                    # those with a d-th word after them less than a passage apart have one before it, too
+                    near = near[:np.searchsorted(near, len(place) - d)]
+                    near = near[place[near + d] < last[near]]
                     if not len(near):
                         break
                     far = near + d
@@ -352,7 +359,8 @@ class Index:
             text, start = passages(upto - begin, size, max(size // 4, 1))
             a = begin[text] + start
             b = np.minimum(a + size, upto[text])
-            for x, y, k in self._near(hits, weight, at, a, b, len(words), size):
+            own = np.isin(hits[0], self.of[size])        # an item has passages of one size
+            for x, y, k in self._near(tuple(h[own] for h in hits), weight, at, a, b, len(words), size):
                 place = a[x, None] + np.arange(size)
                 inside = place < b[x, None]
                 place = np.where(inside, place, 0)
@@ -377,7 +385,8 @@ class Index:
         nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         item = self.telling[np.repeat(self.upto[at[place]], many) + nth]
         place = np.repeat(place, many)
-        order = np.argsort(item, kind="stable")
+        # numbers of 16 bits are dealt into their order rather than compared
+        order = np.argsort(item.astype(np.uint16) if len(self.items) <= 1 << 16 else item, kind="stable")
         item, place = item[order], place[order]
         last = np.arange(len(item)) + np.maximum(self.least[item], 1) - 1
         ok = np.flatnonzero(last < len(item))
@@ -389,8 +398,9 @@ class Index:
         """(item, first, last + 1), by item and without overlap: the passages, which start at ``a``, that have
         such a stretch in their surroundings."""
         item, first, last = hits
-        low = np.searchsorted(a, last - self.wide[item] - size + 1)
-        high = np.searchsorted(a, np.minimum(first + self.wide[item], n - 1), "right")
+        below = np.concatenate([[0], np.cumsum(np.bincount(a, minlength=n))])       # passages that start before a place
+        low = below[np.maximum(last - self.wide[item] - size + 1, 0)]
+        high = below[np.minimum(first + self.wide[item], n - 1) + 1]
         ok = low < high
         item, low, high = item[ok], low[ok], high[ok]
         if not len(item):
@@ -403,9 +413,10 @@ class Index:
 
     def _enough(self, at: np.ndarray, item: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Numbers of the stretches that hold as many words of their item, in any order, as a leak needs."""
-        place = np.flatnonzero(at >= 0)
-        lo, hi = np.searchsorted(place, begin), np.searchsorted(place, end)
-        out, known, n = [], at[place], len(self.fit.vocabulary)
+        is_known = at >= 0
+        before = np.concatenate([[0], np.cumsum(is_known)])
+        lo, hi = (before[np.clip(x, 0, len(at))] for x in (begin, end))
+        out, known, n = [], at[is_known], len(self.fit.vocabulary)
         cuts = np.flatnonzero(np.diff(np.cumsum(hi - lo) >> 19)) + 1
         for some in np.split(np.arange(len(item)), cuts):
             many = (hi - lo)[some]
@@ -413,7 +424,7 @@ class Index:
             word = known[np.arange(len(run)) + np.repeat(lo[some] - (np.cumsum(many) - many), many)]
             of = item[some][run]
             hit = np.flatnonzero(self.bits[of, word >> 3] >> (word & 7).astype(np.uint8) & 1)
-            run, word = np.divmod(np.unique(run[hit] * n + word[hit]), n)
+            run, word = np.divmod(_different(run[hit] * n + word[hit]), n)
             counts = self.times[np.searchsorted(self.held, item[some][run] * n + word)]
             out.append(some[np.bincount(run, counts, len(some)) >= self._need(self.wide[item[some]]) - 1e-9])
         return np.concatenate(out)
@@ -422,12 +433,14 @@ class Index:
         """(passage, item's passage, item) of the latent neighbours, some at a time.  A passage is compared with the
         items that it reaches alone: for each item one product of its passages and of those that reach it."""
         item, low, high = self._reach(hits, a, n, size)
-        if len(item):
+        for part in PARTS:
+            if not len(item):
+                return
             # long runs in parts, as only what lies near one another is one leak
-            many = -(-(high - low) // PART)
+            many = -(-(high - low) // part)
             nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            item, low, high = np.repeat(item, many), np.repeat(low, many) + nth * PART, np.repeat(high, many)
-            high = np.minimum(high, low + PART)
+            item, low, high = np.repeat(item, many), np.repeat(low, many) + nth * part, np.repeat(high, many)
+            high = np.minimum(high, low + part)
             some = self._enough(at, item, a[low] - self.wide[item], b[high - 1] + self.wide[item])
             item, low, high = item[some], low[some], high[some]
         if not len(item):
@@ -440,15 +453,16 @@ class Index:
         row = np.zeros(len(a), np.int64)
         row[some] = np.arange(len(some))
         of = self.of[size]
+        # one row for each item and passage
+        many = high - low
+        passage = np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        item = np.repeat(item, many)
         runs = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]]))
         held, count = [], 0
         for lo, hi in zip(runs.tolist(), [*runs[1:].tolist(), len(item)], strict=True):
             k = int(item[lo])
             y0, y1 = np.searchsorted(of, [k, k + 1]).tolist()
-            if y0 == y1:          # an item of another passage size
-                continue
-            # a run of passages lies together in ``latent``, as all of it is in reach
-            x = np.concatenate([np.arange(p, q) for p, q in zip(low[lo:hi].tolist(), high[lo:hi].tolist(), strict=True)])
+            x = passage[lo:hi]
             i, j = np.nonzero(latent[row[x]] @ self.passages[size][y0:y1].T >= self.rules.cosine)
             if len(i):
                 held.append((x[i], j + y0, np.full(len(i), k)))
@@ -460,16 +474,20 @@ class Index:
             yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
 
     def _projected(self, weight: np.ndarray, at: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Unit latent vectors of the passages words[a:b], which lie near one another: differences of
-        running sums over the words of the benchmark in reach."""
-        lo, hi = int(a.min()), int(b.max())
-        known = np.flatnonzero(at[lo:hi] >= 0)
-        each = np.zeros((len(known) + 1, self.space.shape[1]), np.float32)
-        np.multiply(self.space[at[lo + known]], weight[lo + known, None], out=each[:-1])
-        edges = np.unique(np.concatenate([a, b]))
+        """Unit latent vectors of the passages words[a:b], in order: differences of running sums over
+        the words of the benchmark that they hold; words between passages are left out."""
+        lo = int(a[0])
+        marks = np.bincount(a - lo, minlength=int(b.max()) - lo + 1) - np.bincount(b - lo)
+        known = np.flatnonzero((np.cumsum(marks)[:-1] > 0) & (at[lo:lo + len(marks) - 1] >= 0))
+        edges = _different(np.concatenate([a, b]))
         cut = np.searchsorted(known, edges - lo)
-        parts = np.add.reduceat(each, cut[:-1], axis=0)
-        parts[cut[1:] == cut[:-1]] = 0.0               # no words between
+        known += lo
+        parts = np.zeros((len(edges) - 1, self.space.shape[1]), np.float32)
+        many = np.diff(cut)
+        for j in range(many.max(initial=0)):             # the j-th word between two edges
+            some = np.flatnonzero(many > j)
+            word = known[cut[some] + j]
+            parts[some] += self.space[at[word]] * weight[word, None]
         sums = np.concatenate([np.zeros((1, parts.shape[1])), np.cumsum(parts, axis=0, dtype=np.float64)])
         return self._latent(sums[np.searchsorted(edges, b)] - sums[np.searchsorted(edges, a)]).astype(np.float32)
 
@@ -575,10 +593,7 @@ def leaks_of(text: Column, sent: Broadcast) -> Column:
     """Array of (item_id, cosine, lcs, answer) of the items of one index found in each text."""
     @F.arrow_udf(LEAKS_DDL)
     def leaks(column: pa.Array) -> pa.Array:
-        data, out = _bytes(column.to_pylist()), []
-        for a, b in _slices(data):
-            out += sent.value.leaks(data[a:b])
-        return pa.array(out, pa.list_(LEAK))
+        return pa.array([x for data in _texts(column) for x in sent.value.leaks(data)], pa.list_(LEAK))
 
     # searched once, also where a filter on what was found moves before the column
     return leaks.asNondeterministic()(text)

@@ -49,7 +49,9 @@ def words_of(texts: list[bytes], apart: np.ndarray) -> tuple[np.ndarray, np.ndar
     """(hashes of all words in order, number of words up to the end of each text)."""
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     up, down = _powers(len(data))
-    edge = np.flatnonzero(np.diff(np.concatenate([[True], apart[data], [True]]).astype(np.int8)))
+    outside = np.ones(len(data) + 2, bool)
+    outside[1:-1] = apart[data]
+    edge = np.flatnonzero(outside[1:] != outside[:-1])
     first, last = edge[::2], edge[1::2]              # words are data[first:last]
     sums = np.concatenate([[np.uint64(0)], np.cumsum(_BYTE[data] * up[:len(data)], dtype=np.uint64)])
     words = mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
