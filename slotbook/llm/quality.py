@@ -99,7 +99,11 @@ def measure_text(text: str, words: list[bytes], pieces_of: list[bytes], data: by
 
 
 def measures(text: Column, path: str) -> Column:
-    """Struct of the measures of each text (null: as empty)."""
+    """Struct of the measures of each text (null: as empty).
+
+    Marked as if results could differ, so that Spark takes a row's measures once: a filter on them would else
+    move below a join as a second call, with a second worker for each core.
+    """
     @F.arrow_udf(MEASURES_DDL)
     def measure(column: pa.Array) -> pa.Array:
         p, out = pieces(path), []
@@ -113,7 +117,7 @@ def measures(text: Column, path: str) -> Column:
         return pa.StructArray.from_arrays(
             [pa.array(list(c), f.type) for c, f in zip(cols, MEASURES, strict=True)], fields=list(MEASURES))
 
-    return measure(text)
+    return measure.asNondeterministic()(text)
 
 
 def base_failed(q: Column, rules: QualityRules) -> Column:
